@@ -245,3 +245,428 @@ def q_content_hash(spark, sf_dir):
 
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     return docs.select("doc_id", content_key(F.col("text")).alias("content_key"))
+
+
+# ---------------------------------------------------------------- splits and samples
+
+def _md5_int_sql(expr: str) -> str:
+    return f"('0x' || substr(md5(CAST({expr} AS VARCHAR)), 1, 8))::BIGINT"
+
+
+@register("hash_sample", f"""
+SELECT vec_id, label FROM embeddings WHERE {_md5_int_sql('vec_id')} / 4294967296.0 < 0.2""")
+def q_hash_sample(spark, sf_dir):
+    from tabula.operators.split import hash_sample
+
+    return hash_sample(emb(spark, sf_dir).select("vec_id", "label"), F.col("vec_id"), 0.2)
+
+
+@register("hash_split", f"""
+SELECT doc_id, CASE WHEN {_md5_int_sql('text')} % 5 = 0 THEN 'validation' ELSE 'train' END AS split
+FROM documents""")
+def q_hash_split(spark, sf_dir):
+    from tabula.operators.split import with_split
+
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return with_split(docs, F.col("text"), 5, 0).select("doc_id", "split")
+
+
+@register("split_balance", f"""
+WITH s AS (SELECT sha256(text) AS k,
+                  CASE WHEN {_md5_int_sql('text')} % 5 = 0 THEN 'validation' ELSE 'train' END AS split
+           FROM documents)
+SELECT split, COUNT(*) AS n_rows, COUNT(DISTINCT k) AS n_distinct_content FROM s GROUP BY split""")
+def q_split_balance(spark, sf_dir):
+    from tabula.functions.hashing import content_key
+    from tabula.operators.split import with_split
+
+    docs = read_table(spark, sf_dir, "documents", ["text"])
+    s = with_split(docs, F.col("text"), 5, 0).select("split", content_key(F.col("text")).alias("k"))
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("k").alias("n_distinct_content"))
+
+
+@register("sample_images", f"""
+WITH pick AS (SELECT vec_id, label, embedding FROM embeddings
+              ORDER BY {_md5_int_sql('vec_id')}, vec_id LIMIT 10)
+SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS dim,
+       CAST((generate_subscripts(embedding, 1) - 1) // {GRID_WIDTH} AS INTEGER) AS row,
+       CAST((generate_subscripts(embedding, 1) - 1) % {GRID_WIDTH} AS INTEGER) AS col,
+       round(unnest(embedding)::DOUBLE, 6) AS x
+FROM pick""")
+def q_sample_images(spark, sf_dir):
+    from tabula.operators.split import sample_rows
+
+    picked = sample_rows(emb(spark, sf_dir), F.col("vec_id"), 10)
+    long_df = feat.vector_to_long(picked, "embedding", "vec_id", "label")
+    return long_df.select("vec_id", "label", "dim", *feat.grid_position("dim", GRID_WIDTH), r6("x").alias("x"))
+
+
+# ---------------------------------------------------------------- evaluation
+# Stand-in classifier on the embeddings fixture: predicted class = argmax of
+# dims 0-9 (SURVEY 5.3: labels are unrelated to the vectors, so only the
+# arithmetic is checked, never the accuracy level).
+
+def emb_predictions(spark, sf_dir, block: int = 0) -> DataFrame:
+    from tabula.functions.scoring import argmax, as_double_array, softmax
+
+    logits = F.slice(as_double_array(F.col("embedding")), 10 * block + 1, 10)
+    probs = softmax(logits)
+    return emb(spark, sf_dir).select("vec_id", "label", argmax(logits).alias("prediction"),
+                                     probs.alias("probability"))
+
+
+_PRED_SQL = """
+WITH s AS (SELECT vec_id, label, list_transform(embedding[1:10], lambda v: v::DOUBLE) AS l FROM embeddings),
+     pr AS (SELECT vec_id, label, l, list_max(l) AS m FROM s),
+     pred AS (SELECT vec_id, label, CAST(list_position(l, m) - 1 AS INTEGER) AS prediction,
+                     list_transform(l, lambda v: exp(v - m)) AS e FROM pr),
+     counts AS (SELECT label, prediction, COUNT(*) AS count FROM pred GROUP BY label, prediction),
+     grid AS (SELECT a.i::INTEGER AS label, b.i::INTEGER AS prediction FROM range(10) a(i), range(10) b(i))"""
+
+_CLASS_TOTALS_SQL = """,
+     cls AS (SELECT i::INTEGER AS label FROM range(10) t(i)),
+     tot AS (SELECT cls.label,
+                    coalesce((SELECT sum(count) FROM counts c WHERE c.label = cls.label AND c.prediction = cls.label), 0) AS tp,
+                    coalesce((SELECT sum(count) FROM counts c WHERE c.label = cls.label), 0) AS actual,
+                    coalesce((SELECT sum(count) FROM counts c WHERE c.prediction = cls.label), 0) AS predicted
+             FROM cls),
+     m AS (SELECT label, actual,
+                  CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS precision,
+                  CASE WHEN actual = 0 THEN 0.0 ELSE tp / actual END AS recall FROM tot),
+     m2 AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+                           ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM m)"""
+
+
+@register("confusion_matrix", _PRED_SQL + """
+SELECT grid.label, grid.prediction, CAST(coalesce(counts.count, 0) AS BIGINT) AS count
+FROM grid LEFT JOIN counts ON grid.label = counts.label AND grid.prediction = counts.prediction""")
+def q_confusion_matrix(spark, sf_dir):
+    from tabula.operators import evaluate as ev
+
+    counts = ev.label_prediction_counts(emb_predictions(spark, sf_dir))
+    return ev.confusion_long(spark, counts, CLASSES)
+
+
+@register("confusion_matrix_wide", _PRED_SQL + ", " + """
+     dense AS (SELECT grid.label, grid.prediction, coalesce(counts.count, 0) AS count
+               FROM grid LEFT JOIN counts ON grid.label = counts.label AND grid.prediction = counts.prediction)
+SELECT label, """ + ", ".join(f'CAST(sum(CASE WHEN prediction = {c} THEN count END) AS BIGINT) AS "{c}"'
+                              for c in CLASSES) + " FROM dense GROUP BY label")
+def q_confusion_matrix_wide(spark, sf_dir):
+    from tabula.operators import evaluate as ev
+
+    counts = ev.label_prediction_counts(emb_predictions(spark, sf_dir))
+    return ev.confusion_wide(ev.confusion_long(spark, counts, CLASSES), CLASSES)
+
+
+@register("class_metrics", _PRED_SQL + _CLASS_TOTALS_SQL + """
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(actual AS BIGINT) AS support FROM m2""")
+def q_class_metrics(spark, sf_dir):
+    from tabula.operators import evaluate as ev
+
+    counts = ev.label_prediction_counts(emb_predictions(spark, sf_dir))
+    m = ev.class_metrics(counts, CLASSES, spark)
+    return m.select("label", r6("precision").alias("precision"), r6("recall").alias("recall"),
+                    r6("f1").alias("f1"), "support")
+
+
+@register("overall_metrics", _PRED_SQL + _CLASS_TOTALS_SQL + """
+SELECT round(sum(tp) / sum(actual), 6) AS accuracy,
+       round(sum(actual * f1) / sum(actual), 6) AS f1,
+       round(sum(actual * precision) / sum(actual), 6) AS weighted_precision,
+       round(sum(actual * recall) / sum(actual), 6) AS weighted_recall,
+       CAST(sum(actual) AS BIGINT) AS n
+FROM m2 JOIN tot USING (label, actual)""")
+def q_overall_metrics(spark, sf_dir):
+    from tabula.operators import evaluate as ev
+
+    counts = ev.label_prediction_counts(emb_predictions(spark, sf_dir))
+    m = ev.overall_metrics(counts)
+    return m.select(*[r6(c).alias(c) for c in ("accuracy", "f1", "weighted_precision", "weighted_recall")], "n")
+
+
+@register("binary_class_metrics", """
+WITH counts AS (SELECT quality AS label, toxic AS prediction, COUNT(*) AS count FROM labels GROUP BY 1, 2),
+     cls AS (SELECT i::INTEGER AS label FROM range(2) t(i)),
+     tot AS (SELECT cls.label,
+                    coalesce((SELECT sum(count) FROM counts c WHERE c.label = cls.label AND c.prediction = cls.label), 0) AS tp,
+                    coalesce((SELECT sum(count) FROM counts c WHERE c.label = cls.label), 0) AS actual,
+                    coalesce((SELECT sum(count) FROM counts c WHERE c.prediction = cls.label), 0) AS predicted
+             FROM cls),
+     m AS (SELECT label, actual,
+                  CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS precision,
+                  CASE WHEN actual = 0 THEN 0.0 ELSE tp / actual END AS recall FROM tot)
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END, 6) AS f1,
+       CAST(actual AS BIGINT) AS support FROM m""")
+def q_binary_class_metrics(spark, sf_dir):
+    from tabula.operators import evaluate as ev
+
+    lab = read_table(spark, sf_dir, "labels", ["quality", "toxic"])
+    counts = ev.label_prediction_counts(lab, label="quality", prediction="toxic")
+    m = ev.class_metrics(counts, [0, 1], spark)
+    return m.select("label", r6("precision").alias("precision"), r6("recall").alias("recall"),
+                    r6("f1").alias("f1"), "support")
+
+
+@register("log_loss", _PRED_SQL + """
+SELECT round(avg(-ln(e[label + 1] / list_sum(e))), 6) AS loss,
+       round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       COUNT(*) AS n
+FROM pred""")
+def q_log_loss(spark, sf_dir):
+    from tabula.operators import evaluate as ev
+
+    out = ev.log_loss(emb_predictions(spark, sf_dir))
+    return out.select(r6("loss").alias("loss"), r6("accuracy").alias("accuracy"), "n")
+
+
+# Candidate scorers for model selection (E5) and a training history (E6),
+# both derived from the data: candidate / epoch b predicts argmax of dims
+# 10b .. 10b+9, b = 0..5, and is evaluated on the whole table in one pass.
+N_BLOCKS = 6
+
+
+def block_counts(spark, sf_dir) -> DataFrame:
+    from tabula.functions.scoring import argmax, as_double_array
+    from tabula.operators import evaluate as ev
+
+    arr = as_double_array(F.col("embedding"))
+    preds = F.array(*[argmax(F.slice(arr, 10 * b + 1, 10)) for b in range(N_BLOCKS)])
+    exploded = emb(spark, sf_dir).select("label", F.posexplode(preds).alias("block", "prediction"))
+    return ev.label_prediction_counts(exploded, by=["block"])
+
+
+_BLOCK_SQL = "WITH s AS (SELECT label, list_transform(embedding, lambda v: v::DOUBLE) AS l FROM embeddings),\n" + \
+    "     bp AS (" + "\n            UNION ALL ".join(
+        f"SELECT {b} AS block, label, CAST(list_position(l[{10 * b + 1}:{10 * b + 10}], "
+        f"list_max(l[{10 * b + 1}:{10 * b + 10}])) - 1 AS INTEGER) AS prediction FROM s" for b in range(N_BLOCKS)) + "),\n" + \
+    """     counts AS (SELECT block, label, prediction, COUNT(*) AS count FROM bp GROUP BY 1, 2, 3),
+     cls AS (SELECT DISTINCT block, label AS cls FROM counts UNION SELECT DISTINCT block, prediction FROM counts),
+     tot AS (SELECT cls.block, cls.cls,
+                    coalesce((SELECT sum(count) FROM counts c WHERE c.block = cls.block AND c.label = cls.cls AND c.prediction = cls.cls), 0) AS tp,
+                    coalesce((SELECT sum(count) FROM counts c WHERE c.block = cls.block AND c.label = cls.cls), 0) AS actual,
+                    coalesce((SELECT sum(count) FROM counts c WHERE c.block = cls.block AND c.prediction = cls.cls), 0) AS predicted
+             FROM cls),
+     m AS (SELECT block, actual, tp,
+                  CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS p,
+                  CASE WHEN actual = 0 THEN 0.0 ELSE tp / actual END AS r FROM tot),
+     res AS (SELECT block, sum(tp) / sum(actual) AS accuracy,
+                    sum(actual * CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END) / sum(actual) AS f1
+             FROM m GROUP BY block)"""
+
+
+def block_results(spark, sf_dir) -> DataFrame:
+    from tabula.operators import evaluate as ev
+
+    m = ev.overall_metrics(block_counts(spark, sf_dir), by=["block"])
+    return m.select(F.concat(F.lit("block_"), F.col("block").cast("string")).alias("model"),
+                    F.col("block").alias("ordinal"), "accuracy", "f1", F.lit("ok").alias("status"))
+
+
+@register("best_model", _BLOCK_SQL + """
+SELECT 'block_' || CAST(block AS VARCHAR) AS model, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1
+FROM res ORDER BY round(f1, 6) DESC, round(accuracy, 6) DESC, block ASC LIMIT 1""")
+def q_best_model(spark, sf_dir):
+    from tabula.operators import evaluate as ev
+
+    best = ev.best_row(block_results(spark, sf_dir))
+    return best.select("model", r6("accuracy").alias("accuracy"), r6("f1").alias("f1"))
+
+
+@register("early_stop", _BLOCK_SQL + """,
+     h AS (SELECT block + 1 AS epoch, accuracy FROM res),
+     h1 AS (SELECT epoch, accuracy,
+                   coalesce(accuracy > max(accuracy) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS improved
+            FROM h),
+     h2 AS (SELECT *, max(CASE WHEN improved THEN epoch END) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_epoch,
+                   max(accuracy) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far
+            FROM h1),
+     h3 AS (SELECT *, CAST(epoch - best_epoch AS INTEGER) AS since_best FROM h2),
+     h4 AS (SELECT *, min(CASE WHEN since_best >= 3 THEN epoch END) OVER () AS stop_epoch FROM h3)
+SELECT CAST(epoch AS INTEGER) AS epoch, round(accuracy, 6) AS accuracy, improved, CAST(best_epoch AS INTEGER) AS best_epoch,
+       since_best, round(best_so_far, 6) AS best_so_far, CAST(stop_epoch AS INTEGER) AS stop_epoch,
+       coalesce(epoch = stop_epoch, false) AS stopped_here
+FROM h4 WHERE stop_epoch IS NULL OR epoch <= stop_epoch""")
+def q_early_stop(spark, sf_dir):
+    from tabula.operators import evaluate as ev
+
+    hist = block_results(spark, sf_dir).select((F.col("ordinal") + 1).cast("int").alias("epoch"), "accuracy")
+    out = ev.early_stopping(hist, patience=3)
+    return out.select("epoch", r6("accuracy").alias("accuracy"), "improved", F.col("best_epoch").cast("int"),
+                      "since_best", r6("best_so_far").alias("best_so_far"), F.col("stop_epoch").cast("int"),
+                      "stopped_here")
+
+
+# ---------------------------------------------------------------- scoring and decisions
+
+_SOFTMAX_SQL = """
+WITH s AS (SELECT vec_id, list_transform(embedding[1:10], lambda v: v::DOUBLE) AS l FROM embeddings),
+     pr AS (SELECT vec_id, l, list_max(l) AS m FROM s),
+     sc AS (SELECT vec_id, CAST(list_position(l, m) - 1 AS INTEGER) AS digit,
+                   1.0 / list_sum(list_transform(l, lambda v: exp(v - m))) AS confidence FROM pr)"""
+
+
+def emb_scored(spark, sf_dir) -> DataFrame:
+    from tabula.plans.score import score_logits
+
+    return score_logits(emb(spark, sf_dir), "embedding", id_col="vec_id", first=0, n_classes=10)
+
+
+@register("softmax_argmax", _SOFTMAX_SQL + """
+SELECT vec_id, digit, round(confidence, 6) AS confidence,
+       digit BETWEEN 0 AND 9 AND confidence BETWEEN 0 AND 1 AS valid FROM sc""")
+def q_softmax_argmax(spark, sf_dir):
+    s = emb_scored(spark, sf_dir)
+    return s.select("vec_id", "digit", r6("confidence").alias("confidence"), "valid")
+
+
+def _decision_sql(threshold: float) -> str:
+    return _SOFTMAX_SQL + f""",
+     g0 AS (SELECT vec_id // 5 AS group_id, CAST(vec_id % 5 + 1 AS INTEGER) AS position, digit, confidence FROM sc),
+     g AS (SELECT *, min(confidence) OVER (PARTITION BY group_id) AS gmin FROM g0),
+     a AS (SELECT group_id, COUNT(*) AS n_predictions, min(confidence) AS gc,
+                  min(position) FILTER (WHERE confidence = gmin) AS wp,
+                  string_agg(CAST(digit AS VARCHAR), '' ORDER BY position) AS code,
+                  bit_or(CAST(1 AS BIGINT) << (position - 1)) AS mask
+           FROM g GROUP BY group_id)
+SELECT group_id, n_predictions, (n_predictions = 5 AND mask = 31) AS valid,
+       CASE WHEN n_predictions = 5 AND mask = 31 THEN code END AS postal_code,
+       round(gc, 6) AS global_confidence,
+       CASE WHEN gc < {threshold} THEN 'review' ELSE 'auto' END AS decision,
+       CASE WHEN gc < {threshold} THEN 'Vérification humaine' ELSE 'Tri automatique' END AS decision_label,
+       wp AS weakest_position,
+       CASE WHEN gc < {threshold} THEN 'Le chiffre en position ' || CAST(wp AS VARCHAR) || ' n''atteint que '
+            || CAST(CAST(round_even(gc * 100, 0) AS BIGINT) AS VARCHAR) || '% de confiance.' END AS review_reason
+FROM a"""
+
+
+def _group_decision(spark, sf_dir, threshold):
+    from tabula.operators.decide import group_analysis
+
+    s = emb_scored(spark, sf_dir).select(
+        F.floor(F.col("vec_id") / 5).cast("bigint").alias("group_id"),
+        (F.pmod(F.col("vec_id"), F.lit(5)) + 1).cast("int").alias("position"), "digit", "confidence")
+    out = group_analysis(s, "group_id", threshold=threshold)
+    return out.withColumn("global_confidence", r6("global_confidence"))
+
+
+@register("group_decision", _decision_sql(0.8))
+def q_group_decision(spark, sf_dir):
+    # groups of five consecutive vec_id stand for five digits of one code
+    return _group_decision(spark, sf_dir, 0.8)
+
+
+@register("group_decision_mixed", _decision_sql(0.12))
+def q_group_decision_mixed(spark, sf_dir):
+    # same rule with a threshold inside the fixture's confidence range
+    # (0.106-0.149), so both the automatic and the review branch occur
+    return _group_decision(spark, sf_dir, 0.12)
+
+
+# ---------------------------------------------------------------- column runs
+# Each embedding row is a 64-column strip; a column is "inked" when x > 0.05.
+
+_STRIP_SQL = f"""
+WITH p AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS dim,
+                  CASE WHEN unnest(embedding)::DOUBLE > 0.05 THEN 1 ELSE 0 END AS occupied FROM embeddings),
+     d AS (SELECT vec_id, dim, occupied,
+                  max(occupied) OVER (PARTITION BY vec_id ORDER BY dim ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS dilated
+           FROM p),
+     isl AS (SELECT vec_id, dim, dim - row_number() OVER (PARTITION BY vec_id ORDER BY dim) AS grp FROM d WHERE dilated > 0),
+     runs AS (SELECT vec_id, min(dim) AS start, max(dim) + 1 AS "end" FROM isl GROUP BY vec_id, grp
+              HAVING max(dim) + 1 - min(dim) >= 2)"""
+
+
+def strip_profile(spark, sf_dir) -> DataFrame:
+    long_df = feat.vector_to_long(emb(spark, sf_dir), "embedding", "vec_id", None)
+    return long_df.select(F.col("vec_id").alias("id"), F.col("dim").alias("pos"),
+                          (F.col("x") > 0.05).cast("int").alias("occ"))
+
+
+def strip_runs(spark, sf_dir) -> DataFrame:
+    from tabula.operators import runs
+
+    prof = strip_profile(spark, sf_dir)
+    return runs.detect_runs(runs.dilate(prof, runs.closing_width(N_DIMS)))
+
+
+@register("dilate_runs", _STRIP_SQL + """
+SELECT vec_id, dim, occupied, dilated FROM d""")
+def q_dilate_runs(spark, sf_dir):
+    from tabula.operators import runs
+
+    d = runs.dilate(strip_profile(spark, sf_dir), runs.closing_width(N_DIMS))
+    return d.select(F.col("id").alias("vec_id"), F.col("pos").alias("dim"),
+                    F.col("occ").alias("occupied"), "dilated")
+
+
+@register("detect_runs", _STRIP_SQL + """
+SELECT vec_id, CAST(start AS INTEGER) AS start, CAST("end" AS INTEGER) AS "end" FROM runs""")
+def q_detect_runs(spark, sf_dir):
+    r = strip_runs(spark, sf_dir)
+    return r.select(F.col("id").alias("vec_id"), F.col("start").cast("int"), F.col("end").cast("int"))
+
+
+@register("merge_runs", _STRIP_SQL + """,
+     g AS (SELECT *, start - lag("end") OVER (PARTITION BY vec_id ORDER BY start) AS gap FROM runs),
+     b AS (SELECT *, CASE WHEN gap IS NULL THEN 1
+                          WHEN row_number() OVER (PARTITION BY vec_id ORDER BY gap DESC NULLS LAST, start DESC) <= 4 THEN 1
+                          ELSE 0 END AS boundary FROM g),
+     s AS (SELECT *, sum(boundary) OVER (PARTITION BY vec_id ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg FROM b),
+     m AS (SELECT vec_id, min(start) AS start, max("end") AS "end" FROM s GROUP BY vec_id, seg)
+SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY start) AS INTEGER) AS run_index,
+       CAST(start AS INTEGER) AS start, CAST("end" AS INTEGER) AS "end" FROM m""")
+def q_merge_runs(spark, sf_dir):
+    from tabula.operators import runs
+
+    m = runs.merge_runs(strip_runs(spark, sf_dir), n=5)
+    return m.select(F.col("id").alias("vec_id"), F.col("run_index").cast("int"),
+                    F.col("start").cast("int"), F.col("end").cast("int"))
+
+
+@register("split_runs")
+def q_split_runs(spark, sf_dir):
+    """E4 on the strips: after merging, strips with fewer than five runs get
+    their widest run cut at an ink valley (applyInPandas per strip). Not
+    SQL-expressible (iterative); tests compare it with a brute-force loop."""
+    from tabula.operators import runs
+
+    prof = strip_profile(spark, sf_dir)
+    merged = runs.merge_runs(strip_runs(spark, sf_dir), n=5)
+    out = runs.split_runs(prof.withColumnRenamed("occ", "ink"), merged, expected=5)
+    return out.withColumnRenamed("id", "vec_id")
+
+
+# ---------------------------------------------------------------- incremental and streaming scoring
+
+MODEL_TAG = "argmax10"
+
+
+@register("score_incremental", f"""
+WITH k AS (SELECT doc_id, sha256(sha256(text) || ':{MODEL_TAG}:false') AS memo_key FROM documents),
+     done AS (SELECT DISTINCT k.memo_key FROM k JOIN labels l ON k.doc_id = l.doc_id)
+SELECT doc_id, memo_key FROM k WHERE memo_key NOT IN (SELECT memo_key FROM done)""")
+def q_score_incremental(spark, sf_dir):
+    """Documents whose memo key (content hash + model + option) has no
+    stored result yet. "Already scored" = documents that have a labels row.
+    Anti-join on the key: a shuffle join of keys, no broadcast of the store."""
+    from tabula.plans.score import memo_key, pending
+
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    keyed = docs.select("doc_id", memo_key(F.col("text"), MODEL_TAG, False).alias("memo_key"))
+    scored = keyed.join(read_table(spark, sf_dir, "labels", ["doc_id"]), "doc_id").select("memo_key")
+    return pending(keyed, scored, "memo_key")
+
+
+@register("stream_score_equals_batch", _SOFTMAX_SQL + """
+SELECT vec_id, digit, round(confidence, 6) AS confidence FROM sc""")
+def q_stream_score_equals_batch(spark, sf_dir):
+    """The same scorer as a Structured Streaming query (file source over
+    the table's directory, availableNow trigger, Parquet sink with a
+    checkpoint in the shared checkpoint folder); returns the sink's rows."""
+    from tabula.streaming.score_stream import run_scoring_stream
+
+    out = run_scoring_stream(spark, sf_dir, table="embeddings")
+    return out.select("vec_id", "digit", r6("confidence").alias("confidence"))
