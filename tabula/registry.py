@@ -670,3 +670,102 @@ def q_stream_score_equals_batch(spark, sf_dir):
 
     out = run_scoring_stream(spark, sf_dir, table="embeddings")
     return out.select("vec_id", "digit", r6("confidence").alias("confidence"))
+
+
+# ---------------------------------------------------------------- CSV sources
+
+@register("csv_round_trip", """
+SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part""")
+def q_csv_round_trip(spark, sf_dir):
+    """Write the part table as header CSV and read it back with an
+    explicit schema (no inference pass)."""
+    import uuid
+
+    from tabula.session import scratch_path
+    from tabula.sources.tables import load_csv
+
+    part = read_table(spark, sf_dir, "part")
+    path = scratch_path(spark, "csv", uuid.uuid4().hex[:12], "part")
+    part.write.mode("overwrite").option("header", "true").csv(path)
+    schema = ("p_partkey bigint, p_name string, p_brand string, p_type string, "
+              "p_size int, p_retailprice double")
+    return load_csv(spark, path, schema=schema)
+
+
+_TYPED_SQL = ("SELECT label::DOUBLE AS label, vec_id::DOUBLE AS vec_id, " + ", ".join(
+    f"round(embedding[{i + 1}]::DOUBLE, 6) AS pixel{i}" for i in range(N_DIMS)) + " FROM embeddings")
+
+
+@register("csv_typed_read", _TYPED_SQL)
+def q_csv_typed_read(spark, sf_dir):
+    """A labelled wide CSV (label, pixel0..pixel63 written in
+    shuffled column order) read back by the typed reader: label first,
+    features ordered by the number in their name, every column double.
+    ``vec_id`` has no number, so it sorts first among the features."""
+    import uuid
+
+    from tabula.session import scratch_path
+    from tabula.sources.tables import read_labelled_csv
+
+    e = emb(spark, sf_dir)
+    order = [f"pixel{i}" for i in range(N_DIMS)][::-1]
+    wide = e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"pixel{i}") for i in range(N_DIMS)],
+                    "label").select("vec_id", *order, "label")
+    path = scratch_path(spark, "csv", uuid.uuid4().hex[:12], "digits")
+    wide.write.mode("overwrite").option("header", "true").csv(path)
+    typed = read_labelled_csv(spark, path, has_label=True)
+    return typed.select("label", "vec_id", *[r6(f"pixel{i}").alias(f"pixel{i}") for i in range(N_DIMS)])
+
+
+# ---------------------------------------------------------------- MLlib preparation, models, scoring
+# Not SQL-expressible: rows-only checks here, property tests in tests/.
+
+def _prepared(spark, sf_dir, config):
+    from tabula.plans.prepare import run_configuration
+
+    return run_configuration(spark, emb(spark, sf_dir), config, key_col="vec_id", vector_col="embedding",
+                             n_features=N_DIMS)
+
+
+@register("prepare_configs")
+def q_prepare_configs(spark, sf_dir):
+    """The four reference configurations on the embeddings table
+    (blank = |x| < 0.05 is not used here: the reference prunes exact zeros)."""
+    from tabula.plans.prepare import DEFAULT_CONFIGS, summary_frame
+
+    rows = [_prepared(spark, sf_dir, c)["summary"] for c in DEFAULT_CONFIGS]
+    return summary_frame(spark, rows).select("configuration", "kept_columns", "feature_dimension",
+                                             "rows_written")
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    """H4-H8/E5: LR, DT, RF and MLP on the normalised + PCA preparation,
+    fitted on the train side of the content-hash split, scored on the other."""
+    from tabula.plans.models import build_classifiers, compare_models
+    from tabula.plans.prepare import DEFAULT_CONFIGS
+
+    prep = _prepared(spark, sf_dir, DEFAULT_CONFIGS[3])
+    data = prep["prepared"]
+    train, val = data.filter("split = 'train'"), data.filter("split = 'validation'")
+    dim = prep["summary"]["feature_dimension"]
+    comp = compare_models(spark, train, val, build_classifiers(dim))
+    return comp.results.select("model", "ordinal", "accuracy", "f1", "weighted_precision",
+                               "weighted_recall", "status")
+
+
+@register("batch_score")
+def q_batch_score(spark, sf_dir):
+    """A fitted preparation + classifier PipelineModel scores every
+    row of the table; the key is carried, never re-matched by order."""
+    from pyspark.ml import Pipeline
+
+    from tabula.plans.models import build_classifiers
+    from tabula.plans.prepare import build_pipeline
+    from tabula.plans.score import score_model
+
+    e = emb(spark, sf_dir)
+    prep = build_pipeline(list(range(N_DIMS)), True, None, vector_col="embedding")
+    lr = build_classifiers(N_DIMS, include_mlp=False)[0][1]
+    model = Pipeline(stages=[*prep.getStages(), lr]).fit(e.withColumn("label", F.col("label").cast("double")))
+    return score_model(model, e, "vec_id")
