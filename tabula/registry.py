@@ -769,3 +769,18 @@ def q_batch_score(spark, sf_dir):
     lr = build_classifiers(N_DIMS, include_mlp=False)[0][1]
     model = Pipeline(stages=[*prep.getStages(), lr]).fit(e.withColumn("label", F.col("label").cast("double")))
     return score_model(model, e, "vec_id")
+
+
+@register("image_augment")
+def q_image_augment(spark, sf_dir):
+    """Two augmented copies of every embedding row viewed as an 8 x 8
+    image, after the per-dim min-max scaling (G2) puts it in [0, 1]. Seeded
+    per (row, copy), so retries and reruns give the same rows."""
+    from tabula.operators.images import augment_copies
+
+    scaled = feat.minmax_scale_long(emb_long(spark, sf_dir))
+    # one row per record again: the 64 scaled values in dim order (bounded by the width)
+    images = (scaled.groupBy("vec_id", "label")
+                    .agg(F.array_sort(F.collect_list(F.struct("dim", "scaled"))).alias("p"))
+                    .select("vec_id", "label", F.transform("p", lambda t: t["scaled"]).alias("pixels")))
+    return augment_copies(images, "vec_id", "label", "pixels", GRID_WIDTH, copies=2)
