@@ -132,3 +132,28 @@ def minmax_scale_long(long_df: DataFrame) -> DataFrame:
 def assemble_array(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     """G3 as an array<double> (the vector form is ``array_to_vector`` of this)."""
     return df.withColumn(out, F.array(*[F.col(c).cast("double") for c in cols]))
+
+
+def minmax_fit(df: DataFrame, vector_col: str) -> tuple[list[float], list[float]]:
+    """D19 as a fit: per-position min and max of an array column. One partial
+    aggregate; the result (2 x width numbers) is the model, like MLlib's
+    MinMaxScalerModel, and is the only thing returned to the driver."""
+    long_df = df.select(F.posexplode(vector_col).alias("dim", "x"))
+    rows = long_df.groupBy("dim").agg(F.min(F.col("x").cast("double")).alias("lo"),
+                                      F.max(F.col("x").cast("double")).alias("hi")).collect()
+    rows = sorted(rows, key=lambda r: r["dim"])
+    return [r["lo"] for r in rows], [r["hi"] for r in rows]
+
+
+def minmax_scale_array(df: DataFrame, vector_col: str, lo: Sequence[float], hi: Sequence[float],
+                       out: str = "scaled") -> DataFrame:
+    """G2 on an array column with fitted bounds: element-wise, in place, no
+    shuffle (constant positions map to 0.5)."""
+    lo_a = F.array(*[F.lit(float(v)) for v in lo])
+    hi_a = F.array(*[F.lit(float(v)) for v in hi])
+
+    def scale(x, i):
+        a, b = F.element_at(lo_a, i + 1), F.element_at(hi_a, i + 1)
+        return F.when(b == a, F.lit(0.5)).otherwise((x.cast("double") - a) / (b - a))
+
+    return df.withColumn(out, F.transform(vector_col, scale))

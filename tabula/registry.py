@@ -778,9 +778,7 @@ def q_image_augment(spark, sf_dir):
     per (row, copy), so retries and reruns give the same rows."""
     from tabula.operators.images import augment_copies
 
-    scaled = feat.minmax_scale_long(emb_long(spark, sf_dir))
-    # one row per record again: the 64 scaled values in dim order (bounded by the width)
-    images = (scaled.groupBy("vec_id", "label")
-                    .agg(F.array_sort(F.collect_list(F.struct("dim", "scaled"))).alias("p"))
-                    .select("vec_id", "label", F.transform("p", lambda t: t["scaled"]).alias("pixels")))
+    e = emb(spark, sf_dir)
+    lo, hi = feat.minmax_fit(e, "embedding")
+    images = feat.minmax_scale_array(e, "embedding", lo, hi, out="pixels")
     return augment_copies(images, "vec_id", "label", "pixels", GRID_WIDTH, copies=2)

@@ -72,3 +72,15 @@ def test_global_mean_vector_incomplete(spark):
     df = spark.createDataFrame([(1, 0, 1.0), (1, 1, 3.0)], "vec_id long, dim int, x double")
     r = stats.global_mean_vector(df, 784).first()
     assert r["n_dims"] == 2 and r["complete"] is False and r["mean_vector"] == [1.0, 3.0]
+
+
+def test_minmax_array_equals_long(spark):
+    df = spark.createDataFrame([(1, [1.0, 5.0, 2.0]), (2, [3.0, 5.0, 0.0]), (3, [2.0, 5.0, 4.0])],
+                               "vec_id long, v array<double>")
+    lo, hi = feat.minmax_fit(df, "v")
+    assert lo == [1.0, 5.0, 0.0] and hi == [3.0, 5.0, 4.0]
+    arr = {r["vec_id"]: r["scaled"] for r in feat.minmax_scale_array(df, "v", lo, hi).collect()}
+    long_df = feat.vector_to_long(df, "v", "vec_id", None)
+    for r in feat.minmax_scale_long(long_df).collect():
+        assert arr[r["vec_id"]][r["dim"]] == r["scaled"]
+    assert arr[1][1] == 0.5
