@@ -109,3 +109,48 @@ def read_stat_table(spark: SparkSession, path: str, kind: str, fmt: str = "parqu
     if fmt == "csv":
         return reader.option("header", "true").csv(path)
     return reader.format(fmt).load(path)
+
+
+def read_train_test(spark: SparkSession, directory: str, train: str = "train.csv",
+                    test: str = "test.csv", label: str = "label") -> tuple[DataFrame, DataFrame]:
+    """A5: the labelled train file and the unlabelled test file, both typed."""
+    d = directory.rstrip("/")
+    return (read_labelled_csv(spark, f"{d}/{train}", True, label),
+            read_labelled_csv(spark, f"{d}/{test}", False, label))
+
+
+def to_arrow_small(df: DataFrame, max_rows: int):
+    """A9 re-aimed: hand a *small* result to local code as an Arrow table.
+    The size is checked first (``limit(max_rows + 1)``), so an unbounded
+    table is refused instead of being pulled through the driver."""
+    probe = df.limit(max_rows + 1)
+    if probe.count() > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; keep it distributed")
+    return probe.toArrow()
+
+
+def feature_dimension(df: DataFrame, vector_col: str = "features") -> int:
+    """Length of the feature vector of the first row; error when empty."""
+    from pyspark.ml.functions import vector_to_array
+
+    col = F.col(vector_col)
+    if df.schema[vector_col].dataType.typeName() == "vector":
+        col = vector_to_array(col)
+    first = df.select(F.size(col).alias("n")).head(1)
+    if not first:
+        raise ValueError("cannot read the feature dimension of an empty table")
+    return int(first[0]["n"])
+
+
+def write_metrics_json(spark: SparkSession, path: str, summary: dict, history: DataFrame | None = None,
+                       class_metrics: DataFrame | None = None, max_rows: int = 10_000) -> None:
+    """One JSON document with the run summary, the per-epoch history and
+    the per-class metrics nested as arrays. Both tables are report-sized (one
+    row per epoch / class); their size is checked before they are read."""
+    import json
+
+    doc = dict(summary)
+    for name, frame in (("history", history), ("class_metrics", class_metrics)):
+        if frame is not None:
+            doc[name] = to_arrow_small(frame, max_rows).to_pylist()
+    spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1).write.mode("overwrite").text(path)

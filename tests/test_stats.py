@@ -84,3 +84,36 @@ def test_minmax_array_equals_long(spark):
     for r in feat.minmax_scale_long(long_df).collect():
         assert arr[r["vec_id"]][r["dim"]] == r["scaled"]
     assert arr[1][1] == 0.5
+
+
+def test_statistics_compute_or_reuse(spark, tmp_path):
+    from tabula.plans.statistics import compute_statistics
+    from tabula.sources.tables import feature_dimension, to_arrow_small
+
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    long_df = feat.vector_to_long(e)
+    root = str(tmp_path / "stats")
+    first = compute_statistics(spark, long_df, e.select("label"), root)
+    assert first["class_means"].count() == 640 and first["frequencies"].count() == 10
+    # second run reuses the written tables even when the input is different
+    again = compute_statistics(spark, long_df.limit(0), e.select("label").limit(0), root)
+    assert again["column_stats"].count() == 64
+    forced = compute_statistics(spark, long_df.limit(0), e.select("label").limit(0), root, force=True)
+    assert forced["column_stats"].count() == 0
+    assert feature_dimension(e, "embedding") == 64
+    with pytest.raises(ValueError):
+        feature_dimension(e.limit(0), "embedding")
+    assert to_arrow_small(e.select("vec_id"), 1000).num_rows == 500
+    with pytest.raises(ValueError):
+        to_arrow_small(e.select("vec_id"), 10)
+
+
+def test_metrics_json(spark, tmp_path):
+    import json
+
+    from tabula.sources.tables import write_metrics_json
+
+    h = spark.createDataFrame([(1, 0.5), (2, 0.6)], "epoch int, validation_accuracy double")
+    write_metrics_json(spark, str(tmp_path / "m"), {"model": "mlp", "epochs_completed": 2}, history=h)
+    doc = json.loads(spark.read.text(str(tmp_path / "m")).first()[0])
+    assert doc["model"] == "mlp" and [e["epoch"] for e in doc["history"]] == [1, 2]
