@@ -629,13 +629,15 @@ def q_merge_runs(spark, sf_dir):
 @register("split_runs")
 def q_split_runs(spark, sf_dir):
     """E4 on the strips: after merging, strips with fewer than five runs get
-    their widest run cut at an ink valley (applyInPandas per strip). Not
+    their widest run cut at an ink valley (mapInPandas, one strip per row). Not
     SQL-expressible (iterative); tests compare it with a brute-force loop."""
     from tabula.operators import runs
 
-    prof = strip_profile(spark, sf_dir)
+    strips = emb(spark, sf_dir).select(
+        F.col("vec_id").alias("id"),
+        F.transform("embedding", lambda v: (v.cast("double") > 0.05).cast("int")).alias("ink"))
     merged = runs.merge_runs(strip_runs(spark, sf_dir), n=5)
-    out = runs.split_runs(prof.withColumnRenamed("occ", "ink"), merged, expected=5)
+    out = runs.split_runs(strips, merged, expected=5)
     return out.withColumnRenamed("id", "vec_id")
 
 

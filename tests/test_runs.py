@@ -71,8 +71,7 @@ def test_split_runs_distributed_equals_local(spark):
             c = rnd.randint(5, w - 5)
             ink[c] = 0
         cases[i] = (ink, [(0, w)] if i % 3 else [(0, w // 2), (w // 2 + 1, w)])
-    prof = spark.createDataFrame([(i, p, v) for i, (ink, _) in cases.items() for p, v in enumerate(ink)],
-                                 "id long, pos int, ink long")
+    prof = spark.createDataFrame([(i, ink) for i, (ink, _) in cases.items()], "id long, ink array<long>")
     rr = spark.createDataFrame([(i, s, e) for i, (_, rs) in cases.items() for s, e in rs],
                                "id long, start int, end int")
     got = {}
