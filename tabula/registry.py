@@ -26,11 +26,38 @@ def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = _no_negative_zero(sql.strip())
         return fn
     return deco
 
 
+def _no_negative_zero(sql: str) -> str:
+    """DuckDB's round() keeps the sign of a tiny negative (-0.0) where Spark's
+    gives 0.0; add 0.0 to every round(...) so both print the same value."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _no_negative_zero(sql[j + 6:k])
+        out.append(sql[i:j] + "(" + sql[j:j + 6] + inner + ") + 0.0)")
+        i = k + 1
+
+
 def r6(c):
     return F.round(c, 6)
 
