@@ -32,8 +32,9 @@ def test_split_sink_partitions_and_counts(spark, tmp_path):
     assert n == 300
     back = spark.read.parquet(str(tmp_path / "s"))
     val = back.filter("split = 'validation'")
-    files = val.inputFiles()
-    assert files and all("split=validation" in f for f in files)  # partition pruning
+    plan = val._jdf.queryExecution().executedPlan().toString()
+    part_filters = plan.split("PartitionFilters: ", 1)[1].split("]", 1)[0]
+    assert "validation" in part_filters  # the side is pruned by directory, not filtered by row
     assert back.count() == 300
 
 
