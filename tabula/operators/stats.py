@@ -29,13 +29,15 @@ def label_counts_sql(spark: SparkSession, df: DataFrame, view: str = "labelled",
 
 
 def column_stats(long_df: DataFrame, by: Sequence[str] = ("dim",)) -> DataFrame:
-    """Mean, sample std, min, max and zero count per feature.
+    """Non-null count, mean, sample std, min, max and zero count per
+    feature, in one aggregation.
 
     A null is skipped by the moments and is not a zero. The sample std of a
     single row is NULL (Spark semantics), never an error.
     """
     return (long_df.groupBy(*by)
-                   .agg(F.avg("x").alias("mean"),
+                   .agg(F.count("x").alias("n"),
+                        F.avg("x").alias("mean"),
                         F.stddev_samp("x").alias("std"),
                         F.min("x").alias("min"),
                         F.max("x").alias("max"),

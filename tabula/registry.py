@@ -811,3 +811,34 @@ def q_image_augment(spark, sf_dir):
     lo, hi = feat.minmax_fit(e, "embedding")
     images = feat.minmax_scale_array(e, "embedding", lo, hi, out="pixels")
     return augment_copies(images, "vec_id", "label", "pixels", GRID_WIDTH, copies=2)
+
+
+# ---------------------------------------------------------------- the same operators on other labelled tables
+
+_LI_CLASS_SQL = "\nUNION ALL\n".join(
+    f"SELECT l_returnflag AS label, '{c}' AS column, COUNT({c}) AS n, round(avg({c}), 6) AS mean, "
+    f"round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min, round(max({c}), 6) AS max, "
+    f"CAST(sum(CASE WHEN {c} = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zeros FROM lineitem GROUP BY l_returnflag"
+    for c in LINEITEM_NUMERIC)
+
+
+@register("lineitem_class_stats", _LI_CLASS_SQL)
+def q_lineitem_class_stats(spark, sf_dir):
+    """D5 per class on a wide relational table: lineitem's numeric columns
+    by return flag (label = l_returnflag)."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_returnflag", *LINEITEM_NUMERIC])
+    long_df = feat.dim_names(feat.wide_to_long(li.withColumnRenamed("l_returnflag", "label"), LINEITEM_NUMERIC,
+                                               "l_orderkey", "label"), LINEITEM_NUMERIC)
+    return _stats_out(stats.column_stats(long_df, by=("label", "column")), ["label", "column", "n"])
+
+
+@register("event_class_stats", """
+SELECT event_type AS label, COUNT(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+       round(min(value), 6) AS min, round(max(value), 6) AS max,
+       CAST(sum(CASE WHEN value = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zeros
+FROM events GROUP BY event_type""")
+def q_event_class_stats(spark, sf_dir):
+    """D5 on the events table with event_type as the class (one aggregation)."""
+    ev_ = read_table(spark, sf_dir, "events", ["event_id", "event_type", "value"]).withColumnRenamed("event_type", "label")
+    long_df = feat.wide_to_long(ev_, ["value"], "event_id", "label")
+    return _stats_out(stats.column_stats(long_df, by=("label",)), ["label", "n"])
