@@ -43,15 +43,16 @@ def confusion_long(spark: SparkSession, counts: DataFrame, classes: Sequence[int
     classes outside the set are left out (as the reference's fixed grid does).
 
     The grid is exploded from a literal array of classes^2 cells next to each
-    experiment row (no cross join); it is small by construction, so the join
-    with the counts broadcasts it.
+    experiment row (no cross join). It is the preserved side of the outer
+    join, so the build side is the counts table (classes^2 rows per
+    experiment), which AQE broadcasts by its measured size.
     """
     if by:
         grid = counts.select(*by).distinct().select(*by, F.inline(_cells(classes)))
     else:
         grid = spark.range(1).select(F.inline(_cells(classes)))
     keys = [*by, "label", "prediction"]
-    return (F.broadcast(grid).join(counts, keys, "left")
+    return (grid.join(counts, keys, "left")
              .select(*keys, F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
 
 
@@ -89,7 +90,7 @@ def class_metrics(counts: DataFrame, classes: Sequence[int] | None = None,
         labels = F.array(*[F.lit(int(c)) for c in classes])
         base = counts.select(*by).distinct() if by else spark.range(1).select()
         cls = base.select(*by, F.explode(labels).alias("label"))
-        t = F.broadcast(cls).join(t, [*by, "label"], "left").na.fill(0, ["tp", "actual", "predicted"])
+        t = cls.join(t, [*by, "label"], "left").na.fill(0, ["tp", "actual", "predicted"])
     p = _safe_div(F.col("tp"), F.col("predicted"))
     r = _safe_div(F.col("tp"), F.col("actual"))
     return (t.withColumn("precision", p).withColumn("recall", r)
