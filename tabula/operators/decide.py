@@ -35,7 +35,7 @@ def group_analysis(scored: DataFrame, key: str, position: str = "position", digi
         F.min(pos).alias("_pmin"), F.max(pos).alias("_pmax"),
         F.min(dig).alias("_dmin"), F.max(dig).alias("_dmax"),
         F.min(conf).alias("global_confidence"), F.max(conf).alias("_cmax"),
-        # first (lowest) position among the lowest confidence
+        # First (lowest) position among the lowest confidence
         F.min(F.struct(conf.alias("c"), pos.alias("p"))).alias("_weakest"),
         *per_pos)
     valid = ((F.col("n_predictions") == n) & (F.col("_mask") == F.lit((1 << n) - 1)) &

@@ -98,6 +98,7 @@ def q_label_frequency_sql(spark, sf_dir):
 SELECT l_returnflag, COUNT(*) AS n, ROUND(AVG(l_quantity), 2) AS avg_quantity
 FROM lineitem GROUP BY l_returnflag ORDER BY l_returnflag""")
 def q_group_avg_round_sql(spark, sf_dir):
+    """D3/G1: SQL group aggregate with ROUND(AVG(x), 2) over a temp view."""
     read_table(spark, sf_dir, "lineitem").createOrReplaceTempView("tabula_lineitem")
     return spark.sql("SELECT l_returnflag, COUNT(*) AS n, ROUND(AVG(l_quantity), 2) AS avg_quantity "
                      "FROM tabula_lineitem GROUP BY l_returnflag ORDER BY l_returnflag")
@@ -108,6 +109,7 @@ SELECT 'sql' AS method, COUNT(*) AS n FROM lineitem WHERE l_discount > 0
 UNION ALL
 SELECT 'dataframe' AS method, COUNT(*) AS n FROM lineitem WHERE l_discount > 0""")
 def q_filtered_count_agree(spark, sf_dir):
+    """The same predicate count in SQL form and DataFrame form."""
     li = read_table(spark, sf_dir, "lineitem")
     li.createOrReplaceTempView("tabula_lineitem")
     by_sql = spark.sql("SELECT 'sql' AS method, COUNT(*) AS n FROM tabula_lineitem WHERE l_discount > 0")
@@ -130,6 +132,7 @@ _COLSTATS_WIDE_SQL = "\nUNION ALL\n".join(
 
 @register("column_stats_wide", _COLSTATS_WIDE_SQL)
 def q_column_stats_wide(spark, sf_dir):
+    """Per-column statistics of a wide table (B2: projected first)."""
     li = read_table(spark, sf_dir, "lineitem")
     long_df = feat.dim_names(feat.wide_to_long(li, LINEITEM_NUMERIC, "l_orderkey"), LINEITEM_NUMERIC)
     return _stats_out(stats.column_stats(long_df, by=("column",)), ["column"])
@@ -155,6 +158,7 @@ _CLASS_MEAN_WIDE_SQL = ("SELECT label, " + ", ".join(
 
 @register("class_mean_wide", _CLASS_MEAN_WIDE_SQL)
 def q_class_mean_wide(spark, sf_dir):
+    """Class means in the wide sink shape (label + one column per feature)."""
     means = stats.class_means(emb_long(spark, sf_dir)).withColumn("mean", r6("mean"))
     return feat.long_to_wide(means, ["label"], N_DIMS, value="mean", prefix="f")
 
