@@ -155,7 +155,8 @@ def early_stopping(history: DataFrame, metric: str = "accuracy", epoch: str = "e
     best epoch so far, and the count of epochs since the last improvement.
     Training stops at the first epoch where that count reaches ``patience``;
     later epochs are dropped. Windows are per experiment (``by``), whose size
-    is the epoch count."""
+    is the epoch count; without ``by`` the whole (epoch-sized) history is one
+    experiment."""
     w_prev = Window.partitionBy(*by).orderBy(epoch).rowsBetween(Window.unboundedPreceding, -1)
     w_upto = Window.partitionBy(*by).orderBy(epoch).rowsBetween(Window.unboundedPreceding, 0)
     h = history.withColumn("improved", F.coalesce(F.col(metric) > F.max(metric).over(w_prev), F.lit(True)))

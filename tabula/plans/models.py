@@ -108,9 +108,9 @@ class QualityGateError(RuntimeError):
 def publish_best(spark: SparkSession, comp: Comparison, prep_model: PipelineModel | None, root: str,
                  min_accuracy: float = 0.0) -> dict:
     """E5 + H9 + A21: pick the best row, check it against ``min_accuracy``
-    *before* publishing, save one PipelineModel (preparation + classifier)
-    to a staging path, then write the manifest that names it. A rejected
-    model never becomes visible."""
+    *before* publishing, save one PipelineModel (preparation + classifier),
+    then write the manifest that names it. The manifest is written last, so
+    a rejected or half-written model is never the one readers resolve."""
     best = ev.pick_best(comp.results)
     if best["accuracy"] < min_accuracy:
         raise QualityGateError(f"accuracy {best['accuracy']:.4f} is below the required {min_accuracy:.4f}")

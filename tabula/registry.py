@@ -523,8 +523,9 @@ FROM h4 WHERE stop_epoch IS NULL OR epoch <= stop_epoch""")
 def q_early_stop(spark, sf_dir):
     from tabula.operators import evaluate as ev
 
-    hist = block_results(spark, sf_dir).select((F.col("ordinal") + 1).cast("int").alias("epoch"), "accuracy")
-    out = ev.early_stopping(hist, patience=3)
+    hist = block_results(spark, sf_dir).select(F.lit("argmax_blocks").alias("experiment"),
+                                               (F.col("ordinal") + 1).cast("int").alias("epoch"), "accuracy")
+    out = ev.early_stopping(hist, patience=3, by=["experiment"])
     return out.select("epoch", r6("accuracy").alias("accuracy"), "improved", F.col("best_epoch").cast("int"),
                       "since_best", r6("best_so_far").alias("best_so_far"), F.col("stop_epoch").cast("int"),
                       "stopped_here")
