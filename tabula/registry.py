@@ -754,11 +754,11 @@ def q_csv_typed_read(spark, sf_dir):
 # ---------------------------------------------------------------- MLlib preparation, models, scoring
 # Not SQL-expressible: rows-only checks here, property tests in tests/.
 
-def _prepared(spark, sf_dir, config):
+def _prepared(spark, sf_dir, config, save: bool = True):
     from tabula.plans.prepare import run_configuration
 
     return run_configuration(spark, emb(spark, sf_dir), config, key_col="vec_id", vector_col="embedding",
-                             n_features=N_DIMS)
+                             n_features=N_DIMS, save=save)
 
 
 @register("prepare_configs")
@@ -779,7 +779,7 @@ def q_model_comparison(spark, sf_dir):
     from tabula.plans.models import build_classifiers, compare_models
     from tabula.plans.prepare import DEFAULT_CONFIGS
 
-    prep = _prepared(spark, sf_dir, DEFAULT_CONFIGS[3])
+    prep = _prepared(spark, sf_dir, DEFAULT_CONFIGS[3], save=False)  # fitted, not written
     data = prep["prepared"]
     train, val = data.filter("split = 'train'"), data.filter("split = 'validation'")
     dim = prep["summary"]["feature_dimension"]
