@@ -94,7 +94,9 @@ def class_correlation(means: DataFrame, classes: Sequence[int], label: str = "la
     classes = list(classes)
     w = Window.partitionBy(label)  # a class partition holds one row per dim
     dev = means.withColumn("d", F.col("mean") - F.avg("mean").over(w))
-    z = dev.select(label, "dim", (F.col("d") / F.sqrt(F.sum(F.col("d") * F.col("d")).over(w))).alias("z"))
+    # a constant class vector has no direction: its r is reported as 0, like
+    # a missing class (try_divide keeps ANSI mode from failing the job)
+    z = dev.select(label, "dim", F.try_divide(F.col("d"), F.sqrt(F.sum(F.col("d") * F.col("d")).over(w))).alias("z"))
     per_dim = z.groupBy("dim").pivot(label, classes).agg(F.first("z"))
     names = {c: str(c) for c in classes}
     sums = []
@@ -150,8 +152,8 @@ def ink_density(df: DataFrame, vector_col: str = "embedding", label: str = "labe
     n = F.size(vector_col)
     per_row = df.select(
         label,
-        (F.size(F.filter(arr, lambda v: v > threshold)) / n).alias("ink_ratio"),
-        (F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v) / n).alias("mean_value"))
+        F.try_divide(F.size(F.filter(arr, lambda v: v > threshold)).cast("double"), n).alias("ink_ratio"),
+        F.try_divide(F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v), n).alias("mean_value"))
     return (per_row.groupBy(label)
                    .agg(F.count(F.lit(1)).alias("n"),
                         F.avg("ink_ratio").alias("avg_ink_ratio"),

@@ -117,3 +117,13 @@ def test_metrics_json(spark, tmp_path):
     write_metrics_json(spark, str(tmp_path / "m"), {"model": "mlp", "epochs_completed": 2}, history=h)
     doc = json.loads(spark.read.text(str(tmp_path / "m")).first()[0])
     assert doc["model"] == "mlp" and [e["epoch"] for e in doc["history"]] == [1, 2]
+
+
+def test_constant_class_vector_and_empty_arrays(spark):
+    rows = [(0, d, 1.0) for d in range(5)] + [(1, d, float(d)) for d in range(5)]
+    df = spark.createDataFrame(rows, "label int, dim int, mean double")
+    out = {(r["label_a"], r["label_b"]): r["r"] for r in stats.class_correlation(df, [0, 1]).collect()}
+    assert out[(0, 1)] == 0.0 and out[(1, 1)] == pytest.approx(1.0)
+    e = spark.createDataFrame([(0, []), (0, [1.0, -1.0])], "label int, embedding array<double>")
+    r = stats.ink_density(e).first()
+    assert r["n"] == 2 and r["avg_ink_ratio"] == 0.5  # the empty row has no ratio and is skipped
