@@ -36,7 +36,8 @@ def run_scoring_stream(spark: SparkSession, source_dir: str, table: str = "embed
     run = uuid.uuid4().hex[:12]
     out_dir = out_dir or scratch_path(spark, "stream", run, "out")
     checkpoint = checkpoint or scratch_path(spark, "stream", run, "checkpoint")
-    q = (scoring_stream(spark, source_dir, table, **kw)
+    stream = scoring_stream(spark, source_dir, table, **kw)
+    q = (stream
          .writeStream.format("parquet")
          .option("path", out_dir)
          .option("checkpointLocation", checkpoint)
@@ -46,4 +47,5 @@ def run_scoring_stream(spark: SparkSession, source_dir: str, table: str = "embed
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(out_dir)
+    # known schema: an empty source leaves a sink without data files
+    return spark.read.schema(stream.schema).parquet(out_dir)
