@@ -898,3 +898,16 @@ def q_image_segments(spark, sf_dir):
     n = segs.groupBy("path").agg(F.count(F.lit(1)).alias("n_segments"))
     return status.join(n, "path", "left").select("path", "reject_reason",
                                                  F.coalesce("n_segments", F.lit(0)).alias("n_segments"))
+
+
+@register("hash_split_native")
+def q_hash_split_native(spark, sf_dir):
+    """F5 in the reference's native form: pmod(xxhash64(label, features), 5),
+    bucket 0 = validation, so identical (label, vector) rows share a side.
+    DuckDB has no xxhash64: rows-only; tests check disjointness and that
+    equal content always lands together."""
+    from tabula.operators.split import with_split
+
+    e = emb(spark, sf_dir)
+    content = F.struct(F.col("label"), F.col("embedding"))
+    return with_split(e, content, 5, 0, method="xxhash").select("vec_id", "label", "split")

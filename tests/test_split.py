@@ -36,3 +36,15 @@ def test_sample_rows_limit_is_exact(spark):
     assert split.sample_rows(df, F.col("id"), 10).count() == 10
     assert sorted(r.id for r in split.sample_rows(df.repartition(5), F.col("id"), 10).collect()) == \
         sorted(r.id for r in split.sample_rows(df, F.col("id"), 10).collect())
+
+
+def test_native_split_groups_identical_content(spark):
+    import __spark_entry__ as entry
+
+    out = entry.queries()["hash_split_native"](spark, "/root/testdata/sf0.001")
+    assert out.count() == 500
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    dup = e.unionByName(e.withColumn("vec_id", F.col("vec_id") + 10_000))  # exact copies of every row
+    m = split.with_split(dup, F.struct("label", "embedding"), method="xxhash")
+    per = m.groupBy("label", "embedding").agg(F.countDistinct("split").alias("n"))
+    assert per.filter("n > 1").count() == 0
