@@ -34,10 +34,3 @@ def md5_bucket(key: Column, n: int) -> Column:
 def md5_unit(key: Column) -> Column:
     """A deterministic pseudo-uniform number in [0, 1) from a key."""
     return md5_prefix_int(key) / F.lit(float(2 ** 32))
-
-
-def embedding_content(label: Column, vector: Column, scale: int = 1_000_000) -> Column:
-    """Canonical text of (label, vector) for content hashing: each element as
-    ``floor(x * scale)`` so the text does not depend on float formatting."""
-    parts = F.transform(vector, lambda v: F.floor(v.cast("double") * F.lit(float(scale))).cast("bigint").cast("string"))
-    return F.concat_ws(":", label.cast("string"), F.array_join(parts, ","))

@@ -28,10 +28,6 @@ def argmax(arr: Column) -> Column:
     return (F.array_position(arr, F.array_max(arr)) - 1).cast("int")
 
 
-def top_probability(probs: Column) -> Column:
-    return F.array_max(probs)
-
-
 def probability_at(probs: Column, index: Column) -> Column:
     """Probability of the predicted class (0-based index)."""
     return F.element_at(probs, index.cast("int") + 1)

@@ -24,14 +24,6 @@ def label_prediction_counts(pred: DataFrame, label: str = "label", prediction: s
                 .groupBy(*by, "label", "prediction").agg(F.count(F.lit(1)).alias("count")))
 
 
-def class_grid(spark: SparkSession, classes: Sequence[int]) -> DataFrame:
-    """Every (label, prediction) cell of the class set, generated from a
-    literal (classes^2 rows, no join)."""
-    cls = F.array(*[F.lit(int(c)) for c in classes])
-    return (spark.range(1).select(F.explode(cls).alias("label"))
-                 .select("label", F.explode(cls).alias("prediction")))
-
-
 def _cells(classes: Sequence[int]) -> Column:
     cls = [int(c) for c in classes]
     return F.array(*[F.struct(F.lit(a).alias("label"), F.lit(b).alias("prediction")) for a in cls for b in cls])

@@ -17,9 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_NUMBER = re.compile(r"\d+")
-
-
 def feature_columns(columns: Sequence[str], label: str | None = "label",
                     pattern: str = r"\d+") -> list[str]:
     """B1: every non-label column, ordered by the integer in its name (none -> 0).

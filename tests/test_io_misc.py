@@ -56,3 +56,30 @@ def test_comparison_report_format(spark):
                                 "weighted_recall double, train_s double, eval_s double, status string")
     r = ev.comparison_report(res).first()
     assert r["accuracy"] == "0.8933" and r["train_s"] == "4.86"
+
+
+def test_stat_table_reader_and_split_writer(spark, tmp_path):
+    from tabula.operators import stats
+    from tabula.operators import features as feat
+
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    stats.label_counts(e).write.option("header", "true").csv(str(tmp_path / "freq"))
+    back = tables.read_stat_table(spark, str(tmp_path / "freq"), "frequencies", fmt="csv")
+    assert dict(back.dtypes) == {"label": "int", "count": "bigint"} and back.count() == 10
+    split.write_split(split.with_split(e.select("vec_id"), F.col("vec_id")), str(tmp_path / "sides"))
+    assert {r["split"] for r in spark.read.parquet(str(tmp_path / "sides")).select("split").distinct().collect()} == \
+        {"train", "validation"}
+    arr = feat.assemble_array(spark.createDataFrame([(1, 2.0)], "a int, b double"), ["a", "b"]).first()["features"]
+    assert arr == [1.0, 2.0]
+
+
+def test_sampling_forms(spark):
+    from tabula.plans.models import training_sample
+
+    df = spark.range(10000)
+    n = split.native_sample(df, 0.2, seed=42).count()
+    assert 1700 < n < 2300
+    with pytest.raises(ValueError):
+        split.native_sample(df, 0.0)
+    assert training_sample(df, 1.0, "id").count() == 10000
+    assert training_sample(df, 0.2, "id").count() == split.hash_sample(df, F.col("id"), 0.2).count()
