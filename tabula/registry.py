@@ -911,3 +911,19 @@ def q_hash_split_native(spark, sf_dir):
     e = emb(spark, sf_dir)
     content = F.struct(F.col("label"), F.col("embedding"))
     return with_split(e, content, 5, 0, method="xxhash").select("vec_id", "label", "split")
+
+
+@register("statistics_reuse", f"""
+SELECT label, dim, round(avg(x), 6) AS mean FROM {EMB_LONG} GROUP BY label, dim""")
+def q_statistics_reuse(spark, sf_dir):
+    """SURVEY 3.1 / A11-A14 / A23: the four statistics tables written under a
+    path keyed by the input's identity (files + schema), reused on later runs
+    while they exist, and read back from storage - here the class means."""
+    from tabula.plans.prepare import input_identity
+    from tabula.plans.statistics import compute_statistics
+    from tabula.session import scratch_path
+
+    e = emb(spark, sf_dir)
+    root = scratch_path(spark, "statistics", input_identity(spark, e))
+    tables = compute_statistics(spark, feat.vector_to_long(e), e.select("label"), root)
+    return tables["class_means"].select("label", "dim", r6("mean").alias("mean"))
