@@ -81,3 +81,17 @@ def test_compare_publish_load_and_gate(spark, emb, tmp_path):
     mdl.write_reports(spark, comp, str(tmp_path / "reports"), range(10))
     cm = spark.read.option("header", "true").option("inferSchema", "true").csv(str(tmp_path / "reports/confusion_matrix_random_forest"))
     assert cm.count() == 10 and len(cm.columns) == 11
+
+
+def test_input_identity_tracks_rewrites(spark, tmp_path):
+    import time
+
+    from tabula.plans.prepare import input_identity
+
+    p = str(tmp_path / "t")
+    spark.range(10).write.parquet(p)
+    a = input_identity(spark, spark.read.parquet(p))
+    assert a == input_identity(spark, spark.read.parquet(p))
+    time.sleep(1.1)
+    spark.range(10).write.mode("overwrite").parquet(p)
+    assert input_identity(spark, spark.read.parquet(p)) != a
