@@ -92,3 +92,22 @@ def test_split_stops_on_narrow_or_flat(spark):
 
 def test_closing_width():
     assert runs.closing_width(64) == 2 and runs.closing_width(920) == 3 and runs.closing_width(2000) == 8
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.integers(0, 1), min_size=1, max_size=70), min_size=1, max_size=25),
+       st.integers(2, 6))
+def test_property_runs_and_merge(spark, profs, n):
+    rows = [(i, p, v) for i, occ in enumerate(profs) for p, v in enumerate(occ)]
+    df = spark.createDataFrame(rows, "id long, pos int, occ int")
+    detected = runs.detect_runs(runs.dilate(df, 2))
+    merged = {}
+    for r in runs.merge_runs(detected, n).collect():
+        merged.setdefault(r["id"], []).append((r["run_index"], r["start"], r["end"]))
+    for i, occ in enumerate(profs):
+        want = seq_merge(seq_runs(occ, 2), n)
+        assert [(s, e) for _, s, e in sorted(merged.get(i, []))] == want
