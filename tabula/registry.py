@@ -769,7 +769,7 @@ def q_prepare_configs(spark, sf_dir):
 
     rows = [_prepared(spark, sf_dir, c)["summary"] for c in DEFAULT_CONFIGS]
     return summary_frame(spark, rows).select("configuration", "kept_columns", "feature_dimension",
-                                             "rows_written")
+                                             "train_rows", "validation_rows")
 
 
 @register("model_comparison")

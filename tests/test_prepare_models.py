@@ -45,9 +45,12 @@ def test_prune_all_columns_is_clear_error():
 
 
 def test_configuration_fits_on_train_only(spark, emb):
-    res = run_configuration(spark, emb, DEFAULT_CONFIGS[3], key_col="vec_id", vector_col="embedding", n_features=64)
+    unlabelled = emb.drop("label")
+    res = run_configuration(spark, emb, DEFAULT_CONFIGS[3], key_col="vec_id", vector_col="embedding", n_features=64,
+                            test_df=unlabelled)
+    assert res["summary"]["test_rows"] == emb.count() and res["test"].columns == ["vec_id", "features"]
     s = res["summary"]
-    assert s["feature_dimension"] == 50 and s["rows_written"] == emb.count()
+    assert s["feature_dimension"] == 50 and s["train_rows"] + s["validation_rows"] == emb.count()
     sides = {r["split"]: r["count"] for r in res["prepared"].groupBy("split").count().collect()}
     assert set(sides) == {"train", "validation"}
     # pruning is decided on the train side: an all-zero column is dropped
