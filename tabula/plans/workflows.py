@@ -92,3 +92,18 @@ def scoring_run(spark: SparkSession, root: str, df: DataFrame, id_col: str, *,
     scored = scored.join(df.select(id_col, *keep), id_col)
     return group_analysis(scored, group_col, position=position_col, n=n, threshold=threshold,
                           n_classes=n_classes)
+
+
+def photo_run(spark: SparkSession, image_path: str, root: str, *, glob: str | None = None,
+              thicken: bool = False, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """SURVEY 3.3 for a directory of photos: ingest checks, segmentation into
+    five 28 x 28 digits, scoring with the published model and one decision
+    per photo. Returns (decisions, image_status)."""
+    from tabula.operators import images
+
+    meta = images.ingest(spark, image_path, glob)
+    segs, status = images.segment_images(images.decoded(spark, image_path, glob), meta, thicken=thicken)
+    rows = images.segments_as_rows(segs)
+    decisions = scoring_run(spark, root, rows, "segment_id", group_col="path", position_col="position",
+                            n=images.EXPECTED_DIGITS, threshold=threshold)
+    return decisions, status

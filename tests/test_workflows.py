@@ -27,3 +27,52 @@ def test_runs_end_to_end(spark, tmp_path):
                      F.floor(F.col("vec_id") / 5).alias("g"), (F.col("vec_id") % 5 + 1).cast("int").alias("pos"))
     decisions = wf.scoring_run(spark, root, keyed, "vec_id", group_col="g", position_col="pos")
     assert decisions.count() == 100 and decisions.filter("valid").count() == 100
+
+
+def test_photo_to_decision(spark, tmp_path):
+    """Generated photos -> segments -> a classifier trained on segments of
+    other generated photos (label = drawn shape) -> one decision per photo."""
+    import os
+
+    import numpy as np
+
+    from tabula.operators import images
+    from pngfix import png_bytes, white
+
+    def photo(shapes):
+        img = white(260, 920)
+        for i, kind in enumerate(shapes):
+            x = 55 + 175 * i
+            if kind == 0:  # ring
+                img[60:200, x:x + 70] = 30
+                img[72:188, x + 12:x + 58] = 255
+            else:  # bar
+                img[60:200, x + 28:x + 42] = 30
+        return png_bytes(img)
+
+    train_dir, new_dir = tmp_path / "train", tmp_path / "new"
+    train_dir.mkdir(), new_dir.mkdir()
+    rng = np.random.default_rng(1)
+    truth = {}
+    for i in range(6):
+        shapes = [int(v) for v in rng.integers(0, 2, 5)]
+        (train_dir / f"t{i}.png").write_bytes(photo(shapes))
+        truth[f"t{i}.png"] = shapes
+    (new_dir / "n0.png").write_bytes(photo([0, 1, 0, 1, 1]))
+    (new_dir / "blank.png").write_bytes(png_bytes(white(200, 500)))
+
+    segs, _ = images.segment_images(images.decoded(spark, str(train_dir)))
+    rows = images.segments_as_rows(segs)
+    lab = spark.createDataFrame([(f, p + 1, s) for f, sh in truth.items() for p, s in enumerate(sh)],
+                                "file string, position int, label int")
+    labelled = rows.withColumn("file", F.element_at(F.split("path", "/"), -1)).join(lab, ["file", "position"])
+    root = str(tmp_path / "run")
+    cols = [f"pixel{i}" for i in range(784)]
+    wf.training_run(spark, labelled.drop("file", "path", "position"), root, sample_fraction=1.0,
+                    wide_cols=cols, key_col="segment_id", config=PrepConfig("n", pca_components=None),
+                    classes=(0, 1), include_mlp=False)
+    decisions, status = wf.photo_run(spark, str(new_dir), root)
+    st = {r["path"].rsplit("/", 1)[-1]: r["reject_reason"] for r in status.collect()}
+    assert st["n0.png"] is None and st["blank.png"] is not None
+    d = decisions.collect()
+    assert len(d) == 1 and d[0]["valid"] and d[0]["postal_code"] == "01011"
