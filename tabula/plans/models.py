@@ -55,37 +55,55 @@ class Comparison:
 
 
 def compare_models(spark: SparkSession, train: DataFrame, val: DataFrame,
-                   classifiers: Sequence[tuple[str, object]], persist_input: bool = True) -> Comparison:
+                   classifiers: Sequence[tuple[str, object]], persist_input: bool = True,
+                   parallelism: int = 1) -> Comparison:
     """H8: fit each estimator, evaluate on ``val``; a failing model becomes a
     ``failed: ...`` row and does not stop the others. The iterated input is
-    persisted (and released afterwards) because every fit re-reads it."""
+    persisted (and released afterwards) because every fit re-reads it.
+
+    ``parallelism > 1`` submits the fits from that many driver threads (as
+    MLlib's CrossValidator does), so independent jobs share the cluster;
+    per-model seconds then overlap and are not comparable to sequential runs.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark import StorageLevel
 
     if persist_input:
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    rows, models, counts = [], {}, {}
+
+    def run(item):
+        ordinal, (name, est) = item
+        t0 = time.perf_counter()
+        try:
+            model = est.fit(train)
+            train_s = time.perf_counter() - t0
+            t1 = time.perf_counter()
+            pred = model.transform(val).select("label", "prediction")
+            c = ev.label_prediction_counts(pred).persist(StorageLevel.MEMORY_AND_DISK)
+            c.count()
+            eval_s = time.perf_counter() - t1
+            m = ev.overall_metrics(c).first()
+            return ((name, ordinal, round(m["accuracy"], 6), round(m["f1"], 6),
+                     round(m["weighted_precision"], 6), round(m["weighted_recall"], 6),
+                     round(train_s, 3), round(eval_s, 3), "ok"), model, c)
+        except Exception as exc:  # one model failing must not stop the comparison
+            return ((name, ordinal, 0.0, 0.0, 0.0, 0.0, round(time.perf_counter() - t0, 3), 0.0,
+                     f"failed: {exc}"[:500]), None, None)
+
     try:
-        for ordinal, (name, est) in enumerate(classifiers):
-            t0 = time.perf_counter()
-            try:
-                model = est.fit(train)
-                train_s = time.perf_counter() - t0
-                t1 = time.perf_counter()
-                pred = model.transform(val).select("label", "prediction")
-                c = ev.label_prediction_counts(pred).persist(StorageLevel.MEMORY_AND_DISK)
-                c.count()
-                eval_s = time.perf_counter() - t1
-                m = ev.overall_metrics(c).first()
-                rows.append((name, ordinal, round(m["accuracy"], 6), round(m["f1"], 6),
-                             round(m["weighted_precision"], 6), round(m["weighted_recall"], 6),
-                             round(train_s, 3), round(eval_s, 3), "ok"))
-                models[name], counts[name] = model, c
-            except Exception as exc:  # one model failing must not stop the comparison
-                rows.append((name, ordinal, 0.0, 0.0, 0.0, 0.0, round(time.perf_counter() - t0, 3), 0.0,
-                             f"failed: {exc}"[:500]))
+        items = list(enumerate(classifiers))
+        if parallelism > 1:
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                outs = list(pool.map(run, items))
+        else:
+            outs = [run(it) for it in items]
     finally:
         if persist_input:
             train.unpersist()
+    rows = [o[0] for o in outs]
+    models = {o[0][0]: o[1] for o in outs if o[1] is not None}
+    counts = {o[0][0]: o[2] for o in outs if o[2] is not None}
     return Comparison(spark.createDataFrame(rows, RESULT_SCHEMA), models, counts)
 
 

@@ -44,12 +44,22 @@ def statistics_run(spark: SparkSession, df: DataFrame, root: str, *, label_col:
 
 def preprocessing_run(spark: SparkSession, train_df: DataFrame, root: str, *, test_df: DataFrame | None = None,
                       configs: Sequence[PrepConfig] = DEFAULT_CONFIGS, key_col: str | None = None,
-                      vector_col: str | None = None, wide_cols: Sequence[str] | None = None) -> tuple[DataFrame, dict]:
+                      vector_col: str | None = None, wide_cols: Sequence[str] | None = None,
+                      parallelism: int = 1) -> tuple[DataFrame, dict]:
     """Every configuration; returns the summary (A19, also written) and the
-    per-configuration results."""
-    results = {c.name: run_configuration(spark, train_df, c, key_col=key_col, vector_col=vector_col,
+    per-configuration results. ``parallelism`` submits the independent
+    configurations from that many driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(c):
+        return c.name, run_configuration(spark, train_df, c, key_col=key_col, vector_col=vector_col,
                                          wide_cols=wide_cols, out_root=f"{root}/prepared", test_df=test_df)
-               for c in configs}
+
+    if parallelism > 1:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            results = dict(pool.map(one, configs))
+    else:
+        results = dict(one(c) for c in configs)
     summary = summary_frame(spark, [r["summary"] for r in results.values()])
     summary.coalesce(1).write.mode("overwrite").option("header", "true").csv(f"{root}/preprocessing_summary")
     return summary, results
@@ -59,7 +69,7 @@ def training_run(spark: SparkSession, df: DataFrame, root: str, *, sample_fracti
                  config: PrepConfig = DEFAULT_CONFIGS[3], key_col: str | None = None,
                  vector_col: str | None = None, wide_cols: Sequence[str] | None = None,
                  classes: Sequence[int] = tuple(range(10)), min_accuracy: float = 0.0,
-                 include_mlp: bool = True) -> DataFrame:
+                 include_mlp: bool = True, parallelism: int = 1) -> DataFrame:
     """Sample (content hash, partition independent), prepare on the train
     side, compare the classifiers on the validation side, write the reports
     and publish the best model. Returns the comparison table."""
@@ -73,7 +83,8 @@ def training_run(spark: SparkSession, df: DataFrame, root: str, *, sample_fracti
     data = prep["prepared"]
     comp = mdl.compare_models(spark, data.filter("split = 'train'"), data.filter("split = 'validation'"),
                               mdl.build_classifiers(prep["summary"]["feature_dimension"], len(classes),
-                                                    include_mlp=include_mlp))
+                                                    include_mlp=include_mlp),
+                              parallelism=parallelism)
     mdl.write_reports(spark, comp, f"{root}/metrics", classes)
     mdl.publish_best(spark, comp, prep["model"], f"{root}/models", min_accuracy=min_accuracy)
     return comp.results

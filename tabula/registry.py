@@ -767,7 +767,12 @@ def q_prepare_configs(spark, sf_dir):
     (blank = |x| < 0.05 is not used here: the reference prunes exact zeros)."""
     from tabula.plans.prepare import DEFAULT_CONFIGS, summary_frame
 
-    rows = [_prepared(spark, sf_dir, c)["summary"] for c in DEFAULT_CONFIGS]
+    from concurrent.futures import ThreadPoolExecutor
+
+    # the four preparations are independent jobs: submit them from four
+    # driver threads so they share the cluster instead of queueing
+    with ThreadPoolExecutor(max_workers=len(DEFAULT_CONFIGS)) as pool:
+        rows = [r["summary"] for r in pool.map(lambda c: _prepared(spark, sf_dir, c), DEFAULT_CONFIGS)]
     return summary_frame(spark, rows).select("configuration", "kept_columns", "feature_dimension",
                                              "train_rows", "validation_rows")
 
@@ -783,7 +788,7 @@ def q_model_comparison(spark, sf_dir):
     data = prep["prepared"]
     train, val = data.filter("split = 'train'"), data.filter("split = 'validation'")
     dim = prep["summary"]["feature_dimension"]
-    comp = compare_models(spark, train, val, build_classifiers(dim))
+    comp = compare_models(spark, train, val, build_classifiers(dim), parallelism=4)
     return comp.results.select("model", "ordinal", "accuracy", "f1", "weighted_precision",
                                "weighted_recall", "status")
 
