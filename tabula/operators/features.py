@@ -64,7 +64,7 @@ def long_to_wide(long_df: DataFrame, keys: Sequence[str], n_dims: int, value: st
     Spark does not run a distinct job to discover them)."""
     return (long_df.groupBy(*keys)
                    .pivot("dim", list(range(n_dims)))
-                   .agg(F.first(value))
+                   .agg(F.max(value))
                    .select(*keys, *[F.col(str(i)).alias(f"{prefix}{i}") for i in range(n_dims)]))
 
 

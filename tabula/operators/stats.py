@@ -97,7 +97,7 @@ def class_correlation(means: DataFrame, classes: Sequence[int], label: str = "la
     # a constant class vector has no direction: its r is reported as 0, like
     # a missing class (try_divide keeps ANSI mode from failing the job)
     z = dev.select(label, "dim", F.try_divide(F.col("d"), F.sqrt(F.sum(F.col("d") * F.col("d")).over(w))).alias("z"))
-    per_dim = z.groupBy("dim").pivot(label, classes).agg(F.first("z"))
+    per_dim = z.groupBy("dim").pivot(label, classes).agg(F.max("z"))  # one value per (dim, class)
     names = {c: str(c) for c in classes}
     sums = []
     for a_i, a in enumerate(classes):
