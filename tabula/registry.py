@@ -24,7 +24,16 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        import functools
+
+        from tabula.session import ship_package
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)  # Python stages import this package on the workers
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = _no_negative_zero(sql.strip())
         return fn

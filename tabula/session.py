@@ -74,3 +74,34 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for sinks written by queries)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, *parts])
+
+
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = __import__("threading").Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tabula`` importable in the Python workers (what ``--py-files``
+    does at submit time): zip the package once per SparkContext and
+    ``addPyFile`` it; Spark serves the file to every executor. Needed by the
+    ``mapInPandas`` stages, whose functions import this package."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    with _SHIP_LOCK:
+        if key in _SHIPPED:
+            return
+        import zipfile
+
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        root = os.path.dirname(pkg_dir)
+        zpath = os.path.join(tempfile.mkdtemp(prefix="tabula-pyfiles-"), "tabula.zip")
+        with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+            for dirpath, _, files in os.walk(pkg_dir):
+                for f in sorted(files):
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        z.write(full, os.path.relpath(full, root))
+        sc.addPyFile(zpath)
+        _SHIPPED.add(key)

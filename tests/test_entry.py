@@ -76,3 +76,21 @@ def test_every_query_on_empty_tables(spark, tmp_path):
             assert n == 100, name
         elif name in ("label_frequency", "class_mean", "column_stats_long", "stream_score_equals_batch"):
             assert n == 0, name
+
+
+def test_python_stages_run_from_any_directory(tmp_path):
+    """The workers import tabula from the shipped zip, not from the driver's
+    working directory."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {repo!r})\n"
+            "import __spark_entry__ as e\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            f"print('ROWS', e.queries()['split_runs'](s, {SF_SMALL!r}).count())\n")
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True,
+                         timeout=600)
+    assert "ROWS 2500" in out.stdout, out.stderr[-2000:]
