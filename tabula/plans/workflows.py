@@ -86,7 +86,16 @@ def training_run(spark: SparkSession, df: DataFrame, root: str, *, sample_fracti
                                                     include_mlp=include_mlp),
                               parallelism=parallelism)
     mdl.write_reports(spark, comp, f"{root}/metrics", classes)
-    mdl.publish_best(spark, comp, prep["model"], f"{root}/models", min_accuracy=min_accuracy)
+    best = mdl.publish_best(spark, comp, prep["model"], f"{root}/models", min_accuracy=min_accuracy)
+    # One JSON document for the published model (summary + per-class metrics)
+    from tabula.operators.evaluate import class_metrics
+    from tabula.sources.tables import write_metrics_json
+
+    summary = {k: best[k] for k in ("model", "accuracy", "f1", "weighted_precision", "weighted_recall")}
+    summary["train_rows"] = prep["summary"]["train_rows"]
+    summary["validation_rows"] = prep["summary"]["validation_rows"]
+    write_metrics_json(spark, f"{root}/metrics/best_model_metrics", summary,
+                       class_metrics=class_metrics(comp.counts[best["model"]], classes, spark))
     return comp.results
 
 

@@ -23,6 +23,9 @@ def test_runs_end_to_end(spark, tmp_path):
     res = wf.training_run(spark, wide, root, sample_fraction=1.0, wide_cols=cols,
                           config=PrepConfig("pca8", pca_components=8), include_mlp=False)
     assert {r["status"] for r in res.collect()} == {"ok"}
+    import json
+    doc = json.loads(spark.read.text(f"{root}/metrics/best_model_metrics").first()[0])
+    assert len(doc["class_metrics"]) == 10 and doc["train_rows"] + doc["validation_rows"] == 500
     keyed = e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"pixel{i}") for i in range(64)],
                      F.floor(F.col("vec_id") / 5).alias("g"), (F.col("vec_id") % 5 + 1).cast("int").alias("pos"))
     decisions = wf.scoring_run(spark, root, keyed, "vec_id", group_col="g", position_col="pos")
