@@ -941,3 +941,28 @@ def q_statistics_reuse(spark, sf_dir):
     root = scratch_path(spark, "statistics", input_identity(spark, e))
     tables = compute_statistics(spark, feat.vector_to_long(e), e.select("label"), root)
     return tables["class_means"].select("label", "dim", r6("mean").alias("mean"))
+
+
+# ---------------------------------------------------------------- report tables on the feature grid
+
+@register("class_mean_image", f"""
+SELECT label, dim, CAST(dim // {GRID_WIDTH} AS INTEGER) AS row, CAST(dim % {GRID_WIDTH} AS INTEGER) AS col,
+       round(avg(x), 6) AS mean
+FROM {EMB_LONG} GROUP BY label, dim""")
+def q_class_mean_image(spark, sf_dir):
+    """K3: the mean image of every class as (label, row, col, mean)."""
+    m = stats.class_means(emb_long(spark, sf_dir)).withColumn("mean", r6("mean"))
+    return stats.on_grid(m, GRID_WIDTH).select("label", "dim", "row", "col", "mean")
+
+
+@register("pair_difference_image", f"""
+WITH cm AS (SELECT label, dim, avg(x) AS m FROM {EMB_LONG} GROUP BY label, dim),
+     p AS (SELECT * FROM (VALUES (1, 7), (3, 8), (4, 9)) t(label_a, label_b))
+SELECT p.label_a, p.label_b, CAST(a.dim // {GRID_WIDTH} AS INTEGER) AS row,
+       CAST(a.dim % {GRID_WIDTH} AS INTEGER) AS col, round(abs(a.m - b.m), 6) AS abs_diff
+FROM p JOIN cm a ON a.label = p.label_a JOIN cm b ON b.label = p.label_b AND b.dim = a.dim""")
+def q_pair_difference_image(spark, sf_dir):
+    """K6: |mean_a - mean_b| images for the default class pairs on the grid."""
+    d = stats.class_pair_difference(spark, stats.class_means(emb_long(spark, sf_dir)))
+    return stats.on_grid(d, GRID_WIDTH).select("label_a", "label_b", "row", "col",
+                                               r6("abs_diff").alias("abs_diff"))
