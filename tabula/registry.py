@@ -699,7 +699,9 @@ def q_score_incremental(spark, sf_dir):
 
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     keyed = docs.select("doc_id", memo_key(F.col("text"), MODEL_TAG, False).alias("memo_key"))
-    scored = keyed.join(read_table(spark, sf_dir, "labels", ["doc_id"]), "doc_id").select("memo_key")
+    # the store side: semi-join first, so only the labelled documents' texts are hashed again
+    labelled = docs.join(read_table(spark, sf_dir, "labels", ["doc_id"]), "doc_id", "left_semi")
+    scored = labelled.select(memo_key(F.col("text"), MODEL_TAG, False).alias("memo_key"))
     return pending(keyed, scored, "memo_key")
 
 
