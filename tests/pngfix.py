@@ -6,7 +6,16 @@ import zlib
 import numpy as np
 
 
-def png_bytes(img: np.ndarray) -> bytes:
+def exif_tiff(orientation: int, order: str = "MM") -> bytes:
+    """A minimal TIFF block with one IFD entry: Orientation (0x0112, SHORT)."""
+    bo = "big" if order == "MM" else "little"
+    entry = ((0x0112).to_bytes(2, bo) + (3).to_bytes(2, bo) + (1).to_bytes(4, bo)
+             + orientation.to_bytes(2, bo) + b"\x00\x00")
+    return (order.encode() + (42).to_bytes(2, bo) + (8).to_bytes(4, bo) + (1).to_bytes(2, bo) + entry
+            + (0).to_bytes(4, bo))
+
+
+def png_bytes(img: np.ndarray, orientation: int | None = None) -> bytes:
     img = np.asarray(img, dtype=np.uint8)
     if img.ndim == 2:
         img = img[:, :, None]
@@ -17,8 +26,9 @@ def png_bytes(img: np.ndarray) -> bytes:
     def chunk(tag, data):
         return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF)
 
+    exif = chunk(b"eXIf", exif_tiff(orientation)) if orientation else b""
     return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, color, 0, 0, 0))
-            + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b""))
+            + exif + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b""))
 
 
 def white(h, w):
