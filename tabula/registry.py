@@ -968,3 +968,35 @@ def q_pair_difference_image(spark, sf_dir):
     d = stats.class_pair_difference(spark, stats.class_means(emb_long(spark, sf_dir)))
     return stats.on_grid(d, GRID_WIDTH).select("label_a", "label_b", "row", "col",
                                                r6("abs_diff").alias("abs_diff"))
+
+
+# ---------------------------------------------------------------- the SQL analysis on the digit stand-in
+# centre cell of the 8 x 8 grid: row 4, col 4 -> dim 36
+
+CENTER_DIM = 4 * GRID_WIDTH + 4
+
+
+@register("center_ink_sql", f"""
+SELECT label, COUNT(*) AS n, ROUND(AVG(embedding[{CENTER_DIM + 1}]::DOUBLE), 2) AS avg_center_ink
+FROM embeddings GROUP BY label ORDER BY label""")
+def q_center_ink_sql(spark, sf_dir):
+    """D3/G1/B6 on the stand-in: rows and rounded mean of the centre feature per
+    label, through Spark SQL over a temp view."""
+    emb(spark, sf_dir).createOrReplaceTempView("tabula_digits")
+    return spark.sql(f"SELECT label, COUNT(*) AS n, ROUND(AVG(CAST(embedding[{CENTER_DIM}] AS DOUBLE)), 2) "
+                     "AS avg_center_ink FROM tabula_digits GROUP BY label ORDER BY label")
+
+
+@register("center_ink_count_agree", f"""
+SELECT 'sql' AS method, COUNT(*) AS n FROM embeddings WHERE embedding[{CENTER_DIM + 1}] > 0
+UNION ALL
+SELECT 'dataframe' AS method, COUNT(*) AS n FROM embeddings WHERE embedding[{CENTER_DIM + 1}] > 0""")
+def q_center_ink_count_agree(spark, sf_dir):
+    """D4/B5/B6 on the stand-in: rows whose centre feature is inked, counted in
+    SQL form and in DataFrame form."""
+    e = emb(spark, sf_dir)
+    e.createOrReplaceTempView("tabula_digits")
+    by_sql = spark.sql(f"SELECT 'sql' AS method, COUNT(*) AS n FROM tabula_digits WHERE embedding[{CENTER_DIM}] > 0")
+    by_df = (e.filter(F.col("embedding")[CENTER_DIM] > 0).agg(F.count(F.lit(1)).alias("n"))
+              .select(F.lit("dataframe").alias("method"), "n"))
+    return by_sql.unionByName(by_df)
