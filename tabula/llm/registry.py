@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op1_bpe
+from .decontaminate import op5_decontaminate
 from .quality import op4_quality
 from .token_counts import op8_token_counts
 from .token_files import op9_token_files
@@ -10,6 +11,7 @@ from .token_files import op9_token_files
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_quality": op4_quality,
+    "op5_decontaminate": op5_decontaminate,
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
 }
