@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op1_bpe
 from .decontaminate import op5_decontaminate
+from .ngram_join import op7_ngram_join
 from .quality import op4_quality
 from .token_counts import op8_token_counts
 from .token_files import op9_token_files
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
+    "op7_ngram_join": op7_ngram_join,
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
 }
