@@ -6,6 +6,7 @@ from .bpe import op1_bpe
 from .decontaminate import op5_decontaminate
 from .ngram_join import op7_ngram_join
 from .quality import op4_quality
+from .secrets import op10_secrets
 from .token_counts import op8_token_counts
 from .token_files import op9_token_files
 
@@ -16,5 +17,6 @@ QUERIES = {
     "op7_ngram_join": op7_ngram_join,
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
+    "op10_secrets": op10_secrets,
 }
 ORACLE: dict[str, str] = {}
