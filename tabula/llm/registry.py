@@ -3,20 +3,27 @@
 from __future__ import annotations
 
 from .bpe import op1_bpe
+from .chat import OP3_SQL, op3_chat
 from .decontaminate import op5_decontaminate
 from .ngram_join import op7_ngram_join
 from .quality import op4_quality
 from .secrets import op10_secrets
 from .token_counts import op8_token_counts
 from .token_files import op9_token_files
+from .warc import OP6_SQL, op6_warc_audit
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_chat": op3_chat,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
+    "op6_warc_audit": op6_warc_audit,
     "op7_ngram_join": op7_ngram_join,
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_secrets": op10_secrets,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_chat": OP3_SQL,
+    "op6_warc_audit": OP6_SQL,
+}
