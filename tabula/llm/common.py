@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabula.session import scratch_path, ship_package
 
@@ -16,6 +17,8 @@ _RUNS = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 _DOUBLE = re.compile(r"\s\s")
 #: Tokenizer files are a few MB; a larger one is refused rather than shipped to every task.
 MAX_VOCABULARY_BYTES = 64 << 20
+#: Most that a join broadcasts, by counted rows.
+BROADCAST_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -29,6 +32,12 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checked_broadcast(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``small`` with a broadcast hint if its rows, counted, take at most ``limit``
+    bytes; beyond that Spark joins by shuffle. ``small`` should be a table read."""
+    return F.broadcast(small) if small.count() * row_bytes <= limit else small
+
+
 def vocabulary(path: str) -> bytes:
     """A tokenizer file's bytes, read on the driver and of a checked size, to
     ship with the task closure so that executors need no such file."""

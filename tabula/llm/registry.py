@@ -8,12 +8,14 @@ from .decontaminate import op5_decontaminate
 from .ngram_join import op7_ngram_join
 from .quality import op4_quality
 from .secrets import op10_secrets
+from .substring_dedup import op2_substring_dedup
 from .token_counts import op8_token_counts
 from .token_files import op9_token_files
 from .warc import OP6_SQL, op6_warc_audit
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_chat": op3_chat,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,

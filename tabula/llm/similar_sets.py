@@ -41,6 +41,7 @@ def similar_sets(spark: SparkSession, sets: DataFrame, shingles_of: Callable[[Da
     groups. ``links`` counts the copies of all other sets of Jaccard similarity
     numerator/denominator or more; ``root`` is the least set of its component.
     """
+    kind = sets.schema["set_id"].dataType.simpleString()
     groups = components(spark, bucket_links(sets), f"{name}-buckets")
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = (groups.join(sizes, "root").join(sets.drop("bands").withColumnRenamed("set_id", "node"), "node")
@@ -52,7 +53,7 @@ def similar_sets(spark: SparkSession, sets: DataFrame, shingles_of: Callable[[Da
              .select(F.col("root").alias("grp"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                      "block", "set_id", "copies", "shingles"))
     compared = (dealt.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
-                .mapInArrow(_compare(numerator, denominator), "set_id binary, root binary, links long"))
+                .mapInArrow(_compare(numerator, denominator), f"set_id {kind}, root {kind}, links long"))
     compared = written(spark, compared, f"{name}-compared")
     roots = components(spark, compared.select(F.col("set_id").alias("a"), F.col("root").alias("b")), f"{name}-links")
     links = compared.groupBy("set_id").agg(F.sum("links").alias("links"))
@@ -66,12 +67,12 @@ def _compare(numerator: int, denominator: int):
 
         def result(key, rows):
             ids, roots, links = compare_group(rows, key[1] != key[2], numerator, denominator)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.binary()), pa.array(roots, pa.binary()), pa.array(links, pa.int64())],
-                ["set_id", "root", "links"])
+            return pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(roots, kind), pa.array(links, pa.int64())],
+                                              ["set_id", "root", "links"])
 
-        key, rows = None, []
+        key, rows, kind = None, [], None
         for batch in batches:
+            kind = batch.schema.field("set_id").type
             sh = batch.column("shingles")
             values, ends = sh.values.to_numpy(zero_copy_only=False).view(np.uint64), sh.offsets.to_numpy()
             plain = [batch.column(c).to_pylist() for c in ("grp", "i", "j", "set_id", "copies", "block")]
