@@ -121,12 +121,9 @@ def photo_run(spark: SparkSession, image_path: str, root: str, *, glob: str | No
     per photo. Returns (decisions, image_status)."""
     from tabula.operators import images
 
-    from tabula.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    # one small row per file, read by the orientation count and the status:
-    # written once so the files' contents are hashed once
-    meta = images.ingest(spark, image_path, glob).checkpoint(eager=True)
+    # one small row per file, read by the pixel stage and the status: written
+    # once so the files' contents are hashed once
+    meta = images.written_metadata(spark, images.ingest(spark, image_path, glob))
     segs, status = images.segment_images(images.decoded(spark, image_path, glob), meta, thicken=thicken)
     rows = images.segments_as_rows(segs)
     decisions = scoring_run(spark, root, rows, "segment_id", group_col="path", position_col="position",

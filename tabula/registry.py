@@ -620,17 +620,16 @@ WITH p AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS dim,
               HAVING max(dim) + 1 - min(dim) >= 2)"""
 
 
-def strip_profile(spark, sf_dir) -> DataFrame:
-    long_df = feat.vector_to_long(emb(spark, sf_dir), "embedding", "vec_id", None)
-    return long_df.select(F.col("vec_id").alias("id"), F.col("dim").alias("pos"),
-                          (F.col("x") > 0.05).cast("int").alias("occ"))
+def strips(spark, sf_dir) -> DataFrame:
+    """(vec_id, occupied): one 64-column strip per embedding row."""
+    return emb(spark, sf_dir).select("vec_id", F.transform("embedding", lambda v: (v.cast("double") > 0.05).cast("int")).alias("occupied"))
 
 
 def strip_runs(spark, sf_dir) -> DataFrame:
     from tabula.operators import runs
 
-    prof = strip_profile(spark, sf_dir)
-    return runs.detect_runs(runs.dilate(prof, runs.closing_width(N_DIMS)))
+    return strips(spark, sf_dir).select(
+        "vec_id", "occupied", runs.closed_runs(F.col("occupied"), F.lit(runs.closing_width(N_DIMS))).alias("runs"))
 
 
 @register("dilate_runs", _STRIP_SQL + """
@@ -638,48 +637,66 @@ SELECT vec_id, dim, occupied, dilated FROM d""")
 def q_dilate_runs(spark, sf_dir):
     from tabula.operators import runs
 
-    d = runs.dilate(strip_profile(spark, sf_dir), runs.closing_width(N_DIMS))
-    return d.select(F.col("id").alias("vec_id"), F.col("pos").alias("dim"),
-                    F.col("occ").alias("occupied"), "dilated")
+    d = strips(spark, sf_dir).withColumn("dilated", runs.dilated(F.col("occupied"), runs.closing_width(N_DIMS)))
+    return d.select("vec_id", F.posexplode(F.arrays_zip("occupied", "dilated")).alias("dim", "both")).select("vec_id", "dim", "both.*")
 
 
 @register("detect_runs", _STRIP_SQL + """
 SELECT vec_id, CAST(start AS INTEGER) AS start, CAST("end" AS INTEGER) AS "end" FROM runs""")
 def q_detect_runs(spark, sf_dir):
-    r = strip_runs(spark, sf_dir)
-    return r.select(F.col("id").alias("vec_id"), F.col("start").cast("int"), F.col("end").cast("int"))
+    from tabula.operators import runs
+
+    d = strips(spark, sf_dir).select("vec_id", runs.runs_of(
+        runs.dilated(F.col("occupied"), runs.closing_width(N_DIMS)), runs.SHORTEST_RUN).alias("runs"))
+    return runs.run_rows(d, "runs", "vec_id").drop("run_index")
 
 
-@register("merge_runs", _STRIP_SQL + """,
+_MERGED_SQL = _STRIP_SQL + """,
      g AS (SELECT *, start - lag("end") OVER (PARTITION BY vec_id ORDER BY start) AS gap FROM runs),
      b AS (SELECT *, CASE WHEN gap IS NULL THEN 1
                           WHEN row_number() OVER (PARTITION BY vec_id ORDER BY gap DESC NULLS LAST, start DESC) <= 4 THEN 1
                           ELSE 0 END AS boundary FROM g),
      s AS (SELECT *, sum(boundary) OVER (PARTITION BY vec_id ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg FROM b),
-     m AS (SELECT vec_id, min(start) AS start, max("end") AS "end" FROM s GROUP BY vec_id, seg)
+     m AS (SELECT vec_id, min(start) AS start, max("end") AS "end" FROM s GROUP BY vec_id, seg)"""
+_RUN_ROWS_SQL = """
 SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY start) AS INTEGER) AS run_index,
-       CAST(start AS INTEGER) AS start, CAST("end" AS INTEGER) AS "end" FROM m""")
+       CAST(start AS INTEGER) AS start, CAST("end" AS INTEGER) AS "end" FROM """
+
+
+@register("merge_runs", _MERGED_SQL + _RUN_ROWS_SQL + "m")
 def q_merge_runs(spark, sf_dir):
     from tabula.operators import runs
 
-    m = runs.merge_runs(strip_runs(spark, sf_dir), n=5)
-    return m.select(F.col("id").alias("vec_id"), F.col("run_index").cast("int"),
-                    F.col("start").cast("int"), F.col("end").cast("int"))
+    return runs.run_rows(strip_runs(spark, sf_dir).withColumn("runs", runs.merged(F.col("runs"), 5)), "runs", "vec_id")
+
+
+def _split_round_sql(k: int) -> str:
+    """One round of E4: per strip with fewer than five runs, the widest run (the
+    first of equals) is cut at its valley where the rule allows it."""
+    return f""",
+     w{k} AS (SELECT vec_id, start, "end", "end" - start AS w, count(*) OVER (PARTITION BY vec_id) AS n,
+                     row_number() OVER (PARTITION BY vec_id ORDER BY "end" - start DESC, start) AS rk FROM r{k - 1}),
+     c{k} AS (SELECT vec_id, start, "end", start + greatest(3, CAST(floor(w * 0.25) AS BIGINT)) AS lo,
+                     start + least(w - 3, CAST(floor(w * 0.75) AS BIGINT)) AS hi FROM w{k} WHERE rk = 1 AND n < 5 AND w >= 8),
+     v{k} AS (SELECT c.vec_id, c.start, c."end",
+                     min(p.occupied * 1000 + p.dim) FILTER (WHERE p.dim >= c.lo AND p.dim < c.hi) AS low, max(p.occupied) AS peak
+              FROM c{k} c JOIN p ON p.vec_id = c.vec_id AND p.dim >= c.start AND p.dim < c."end"
+              WHERE c.lo < c.hi GROUP BY 1, 2, 3),
+     x{k} AS (SELECT vec_id, start, "end", low % 1000 AS cut FROM v{k} WHERE peak > 0 AND low // 1000 <= peak * 0.35),
+     r{k} AS (SELECT vec_id, start, "end" FROM r{k - 1} ANTI JOIN x{k} USING (vec_id, start)
+              UNION ALL SELECT vec_id, start, cut FROM x{k} UNION ALL SELECT vec_id, cut, "end" FROM x{k})"""
 
 
-@register("split_runs")
+@register("split_runs", _MERGED_SQL + """,
+     r0 AS (SELECT vec_id, start, "end" FROM m)""" + "".join(_split_round_sql(k) for k in range(1, 5)) + _RUN_ROWS_SQL + "r4")
 def q_split_runs(spark, sf_dir):
     """E4 on the strips: after merging, strips with fewer than five runs get
-    their widest run cut at an ink valley (mapInPandas, one strip per row). Not
-    SQL-expressible (iterative); tests compare it with a brute-force loop."""
+    their widest run cut at an ink valley, again and again."""
     from tabula.operators import runs
 
-    strips = emb(spark, sf_dir).select(
-        F.col("vec_id").alias("id"),
-        F.transform("embedding", lambda v: (v.cast("double") > 0.05).cast("int")).alias("ink"))
-    merged = runs.merge_runs(strip_runs(spark, sf_dir), n=5)
-    out = runs.split_runs(strips, merged, expected=5)
-    return out.withColumnRenamed("id", "vec_id")
+    cut = strip_runs(spark, sf_dir).withColumn(
+        "runs", runs.split_wide(runs.merged(F.col("runs"), 5), F.col("occupied"), 5))
+    return runs.run_rows(cut, "runs", "vec_id")
 
 
 # ---------------------------------------------------------------- incremental and streaming scoring

@@ -1,118 +1,99 @@
-"""Column runs: Spark window forms against straightforward sequential loops."""
+"""Column runs: array expressions against straightforward sequential loops."""
 
 import random
 
 import numpy as np
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tabula.operators import runs
 
 
-def seq_runs(occ, k):
-    """Reference-style sequential computation (convolution + diff)."""
-    occ = np.asarray(occ, dtype=np.uint8)
-    if not occ.any():
-        return []
-    dil = np.convolve(occ, np.ones(k, dtype=np.uint8), mode="same") > 0
-    ch = np.diff(np.pad(dil.astype(np.int8), (1, 1)))
-    st, en = np.flatnonzero(ch == 1), np.flatnonzero(ch == -1)
-    return [(int(s), int(e)) for s, e in zip(st, en) if e - s >= 2]
+def loop_runs(occ, k):
+    """Columns within a frame of an occupied one, as stretches of at least two."""
+    n = len(occ)
+    on = [any(occ[max(0, i - k // 2):i + (k - 1) // 2 + 1]) for i in range(n)]
+    out, begin = [], None
+    for i in range(n + 1):
+        if i < n and on[i]:
+            begin = i if begin is None else begin
+        elif begin is not None:
+            out += [(begin, i)] if i - begin >= 2 else []
+            begin = None
+    return out
 
 
-def seq_merge(rs, n):
-    m = list(rs)
+def loop_merge(found, n):
+    m = list(found)
     while len(m) > n:
         gaps = [m[i + 1][0] - m[i][1] for i in range(len(m) - 1)]
-        j = int(np.argmin(gaps))
+        j = gaps.index(min(gaps))
         m[j:j + 2] = [(m[j][0], m[j + 1][1])]
     return m
 
 
-def profiles(seed=7, count=60):
-    rnd = random.Random(seed)
-    out = {}
-    for i in range(count):
-        w = rnd.randint(20, 90)
-        out[i] = [1 if rnd.random() < rnd.choice([0.3, 0.5, 0.7]) else 0 for _ in range(w)]
-    return out
+def loop_split(found, ink, n):
+    """Rule by rule: widest first; at least 8 wide; valley in the middle half and 3
+    from the ends; not above 35 % of the peak."""
+    m = sorted(found)
+    for _ in range(n):
+        if not m or len(m) >= n:
+            return m
+        widest = max(e - s for s, e in m)
+        s, e = next(r for r in m if r[1] - r[0] == widest)
+        middle = [c for c in range(s, e) if c - s >= max(3, widest // 4) and c - s < min(widest - 3, 3 * widest // 4)]
+        if widest < 8 or not middle:
+            return m
+        cut = min(middle, key=lambda c: (ink[c], c))
+        if max(ink[s:e]) == 0 or ink[cut] > 0.35 * max(ink[s:e]):
+            return m
+        m = sorted([r for r in m if r != (s, e)] + [(s, cut), (cut, e)])
+    return m
 
 
-def test_dilate_detect_merge_equal_loops(spark):
-    profs = profiles()
-    rows = [(i, p, v) for i, occ in profs.items() for p, v in enumerate(occ)]
-    df = spark.createDataFrame(rows, "id long, pos int, occ int")
-    for k in (2, 3, 5):
-        got_runs = {}
-        for r in runs.detect_runs(runs.dilate(df, k)).collect():
-            got_runs.setdefault(r["id"], []).append((r["start"], r["end"]))
-        for i, occ in profs.items():
-            assert sorted(got_runs.get(i, [])) == seq_runs(occ, k), (i, k)
-    detected = runs.detect_runs(runs.dilate(df, 2))
-    merged = {}
-    for r in runs.merge_runs(detected, 5).collect():
-        merged.setdefault(r["id"], []).append((r["run_index"], r["start"], r["end"]))
-    for i, occ in profs.items():
-        want = seq_merge(seq_runs(occ, 2), 5)
-        got = [(s, e) for _, s, e in sorted(merged.get(i, []))]
-        assert got == want, i
-
-
-def seq_split(ink, rs, expected):
-    return runs.split_profile_runs(np.asarray(ink), rs, expected)
-
-
-def test_split_runs_distributed_equals_local(spark):
-    rnd = random.Random(3)
-    cases = {}
-    for i in range(30):
-        w = rnd.randint(30, 80)
-        ink = [rnd.randint(0, 9) for _ in range(w)]
-        for _ in range(rnd.randint(0, 3)):
-            c = rnd.randint(5, w - 5)
-            ink[c] = 0
-        cases[i] = (ink, [(0, w)] if i % 3 else [(0, w // 2), (w // 2 + 1, w)])
-    prof = spark.createDataFrame([(i, ink) for i, (ink, _) in cases.items()], "id long, ink array<long>")
-    rr = spark.createDataFrame([(i, s, e) for i, (_, rs) in cases.items() for s, e in rs],
-                               "id long, start int, end int")
-    got = {}
-    for r in runs.split_runs(prof, rr, 5).collect():
-        got.setdefault(r["id"], []).append((r["run_index"], r["start"], r["end"]))
-    for i, (ink, rs) in cases.items():
-        want = sorted(seq_split(ink, rs, 5))
-        assert [(s, e) for _, s, e in sorted(got[i])] == want
-
-
-def test_split_stops_on_narrow_or_flat(spark):
-    assert runs.split_profile_runs(np.ones(6, dtype=int), [(0, 6)], 5) == [(0, 6)]
-    flat = np.full(40, 5)
-    assert runs.split_profile_runs(flat, [(0, 40)], 5) == [(0, 40)]
-    valley = np.array([9] * 20 + [0] + [9] * 19)
-    assert runs.split_profile_runs(valley, [(0, 40)], 2) == [(0, 20), (20, 40)]
+def pairs(rows):
+    return [(r["start"], r["end"]) for r in rows]
 
 
-def test_closing_width():
-    assert runs.closing_width(64) == 2 and runs.closing_width(920) == 3 and runs.closing_width(2000) == 8
+def check(spark, profiles, k, n):
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(profiles)], "id long, ink array<int>")
+    ink = F.col("ink")
+    closed = runs.closed_runs(ink, F.lit(k))
+    got = df.select("id", runs.dilated(ink, k).alias("dilated"), runs.runs_of(runs.dilated(ink, k), 2).alias("found"),
+                    closed.alias("closed"), runs.merged(closed, n).alias("merged"),
+                    runs.split_wide(runs.merged(closed, n), ink, n).alias("split")).collect()
+    for r in got:
+        occ = profiles[r["id"]]
+        want = loop_runs(occ, k)
+        assert r["dilated"] == [max(occ[max(0, i - k // 2):i + (k - 1) // 2 + 1]) for i in range(len(occ))]
+        assert pairs(r["found"]) == pairs(r["closed"]) == want
+        want = loop_merge(want, n)
+        assert pairs(r["merged"]) == want
+        assert pairs(r["split"]) == loop_split(want, occ, n)
 
 
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
+def test_expressions_equal_loops(spark):
+    rnd = random.Random(7)
+    profiles = [[rnd.choice([0, 0, 1, 4, 9]) if rnd.random() < p else 0 for _ in range(rnd.randint(1, 90))]
+                for p in (0.3, 0.6, 0.9) for _ in range(25)] + [[], [0] * 9, [1] * 40, [9] * 20 + [0] + [9] * 19, [9] * 20 + [3] + [9] * 19]
+    for k, n in ((2, 5), (3, 5), (5, 2), (2, 1)):
+        check(spark, profiles, k, n)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.integers(0, 9), max_size=70), min_size=1, max_size=25), st.integers(2, 6))
+def test_property_runs(spark, profiles, n):
+    check(spark, profiles, 2, n)
+
 
+def test_no_shuffle_and_no_python(spark):
+    df = spark.createDataFrame([(1, [1, 0, 1])], "id long, ink array<int>")
+    out = df.select("id", runs.split_wide(runs.merged(runs.closed_runs(F.col("ink"), F.lit(2)), 5), F.col("ink"), 5).alias("r"))
+    plan = runs.run_rows(out, "r", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "Pandas" not in plan
 
-# Profiles are at least as wide as the closing kernel (k = 2). For a
-# narrower one numpy's 'same' convolution returns max(len(signal),
-# len(kernel)) values, i.e. a longer profile than the input; the windowed
-# form keeps the profile's width. Image crops are at least 15 columns wide,
-# so the case cannot arise there.
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.lists(st.integers(0, 1), min_size=2, max_size=70), min_size=1, max_size=25),
-       st.integers(2, 6))
-def test_property_runs_and_merge(spark, profs, n):
-    rows = [(i, p, v) for i, occ in enumerate(profs) for p, v in enumerate(occ)]
-    df = spark.createDataFrame(rows, "id long, pos int, occ int")
-    detected = runs.detect_runs(runs.dilate(df, 2))
-    merged = {}
-    for r in runs.merge_runs(detected, n).collect():
-        merged.setdefault(r["id"], []).append((r["run_index"], r["start"], r["end"]))
-    for i, occ in enumerate(profs):
-        want = seq_merge(seq_runs(occ, 2), n)
-        assert [(s, e) for _, s, e in sorted(merged.get(i, []))] == want
+
+def test_closing_width():
+    assert runs.closing_width(64) == 2 and runs.closing_width(920) == 3 and runs.closing_width(2000) == 8
+    assert np.isclose(runs.VALLEY_SHARE, 0.35)
