@@ -69,6 +69,46 @@ def pieces(text: str) -> list[str]:
     return out
 
 
+_TWO_BLANKS = (r"[\t-\r\x{1c}-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}")
+
+
+def coded_pieces(texts: list[str]):
+    """``pieces`` of many texts at once: the distinct pieces, and for each text an
+    array of their numbers. Texts without two blanks in a row are cut and
+    numbered by Arrow; the others one by one."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    plain = pa.array(texts, pa.large_string())
+    odd = pc.match_substring_regex(plain, _TWO_BLANKS).to_numpy(zero_copy_only=False) if texts else []
+    regular = [t for t, o in zip(texts, odd) if not o]
+    cut = pc.split_pattern(pa.array(regular, pa.large_string()), " ")
+    numbered = cut.values.dictionary_encode()
+    # Arrow leaves out the space that each piece but a text's first begins with
+    spelled = [" " + w for w in numbered.dictionary.to_pylist()]
+    code = numbered.indices.to_numpy().astype(np.int64)
+    ends = cut.offsets.to_numpy()
+    own: dict[str, int] = {}
+
+    def number(piece: str) -> int:
+        if piece not in own:
+            own[piece] = len(spelled)
+            spelled.append(piece)
+        return own[piece]
+
+    for i, t in zip(ends[:-1].tolist(), regular):
+        code[i] = number(t.split(" ", 1)[0])
+    out, k = [], 0
+    for t, o in zip(texts, odd):
+        if o:
+            out.append(np.fromiter(map(number, pieces(t)), np.int64))
+        else:
+            out.append(code[ends[k]:ends[k + 1]])
+            k += 1
+    return spelled, out
+
+
 def segments(text: str, limit: int) -> Iterator[str]:
     """Split a long text before a space that follows a non-space, so that each
     part has about ``limit`` characters; a longer run without such a place

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import uuid
 from array import array
+from itertools import chain
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,11 +33,12 @@ from pyspark.sql import functions as F
 
 from tabula.session import scratch_path
 
-from .common import by_bytes, pieces, prepare, segments, table, vocabulary
+from .common import by_bytes, coded_pieces, prepare, segments, table, vocabulary
 
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 20
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 12_000_000
+ROW_PIECES = 500
 SEGMENT_CHARS = 1_000_000
 MEMORY_PIECES = 400_000
 ZSTD_LEVEL = 3
@@ -89,39 +91,74 @@ def decode_block(frames: list[bytes], n: int):
 
 
 class _Encoder:
-    """Ids of texts, piece by piece, with a bounded memory of pieces met."""
+    """Ids of texts by way of their distinct pieces, with a bounded memory of
+    pieces met."""
 
     def __init__(self, model: bytes):
+        import json
+
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(model.decode())
         self.tok.no_truncation()
         self.tok.no_padding()
         self.known: dict[str, bytes] = {}
+        # a byte-level token is spelled with one character a byte, an added token as it is
+        bytes_of = {i: len(t) for t, i in self.tok.get_vocab().items()}
+        bytes_of.update({a["id"]: len(a["content"].encode()) for a in json.loads(model).get("added_tokens", [])})
+        self.bytes_of = np.zeros(max(bytes_of) + 1, np.int64)
+        self.bytes_of[list(bytes_of)] = list(bytes_of.values())
+
+    def _encode(self, texts: list[str]) -> list:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _new(self, words: list[str]) -> dict[str, bytes]:
+        """The library's ids of pieces. Pieces that begin with a blank and end
+        without one are encoded many in a row, and the ids cut at the pieces'
+        last bytes; if a cut does not fall between two ids, all are encoded alone."""
+        import numpy as np
+
+        in_row = [w for w in words if w[:1] == " " and not w[-1].isspace()]
+        rows = self._encode(["".join(in_row[i:i + ROW_PIECES]) for i in range(0, len(in_row), ROW_PIECES)])
+        ids = np.fromiter(chain.from_iterable(rows), "<u4", sum(map(len, rows)))
+        ends = np.cumsum(self.bytes_of[ids])
+        stops = np.cumsum(np.fromiter(map(len, map(str.encode, in_row)), np.int64, len(in_row)))
+        cuts = np.searchsorted(ends, stops)
         out = {}
-        for i in range(0, len(words), 20_000):
-            part = words[i:i + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                out[w] = array("I", e.ids).tobytes()
+        if len(ids) and cuts[-1] < len(ids) and (ends[cuts] == stops).all():
+            raw, cuts = ids.tobytes(), (4 * cuts + 4).tolist()
+            out = {w: raw[a:b] for w, a, b in zip(in_row, [0, *cuts], cuts)}
+        alone = [w for w in words if w not in out]
+        for i in range(0, len(alone), ROW_PIECES):
+            part = alone[i:i + ROW_PIECES]
+            out.update((w, array("I", ids).tobytes()) for w, ids in zip(part, self._encode(part)))
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[p for s in segments(t, SEGMENT_CHARS) for p in pieces(s)] for t in texts]
-        new: set[str] = set()
-        for words in cut:
-            new.update(set(words).difference(self.known))
-        fresh = self._new(list(new))
-        if len(self.known) + len(fresh) <= MEMORY_PIECES:
-            self.known.update(fresh)
-            of = self.known.__getitem__
-        else:
-            for w in list(fresh)[:max(0, MEMORY_PIECES - len(self.known))]:
-                self.known[w] = fresh.pop(w)
-            known = self.known
-            of = lambda w: known[w] if w in known else fresh[w]
-        return [b"".join(map(of, words)) for words in cut]
+        import numpy as np
+
+        parts = [list(segments(t, SEGMENT_CHARS)) for t in texts]
+        spelled, codes = coded_pieces([s for p in parts for s in p])
+        known = self.known
+        fresh = self._new([w for w in spelled if w not in known])
+        ids = [known[w] if w in known else fresh[w] for w in spelled]
+        for w in list(fresh)[:max(0, MEMORY_PIECES - len(known))]:
+            known[w] = fresh[w]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(size) - size
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        out, k = [], 0
+        for p in parts:
+            one = []
+            for code in codes[k:k + len(p)]:
+                n = size[code]
+                ends = np.cumsum(n)
+                at = np.repeat(start[code] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
+                one.append(flat[at].tobytes())
+            k += len(p)
+            out.append(b"".join(one))
+        return out
 
 
 def _packer(model: bytes, end_id: int):
