@@ -29,30 +29,49 @@ def _cells(classes: Sequence[int]) -> Column:
     return F.array(*[F.struct(F.lit(a).alias("label"), F.lit(b).alias("prediction")) for a in cls for b in cls])
 
 
-def confusion_long(spark: SparkSession, counts: DataFrame, classes: Sequence[int],
+#: Cell of labels and predictions outside a given list of classes.
+OTHER = -1
+
+
+def confusion_long(spark: SparkSession, counts: DataFrame, classes: Sequence[int] | None = None,
                    by: Sequence[str] = ()) -> DataFrame:
-    """Dense ``(by..., label, prediction, count)``; absent cells are 0 and
-    classes outside the set are left out (as the reference's fixed grid does).
+    """Dense ``(by..., label, prediction, count)``; absent cells are 0.
 
-    The grid is exploded from a literal array of classes^2 cells next to each
-    experiment row (no cross join). It is the preserved side of the outer
-    join, so the build side is the counts table (classes^2 rows per
+    Without ``classes`` the grid is over the classes that occur. With a list,
+    a label or prediction outside it is counted in the cell of ``OTHER``, which
+    appears only where such rows exist, so no row is lost.
+
+    The grid is exploded from the classes next to each experiment row (no
+    cross join). The build side is the counts table (classes^2 rows per
     experiment), which AQE broadcasts by its measured size.
     """
-    if by:
-        grid = counts.select(*by).distinct().select(*by, F.inline(_cells(classes)))
-    else:
-        grid = spark.range(1).select(F.inline(_cells(classes)))
     keys = [*by, "label", "prediction"]
-    return (grid.join(counts, keys, "left")
-             .select(*keys, F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
+    if classes is None:
+        cell = lambda c: F.coalesce(c, F.lit(OTHER))
+        found = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array(cell(F.col("label")), cell(F.col("prediction")))))))
+        grid = (counts.groupBy(*by).agg(found.alias("c")).select(*by, F.explode("c").alias("label"), "c")
+                .select(*by, "label", F.explode("c").alias("prediction")))
+    else:
+        listed = [int(c) for c in classes]
+        cell = lambda c: F.when(c.isin(listed), c).otherwise(F.lit(OTHER))
+        if by:
+            grid = counts.select(*by).distinct().select(*by, F.inline(_cells(listed)))
+        else:
+            grid = spark.range(1).select(F.inline(_cells(listed)))
+    cells = (counts.select(*by, cell(F.col("label")).alias("label"), cell(F.col("prediction")).alias("prediction"), "count")
+             .groupBy(*keys).agg(F.sum("count").alias("count")))
+    # the cells of OTHER have no place in a listed grid: a full join keeps them
+    return (grid.join(cells, keys, "full_outer")
+            .select(*keys, F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
 
 
 def confusion_wide(confusion: DataFrame, classes: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
-    """One row per actual class, one column per predicted class ('0'..'9')."""
-    return (confusion.groupBy(*by, "label").pivot("prediction", [int(c) for c in classes])
-                     .agg(F.sum("count"))
-                     .select(*by, "label", *[F.col(str(c)).cast("bigint").alias(str(c)) for c in classes]))
+    """One row per actual class (and ``OTHER`` if it occurs), one column per
+    predicted class ('0'..'9') and ``other`` for predictions outside the list."""
+    names = [int(c) for c in classes]
+    counted = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint")
+    wide = confusion.groupBy(*by, "label").pivot("prediction", [*names, OTHER]).agg(F.sum("count"))
+    return wide.select(*by, "label", *[counted(c).alias(str(c)) for c in names], counted(OTHER).alias("other"))
 
 
 def _safe_div(a: Column, b: Column) -> Column:
@@ -75,14 +94,15 @@ def class_totals(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def class_metrics(counts: DataFrame, classes: Sequence[int] | None = None,
                   spark: SparkSession | None = None, by: Sequence[str] = ()) -> DataFrame:
     """``(by..., label, precision, recall, f1, support)``; zero
-    denominators give 0.0. With ``classes`` the output is dense over them."""
+    denominators give 0.0. With ``classes`` the output is dense over them;
+    classes that occur outside the list keep rows of their own."""
     t = class_totals(counts, by).withColumnRenamed("cls", "label")
     if classes is not None:
         assert spark is not None, "spark is needed to build the dense class list"
         labels = F.array(*[F.lit(int(c)) for c in classes])
         base = counts.select(*by).distinct() if by else spark.range(1).select()
         cls = base.select(*by, F.explode(labels).alias("label"))
-        t = cls.join(t, [*by, "label"], "left").na.fill(0, ["tp", "actual", "predicted"])
+        t = cls.join(t, [*by, "label"], "full_outer").na.fill(0, ["tp", "actual", "predicted"])
     p = _safe_div(F.col("tp"), F.col("predicted"))
     r = _safe_div(F.col("tp"), F.col("actual"))
     return (t.withColumn("precision", p).withColumn("recall", r)
@@ -108,11 +128,18 @@ def overall_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                       F.col("n").cast("bigint").alias("n"))
 
 
+#: Smallest probability that a loss is taken of (a loss of 34.5 at most).
+LEAST_PROBABILITY = 1e-15
+
+
 def log_loss(pred: DataFrame, probs: str = "probability", label: str = "label",
              prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
     """Mean cross-entropy of the true class and accuracy; an empty input
-    gives 0 for both (the reference divides by max(count, 1))."""
-    p_true = F.element_at(F.col(probs), F.col(label).cast("int") + 1)
+    gives 0 for both (the reference divides by max(count, 1)). A probability
+    below ``LEAST_PROBABILITY``, or none for the label, counts as that, so the
+    worst miss has the largest loss instead of none."""
+    p_true = F.greatest(F.coalesce(F.try_element_at(F.col(probs), F.col(label).cast("int") + 1).cast("double"), F.lit(0.0)),
+                        F.lit(LEAST_PROBABILITY))
     agg = pred.groupBy(*by).agg(F.sum(-F.log(p_true)).alias("loss_sum"),
                                 F.sum((F.col(label).cast("int") == F.col(prediction).cast("int")).cast("int")).alias("correct"),
                                 F.count(F.lit(1)).alias("n"))
@@ -141,14 +168,15 @@ def pick_best(results: DataFrame, order_col: str = "ordinal") -> dict:
     return rows[0].asDict()
 
 
-def early_stopping(history: DataFrame, metric: str = "accuracy", epoch: str = "epoch",
-                   patience: int = 3, by: Sequence[str] = ()) -> DataFrame:
+def early_stopping(history: DataFrame, by: Sequence[str], metric: str = "accuracy", epoch: str = "epoch",
+                   patience: int = 3) -> DataFrame:
     """Per epoch, whether it improved strictly on every earlier epoch, the
     best epoch so far, and the count of epochs since the last improvement.
     Training stops at the first epoch where that count reaches ``patience``;
-    later epochs are dropped. Windows are per experiment (``by``), whose size
-    is the epoch count; without ``by`` the whole (epoch-sized) history is one
-    experiment."""
+    later epochs are dropped. Windows are per experiment (``by``, at least one
+    column), whose size is the epoch count."""
+    if not by:
+        raise ValueError("early_stopping needs the columns that name an experiment")
     w_prev = Window.partitionBy(*by).orderBy(epoch).rowsBetween(Window.unboundedPreceding, -1)
     w_upto = Window.partitionBy(*by).orderBy(epoch).rowsBetween(Window.unboundedPreceding, 0)
     h = history.withColumn("improved", F.coalesce(F.col(metric) > F.max(metric).over(w_prev), F.lit(True)))

@@ -146,8 +146,8 @@ def minmax_scale_array(df: DataFrame, vector_col: str, lo: Sequence[float], hi:
                        out: str = "scaled") -> DataFrame:
     """G2 on an array column with fitted bounds: element-wise, in place, no
     shuffle (constant positions map to 0.5)."""
-    lo_a = F.array(*[F.lit(float(v)) for v in lo])
-    hi_a = F.array(*[F.lit(float(v)) for v in hi])
+    lo_a = F.array(*[F.lit(float(v)) for v in lo]).cast("array<double>")
+    hi_a = F.array(*[F.lit(float(v)) for v in hi]).cast("array<double>")
 
     def scale(x, i):
         a, b = F.element_at(lo_a, i + 1), F.element_at(hi_a, i + 1)

@@ -79,38 +79,29 @@ def on_grid(df: DataFrame, width: int, dim: str = "dim") -> DataFrame:
     return df.select("*", row, col)
 
 
-def class_correlation(means: DataFrame, classes: Sequence[int], label: str = "label") -> DataFrame:
+def class_correlation(means: DataFrame, classes: Sequence[int] | None = None, label: str = "label") -> DataFrame:
     """C1 + C3/K5: Pearson r between the mean vectors of every pair of classes.
 
-    Dense over ``classes`` x ``classes``; a pair with a missing class is 0.
+    Dense over the classes that occur, or over ``classes`` and those that occur
+    besides; a pair with a missing or constant vector is 0.
 
-    Plan: standardise each class vector with windows partitioned by label
-    over the class-means table (dims rows per class), pivot to one row per dim with one column per class, then a single global
-    aggregate of sum(z_i * z_j) for i <= j. No pair rows are materialised and
-    no self-join fans out; the aggregate width is the class count squared / 2.
+    Plan: the class-means table (one row per class and dim) joins itself on
+    ``dim`` for pairs of classes in order, and one aggregate per pair gives r;
+    the other order is the same number.
     """
-    from pyspark.sql import Window
-
-    classes = list(classes)
-    w = Window.partitionBy(label)  # a class partition holds one row per dim
-    dev = means.withColumn("d", F.col("mean") - F.avg("mean").over(w))
-    # a constant class vector has no direction: its r is reported as 0, like
-    # a missing class (try_divide keeps ANSI mode from failing the job)
-    z = dev.select(label, "dim", F.try_divide(F.col("d"), F.sqrt(F.sum(F.col("d") * F.col("d")).over(w))).alias("z"))
-    per_dim = z.groupBy("dim").pivot(label, classes).agg(F.max("z"))  # one value per (dim, class)
-    names = {c: str(c) for c in classes}
-    sums = []
-    for a_i, a in enumerate(classes):
-        for b in classes[a_i:]:
-            sums.append(F.sum(F.col(names[a]) * F.col(names[b])).alias(f"r_{a}_{b}"))
-    row = per_dim.agg(*sums)
-    cells = []
-    for a in classes:
-        for b in classes:
-            lo, hi = (a, b) if classes.index(a) <= classes.index(b) else (b, a)
-            cells.append(F.struct(F.lit(a).alias("label_a"), F.lit(b).alias("label_b"),
-                                  F.coalesce(F.col(f"r_{lo}_{hi}"), F.lit(0.0)).alias("r")))
-    return row.select(F.inline(F.array(*cells)))
+    a = means.select(F.col(label).alias("label_a"), "dim", F.col("mean").alias("mean_a"))
+    b = means.select(F.col(label).alias("label_b"), "dim", F.col("mean").alias("mean_b"))
+    half = (a.join(b, "dim").filter("label_a <= label_b").groupBy("label_a", "label_b")
+            .agg(F.try_divide(F.covar_pop("mean_a", "mean_b"), F.stddev_pop("mean_a") * F.stddev_pop("mean_b")).alias("r"))
+            .withColumn("r", F.coalesce("r", F.lit(0.0))))
+    both = half.unionAll(half.filter("label_a < label_b").select("label_b", "label_a", "r"))
+    if classes is None:
+        return both
+    listed = F.array(*[F.lit(c) for c in classes])
+    grid = (means.sparkSession.range(1).select(F.explode(listed).alias("label_a"))
+            .select("label_a", F.explode(listed).alias("label_b")))
+    return (grid.join(both, ["label_a", "label_b"], "full_outer")
+            .select("label_a", "label_b", F.coalesce("r", F.lit(0.0)).alias("r")))
 
 
 def class_pair_difference(spark: SparkSession, means: DataFrame,

@@ -9,7 +9,9 @@ passes plus two identical group-counts).
 
 from __future__ import annotations
 
+import os
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -61,8 +63,10 @@ def compare_models(spark: SparkSession, train: DataFrame, val: DataFrame,
                    classifiers: Sequence[tuple[str, object]], persist_input: bool = True,
                    parallelism: int = 1) -> Comparison:
     """H8: fit each estimator, evaluate on ``val``; a failing model becomes a
-    ``failed: ...`` row and does not stop the others. The iterated input is
-    persisted (and released afterwards) because every fit re-reads it.
+    ``failed: ...`` row and does not stop the others. Both sides are persisted
+    (and released afterwards): every fit and every evaluation re-reads them.
+    The counts of an evaluation are classes^2 rows and come back as a table of
+    their own, so nothing stays cached.
 
     ``parallelism > 1`` submits the fits from that many driver threads (as
     MLlib's CrossValidator does), so independent jobs share the cluster;
@@ -73,7 +77,8 @@ def compare_models(spark: SparkSession, train: DataFrame, val: DataFrame,
     from pyspark import StorageLevel
 
     if persist_input:
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
+        train, val = (d.persist(StorageLevel.MEMORY_AND_DISK) for d in (train, val))
+        val.count()
 
     def run(item):
         ordinal, (name, est) = item
@@ -83,8 +88,8 @@ def compare_models(spark: SparkSession, train: DataFrame, val: DataFrame,
             train_s = time.perf_counter() - t0
             t1 = time.perf_counter()
             pred = model.transform(val).select("label", "prediction")
-            c = ev.label_prediction_counts(pred).persist(StorageLevel.MEMORY_AND_DISK)
-            c.count()
+            found = ev.label_prediction_counts(pred)
+            c = spark.createDataFrame(found.collect(), found.schema)
             eval_s = time.perf_counter() - t1
             m = ev.overall_metrics(c).first()
             return ((name, ordinal, round(m["accuracy"], 6), round(m["f1"], 6),
@@ -92,7 +97,7 @@ def compare_models(spark: SparkSession, train: DataFrame, val: DataFrame,
                      round(train_s, 3), round(eval_s, 3), "ok"), model, c)
         except Exception as exc:  # one model failing must not stop the comparison
             return ((name, ordinal, 0.0, 0.0, 0.0, 0.0, round(time.perf_counter() - t0, 3), 0.0,
-                     f"failed: {exc}"[:500]), None, None)
+                     f"failed: {exc}"), None, None)
 
     try:
         items = list(enumerate(classifiers))
@@ -104,6 +109,7 @@ def compare_models(spark: SparkSession, train: DataFrame, val: DataFrame,
     finally:
         if persist_input:
             train.unpersist()
+            val.unpersist()
     rows = [o[0] for o in outs]
     models = {o[0][0]: o[1] for o in outs if o[1] is not None}
     counts = {o[0][0]: o[2] for o in outs if o[2] is not None}
@@ -130,30 +136,66 @@ def publish_best(spark: SparkSession, comp: Comparison, prep_model: PipelineMode
                  min_accuracy: float = 0.0) -> dict:
     """E5 + H9 + A21: pick the best row, check it against ``min_accuracy``
     *before* publishing, save one PipelineModel (preparation + classifier),
-    then write the manifest that names it. The manifest is written last, so
-    a rejected or half-written model is never the one readers resolve."""
+    then add the manifest row that names it. Every save has a path of its own
+    and the row is added last, so a rejected or half-written model is never the
+    one readers resolve."""
     best = ev.pick_best(comp.results)
     if best["accuracy"] < min_accuracy:
         raise QualityGateError(f"accuracy {best['accuracy']:.4f} is below the required {min_accuracy:.4f}")
     stages = (list(prep_model.stages) if prep_model is not None else []) + [comp.models[best["model"]]]
-    target = f"{root.rstrip('/')}/best_{best['model']}"
-    PipelineModel(stages=stages).write().overwrite().save(target)
-    spark.createDataFrame([(best["model"], target)], "model string, path string") \
-         .coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/manifest")
+    target = f"{root.rstrip('/')}/best_{best['model']}-{uuid.uuid4().hex[:12]}"
+    PipelineModel(stages=stages).write().save(target)
+    spark.createDataFrame([(best["model"], target, time.time())], MANIFEST_SCHEMA) \
+         .coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/manifest")
     return best
 
 
-def load_best(spark: SparkSession, root: str) -> tuple[str, PipelineModel]:
-    """Resolve the manifest and load the model it names (whatever kind)."""
-    man = f"{root.rstrip('/')}/manifest"
-    if not path_exists(spark, man):
+MANIFEST_SCHEMA = "model string, path string, published double"
+#: Environment variable that names a model's path.
+MODEL_PATH_VARIABLE = "TABULA_MODEL_PATH"
+
+
+def load_best(spark: SparkSession, root: str | None = None, path: str | None = None) -> tuple[str, PipelineModel]:
+    """Load a model from an explicit ``path``, else from the path in the
+    environment, else the one the manifest under ``root`` named last (whatever
+    kind). A path that is named but missing is an error."""
+    for where in (path, os.environ.get(MODEL_PATH_VARIABLE)):
+        if where:
+            if not path_exists(spark, where):
+                raise FileNotFoundError(f"no model at {where}")
+            return where.rstrip("/").rsplit("/", 1)[-1], PipelineModel.load(where)
+    man = f"{(root or '').rstrip('/')}/manifest"
+    if not root or not path_exists(spark, man):
         raise FileNotFoundError(f"no model manifest under {root}")
-    row = spark.read.schema("model string, path string").json(man).first()
+    row = spark.read.schema(MANIFEST_SCHEMA).json(man).orderBy(F.desc("published")).first()
     if row is None or not path_exists(spark, row["path"]):
         raise FileNotFoundError(f"model named by the manifest is missing: {row}")
     return row["model"], PipelineModel.load(row["path"])
 
 
+#: Accuracy that a neural run must reach to be published (the reference's default).
+NEURAL_GATE = 0.98
+
+
+def neural_run(spark: SparkSession, train: DataFrame, val: DataFrame, n_features: int, n_classes: int, root: str,
+               prep_model: PipelineModel | None = None, min_accuracy: float = NEURAL_GATE, patience: int = 3) -> dict:
+    """H7 with its history: fit the perceptron, follow its objective per
+    iteration through the early-stopping rule (E6), write the metrics document
+    with that history (A20), and publish the model behind the gate (H9)."""
+    from tabula.sources.tables import write_metrics_json
+
+    name, estimator = build_classifiers(n_features, n_classes)[-1]
+    comp = compare_models(spark, train, val, [(name, estimator)])
+    best = ev.pick_best(comp.results)
+    losses = [(name, k, -float(v)) for k, v in enumerate(comp.models[name].summary().objectiveHistory)]
+    history = ev.early_stopping(spark.createDataFrame(losses, "run string, epoch int, objective double"), ["run"],
+                                metric="objective", patience=patience)
+    write_metrics_json(spark, f"{root.rstrip('/')}/{name}_metrics", {k: best[k] for k in ("model", "accuracy", "f1")},
+                       history=history.select("epoch", "objective", "improved", "best_epoch", "stopped_here"),
+                       class_metrics=ev.class_metrics(comp.counts[name]))
+    return publish_best(spark, comp, prep_model, f"{root.rstrip('/')}/models", min_accuracy)
+
+
 def timed(fn, *args, **kwargs):
     """Wall time of an action on the driver."""
     t0 = time.perf_counter()

@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,15 +35,15 @@ def score_logits(df: DataFrame, logits_col: str, id_col: str, first: int = 0, n_
                      valid_prediction(digit, conf, n_classes))
 
 
-def score_model(model, df: DataFrame, id_col: str, n_classes: int = 10) -> DataFrame:
-    """Apply a fitted pipeline; keep the key; class = ``prediction``,
-    confidence = its probability."""
+def score_model(model, df: DataFrame, id_col: str, n_classes: int = 10, carry: Sequence[str] = ()) -> DataFrame:
+    """Apply a fitted pipeline; keep the key and the ``carry``
+    columns; class = ``prediction``, confidence = its probability."""
     from pyspark.ml.functions import vector_to_array
 
     out = model.transform(df)
     digit = F.col("prediction").cast("int")
     conf = probability_at(vector_to_array(F.col("probability")), digit)
-    return out.select(id_col, digit.alias("digit"), conf.alias("confidence"),
+    return out.select(id_col, *carry, digit.alias("digit"), conf.alias("confidence"),
                       valid_prediction(digit, conf, n_classes))
 
 

@@ -16,9 +16,11 @@ def compute_statistics(spark: SparkSession, long_df: DataFrame, labels: DataFram
     """``long_df`` = (id, label, dim, x); ``labels`` = one row per record with
     a ``label`` column. Returns the four tables, read back from storage."""
     r = root.rstrip("/")
+    columns = materialize(spark, stats.column_stats(long_df), f"{r}/column_stats", force)
     return {
         "frequencies": materialize(spark, stats.label_counts(labels), f"{r}/frequencies", force),
-        "column_stats": materialize(spark, stats.column_stats(long_df), f"{r}/column_stats", force),
+        "column_stats": columns,
         "class_means": materialize(spark, stats.class_means(long_df), f"{r}/class_means", force),
-        "std_map": materialize(spark, stats.std_map(long_df), f"{r}/std_map", force),
+        # the stored column statistics hold the deviations already
+        "std_map": materialize(spark, columns.select("dim", "std"), f"{r}/std_map", force),
     }

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tabula.operators import features as feat
 from tabula.operators.decide import group_analysis
 from tabula.plans import models as mdl
-from tabula.plans.prepare import DEFAULT_CONFIGS, PrepConfig, run_configuration, summary_frame
+from tabula.plans.prepare import DEFAULT_CONFIGS, PrepConfig, input_identity, run_configuration, summary_frame
 from tabula.plans.score import score_model
 from tabula.plans.statistics import compute_statistics
 
@@ -31,7 +31,9 @@ from tabula.plans.statistics import compute_statistics
 def statistics_run(spark: SparkSession, df: DataFrame, root: str, *, label_col: str = "label",
                    vector_col: str | None = None, wide_cols: Sequence[str] | None = None,
                    id_col: str | None = None, force: bool = False) -> dict[str, DataFrame]:
-    """Frequencies, per-column statistics, class means and the std map."""
+    """Frequencies, per-column statistics, class means and the std map, under a
+    folder of ``root`` named by the input, so that another input never gets them."""
+    root = f"{root.rstrip('/')}/{input_identity(spark, df)}"
     if id_col is None:
         id_col = "_row"
         df = df.withColumn(id_col, F.monotonically_increasing_id())  # only groups a row's features
@@ -70,16 +72,12 @@ def training_run(spark: SparkSession, df: DataFrame, root: str, *, sample_fracti
                  vector_col: str | None = None, wide_cols: Sequence[str] | None = None,
                  classes: Sequence[int] = tuple(range(10)), min_accuracy: float = 0.0,
                  include_mlp: bool = True, parallelism: int = 1) -> DataFrame:
-    """Sample (content hash, partition independent), prepare on the train
-    side, compare the classifiers on the validation side, write the reports
-    and publish the best model. Returns the comparison table."""
-    from tabula.operators.split import hash_sample
-
-    if sample_fraction < 1:
-        key = F.col(key_col) if key_col else F.xxhash64(*([vector_col] if vector_col else list(wide_cols)))
-        df = hash_sample(df, key, sample_fraction)
+    """Split by content, sample the train side only (content hash, partition
+    independent), prepare on it, compare the classifiers on the whole
+    validation side, write the reports and publish the best model. Returns the
+    comparison table."""
     prep = run_configuration(spark, df, config, key_col=key_col, vector_col=vector_col, wide_cols=wide_cols,
-                             out_root=f"{root}/prepared")
+                             out_root=f"{root}/prepared", train_fraction=sample_fraction)
     data = prep["prepared"]
     comp = mdl.compare_models(spark, data.filter("split = 'train'"), data.filter("split = 'validation'"),
                               mdl.build_classifiers(prep["summary"]["feature_dimension"], len(classes),
@@ -106,10 +104,9 @@ def scoring_run(spark: SparkSession, root: str, df: DataFrame, id_col: str, *,
     column, return one accept-or-review decision per group instead."""
     _, model = mdl.load_best(spark, f"{root}/models")
     keep = [c for c in (group_col, position_col) if c]
-    scored = score_model(model, df, id_col, n_classes)
+    scored = score_model(model, df, id_col, n_classes, carry=keep)
     if not keep:
         return scored
-    scored = scored.join(df.select(id_col, *keep), id_col)
     return group_analysis(scored, group_col, position=position_col, n=n, threshold=threshold,
                           n_classes=n_classes)
 

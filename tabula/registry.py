@@ -275,8 +275,10 @@ WITH l AS {EMB_LONG},
 SELECT l.vec_id, l.dim, round(CASE WHEN b.hi = b.lo THEN 0.5 ELSE (l.x - b.lo) / (b.hi - b.lo) END, 6) AS scaled
 FROM l JOIN b ON l.dim = b.dim""")
 def q_minmax_scale(spark, sf_dir):
-    s = feat.minmax_scale_long(emb_long(spark, sf_dir, with_label=False))
-    return s.select("vec_id", "dim", r6("scaled").alias("scaled"))
+    e = emb(spark, sf_dir).select("vec_id", "embedding")
+    lo, hi = feat.minmax_fit(e, "embedding")
+    s = feat.minmax_scale_array(e, "embedding", lo, hi)
+    return s.select("vec_id", F.posexplode("scaled").alias("dim", "s")).select("vec_id", "dim", r6("s").alias("scaled"))
 
 
 @register("content_hash", "SELECT doc_id, sha256(text) AS content_key FROM documents")
@@ -391,7 +393,7 @@ def q_confusion_matrix(spark, sf_dir):
      dense AS (SELECT grid.label, grid.prediction, coalesce(counts.count, 0) AS count
                FROM grid LEFT JOIN counts ON grid.label = counts.label AND grid.prediction = counts.prediction)
 SELECT label, """ + ", ".join(f'CAST(sum(CASE WHEN prediction = {c} THEN count END) AS BIGINT) AS "{c}"'
-                              for c in CLASSES) + " FROM dense GROUP BY label")
+                              for c in CLASSES) + ", CAST(0 AS BIGINT) AS other FROM dense GROUP BY label")
 def q_confusion_matrix_wide(spark, sf_dir):
     from tabula.operators import evaluate as ev
 
@@ -450,16 +452,24 @@ def q_binary_class_metrics(spark, sf_dir):
                     r6("f1").alias("f1"), "support")
 
 
-@register("log_loss", _PRED_SQL + """
-SELECT round(avg(-ln(e[label + 1] / list_sum(e))), 6) AS loss,
-       round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
-       COUNT(*) AS n
-FROM pred""")
+@register("log_loss", _PRED_SQL + """,
+     two AS (SELECT 'softmax' AS scorer, label, prediction, e[label + 1] / list_sum(e) AS p FROM pred
+              UNION ALL SELECT 'one_hot' AS scorer, label, prediction, CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END FROM pred)
+SELECT scorer, round(avg(-ln(greatest(p, 1e-15))), 6) AS loss,
+       round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy, COUNT(*) AS n
+FROM two GROUP BY scorer""")
 def q_log_loss(spark, sf_dir):
+    """D14 for the softmax probabilities and for the same predictions as
+    certainties, whose misses have probability 0."""
     from tabula.operators import evaluate as ev
 
-    out = ev.log_loss(emb_predictions(spark, sf_dir))
-    return out.select(r6("loss").alias("loss"), r6("accuracy").alias("accuracy"), "n")
+    soft = emb_predictions(spark, sf_dir)
+    certain = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: (k == F.col("prediction")).cast("double"))
+    scorers = F.array(F.struct(F.lit("softmax").alias("scorer"), F.col("probability").alias("p")),
+                      F.struct(F.lit("one_hot").alias("scorer"), certain.alias("p")))
+    both = soft.select("label", "prediction", F.inline(scorers))
+    out = ev.log_loss(both, probs="p", by=["scorer"])
+    return out.select("scorer", r6("loss").alias("loss"), r6("accuracy").alias("accuracy"), "n")
 
 
 # Candidate scorers for model selection (E5) and a training history (E6),
@@ -534,7 +544,7 @@ def q_early_stop(spark, sf_dir):
 
     hist = block_results(spark, sf_dir).select(F.lit("argmax_blocks").alias("experiment"),
                                                (F.col("ordinal") + 1).cast("int").alias("epoch"), "accuracy")
-    out = ev.early_stopping(hist, patience=3, by=["experiment"])
+    out = ev.early_stopping(hist, ["experiment"], patience=3)
     return out.select("epoch", r6("accuracy").alias("accuracy"), "improved", F.col("best_epoch").cast("int"),
                       "since_best", r6("best_so_far").alias("best_so_far"), F.col("stop_epoch").cast("int"),
                       "stopped_here")
@@ -565,20 +575,25 @@ def q_softmax_argmax(spark, sf_dir):
 
 def _decision_sql(threshold: float) -> str:
     return _SOFTMAX_SQL + f""",
-     g0 AS (SELECT vec_id // 5 AS group_id, CAST(vec_id % 5 + 1 AS INTEGER) AS position, digit, confidence FROM sc),
+     base AS (SELECT vec_id // 5 AS group_no, CAST(vec_id % 5 + 1 AS INTEGER) AS position, digit, confidence FROM sc),
+     g0 AS (SELECT 'whole:' || group_no AS group_id, position, digit, confidence FROM base
+            UNION ALL SELECT 'short:' || group_no, position, digit, confidence FROM base WHERE position < 5
+            UNION ALL SELECT 'no digit:' || group_no, position, CASE WHEN position <> 3 THEN digit END, confidence FROM base
+            UNION ALL SELECT 'no confidence:' || group_no, position, digit, CASE WHEN position <> 2 THEN confidence END FROM base
+            UNION ALL SELECT 'far:' || group_no, CASE WHEN position = 5 THEN 70 ELSE position END, digit, confidence FROM base),
      g AS (SELECT *, min(confidence) OVER (PARTITION BY group_id) AS gmin FROM g0),
      a AS (SELECT group_id, COUNT(*) AS n_predictions, min(confidence) AS gc,
                   min(position) FILTER (WHERE confidence = gmin) AS wp,
                   string_agg(CAST(digit AS VARCHAR), '' ORDER BY position) AS code,
-                  bit_or(CAST(1 AS BIGINT) << (position - 1)) AS mask
+                  count(digit) = 5 AND count(confidence) = 5 AND count(*) = 5 AND max(position) = 5
+                  AND count(DISTINCT position) = 5 AS valid
            FROM g GROUP BY group_id)
-SELECT group_id, n_predictions, (n_predictions = 5 AND mask = 31) AS valid,
-       CASE WHEN n_predictions = 5 AND mask = 31 THEN code END AS postal_code,
+SELECT group_id, n_predictions, valid, CASE WHEN valid THEN code END AS postal_code,
        round(gc, 6) AS global_confidence,
-       CASE WHEN gc < {threshold} THEN 'review' ELSE 'auto' END AS decision,
-       CASE WHEN gc < {threshold} THEN 'Vérification humaine' ELSE 'Tri automatique' END AS decision_label,
+       CASE WHEN NOT valid THEN NULL WHEN gc < {threshold} THEN 'review' ELSE 'auto' END AS decision,
+       CASE WHEN NOT valid THEN NULL WHEN gc < {threshold} THEN 'Vérification humaine' ELSE 'Tri automatique' END AS decision_label,
        wp AS weakest_position,
-       CASE WHEN gc < {threshold} THEN 'Le chiffre en position ' || CAST(wp AS VARCHAR) || ' n''atteint que '
+       CASE WHEN valid AND gc < {threshold} THEN 'Le chiffre en position ' || CAST(wp AS VARCHAR) || ' n''atteint que '
             || CAST(CAST(round_even(gc * 100, 0) AS BIGINT) AS VARCHAR) || '% de confiance.' END AS review_reason
 FROM a"""
 
@@ -586,9 +601,19 @@ FROM a"""
 def _group_decision(spark, sf_dir, threshold):
     from tabula.operators.decide import group_analysis
 
-    s = emb_scored(spark, sf_dir).select(
-        F.floor(F.col("vec_id") / 5).cast("bigint").alias("group_id"),
+    base = emb_scored(spark, sf_dir).select(
+        F.floor(F.col("vec_id") / 5).cast("bigint").alias("group_no"),
         (F.pmod(F.col("vec_id"), F.lit(5)) + 1).cast("int").alias("position"), "digit", "confidence")
+    # besides every whole group: the same groups cut short, with a missing digit
+    # or confidence, and with a position far outside, all of which are invalid
+    p = F.col("position")
+    case = lambda name, **new: F.struct(F.lit(name).alias("name"), *[
+        new.get(c, F.col(c)).alias(c) for c in ("position", "digit", "confidence")])
+    cases = F.array(case("whole"), F.when(p < 5, case("short")), case("no digit", digit=F.when(p != 3, F.col("digit"))),
+                    case("no confidence", confidence=F.when(p != 2, F.col("confidence"))),
+                    case("far", position=F.when(p == 5, F.lit(70)).otherwise(p)))
+    s = base.select("group_no", F.explode(F.filter(cases, lambda c: c.isNotNull())).alias("c")).select(
+        F.concat_ws(":", "c.name", "group_no").alias("group_id"), "c.position", "c.digit", "c.confidence")
     out = group_analysis(s, "group_id", threshold=threshold)
     return out.withColumn("global_confidence", r6("global_confidence"))
 
@@ -782,14 +807,35 @@ def q_csv_typed_read(spark, sf_dir):
 # ---------------------------------------------------------------- MLlib preparation, models, scoring
 # Not SQL-expressible: rows-only checks here, property tests in tests/.
 
+def emb_content():
+    """Label and features spelled the same way in any SQL engine."""
+    cells = F.transform("embedding", lambda v: F.floor(v.cast("double") * 1000000).cast("bigint").cast("string"))
+    return F.concat_ws(":", F.col("label").cast("string"), F.array_join(cells, ","))
+
+
+_SIDES_SQL = f"""
+WITH c AS (SELECT embedding, label || ':' || array_to_string(list_transform(embedding,
+                  lambda v: CAST(floor(v::DOUBLE * 1000000) AS BIGINT)), ',') AS content FROM embeddings),
+     s AS (SELECT embedding, {_md5_int_sql('content')} % 5 = 0 AS held FROM c),
+     n AS (SELECT count(*) FILTER (WHERE NOT held) AS train_rows, count(*) FILTER (WHERE held) AS validation_rows FROM s)"""
+
+
 def _prepared(spark, sf_dir, config, save: bool = True):
     from tabula.plans.prepare import run_configuration
 
     return run_configuration(spark, emb(spark, sf_dir), config, key_col="vec_id", vector_col="embedding",
-                             n_features=N_DIMS, save=save)
-
-
-@register("prepare_configs")
+                             n_features=N_DIMS, save=save, split_key=emb_content())
+
+
+@register("prepare_configs", _SIDES_SQL + f""",
+     z AS (SELECT generate_subscripts(embedding, 1) AS dim, unnest(embedding) AS x FROM s WHERE NOT held),
+     k AS (SELECT count(*) AS kept FROM (SELECT dim FROM z GROUP BY dim
+                  HAVING count(*) FILTER (WHERE x = 0) / count(*) < 0.98))
+SELECT t.configuration, CAST(CASE WHEN t.prunes THEN k.kept ELSE {N_DIMS} END AS INTEGER) AS kept_columns,
+       CAST(CASE WHEN t.pca THEN least(50, k.kept) WHEN t.prunes THEN k.kept ELSE {N_DIMS} END AS INTEGER) AS feature_dimension,
+       n.train_rows, n.validation_rows
+FROM n, k, (VALUES ('raw', false, false), ('normalized', false, false), ('normalized_compact', true, false),
+                   ('normalized_compact_pca', true, true)) t(configuration, prunes, pca)""")
 def q_prepare_configs(spark, sf_dir):
     """The four reference configurations on the embeddings table
     (blank = |x| < 0.05 is not used here: the reference prunes exact zeros)."""
@@ -821,6 +867,38 @@ def q_model_comparison(spark, sf_dir):
                                "weighted_recall", "status")
 
 
+@register("model_comparison_checks", _SIDES_SQL + """
+SELECT t.model, CAST(t.ordinal AS INTEGER) AS ordinal, 'ok' AS status, n.validation_rows AS n,
+       true AS recall_is_accuracy, true AS in_range
+FROM n, (VALUES ('logistic_regression', 0), ('decision_tree', 1), ('random_forest', 2)) t(model, ordinal)""")
+def q_model_comparison_checks(spark, sf_dir):
+    """H8/D13 on fitted models: every model is evaluated on the whole validation
+    side, its weighted recall is its accuracy, and all metrics are shares."""
+    from functools import reduce
+
+    from tabula.operators import evaluate as ev
+    from tabula.plans.models import build_classifiers, compare_models
+    from tabula.plans.prepare import DEFAULT_CONFIGS
+
+    prep = _prepared(spark, sf_dir, DEFAULT_CONFIGS[3])
+    train, val = (prep["prepared"].filter(f"split = '{s}'") for s in ("train", "validation"))
+    comp = compare_models(spark, train, val, build_classifiers(prep["summary"]["feature_dimension"], include_mlp=False),
+                          parallelism=3)
+    counts = reduce(DataFrame.unionAll, [c.withColumn("model", F.lit(m)) for m, c in comp.counts.items()])
+    again = ev.overall_metrics(counts, by=["model"]).select("model", "n")
+    share = lambda c: F.col(c).between(0.0, 1.0)
+    return comp.results.join(again, "model").select(
+        "model", "ordinal", "status", "n", (F.col("weighted_recall") == F.col("accuracy")).alias("recall_is_accuracy"),
+        (share("accuracy") & share("f1") & share("weighted_precision")).alias("in_range"))
+
+
+@register("batch_score_keys", """
+SELECT vec_id, true AS valid FROM embeddings""")
+def q_batch_score_keys(spark, sf_dir):
+    """Every key of the table once, each with a valid prediction."""
+    return q_batch_score(spark, sf_dir).select("vec_id", "valid")
+
+
 @register("batch_score")
 def q_batch_score(spark, sf_dir):
     """A fitted preparation + classifier PipelineModel scores every
@@ -1017,3 +1095,144 @@ def q_center_ink_count_agree(spark, sf_dir):
     by_df = (e.filter(F.col("embedding")[CENTER_DIM] > 0).agg(F.count(F.lit(1)).alias("n"))
               .select(F.lit("dataframe").alias("method"), "n"))
     return by_sql.unionByName(by_df)
+
+
+# ---------------------------------------------------------------- sources, sinks and small operators
+
+def _run_path(spark, name: str) -> str:
+    import uuid
+
+    from tabula.session import scratch_path
+
+    return scratch_path(spark, name, uuid.uuid4().hex[:12])
+
+
+@register("train_test_read", f"""
+SELECT 'train' AS side, COUNT(*) AS n_rows, {N_DIMS} AS n_features, round(sum(embedding[1]::DOUBLE), 4) AS first_sum,
+       round(sum(embedding[{N_DIMS}]::DOUBLE), 4) AS last_sum FROM embeddings WHERE vec_id % 5 <> 0
+UNION ALL
+SELECT 'test', COUNT(*), {N_DIMS}, round(sum(embedding[1]::DOUBLE), 4), round(sum(embedding[{N_DIMS}]::DOUBLE), 4)
+FROM embeddings WHERE vec_id % 5 = 0""")
+def q_train_test_read(spark, sf_dir):
+    """A5: a labelled train file and an unlabelled test file of the whole table,
+    written as CSV (columns out of order) and read back typed."""
+    from tabula.sources.tables import read_train_test
+
+    path = _run_path(spark, "train-test")
+    pixels = [F.col("embedding")[i].cast("double").alias(f"pixel{i}") for i in reversed(range(N_DIMS))]
+    test = F.col("vec_id") % 5 == 0
+    e = emb(spark, sf_dir)
+    e.filter(~test).select(*pixels, "label").write.option("header", "true").csv(f"{path}/train.csv")
+    e.filter(test).select(*pixels).write.option("header", "true").csv(f"{path}/test.csv")
+
+    def summary(side, df):
+        cells = [c for c in df.columns if c != "label"]
+        return df.agg(F.count("*").alias("n_rows"), F.round(F.sum(cells[0]), 4).alias("first_sum"),
+                      F.round(F.sum(cells[-1]), 4).alias("last_sum")).select(
+            F.lit(side).alias("side"), "n_rows", F.lit(len(cells)).alias("n_features"), "first_sum", "last_sum")
+
+    train, unlabelled = read_train_test(spark, path)
+    return summary("train", train).unionAll(summary("test", unlabelled))
+
+
+def _stored_statistics(spark, sf_dir) -> str:
+    """The four statistics tables of the embeddings, written anew."""
+    from tabula.plans.statistics import compute_statistics
+
+    path = _run_path(spark, "statistics")
+    e = emb(spark, sf_dir)
+    compute_statistics(spark, feat.vector_to_long(e), e.select("label"), path)
+    return path
+
+
+@register("stored_frequencies", "SELECT label, COUNT(*) AS count FROM embeddings GROUP BY label")
+def q_stored_frequencies(spark, sf_dir):
+    """The frequency table, written and read back by the typed reader."""
+    from tabula.sources.tables import read_stat_table
+
+    return read_stat_table(spark, f"{_stored_statistics(spark, sf_dir)}/frequencies", "frequencies")
+
+
+@register("stored_column_stats", f"""
+SELECT dim, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, round(min(x), 6) AS min,
+       round(max(x), 6) AS max, CAST(sum(CASE WHEN x = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zeros
+FROM {EMB_LONG} GROUP BY dim""")
+def q_stored_column_stats(spark, sf_dir):
+    """The column statistics, written and read back."""
+    from tabula.sources.tables import read_stat_table
+
+    return _stats_out(read_stat_table(spark, f"{_stored_statistics(spark, sf_dir)}/column_stats", "column_stats"), ["dim"])
+
+
+@register("stored_std_map", f"SELECT dim, round(stddev_samp(x), 6) AS std FROM {EMB_LONG} GROUP BY dim")
+def q_stored_std_map(spark, sf_dir):
+    """The std map, written and read back."""
+    from tabula.sources.tables import read_stat_table
+
+    return read_stat_table(spark, f"{_stored_statistics(spark, sf_dir)}/std_map", "std_map").select("dim", r6("std").alias("std"))
+
+
+@register("shape_check", f"""
+SELECT vec_id, len(embedding) = {N_DIMS} AND list_min(list_transform(embedding, lambda v: v::DOUBLE)) >= -0.25
+       AND list_max(list_transform(embedding, lambda v: v::DOUBLE)) <= 0.25 AS valid FROM embeddings""")
+def q_shape_check(spark, sf_dir):
+    """Exactly 64 features, all inside a range that some rows leave."""
+    from tabula.functions.scoring import as_double_array, valid_shape
+
+    return emb(spark, sf_dir).select("vec_id", valid_shape(as_double_array(F.col("embedding")), N_DIMS, -0.25, 0.25).alias("valid"))
+
+
+@register("feature_dimension", f"""
+SELECT COUNT(*) AS n_rows, CAST(max(len(embedding)) AS INTEGER) AS n_features FROM embeddings""")
+def q_feature_dimension(spark, sf_dir):
+    """The table's row count and feature dimension."""
+    from tabula.sources.tables import feature_dimension
+
+    e = emb(spark, sf_dir)
+    n = F.lit(feature_dimension(e, "embedding") if e.head(1) else None).cast("int")
+    return e.agg(F.count("*").alias("n_rows")).select("n_rows", n.alias("n_features"))
+
+
+@register("assembled_features", """
+SELECT l_orderkey, l_linenumber, round(l_quantity::DOUBLE + l_extendedprice::DOUBLE + l_discount::DOUBLE + l_tax::DOUBLE, 4) AS total,
+       4 AS n_features FROM lineitem""")
+def q_assembled_features(spark, sf_dir):
+    """Four columns assembled into one feature array."""
+    li = feat.assemble_array(read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", *LINEITEM_NUMERIC]), LINEITEM_NUMERIC)
+    total = F.aggregate("features", F.lit(0.0), lambda a, v: a + v)
+    return li.select("l_orderkey", "l_linenumber", F.round(total, 4).alias("total"), F.size("features").alias("n_features"))
+
+
+@register("pixel_scale", """
+SELECT p_partkey, round(p_size::DOUBLE / 255, 6) AS size, round(p_retailprice::DOUBLE / 255, 6) AS price FROM part""")
+def q_pixel_scale(spark, sf_dir):
+    """Values of 0..255 scaled to 0..1."""
+    from tabula.functions.scoring import scale_pixels
+
+    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_size", "p_retailprice"])
+    scaled = part.select("p_partkey", scale_pixels(F.array(F.col("p_size").cast("double"), F.col("p_retailprice").cast("double"))).alias("v"))
+    return scaled.select("p_partkey", r6(F.col("v")[0]).alias("size"), r6(F.col("v")[1]).alias("price"))
+
+
+@register("comparison_report", _BLOCK_SQL + """
+SELECT 'block_' || CAST(block AS VARCHAR) AS model, printf('%.4f', round(accuracy, 6)) AS accuracy, printf('%.4f', round(f1, 6)) AS f1,
+       'ok' AS status FROM res""")
+def q_comparison_report(spark, sf_dir):
+    """The comparison table as display strings."""
+    from tabula.operators import evaluate as ev
+
+    results = block_results(spark, sf_dir).select(
+        "model", r6("accuracy").alias("accuracy"), r6("f1").alias("f1"), F.lit(0.0).alias("weighted_precision"),
+        F.lit(0.0).alias("weighted_recall"), F.lit(0.0).alias("train_s"), F.lit(0.0).alias("eval_s"), "status")
+    return ev.comparison_report(results).select("model", "accuracy", "f1", "status")
+
+
+@register("split_disjoint", """
+SELECT COUNT(*) AS n_rows, COUNT(DISTINCT (label, embedding)) AS n_contents, 0 AS n_on_both_sides FROM embeddings""")
+def q_split_disjoint(spark, sf_dir):
+    """F5/G5 in the native hash form: all rows and contents are there, and no
+    content is on both sides."""
+    rows = q_hash_split_native(spark, sf_dir).join(emb(spark, sf_dir).select("vec_id", F.xxhash64("label", "embedding").alias("content")), "vec_id")
+    each = rows.groupBy("content").agg(F.count("*").alias("n"), F.countDistinct("split").alias("sides"))
+    return each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_contents"),
+                    F.count(F.when(F.col("sides") > 1, 1)).alias("n_on_both_sides"))

@@ -6,7 +6,9 @@ The library never hard-codes a master: on a cluster the submitter decides.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,14 +59,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` is set by the operator and is a
-    shared file system; we only read it. When it is unset (local tests) a
-    fresh scratch folder is created and registered.
+    shared file system; we only read it. When it is unset, a local session gets
+    a fresh scratch folder, removed when the driver ends; any other master is
+    refused, since its executors would write to disks of their own.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        # only reached when nobody configured a shared folder (local runs)
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
         current = tempfile.mkdtemp(prefix="tabula-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current

@@ -23,6 +23,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def is_directory(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.getFileStatus(hpath).isDirectory())
+
+
 def require_path(spark: SparkSession, path: str) -> str:
     """A2: fail early, with a typed error, when the source is missing."""
     if not path_exists(spark, path):
@@ -143,14 +149,12 @@ def feature_dimension(df: DataFrame, vector_col: str = "features") -> int:
 
 
 def write_metrics_json(spark: SparkSession, path: str, summary: dict, history: DataFrame | None = None,
-                       class_metrics: DataFrame | None = None, max_rows: int = 10_000) -> None:
+                       class_metrics: DataFrame | None = None) -> None:
     """One JSON document with the run summary, the per-epoch history and
-    the per-class metrics nested as arrays. Both tables are report-sized (one
-    row per epoch / class); their size is checked before they are read."""
-    import json
-
-    doc = dict(summary)
+    the per-class metrics nested as arrays, put together by Spark."""
+    doc = spark.range(1).select(*[F.lit(v).alias(k) for k, v in summary.items()])
     for name, frame in (("history", history), ("class_metrics", class_metrics)):
         if frame is not None:
-            doc[name] = to_arrow_small(frame, max_rows).to_pylist()
-    spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+            rows = frame.agg(F.array_sort(F.collect_list(F.struct(*frame.columns))).alias(name))
+            doc = doc.withColumn("_one", F.lit(1)).join(rows.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    doc.select(F.to_json(F.struct(*doc.columns)).alias("value")).coalesce(1).write.mode("overwrite").text(path)

@@ -16,16 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabula.plans.score import score_logits
 from tabula.session import scratch_path
+from tabula.sources.tables import is_directory
 
 
 def scoring_stream(spark: SparkSession, source_dir: str, table: str, logits_col: str = "embedding",
                    id_col: str = "vec_id", n_classes: int = 10, max_files_per_trigger: int = 64) -> DataFrame:
     """The streaming DataFrame: file source -> scorer (no state, no shuffle)."""
-    schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{table}.parquet").schema
-    src = (spark.readStream.schema(schema)
-                .option("pathGlobFilter", f"{table}.parquet")
-                .option("maxFilesPerTrigger", max_files_per_trigger)
-                .parquet(source_dir))
+    path = f"{source_dir.rstrip('/')}/{table}.parquet"
+    reader = (spark.readStream.schema(spark.read.parquet(path).schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
+    # a table of many files is a directory and streams as it is; a single file
+    # is no streaming source, so its directory is filtered for it
+    if is_directory(spark, path):
+        src = reader.parquet(path)
+    else:
+        src = reader.option("pathGlobFilter", f"{table}.parquet").parquet(source_dir)
     return score_logits(src, logits_col, id_col, 0, n_classes).drop("probability")
 
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tabula import registry
 
 from conftest import SF_SMALL
 
@@ -42,7 +43,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_equals_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF_SMALL)
     srows = sdf.collect()
@@ -57,7 +58,7 @@ def test_query_equals_oracle(spark, con, name):
     assert s == o
 
 
-FIT_QUERIES = {"prepare_configs", "model_comparison", "batch_score"}
+FIT_QUERIES = {"prepare_configs", "model_comparison", "model_comparison_checks", "batch_score", "batch_score_keys"}
 
 
 def test_every_query_on_empty_tables(spark, tmp_path):
@@ -66,7 +67,7 @@ def test_every_query_on_empty_tables(spark, tmp_path):
     dst = str(tmp_path / "empty")
     for t in TABLES:
         spark.read.parquet(f"{SF_SMALL}/{t}.parquet").limit(0).write.parquet(f"{dst}/{t}.parquet")
-    for name, fn in entry.queries().items():
+    for name, fn in registry.QUERIES.items():
         if name in FIT_QUERIES:
             with pytest.raises(Exception):
                 fn(spark, dst).count()

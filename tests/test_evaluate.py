@@ -112,10 +112,26 @@ def test_zero_denominators(spark):
     assert m[2]["support"] == 0
 
 
-def test_classes_outside_grid_dropped(spark):
-    c = spark.createDataFrame([(0, 0, 3), (12, 0, 4)], "label int, prediction int, count bigint")
+def test_classes_outside_the_list_are_counted(spark):
+    c = spark.createDataFrame([(0, 0, 3), (12, 0, 4), (12, 13, 2), (1, None, 1)], "label int, prediction int, count bigint")
     dense = ev.confusion_long(spark, c, range(10))
-    assert dense.count() == 100 and dense.agg(F.sum("count")).first()[0] == 3
+    cells = {(r["label"], r["prediction"]): r["count"] for r in dense.collect()}
+    assert len(cells) == 103 and sum(cells.values()) == 10
+    assert (cells[0, 0], cells[-1, 0], cells[-1, -1], cells[1, -1]) == (3, 4, 2, 1)
+    wide = {r["label"]: r for r in ev.confusion_wide(dense, range(10)).collect()}
+    assert wide[-1]["0"] == 4 and wide[-1]["other"] == 2 and wide[1]["other"] == 1 and len(wide) == 11
+    m = {r["label"]: r for r in ev.class_metrics(c.dropna(), range(10), spark).collect()}
+    assert m[12]["support"] == 6 and m[13]["support"] == 0 and len(m) == 12
+    own = ev.confusion_long(spark, c.dropna())
+    assert own.count() == 9 and own.agg(F.sum("count")).first()[0] == 9
+
+
+def test_log_loss_of_a_certain_miss(spark):
+    import math
+
+    pred = spark.createDataFrame([(0, 0, [1.0, 0.0]), (1, 0, [1.0, 0.0]), (5, 0, [1.0, 0.0])],
+                                 "label int, prediction int, probability array<double>")
+    assert ev.log_loss(pred).first()["loss"] == pytest.approx(-2 * math.log(1e-15) / 3)
 
 
 def test_log_loss_and_empty(spark):
@@ -140,15 +156,15 @@ def test_best_row_ties_and_failures(spark):
 
 def test_early_stopping_published_history(spark):
     acc = [0.9568, 0.9697, 0.9768, 0.9807, 0.9839, 0.9844, 0.9836, 0.9842, 0.9845, 0.9854]
-    h = spark.createDataFrame(list(enumerate(acc, 1)), "epoch int, accuracy double")
-    rows = ev.early_stopping(h, patience=3).orderBy("epoch").collect()
+    h = spark.createDataFrame([(1, e, a) for e, a in enumerate(acc, 1)], "run int, epoch int, accuracy double")
+    rows = ev.early_stopping(h, ["run"], patience=3).orderBy("epoch").collect()
     assert len(rows) == 10 and rows[-1]["best_epoch"] == 10 and rows[-1]["stop_epoch"] is None
     assert [r["improved"] for r in rows][6:8] == [False, False]
 
 
 def test_early_stopping_stops(spark):
     acc = [0.5, 0.6, 0.6, 0.55, 0.59, 0.9]
-    h = spark.createDataFrame(list(enumerate(acc, 1)), "epoch int, accuracy double")
-    rows = ev.early_stopping(h, patience=3).orderBy("epoch").collect()
+    h = spark.createDataFrame([(1, e, a) for e, a in enumerate(acc, 1)], "run int, epoch int, accuracy double")
+    rows = ev.early_stopping(h, ["run"], patience=3).orderBy("epoch").collect()
     assert [r["epoch"] for r in rows] == [1, 2, 3, 4, 5]  # equal is not better
     assert rows[-1]["stopped_here"] and rows[-1]["best_epoch"] == 2

@@ -32,11 +32,50 @@ def test_constant_column_scales_to_half(spark):
     assert vals == [0.5, 0.5]
 
 
-def test_null_becomes_nan_in_assembler(spark):
+def test_null_is_filled_for_every_input(spark):
     df = spark.createDataFrame([(1, 1.0, None)], "id long, a double, b double")
     m = build_pipeline([0, 1], False, None, wide_cols=["a", "b"]).fit(df)
     v = m.transform(df).select(vector_to_array("features").alias("v")).first()["v"]
-    assert v[0] == 1.0 and np.isnan(v[1])
+    assert list(v) == [1.0, 0.0]
+    rows = [(i, i % 3, None if i % 5 == 0 else float(i), float(i % 7)) for i in range(100)]
+    wide = spark.createDataFrame(rows, "id long, label int, a double, b double")
+    res = run_configuration(spark, wide, PrepConfig("n"), key_col="id", wide_cols=["a", "b"], save=False)
+    values = res["prepared"].select(F.explode(vector_to_array("features")).alias("v"))
+    assert values.count() == 200 and values.filter("isnan(v) or v is null").count() == 0
+
+
+def test_identical_rows_share_a_side_and_validation_stays_whole(spark):
+    rows = [(i, 1, 2.0, 3.0) for i in range(50)] + [(100 + i, i % 4, float(i), float(i % 9)) for i in range(400)]
+    wide = spark.createDataFrame(rows, "id long, label int, a double, b double")
+    full = run_configuration(spark, wide, PrepConfig("n"), key_col="id", wide_cols=["a", "b"], save=False)["prepared"]
+    assert full.filter("id < 50").select("split").distinct().count() == 1
+    part = run_configuration(spark, wide, PrepConfig("n"), key_col="id", wide_cols=["a", "b"], save=False,
+                             train_fraction=0.3)["prepared"]
+    sides = {r["split"]: r["count"] for r in part.groupBy("split").count().collect()}
+    assert sides["validation"] == full.filter("split = 'validation'").count() and sides["train"] < 250
+
+
+def test_a_stored_preparation_is_used_again(spark, emb, tmp_path):
+    args = dict(key_col="vec_id", vector_col="embedding", n_features=64, out_root=str(tmp_path))
+    first = run_configuration(spark, emb, DEFAULT_CONFIGS[1], **args)
+    again = run_configuration(spark, emb, DEFAULT_CONFIGS[1], **args)
+    assert again["summary"] == first["summary"] and again["prepared"].count() == 500
+    other = run_configuration(spark, emb.filter("label < 5"), DEFAULT_CONFIGS[1], **args)
+    assert other["summary"]["data_path"] != first["summary"]["data_path"]
+
+
+def test_neural_run_has_a_history_and_a_gate(spark, emb, tmp_path):
+    import json
+
+    res = run_configuration(spark, emb, DEFAULT_CONFIGS[1], key_col="vec_id", vector_col="embedding", n_features=64, save=False)
+    train, val = (res["prepared"].filter(f"split = '{s}'") for s in ("train", "validation"))
+    with pytest.raises(mdl.QualityGateError):
+        mdl.neural_run(spark, train, val, 64, 10, str(tmp_path))
+    doc = json.loads(spark.read.text(str(tmp_path / "multilayer_perceptron_metrics")).first()[0])
+    assert doc["history"][0]["improved"] and len(doc["history"]) > 1 and doc["class_metrics"]
+    mdl.neural_run(spark, train, val, 64, 10, str(tmp_path), prep_model=res["model"], min_accuracy=0.0)
+    name, model = mdl.load_best(spark, str(tmp_path / "models"))
+    assert name == "multilayer_perceptron" and model.transform(emb).count() == 500
 
 
 def test_prune_all_columns_is_clear_error():
@@ -61,7 +100,7 @@ def test_configuration_fits_on_train_only(spark, emb):
     assert r["dims"] == [1] and r["summary"]["removed_columns"] == 1
 
 
-def test_compare_publish_load_and_gate(spark, emb, tmp_path):
+def test_compare_publish_load_and_gate(spark, emb, tmp_path, monkeypatch):
     res = run_configuration(spark, emb, DEFAULT_CONFIGS[1], key_col="vec_id", vector_col="embedding", n_features=64)
     data = res["prepared"]
     train, val = data.filter("split = 'train'"), data.filter("split = 'validation'")
@@ -79,11 +118,18 @@ def test_compare_publish_load_and_gate(spark, emb, tmp_path):
     best = mdl.publish_best(spark, comp, res["model"], root, min_accuracy=0.0)
     name, model = mdl.load_best(spark, root)
     assert name == best["model"]
+    mdl.publish_best(spark, comp, res["model"], root, min_accuracy=0.0)
+    path = spark.read.schema(mdl.MANIFEST_SCHEMA).json(f"{root}/manifest").orderBy(F.desc("published")).first()["path"]
+    assert mdl.load_best(spark, path=path)[0] in path
+    monkeypatch.setenv(mdl.MODEL_PATH_VARIABLE, path + "-gone")
+    with pytest.raises(FileNotFoundError):
+        mdl.load_best(spark, root)
+    monkeypatch.delenv(mdl.MODEL_PATH_VARIABLE)
     scored = model.transform(emb)
     assert scored.count() == emb.count()
     mdl.write_reports(spark, comp, str(tmp_path / "reports"), range(10))
     cm = spark.read.option("header", "true").option("inferSchema", "true").csv(str(tmp_path / "reports/confusion_matrix_random_forest"))
-    assert cm.count() == 10 and len(cm.columns) == 11
+    assert cm.count() == 10 and len(cm.columns) == 12
 
 
 def test_input_identity_tracks_rewrites(spark, tmp_path):
@@ -98,3 +144,7 @@ def test_input_identity_tracks_rewrites(spark, tmp_path):
     time.sleep(1.1)
     spark.range(10).write.mode("overwrite").parquet(p)
     assert input_identity(spark, spark.read.parquet(p)) != a
+    whole = spark.read.parquet(p)
+    assert input_identity(spark, whole) != input_identity(spark, whole.filter("id > 3"))
+    one, two = (spark.createDataFrame([(k,)], "id long") for k in (1, 2))
+    assert input_identity(spark, one) != input_identity(spark, two)

@@ -50,3 +50,11 @@ def test_stream_equals_batch(spark):
     batch = score_logits(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet"), "embedding", "vec_id").drop("probability")
     assert streamed.count() == batch.count() == 500
     assert streamed.select(batch.columns).exceptAll(batch).count() == 0
+
+
+def test_stream_of_a_table_of_many_files(spark, tmp_path):
+    batch = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    batch.repartition(3).write.parquet(str(tmp_path / "embeddings.parquet"))
+    streamed = run_scoring_stream(spark, str(tmp_path), "embeddings")
+    want = score_logits(batch, "embedding", "vec_id").drop("probability")
+    assert streamed.count() == 500 and streamed.select(want.columns).exceptAll(want).count() == 0

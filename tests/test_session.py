@@ -23,6 +23,21 @@ def test_configured_checkpoint_dir_is_used(tmp_path):
     assert shared in sc_dir
 
 
+def test_unset_checkpoint_dir_is_refused_off_local():
+    """A cluster master without a shared folder is an error (no session is started)."""
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tabula.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,512]"):
+        sc = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master=master)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc))
+
+
 def test_unset_checkpoint_dir_gets_scratch(spark):
     from tabula.session import ensure_checkpoint_dir
 

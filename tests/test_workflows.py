@@ -16,6 +16,8 @@ def test_runs_end_to_end(spark, tmp_path):
     cols = [f"pixel{i}" for i in range(64)]
     st = wf.statistics_run(spark, wide, f"{root}/stats", wide_cols=cols)
     assert st["class_means"].count() == 640 and st["frequencies"].count() == 10
+    half = wf.statistics_run(spark, wide.filter("label < 5"), f"{root}/stats", wide_cols=cols)
+    assert half["class_means"].count() == 320  # another input never gets the stored tables
     summary, _ = wf.preprocessing_run(spark, wide, root, wide_cols=cols, test_df=wide.drop("label"),
                                       configs=[PrepConfig("normalized"), PrepConfig("pca8", pca_components=8)])
     rows = {r["configuration"]: r for r in summary.collect()}
@@ -45,19 +47,20 @@ def test_photo_to_decision(spark, tmp_path):
     def photo(shapes):
         img = white(260, 920)
         for i, kind in enumerate(shapes):
-            x = 55 + 175 * i
+            # no two drawn alike: equal segments would share a side of the split
+            x, top, bottom, pen = 55 + 175 * i, 60 + int(rng.integers(0, 20)), 200 - int(rng.integers(0, 20)), int(rng.integers(8, 15))
             if kind == 0:  # ring
-                img[60:200, x:x + 70] = 30
-                img[72:188, x + 12:x + 58] = 255
+                img[top:bottom, x:x + 70] = 30
+                img[top + pen:bottom - pen, x + pen:x + 70 - pen] = 255
             else:  # bar
-                img[60:200, x + 28:x + 42] = 30
+                img[top:bottom, x + 28:x + 28 + pen] = 30
         return png_bytes(img)
 
     train_dir, new_dir = tmp_path / "train", tmp_path / "new"
     train_dir.mkdir(), new_dir.mkdir()
     rng = np.random.default_rng(1)
     truth = {}
-    for i in range(6):
+    for i in range(12):
         shapes = [int(v) for v in rng.integers(0, 2, 5)]
         (train_dir / f"t{i}.png").write_bytes(photo(shapes))
         truth[f"t{i}.png"] = shapes
