@@ -38,16 +38,16 @@ def main() -> None:
     from tabula.session import local_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as entry
+    from tabula import registry
 
     spark = local_session(8)
-    oracle = entry.oracle_sql()
+    oracle = registry.ORACLE
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `scripts/plan_audit.py` on `{sf_dir}` (Spark {spark.version}, AQE on; the counts are of the")
     print("initial plan: AQE may still turn a sort-merge join into a broadcast join by measured size).\n")
     print("| Query | Oracle | Shuffles | Broadcasts | Joins | Nested-loop joins | Windows | Python stages | Scan columns |")
     print("|---|---|---|---|---|---|---|---|---|")
-    for name, fn in entry.queries().items():
+    for name, fn in registry.QUERIES.items():
         try:
             df = fn(spark, sf_dir)
             plan = df._jdf.queryExecution().executedPlan().toString()
