@@ -155,22 +155,28 @@ MANIFEST_SCHEMA = "model string, path string, published double"
 MODEL_PATH_VARIABLE = "TABULA_MODEL_PATH"
 
 
-def load_best(spark: SparkSession, root: str | None = None, path: str | None = None) -> tuple[str, PipelineModel]:
-    """Load a model from an explicit ``path``, else from the path in the
+def resolve_model(spark: SparkSession, root: str | None = None, path: str | None = None) -> tuple[str, str]:
+    """Name and path of a model: an explicit ``path``, else the path in the
     environment, else the one the manifest under ``root`` named last (whatever
     kind). A path that is named but missing is an error."""
     for where in (path, os.environ.get(MODEL_PATH_VARIABLE)):
         if where:
             if not path_exists(spark, where):
                 raise FileNotFoundError(f"no model at {where}")
-            return where.rstrip("/").rsplit("/", 1)[-1], PipelineModel.load(where)
+            return where.rstrip("/").rsplit("/", 1)[-1], where
     man = f"{(root or '').rstrip('/')}/manifest"
     if not root or not path_exists(spark, man):
         raise FileNotFoundError(f"no model manifest under {root}")
     row = spark.read.schema(MANIFEST_SCHEMA).json(man).orderBy(F.desc("published")).first()
     if row is None or not path_exists(spark, row["path"]):
         raise FileNotFoundError(f"model named by the manifest is missing: {row}")
-    return row["model"], PipelineModel.load(row["path"])
+    return row["model"], row["path"]
+
+
+def load_best(spark: SparkSession, root: str | None = None, path: str | None = None) -> tuple[str, PipelineModel]:
+    """The resolved model's name and the model."""
+    name, where = resolve_model(spark, root, path)
+    return name, PipelineModel.load(where)
 
 
 #: Accuracy that a neural run must reach to be published (the reference's default).

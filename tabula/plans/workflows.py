@@ -111,18 +111,46 @@ def scoring_run(spark: SparkSession, root: str, df: DataFrame, id_col: str, *,
                           n_classes=n_classes)
 
 
+RESULT_COLUMNS = ("n_predictions bigint, valid boolean, postal_code string, global_confidence double, decision string, "
+                  "decision_label string, weakest_position int, review_reason string")
+
+
 def photo_run(spark: SparkSession, image_path: str, root: str, *, glob: str | None = None,
               thicken: bool = False, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """SURVEY 3.3 for a directory of photos: ingest checks, segmentation into
     five 28 x 28 digits, scoring with the published model and one decision
-    per photo. Returns (decisions, image_status)."""
+    per photo. Returns (decisions, image_status).
+
+    Results are kept in a memo store under ``root``, keyed by the photo's
+    content, the model, the threshold and the option (I9): a photo whose content
+    has a result, or shares its content with another of this run, is not worked
+    on again."""
+    import uuid
+
     from tabula.operators import images
+    from tabula.plans.score import memo_key, pending, stored_results
+    from tabula.session import scratch_path
 
+    _, model_path = mdl.resolve_model(spark, f"{root}/models")
+    store = f"{root.rstrip('/')}/photo_results"
+    schema = f"memo_key string, reject_reason string, {RESULT_COLUMNS}"
+    names = [c.split()[0] for c in RESULT_COLUMNS.split(", ")]
     # one small row per file, read by the pixel stage and the status: written
     # once so the files' contents are hashed once
-    meta = images.written_metadata(spark, images.ingest(spark, image_path, glob))
-    segs, status = images.segment_images(images.decoded(spark, image_path, glob), meta, thicken=thicken)
-    rows = images.segments_as_rows(segs)
-    decisions = scoring_run(spark, root, rows, "segment_id", group_col="path", position_col="position",
-                            n=images.EXPECTED_DIGITS, threshold=threshold)
-    return decisions, status
+    tag = memo_key(F.col("content_key"), f"{model_path}@{threshold}", thicken)
+    meta = images.written_metadata(spark, images.ingest(spark, image_path, glob).withColumn("memo_key", tag))
+    todo = pending(meta, stored_results(spark, store, schema)).groupBy("memo_key").agg(F.min("path").alias("path"))
+    todo = images.written_metadata(spark, todo.select("path", F.lit(True).alias("todo")))
+    marked = meta.join(todo, "path", "left").withColumn(
+        "reject_reason", F.when(F.col("todo").isNull(), "known").otherwise(F.col("reject_reason"))).drop("todo")
+    marked = images.written_metadata(spark, marked)
+    segs, status = images.segment_images(images.decoded(spark, image_path, glob), marked, thicken=thicken)
+    decisions = scoring_run(spark, root, images.segments_as_rows(segs), "segment_id", group_col="path",
+                            position_col="position", n=images.EXPECTED_DIGITS, threshold=threshold)
+    fresh = (status.filter("reject_reason is null or reject_reason <> 'known'").join(decisions, "path", "left")
+             .join(meta.select("path", "memo_key"), "path"))
+    new = scratch_path(spark, "photo", uuid.uuid4().hex)
+    fresh.select("memo_key", "reject_reason", *names).write.parquet(new)
+    spark.read.schema(schema).parquet(new).write.mode("append").parquet(store)
+    known = meta.select("path", "memo_key").join(stored_results(spark, store, schema), "memo_key")
+    return known.filter("n_predictions is not null").select("path", *names), known.select("path", "reject_reason")

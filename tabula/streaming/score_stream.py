@@ -11,17 +11,22 @@ resumes exactly-once from its checkpoint after a driver or executor loss.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabula.plans.score import score_logits
+from tabula.operators.decide import group_analysis
+from tabula.plans.score import score_logits, score_model
 from tabula.session import scratch_path
 from tabula.sources.tables import is_directory
 
 
 def scoring_stream(spark: SparkSession, source_dir: str, table: str, logits_col: str = "embedding",
-                   id_col: str = "vec_id", n_classes: int = 10, max_files_per_trigger: int = 64) -> DataFrame:
-    """The streaming DataFrame: file source -> scorer (no state, no shuffle)."""
+                   id_col: str = "vec_id", n_classes: int = 10, max_files_per_trigger: int = 64, model=None,
+                   carry: Sequence[str] = ()) -> DataFrame:
+    """The streaming DataFrame: file source -> scorer (no state, no shuffle).
+    The scorer is a published ``model`` (preparation and classifier), which keeps
+    the ``carry`` columns, or without one the logits column."""
     path = f"{source_dir.rstrip('/')}/{table}.parquet"
     reader = (spark.readStream.schema(spark.read.parquet(path).schema)
               .option("maxFilesPerTrigger", max_files_per_trigger))
@@ -31,9 +36,19 @@ def scoring_stream(spark: SparkSession, source_dir: str, table: str, logits_col:
         src = reader.parquet(path)
     else:
         src = reader.option("pathGlobFilter", f"{table}.parquet").parquet(source_dir)
+    if model is not None:
+        return score_model(model, src, id_col, n_classes, carry)
     return score_logits(src, logits_col, id_col, 0, n_classes).drop("probability")
 
 
+def run_decision_stream(spark: SparkSession, source_dir: str, table: str, model, group_col: str, position_col: str,
+                        id_col: str, n: int = 5, threshold: float = 0.8, **kw) -> DataFrame:
+    """The published model over a stream, then one decision per group (H13) from
+    the sink's rows; groups may arrive in any number of files."""
+    scored = run_scoring_stream(spark, source_dir, table, model=model, id_col=id_col, carry=(group_col, position_col), **kw)
+    return group_analysis(scored, group_col, position=position_col, n=n, threshold=threshold)
+
+
 def run_scoring_stream(spark: SparkSession, source_dir: str, table: str = "embeddings",
                        out_dir: str | None = None, checkpoint: str | None = None, **kw) -> DataFrame:
     """Run the stream to completion (availableNow) and return the sink as a

@@ -32,6 +32,12 @@ def test_runs_end_to_end(spark, tmp_path):
                      F.floor(F.col("vec_id") / 5).alias("g"), (F.col("vec_id") % 5 + 1).cast("int").alias("pos"))
     decisions = wf.scoring_run(spark, root, keyed, "vec_id", group_col="g", position_col="pos")
     assert decisions.count() == 100 and decisions.filter("valid").count() == 100
+    from tabula.plans.models import load_best
+    from tabula.streaming.score_stream import run_decision_stream
+
+    keyed.repartition(3).write.parquet(f"{root}/in/digits.parquet")
+    streamed = run_decision_stream(spark, f"{root}/in", "digits", load_best(spark, f"{root}/models")[1], "g", "pos", "vec_id")
+    assert streamed.count() == 100 and streamed.exceptAll(decisions).count() == 0
 
 
 def test_photo_to_decision(spark, tmp_path):
@@ -80,5 +86,13 @@ def test_photo_to_decision(spark, tmp_path):
     decisions, status = wf.photo_run(spark, str(new_dir), root)
     st = {r["path"].rsplit("/", 1)[-1]: r["reject_reason"] for r in status.collect()}
     assert st["n0.png"] is None and st["blank.png"] is not None
+    (new_dir / "again.png").write_bytes((new_dir / "n0.png").read_bytes())
+    (new_dir / "n1.png").write_bytes(photo([1, 1, 0, 0, 0]))
+    before = spark.read.parquet(f"{root}/photo_results").count()
+    second, status = wf.photo_run(spark, str(new_dir), root)
+    codes = {r["path"].rsplit("/", 1)[-1]: r["postal_code"] for r in second.collect()}
+    assert codes == {"n0.png": "01011", "again.png": "01011", "n1.png": "11000"}
+    assert spark.read.parquet(f"{root}/photo_results").count() == before + 1  # the new content only
+    assert {r["path"].rsplit("/", 1)[-1]: r["reject_reason"] for r in status.collect()}["blank.png"] is not None
     d = decisions.collect()
     assert len(d) == 1 and d[0]["valid"] and d[0]["postal_code"] == "01011"
