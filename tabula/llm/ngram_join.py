@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prepare, table, written
+from .common import checked_broadcast, prepare, table, written
 from .similar_sets import similar_sets
 
 BANDS, ROWS = 25, 5
@@ -80,7 +80,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def shingles_of(members: DataFrame) -> DataFrame:
         named = members.select("set_id", F.col("pick.row").alias("row"))
-        return (named.join(_rows(docs).select("row", "text"), "row").select("set_id", "text")
+        return (_rows(docs).select("row", "text").join(checked_broadcast(named, 60), "row").select("set_id", "text")
                 .mapInArrow(_shingles, "set_id binary, shingles array<long>"))
 
     linked = similar_sets(spark, sets, shingles_of, NUMERATOR, DENOMINATOR, "ngram")

@@ -17,19 +17,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import checked_broadcast, written
 from .components import components
 
 BLOCK = 1024
 RARE = 8
 
 
-def bucket_links(banded: DataFrame) -> DataFrame:
+def bucket_links(banded: DataFrame, name: str) -> DataFrame:
     """Links (a, b) from each set to the least set of each of its buckets, for
     ``banded`` rows (set_id, bands)."""
     each = banded.select("set_id", F.explode("bands").alias("h"))
     buckets = each.groupBy("h").agg(F.min("set_id").alias("b"), F.max("set_id").alias("z")).filter("b <> z").drop("z")
-    return each.join(buckets, "h").filter("set_id <> b").select(F.col("set_id").alias("a"), "b")
+    buckets = written(banded.sparkSession, buckets, f"{name}-colliding")
+    return each.join(checked_broadcast(buckets, 60), "h").filter("set_id <> b").select(F.col("set_id").alias("a"), "b")
 
 
 def similar_sets(spark: SparkSession, sets: DataFrame, shingles_of: Callable[[DataFrame], DataFrame],
@@ -42,7 +43,7 @@ def similar_sets(spark: SparkSession, sets: DataFrame, shingles_of: Callable[[Da
     numerator/denominator or more; ``root`` is the least set of its component.
     """
     kind = sets.schema["set_id"].dataType.simpleString()
-    groups = components(spark, bucket_links(sets), f"{name}-buckets")
+    groups = components(spark, bucket_links(sets, name), f"{name}-buckets")
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = (groups.join(sizes, "root").join(sets.drop("bands").withColumnRenamed("set_id", "node"), "node")
                .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
