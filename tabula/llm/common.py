@@ -17,6 +17,7 @@ _RUNS = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 _DOUBLE = re.compile(r"\s\s")
 #: Tokenizer files are a few MB; a larger one is refused rather than shipped to every task.
 MAX_VOCABULARY_BYTES = 64 << 20
+BATCH_ROWS = 2048
 #: Most that a join broadcasts, by counted rows.
 BROADCAST_BYTES = 32 << 20
 
@@ -32,10 +33,12 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checked_broadcast(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``small`` with a broadcast hint if its rows, counted, take at most ``limit``
-    bytes; beyond that Spark joins by shuffle. ``small`` should be a table read."""
-    return F.broadcast(small) if small.count() * row_bytes <= limit else small
+def checked_broadcast(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES, rows: int | None = None) -> DataFrame:
+    """``small`` with a broadcast hint if its rows, counted (or given as
+    ``rows``), take at most ``limit`` bytes; beyond that Spark joins by shuffle.
+    ``small`` should be a table read."""
+    rows = small.count() if rows is None else rows
+    return F.broadcast(small) if rows * row_bytes <= limit else small
 
 
 def vocabulary(path: str) -> bytes:
@@ -49,8 +52,12 @@ def vocabulary(path: str) -> bytes:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make the package importable in the Python workers."""
+    """Make the package importable in the Python workers, and keep the Arrow
+    batches of whole texts as small as this library's own sessions do."""
     ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
 
 
 def pieces(text: str) -> list[str]:
@@ -73,9 +80,9 @@ _TWO_BLANKS = (r"[\t-\r\x{1c}-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\
 
 
 def coded_pieces(texts: list[str]):
-    """``pieces`` of many texts at once: the distinct pieces, and for each text an
-    array of their numbers. Texts without two blanks in a row are cut and
-    numbered by Arrow; the others one by one."""
+    """``pieces`` of many texts at once: the distinct pieces as an Arrow array, and
+    for each text an array of their numbers. Texts without two blanks in a row
+    are cut and numbered by Arrow; the others one by one."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -85,18 +92,14 @@ def coded_pieces(texts: list[str]):
     regular = [t for t, o in zip(texts, odd) if not o]
     cut = pc.split_pattern(pa.array(regular, pa.large_string()), " ")
     numbered = cut.values.dictionary_encode()
-    # Arrow leaves out the space that each piece but a text's first begins with
-    spelled = [" " + w for w in numbered.dictionary.to_pylist()]
     code = numbered.indices.to_numpy().astype(np.int64)
     ends = cut.offsets.to_numpy()
     own: dict[str, int] = {}
 
     def number(piece: str) -> int:
-        if piece not in own:
-            own[piece] = len(spelled)
-            spelled.append(piece)
-        return own[piece]
+        return own.setdefault(piece, len(numbered.dictionary) + len(own))
 
+    # a space begins each piece but a text's first
     for i, t in zip(ends[:-1].tolist(), regular):
         code[i] = number(t.split(" ", 1)[0])
     out, k = [], 0
@@ -106,7 +109,18 @@ def coded_pieces(texts: list[str]):
         else:
             out.append(code[ends[k]:ends[k + 1]])
             k += 1
-    return spelled, out
+    blank = pa.scalar(" ", pa.large_string())
+    spaced = pc.binary_join_element_wise(blank, numbered.dictionary, pa.scalar("", pa.large_string()))
+    return pa.concat_arrays([spaced, pa.array(own, pa.large_string())]), out
+
+
+def stretches(flat, start, size, code):
+    """The stretches ``flat[start:start + size]`` of the entries ``code``, in a row."""
+    import numpy as np
+
+    n = size[code]
+    ends = np.cumsum(n)
+    return flat[np.repeat(start[code] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def segments(text: str, limit: int) -> Iterator[str]:
@@ -128,6 +142,22 @@ def segments(text: str, limit: int) -> Iterator[str]:
     yield text[start:]
 
 
+def text_groups(batches, limit: int) -> Iterator[tuple[list, list[str]]]:
+    """doc_ids and texts (null as empty) of Arrow batches, whole rows of about
+    ``limit`` characters together."""
+    keys, texts, size = [], [], 0
+    for batch in batches:
+        for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            keys.append(key)
+            texts.append(text or "")
+            size += len(texts[-1])
+            if size >= limit:
+                yield keys, texts
+                keys, texts, size = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def by_bytes(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have about ``limit`` characters together."""
     start = size = 0

@@ -33,14 +33,14 @@ from pyspark.sql import functions as F
 
 from tabula.session import scratch_path
 
-from .common import by_bytes, coded_pieces, prepare, segments, table, vocabulary
+from .common import coded_pieces, prepare, segments, stretches, table, text_groups, vocabulary
 
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 20
-GROUP_CHARS = 12_000_000
+GROUP_CHARS = 10_000_000
 ROW_PIECES = 500
 SEGMENT_CHARS = 1_000_000
-MEMORY_PIECES = 400_000
+MEMORY_PIECES = 1_000_000
 ZSTD_LEVEL = 3
 CHUNK_SCHEMA = ("part int, chunk int, first long, n_ids long, doc_ids array<long>, doc_n array<long>, "
                 "frames array<int>, body binary")
@@ -92,72 +92,113 @@ def decode_block(frames: list[bytes], n: int):
 
 class _Encoder:
     """Ids of texts by way of their distinct pieces, with a bounded memory of
-    pieces met."""
+    pieces met: their spellings as an Arrow array, their ids in a row."""
 
     def __init__(self, model: bytes):
         import json
 
         import numpy as np
+        import pyarrow as pa
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(model.decode())
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.known, self.flat = pa.array([], pa.large_string()), np.empty(0, "<u4")
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
         # a byte-level token is spelled with one character a byte, an added token as it is
         bytes_of = {i: len(t) for t, i in self.tok.get_vocab().items()}
         bytes_of.update({a["id"]: len(a["content"].encode()) for a in json.loads(model).get("added_tokens", [])})
         self.bytes_of = np.zeros(max(bytes_of) + 1, np.int64)
         self.bytes_of[list(bytes_of)] = list(bytes_of.values())
 
-    def _encode(self, texts: list[str]) -> list:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _new(self, words: list[str]) -> dict[str, bytes]:
-        """The library's ids of pieces. Pieces that begin with a blank and end
-        without one are encoded many in a row, and the ids cut at the pieces'
-        last bytes; if a cut does not fall between two ids, all are encoded alone."""
+    def _encode(self, texts: list[str]):
+        """Ids of all texts in a row, and how many each has."""
         import numpy as np
 
-        in_row = [w for w in words if w[:1] == " " and not w[-1].isspace()]
-        rows = self._encode(["".join(in_row[i:i + ROW_PIECES]) for i in range(0, len(in_row), ROW_PIECES)])
-        ids = np.fromiter(chain.from_iterable(rows), "<u4", sum(map(len, rows)))
+        ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), "<u4", int(size.sum())), size
+
+    def _new(self, words):
+        """The library's ids of an Arrow array of pieces, in a row, and how many
+        each has. Pieces are encoded many in a row and the ids cut at the pieces'
+        last bytes; if one begins without a blank or ends with one, or a cut does
+        not fall between two ids, each is encoded alone."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        safe = pc.match_substring_regex(words, r"^ (?s:.)*[^\s]$").to_numpy(zero_copy_only=False).astype(bool)
+        safe &= pc.equal(words, pc.utf8_rtrim_whitespace(words)).to_numpy(zero_copy_only=False)
+        in_row = words.filter(pa.array(safe))
+        begins = [*range(0, len(in_row), ROW_PIECES), len(in_row)]
+        rows = pc.binary_join(pa.ListArray.from_arrays(pa.array(begins, pa.int32()), in_row.cast(pa.string())), "").to_pylist()
+        ids, _ = self._encode(rows)
         ends = np.cumsum(self.bytes_of[ids])
-        stops = np.cumsum(np.fromiter(map(len, map(str.encode, in_row)), np.int64, len(in_row)))
+        stops = np.cumsum(pc.binary_length(in_row).to_numpy().astype(np.int64))
         cuts = np.searchsorted(ends, stops)
-        out = {}
-        if len(ids) and cuts[-1] < len(ids) and (ends[cuts] == stops).all():
-            raw, cuts = ids.tobytes(), (4 * cuts + 4).tolist()
-            out = {w: raw[a:b] for w, a, b in zip(in_row, [0, *cuts], cuts)}
-        alone = [w for w in words if w not in out]
-        for i in range(0, len(alone), ROW_PIECES):
-            part = alone[i:i + ROW_PIECES]
-            out.update((w, array("I", ids).tobytes()) for w, ids in zip(part, self._encode(part)))
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(in_row) and not (cuts[-1] < len(ids) and (ends[cuts] == stops).all()):
+            return self._encode(words.to_pylist())
+        others, other_size = self._encode(words.filter(pa.array(~safe)).to_pylist())
+        size = np.empty(len(words), np.int64)
+        size[safe], size[~safe] = np.diff(cuts + 1, prepend=0), other_size
+        flat = np.empty(len(ids) + len(others), "<u4")
+        own = np.repeat(safe, size)
+        flat[own], flat[~own] = ids, others
+        return flat, size
+
+    def _known(self, words):
+        """Flat ids and, for each word of an Arrow array of distinct words, its
+        start and size among them."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        at = pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = at < 0
+        fresh = words.filter(pa.array(new))
+        flat, fresh_size = self._new(fresh)
+        fresh_start = np.cumsum(fresh_size) - fresh_size + len(self.flat)
+        start, size = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        start[new], size[new] = fresh_start, fresh_size
+        start[~new], size[~new] = self.start[at[~new]], self.size[at[~new]]
+        every = np.concatenate([self.flat, flat])
+        if (room := min(len(fresh), MEMORY_PIECES - len(self.known))) > 0:
+            self.known = pa.concat_arrays([self.known, fresh.slice(0, room)])
+            self.start = np.concatenate([self.start, fresh_start[:room]])
+            self.size = np.concatenate([self.size, fresh_size[:room]])
+            self.flat = every[:fresh_start[room - 1] + fresh_size[room - 1]].copy()
+        return every, start, size
+
+    def _ids(self, spelled):
+        """The same for pieces. Stops and commas after a letter or digit are
+        pre-tokens of their own, so a piece is looked up without them."""
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        cut = pc.extract_regex(spelled, r"(?P<stem>^(?s:.)*[\p{L}\p{N}])(?P<tail>[.,]+)$")
+        ends = pc.is_valid(cut).to_numpy(zero_copy_only=False).astype(bool)
+        stems = pc.coalesce(pc.struct_field(cut, "stem"), spelled)
+        tails = pc.struct_field(cut, "tail").filter(pa.array(ends))
+        parts = pa.concat_arrays([stems.cast(pa.large_string()), tails.cast(pa.large_string())]).dictionary_encode()
+        flat, start, size = self._known(parts.dictionary)
+        code = parts.indices.to_numpy().astype(np.int64)
+        # stem and tail of each piece in turn
+        turns = np.insert(code[:len(spelled)], np.flatnonzero(ends) + 1, code[len(spelled):])
+        piece = np.repeat(np.arange(len(spelled)), 1 + ends)
+        size_of = np.bincount(piece, weights=size[turns], minlength=len(spelled)).astype(np.int64)
+        return stretches(flat, start, size, turns), np.cumsum(size_of) - size_of, size_of
 
+    def encode(self, texts: list[str]) -> list[bytes]:
         parts = [list(segments(t, SEGMENT_CHARS)) for t in texts]
         spelled, codes = coded_pieces([s for p in parts for s in p])
-        known = self.known
-        fresh = self._new([w for w in spelled if w not in known])
-        ids = [known[w] if w in known else fresh[w] for w in spelled]
-        for w in list(fresh)[:max(0, MEMORY_PIECES - len(known))]:
-            known[w] = fresh[w]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        start = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(ids), "<u4")
+        flat, start, size = self._ids(spelled)
         out, k = [], 0
         for p in parts:
-            one = []
-            for code in codes[k:k + len(p)]:
-                n = size[code]
-                ends = np.cumsum(n)
-                at = np.repeat(start[code] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
-                one.append(flat[at].tobytes())
+            out.append(b"".join(stretches(flat, start, size, code).tobytes() for code in codes[k:k + len(p)]))
             k += len(p)
-            out.append(b"".join(one))
         return out
 
 
@@ -184,17 +225,14 @@ def _packer(model: bytes, end_id: int):
                  pa.array([[len(f) for f in frames]], pa.list_(pa.int32())), pa.array([b"".join(frames)], pa.binary())],
                 ["part", "chunk", "first", "n_ids", "doc_ids", "doc_n", "frames", "body"])
 
-        for batch in batches:
-            keys = batch.column("doc_id").to_pylist()
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for lo, hi in by_bytes(texts, GROUP_CHARS):
-                for key, ids in zip(keys[lo:hi], enc.encode(texts[lo:hi])):
-                    docs.append(key)
-                    held.append(ids + end)
-                    n += len(ids) // 4 + 1
-                    if n >= CHUNK_IDS:
-                        yield row()
-                        chunk, first, docs, held, n = chunk + 1, first + n, [], [], 0
+        for keys, texts in text_groups(batches, GROUP_CHARS):
+            for key, ids in zip(keys, enc.encode(texts)):
+                docs.append(key)
+                held.append(ids + end)
+                n += len(ids) // 4 + 1
+                if n >= CHUNK_IDS:
+                    yield row()
+                    chunk, first, docs, held, n = chunk + 1, first + n, [], [], 0
         if docs:
             yield row()
 

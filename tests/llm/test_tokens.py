@@ -118,7 +118,7 @@ def test_small_memory_gives_the_same_ids(monkeypatch):
     monkeypatch.setattr(token_files, "SEGMENT_CHARS", 60)
     model = open(P.path("byte_bpe_50k.json"), "rb").read()
     tok, enc = Tokenizer.from_str(model.decode()), token_files._Encoder(model)
-    texts = [(t or "")[:5000] for t in awkward_texts()]
+    texts = [(t or "")[:5000] for t in awkward_texts()] + ["a, b. 1., x.,. ,. .. é,\n it's, 3.14. \u0301, <|endoftext|>."]
     assert enc.encode(texts) == [array("I", tok.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
     assert len(enc.known) == 20
 
