@@ -33,6 +33,13 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_intermediate(spark: SparkSession) -> None:
+    """Delete what ``written`` left in the shared folder, once no result that
+    reads it is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "llm"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checked_broadcast(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES, rows: int | None = None) -> DataFrame:
     """``small`` with a broadcast hint if its rows, counted (or given as
     ``rows``), take at most ``limit`` bytes; beyond that Spark joins by shuffle.

@@ -18,23 +18,27 @@ def components(spark: SparkSession, links: DataFrame, name: str) -> DataFrame:
     rows in the join can be split. Every round is written out and read back, so
     the lineage stays short and lost executors repeat one round at most.
     """
-    links = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links, before = written(spark, links, name), None
-    while True:
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            break
-        before = state
+    links = written(spark, links.filter("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    while not _all_stars(links):
         links = written(spark, _small_star(_large_star(links)), name)
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(roots)
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """Whether every node has one link to a smaller node, or only links to larger ones."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        links.select("b", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.filter("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Each node links its larger neighbours to the least of its neighbourhood."""
     both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return (both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+    return (both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(links: DataFrame) -> DataFrame:

@@ -48,6 +48,30 @@ def shingles(hashes, size: int = SHINGLE_WORDS):
     return np.unique(mix(h))
 
 
+def many_shingles(hashes, begins, sizes, size: int = SHINGLE_WORDS):
+    """Distinct shingles of many texts of ``size`` words or more, text after text
+    and sorted in each, and where each text's end. ``begins`` and ``sizes`` are the
+    texts' places among the word hashes."""
+    h = np.full(max(0, len(hashes) - size + 1), size, np.uint64)
+    for j in range(size):
+        h = h * _MIX + hashes[j:j + len(h)]
+    n = sizes - size + 1
+    text = np.repeat(np.arange(len(begins)), n)
+    h = mix(h)[np.repeat(begins - np.cumsum(n) + n, n) + np.arange(n.sum())]
+    order = np.lexsort((h, text))
+    h, text = h[order], text[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])])
+    return h[new], np.cumsum(np.bincount(text[new], minlength=len(begins)))
+
+
+def set_names(grams, ends):
+    """64-bit names of shingle sets, and 32 bits more to tell apart what shares one."""
+    starts = np.concatenate([[0], ends[:-1]])
+    name = mix(np.add.reduceat(mix(grams ^ _MIX), starts) + (ends - starts).astype(np.uint64))
+    second = mix(np.bitwise_xor.reduceat(mix(grams + _MIX), starts)) >> np.uint64(32)
+    return name.view(np.int64), second.astype(np.uint32).view(np.int32)
+
+
 def set_id(grams) -> bytes:
     """128-bit name of a shingle set."""
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
@@ -64,6 +88,19 @@ class Bands:
         self.b = rng.integers(0, 1 << 32, bands * rows, np.uint32)
         self.salt = rng.integers(0, 1 << 63, bands, np.int64).astype(np.uint64)
 
+    def of_many(self, grams, ends):
+        """Band hashes of many sets that lie in a row (a line for each)."""
+        x = (grams >> np.uint64(32)).astype(np.uint32)
+        starts = np.concatenate([[0], ends[:-1]])
+        bands, rows = self.shape
+        out = np.repeat(self.salt[:, None], len(starts), axis=1)
+        for j in range(rows):
+            for k in range(bands):
+                i = k * rows + j
+                low = np.minimum.reduceat(x * self.a[i] + self.b[i], starts)
+                out[k] = mix((out[k] ^ low) * _MIX)
+        return np.ascontiguousarray(out.T).view(np.int64)
+
     def of(self, grams):
         x = (grams >> np.uint64(32)).astype(np.uint32)[:, None]
         low = np.full(len(self.a), 0xFFFFFFFF, np.uint32)

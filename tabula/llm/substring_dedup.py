@@ -62,9 +62,11 @@ def _similar_lines(rows: DataFrame) -> DataFrame:
     sets = written(spark, sets, "dedup-sets")
 
     def shingles_of(members: DataFrame) -> DataFrame:
-        named = members.select("set_id", "pick.row", "pick.begin", "pick.words")
-        texts = rows.select("row", "text").join(checked_broadcast(named, 40), "row")
-        return texts.select("set_id", "begin", "words", "text").mapInArrow(
+        named = members.select("pick.row", "set_id", "pick.begin", "pick.words")
+        # a document's lines together, so that its text goes along once
+        lists = named.groupBy("row").agg(*[F.collect_list(c).alias(c) for c in ("set_id", "begin", "words")])
+        texts = rows.select("row", "text").join(checked_broadcast(lists, 40, rows=named.count()), "row")
+        return texts.select("text", "set_id", "begin", "words").mapInArrow(
             _line_shingles, "set_id long, shingles array<long>")
 
     linked = similar_sets(spark, sets, shingles_of, NUMERATOR, DENOMINATOR, "dedup")
@@ -82,7 +84,8 @@ def _similar_lines(rows: DataFrame) -> DataFrame:
 
 def _passages(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
-    cut = rows.mapInArrow(_cut_paragraphs, "h long, second int, row long, doc_id long, begin int, words int")
+    cut = written(spark, rows.mapInArrow(
+        _cut_paragraphs, "h long, second int, row long, doc_id long, begin int, words int"), "dedup-paragraphs")
     firsts = cut.groupBy("h", "second").agg(F.count("*").alias("n"), _first("row", "begin")).filter("n > 1").drop("n")
     firsts = written(spark, firsts, "dedup-repeated")
     repeated = written(spark, cut.join(checked_broadcast(firsts, 60), ["h", "second"]), "dedup-cut")
@@ -112,25 +115,36 @@ def _lines(batches):
     import pyarrow as pa
 
     from tabula.llm import minhash
+    from tabula.llm.common import by_bytes
 
     bands, known = minhash.Bands(BANDS, ROWS), minhash.WordHashes()
     for batch in batches:
-        out: list[list] = [[] for _ in range(7)]
-        for row, doc, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
-            at = 0
-            for line in (text or "").encode().split(b"\n"):
-                words = line.split()
-                if len(words) >= LINE_WORDS:
-                    grams = minhash.shingles(minhash.word_hashes(words, known))
-                    name = minhash.set_id(grams)
-                    one = (row, doc, at, len(words), int.from_bytes(name[:8], "little", signed=True),
-                           int.from_bytes(name[8:12], "little", signed=True), bands.of(grams))
-                    for o, v in zip(out, one):
-                        o.append(v)
-                at += len(words)
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
-        yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)],
-                                         ["row", "doc_id", "begin", "words", "set_id", "second", "bands"])
+        rows, docs, texts = (batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))
+        for lo, hi in by_bytes([t or "" for t in texts], 4_000_000):
+            words: list[bytes] = []
+            begins, sizes, places, owner = [], [], [], []
+            for r in range(lo, hi):
+                at = 0
+                for line in (texts[r] or "").encode().split(b"\n"):
+                    cut = line.split()
+                    if len(cut) >= LINE_WORDS:
+                        begins.append(len(words))
+                        sizes.append(len(cut))
+                        places.append(at)
+                        owner.append(r)
+                        words += cut
+                    at += len(cut)
+            if not words:
+                continue
+            grams, ends = minhash.many_shingles(minhash.word_hashes(words, known), np.array(begins), np.array(sizes))
+            name, second = minhash.set_names(grams, ends)
+            flat = bands.of_many(grams, ends).reshape(-1)
+            owner = pa.array(owner)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(begins) + 1, dtype=np.int32) * BANDS), pa.array(flat))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.int64()).take(owner), pa.array(docs, pa.int64()).take(owner), pa.array(places, pa.int32()),
+                 pa.array(sizes, pa.int32()), pa.array(name), pa.array(second), lists],
+                ["row", "doc_id", "begin", "words", "set_id", "second", "bands"])
 
 
 def _line_shingles(batches):
@@ -141,13 +155,14 @@ def _line_shingles(batches):
 
     known = minhash.WordHashes()
     for batch in batches:
-        for lo in range(0, batch.num_rows, 1000):
-            part = batch.slice(lo, 1000)
-            grams = []
-            for begin, n, text in zip(*(part.column(c).to_pylist() for c in ("begin", "words", "text"))):
-                words = text.encode().split()[begin:begin + n]
-                grams.append(minhash.shingles(minhash.word_hashes(words, known)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([part.column("set_id"), pa.array(grams, pa.list_(pa.int64()))],
+        for lo in range(0, batch.num_rows, 200):
+            part = batch.slice(lo, 200)
+            names, grams = [], []
+            for text, ids, begins, sizes in zip(*(part.column(c).to_pylist() for c in ("text", "set_id", "begin", "words"))):
+                hashes = minhash.word_hashes(text.encode().split(), known)
+                names += ids
+                grams += [minhash.shingles(hashes[b:b + n]).view(np.int64) for b, n in zip(begins, sizes)]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(grams, pa.list_(pa.int64()))],
                                              ["set_id", "shingles"])
 
 
