@@ -67,6 +67,33 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(rows, str(BATCH_ROWS))
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the system: Python workers are used again by
+    later stages, and several share an executor's memory with its JVM."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it keeps what it has
+
+
+def lean(run):
+    """A mapInArrow function that releases memory when its task ends."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return task
+
+
 def pieces(text: str) -> list[str]:
     """Cut a text before each white-space run: every piece is a run of white
     space (maybe none) and the non-space run after it; the last may be white

@@ -8,20 +8,10 @@ import numpy as np
 
 SHINGLE_WORDS = 5
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-class WordHashes(dict):
-    """64-bit hash of a word, remembered while the memory stays bounded."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < self.LIMIT:
-            self[word] = h
-        return h
+_BASE = np.uint64(0xD6E8FEB86659FD93)
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: A random code for each byte; blanks add nothing to a word.
+_CODE = np.where(_BLANK, 0, np.random.default_rng(11).integers(1, 1 << 63, 256, np.int64)).astype(np.uint64)
 
 
 def mix(h):
@@ -30,8 +20,25 @@ def mix(h):
     return h ^ (h >> np.uint64(33))
 
 
-def word_hashes(words: list[bytes], known: WordHashes):
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def hashed_words(texts: list[str | None]):
+    """64-bit hashes of the words (runs between ASCII blanks) of many texts, in a
+    row; how many words each text has; and the words' line numbers, counted
+    through all texts. A word's hash is a polynomial in its bytes' random codes,
+    made for all bytes at once."""
+    raw = np.frombuffer(b"\n".join([(t or "").encode() for t in texts]) + b"\n", np.uint8)
+    blank = _BLANK[raw]
+    starts = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+    if not len(starts):
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64), starts
+    span = np.diff(np.append(starts, len(raw)))
+    power = np.cumprod(np.full(int(span.max()), _BASE, np.uint64), dtype=np.uint64)
+    tail = raw[starts[0]:]
+    place = np.arange(len(tail)) - np.repeat(starts - starts[0], span)
+    hashes = mix(np.add.reduceat(_CODE[tail] * power[place], starts - starts[0]))
+    breaks = np.flatnonzero(raw == 10)
+    lines = np.searchsorted(breaks, starts)
+    text_ends = np.cumsum([len((t or "").encode()) + 1 for t in texts])
+    return hashes, np.diff(np.searchsorted(starts, text_ends), prepend=0), lines
 
 
 def shingles(hashes, size: int = SHINGLE_WORDS):

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, prepare, table, written
+from .common import checked_broadcast, lean, prepare, table, written
 from .similar_sets import similar_sets
 
 BANDS, ROWS = 25, 5
@@ -71,7 +71,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     class's pick and size."""
     spark = docs.sparkSession
     prepare(spark)
-    rows = written(spark, _rows(docs).mapInArrow(_sketch, "row long, doc_id long, set_id binary, bands array<long>"),
+    rows = written(spark, _rows(docs).mapInArrow(lean(_sketch), "row long, doc_id long, set_id binary, bands array<long>"),
                    "ngram-rows")
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("pick")
     sets = rows.filter("set_id is not null").groupBy("set_id").agg(
@@ -81,7 +81,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     def shingles_of(members: DataFrame) -> DataFrame:
         named = members.select("set_id", F.col("pick.row").alias("row"))
         return (_rows(docs).select("row", "text").join(checked_broadcast(named, 60), "row").select("set_id", "text")
-                .mapInArrow(_shingles, "set_id binary, shingles array<long>"))
+                .mapInArrow(lean(_shingles), "set_id binary, shingles array<long>"))
 
     linked = similar_sets(spark, sets, shingles_of, NUMERATOR, DENOMINATOR, "ngram")
     every = sets.select("set_id", "copies", "pick").join(linked, "set_id", "left").select(
@@ -90,18 +90,31 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.drop("bands"), written(spark, every.drop("pick").join(least, "root").drop("root"), "ngram-classes")
 
 
+def _sets(texts: list[str | None]):
+    """The shingle set of each text."""
+    import numpy as np
+
+    from tabula.llm import minhash
+
+    hashes, counts, _ = minhash.hashed_words(texts)
+    ends = np.cumsum(counts)
+    return [minhash.shingles(hashes[a:b]) for a, b in zip(ends - counts, ends)]
+
+
 def _sketch(batches):
     import pyarrow as pa
 
     from tabula.llm import minhash
+    from tabula.llm.common import by_bytes
 
-    bands, known = minhash.Bands(BANDS, ROWS), minhash.WordHashes()
+    bands = minhash.Bands(BANDS, ROWS)
     for batch in batches:
+        texts = batch.column("text").to_pylist()
         ids, hashes = [], []
-        for t in batch.column("text"):
-            grams = minhash.shingles(minhash.word_hashes((t.as_py() or "").encode().split(), known))
-            ids.append(minhash.set_id(grams) if len(grams) else None)
-            hashes.append(bands.of(grams) if len(grams) else [])
+        for lo, hi in by_bytes([t or "" for t in texts], 4_000_000):
+            for grams in _sets(texts[lo:hi]):
+                ids.append(minhash.set_id(grams) if len(grams) else None)
+                hashes.append(bands.of(grams) if len(grams) else [])
         yield pa.RecordBatch.from_arrays(
             [batch.column("row"), batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))],
             ["row", "doc_id", "set_id", "bands"])
@@ -111,15 +124,13 @@ def _shingles(batches):
     import numpy as np
     import pyarrow as pa
 
-    from tabula.llm import minhash
+    from tabula.llm.common import by_bytes
 
-    known = minhash.WordHashes()
     for batch in batches:
-        for lo in range(0, batch.num_rows, 500):
-            part = batch.slice(lo, 500)
-            grams = [minhash.shingles(minhash.word_hashes((t.as_py() or "").encode().split(), known)).view(np.int64)
-                     for t in part.column("text")]
-            yield pa.RecordBatch.from_arrays([part.column("set_id"), pa.array(grams, pa.list_(pa.int64()))],
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        for lo, hi in by_bytes(texts, 2_000_000):
+            grams = [g.view(np.int64) for g in _sets(texts[lo:hi])]
+            yield pa.RecordBatch.from_arrays([batch.column("set_id").slice(lo, hi - lo), pa.array(grams, pa.list_(pa.int64()))],
                                              ["set_id", "shingles"])
 
 

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, written
+from .common import checked_broadcast, lean, written
 from .components import components
 
 BLOCK = 1024
@@ -54,7 +54,7 @@ def similar_sets(spark: SparkSession, sets: DataFrame, shingles_of: Callable[[Da
              .select(F.col("root").alias("grp"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                      "block", "set_id", "copies", "shingles"))
     compared = (dealt.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
-                .mapInArrow(_compare(numerator, denominator), f"set_id {kind}, root {kind}, links long"))
+                .mapInArrow(lean(_compare(numerator, denominator)), f"set_id {kind}, root {kind}, links long"))
     compared = written(spark, compared, f"{name}-compared")
     roots = components(spark, compared.select(F.col("set_id").alias("a"), F.col("root").alias("b")), f"{name}-links")
     links = compared.groupBy("set_id").agg(F.sum("links").alias("links"))

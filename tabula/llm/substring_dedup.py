@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, prepare, table, written
+from .common import checked_broadcast, lean, prepare, table, written
 from .components import components
 from .similar_sets import similar_sets
 
@@ -56,7 +56,7 @@ def _first(*place: str):
 def _similar_lines(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     lines = written(spark, rows.mapInArrow(
-        _lines, "row long, doc_id long, begin int, words int, set_id long, second int, bands array<long>"), "dedup-lines")
+        lean(_lines), "row long, doc_id long, begin int, words int, set_id long, second int, bands array<long>"), "dedup-lines")
     sets = lines.groupBy("set_id").agg(F.count("*").alias("copies"), _first("row", "begin", "words", "second"),
                                        F.first("bands").alias("bands"))
     sets = written(spark, sets, "dedup-sets")
@@ -67,7 +67,7 @@ def _similar_lines(rows: DataFrame) -> DataFrame:
         lists = named.groupBy("row").agg(*[F.collect_list(c).alias(c) for c in ("set_id", "begin", "words")])
         texts = rows.select("row", "text").join(checked_broadcast(lists, 40, rows=named.count()), "row")
         return texts.select("text", "set_id", "begin", "words").mapInArrow(
-            _line_shingles, "set_id long, shingles array<long>")
+            lean(_line_shingles), "set_id long, shingles array<long>")
 
     linked = similar_sets(spark, sets, shingles_of, NUMERATOR, DENOMINATOR, "dedup")
     every = sets.select("set_id", "copies", "pick").join(linked, "set_id", "left").filter("links is not null or copies > 1")
@@ -85,10 +85,13 @@ def _similar_lines(rows: DataFrame) -> DataFrame:
 def _passages(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     cut = written(spark, rows.mapInArrow(
-        _cut_paragraphs, "h long, second int, row long, doc_id long, begin int, words int"), "dedup-paragraphs")
-    firsts = cut.groupBy("h", "second").agg(F.count("*").alias("n"), _first("row", "begin")).filter("n > 1").drop("n")
-    firsts = written(spark, firsts, "dedup-repeated")
-    repeated = written(spark, cut.join(checked_broadcast(firsts, 60), ["h", "second"]), "dedup-cut")
+        lean(_cut_paragraphs), "h long, second int, row long, doc_id long, begin int, words int"), "dedup-paragraphs")
+    # which ones repeat is found on plain counts; their places follow for these alone
+    again = cut.groupBy("h", "second").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    again = written(spark, again, "dedup-repeated")
+    repeated = written(spark, cut.join(checked_broadcast(again, 40), ["h", "second"]), "dedup-cut")
+    firsts = repeated.groupBy("h", "second").agg(_first("row", "begin"))
+    repeated = repeated.join(firsts, ["h", "second"])
     by_place = Window.partitionBy("row").orderBy("begin")
     kept = (F.col("row") == F.col("pick.row")) & (F.col("begin") == F.col("pick.begin"))
     runs = repeated.withColumn("removed", ~kept).select(
@@ -110,41 +113,42 @@ def _passages(rows: DataFrame) -> DataFrame:
         F.col("head.first_doc_id").alias("first_doc_id"), "removed")
 
 
+def _groups(batches):
+    """Rows of about 4 million characters together: row, doc_id, texts."""
+    from tabula.llm.common import by_bytes
+
+    for batch in batches:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        for lo, hi in by_bytes(texts, 4_000_000):
+            part = batch.slice(lo, hi - lo)
+            yield part.column("row"), part.column("doc_id"), texts[lo:hi]
+
+
 def _lines(batches):
     import numpy as np
     import pyarrow as pa
 
     from tabula.llm import minhash
-    from tabula.llm.common import by_bytes
 
-    bands, known = minhash.Bands(BANDS, ROWS), minhash.WordHashes()
-    for batch in batches:
-        rows, docs, texts = (batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))
-        for lo, hi in by_bytes([t or "" for t in texts], 4_000_000):
-            words: list[bytes] = []
-            begins, sizes, places, owner = [], [], [], []
-            for r in range(lo, hi):
-                at = 0
-                for line in (texts[r] or "").encode().split(b"\n"):
-                    cut = line.split()
-                    if len(cut) >= LINE_WORDS:
-                        begins.append(len(words))
-                        sizes.append(len(cut))
-                        places.append(at)
-                        owner.append(r)
-                        words += cut
-                    at += len(cut)
-            if not words:
-                continue
-            grams, ends = minhash.many_shingles(minhash.word_hashes(words, known), np.array(begins), np.array(sizes))
-            name, second = minhash.set_names(grams, ends)
-            flat = bands.of_many(grams, ends).reshape(-1)
-            owner = pa.array(owner)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(begins) + 1, dtype=np.int32) * BANDS), pa.array(flat))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()).take(owner), pa.array(docs, pa.int64()).take(owner), pa.array(places, pa.int32()),
-                 pa.array(sizes, pa.int32()), pa.array(name), pa.array(second), lists],
-                ["row", "doc_id", "begin", "words", "set_id", "second", "bands"])
+    bands = minhash.Bands(BANDS, ROWS)
+    for rows, docs, texts in _groups(batches):
+        hashes, counts, lines = minhash.hashed_words(texts)
+        first = np.flatnonzero(np.diff(lines, prepend=-1))
+        sizes = np.diff(np.append(first, len(hashes)))
+        first, sizes = first[sizes >= LINE_WORDS], sizes[sizes >= LINE_WORDS]
+        if not len(first):
+            continue
+        text_ends = np.cumsum(counts)
+        owner = np.searchsorted(text_ends, first, side="right")
+        grams, ends = minhash.many_shingles(hashes, first, sizes)
+        name, second = minhash.set_names(grams, ends)
+        flat = bands.of_many(grams, ends).reshape(-1)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * BANDS), pa.array(flat))
+        place = (first - (text_ends - counts)[owner]).astype(np.int32)
+        owner = pa.array(owner)
+        yield pa.RecordBatch.from_arrays(
+            [rows.take(owner), docs.take(owner), pa.array(place), pa.array(sizes.astype(np.int32)), pa.array(name),
+             pa.array(second), lists], ["row", "doc_id", "begin", "words", "set_id", "second", "bands"])
 
 
 def _line_shingles(batches):
@@ -153,15 +157,15 @@ def _line_shingles(batches):
 
     from tabula.llm import minhash
 
-    known = minhash.WordHashes()
     for batch in batches:
         for lo in range(0, batch.num_rows, 200):
             part = batch.slice(lo, 200)
+            hashes, counts, _ = minhash.hashed_words(part.column("text").to_pylist())
             names, grams = [], []
-            for text, ids, begins, sizes in zip(*(part.column(c).to_pylist() for c in ("text", "set_id", "begin", "words"))):
-                hashes = minhash.word_hashes(text.encode().split(), known)
+            starts = np.cumsum(counts) - counts
+            for start, ids, begins, sizes in zip(starts, *(part.column(c).to_pylist() for c in ("set_id", "begin", "words"))):
                 names += ids
-                grams += [minhash.shingles(hashes[b:b + n]).view(np.int64) for b, n in zip(begins, sizes)]
+                grams += [minhash.shingles(hashes[start + b:start + b + n]).view(np.int64) for b, n in zip(begins, sizes)]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(grams, pa.list_(pa.int64()))],
                                              ["set_id", "shingles"])
 
@@ -190,40 +194,25 @@ def _cut_paragraphs(batches):
     import pyarrow as pa
 
     from tabula.llm import minhash
-    from tabula.llm.common import by_bytes
 
-    known = minhash.WordHashes()
-    for batch in batches:
-        rows, docs, texts = (batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))
-        for lo, hi in by_bytes([t or "" for t in texts], 4_000_000):
-            words: list[bytes] = []
-            begins, row_of, doc_begin = [], [], []
-            for r in range(lo, hi):
-                start = len(words)
-                for line in (texts[r] or "").encode().split(b"\n"):
-                    cut = line.split()
-                    if cut:
-                        begins.append(len(words))
-                        words += cut
-                row_of += [r] * (len(words) > start)
-                doc_begin += [start] * (len(words) > start)
-            if not words:
-                continue
-            hashes = minhash.word_hashes(words, known)
-            # documents meet at line begins, so that only a reach beside them looks across
-            cuts = cut_places(hashes, begins)
-            size = np.diff(np.append(cuts, len(words)))
-            place = np.arange(len(words)) - np.repeat(cuts, size)
-            spread = minhash.mix(hashes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            h = minhash.mix(np.add.reduceat(spread, cuts) + size.astype(np.uint64))
-            second = minhash.mix(np.bitwise_xor.reduceat(spread, cuts)) >> np.uint64(32)
-            own = np.searchsorted(doc_begin, cuts, side="right") - 1
-            row = np.array(row_of)[own]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(second.astype(np.uint32).view(np.int32)),
-                 pa.array(np.array(rows, np.int64)[row]), pa.array(docs, pa.int64()).take(pa.array(row)),
-                 pa.array((cuts - np.array(doc_begin)[own]).astype(np.int32)), pa.array(size.astype(np.int32))],
-                ["h", "second", "row", "doc_id", "begin", "words"])
+    for rows, docs, texts in _groups(batches):
+        hashes, counts, lines = minhash.hashed_words(texts)
+        if not len(hashes):
+            continue
+        # documents meet at line begins, so that only a reach beside them looks across
+        cuts = cut_places(hashes, np.flatnonzero(np.diff(lines, prepend=-1)))
+        size = np.diff(np.append(cuts, len(hashes)))
+        place = np.arange(len(hashes)) - np.repeat(cuts, size)
+        spread = minhash.mix(hashes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        h = minhash.mix(np.add.reduceat(spread, cuts) + size.astype(np.uint64))
+        second = minhash.mix(np.bitwise_xor.reduceat(spread, cuts)) >> np.uint64(32)
+        text_ends = np.cumsum(counts)
+        owner = np.searchsorted(text_ends, cuts, side="right")
+        begin = (cuts - (text_ends - counts)[owner]).astype(np.int32)
+        owner = pa.array(owner)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(h.view(np.int64)), pa.array(second.astype(np.uint32).view(np.int32)), rows.take(owner), docs.take(owner),
+             pa.array(begin), pa.array(size.astype(np.int32))], ["h", "second", "row", "doc_id", "begin", "words"])
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
