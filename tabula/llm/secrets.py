@@ -148,7 +148,8 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, keep: tuple[str, ...]
 
 
 def redact(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """All rows and columns of ``docs``, with every secret in a text replaced by
+    """All rows and columns of ``docs`` (a plain table read, since rows are named
+    by a running number of the scan), with every secret in a text replaced by
     ``REDACTED`` (and n_chars, if there is one, counted again)."""
     row, found = "scanned_row", "scanned_secrets"
     while {row, found} & {c.lower() for c in docs.columns}:
