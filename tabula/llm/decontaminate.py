@@ -27,11 +27,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, prepare, table, written
+from .common import by_bytes, lean, prepare, table, written
 
 WINDOW = 13
-SHARD_WORDS = 2_000_000
-SHARD_CHARS = 12_000_000
+SHARD_WORDS = 1_000_000
+SHARD_CHARS = 4_000_000
 SAMPLE = 16
 SLICE_BYTES = 8 << 20
 #: A-Z lower-cased, other ASCII letters and digits and all bytes of longer code points kept, the rest blank.
@@ -303,12 +303,12 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", name: s
         return spark.sparkContext.broadcast(Phrases([tuple(r) for r in part.collect()], window))
 
     if slices == 1:
-        return docs.mapInArrow(_hits(phrases_of(0), text, name), schema), name
+        return docs.mapInArrow(lean(_hits(phrases_of(0), text, name)), schema), name
     row = "row_" + name
     numbered = written(spark, docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate-rows")
     texts = numbered.select(row, text)
     one = texts.select("*", F.lit(None).cast(schema[name].dataType).alias(name)).schema
-    parts = [texts.mapInArrow(_hits(phrases_of(k), text, name), one).select(row, name) for k in range(slices)]
+    parts = [texts.mapInArrow(lean(_hits(phrases_of(k), text, name)), one).select(row, name) for k in range(slices)]
     every = parts[0]
     for p in parts[1:]:
         every = every.unionAll(p)

@@ -24,7 +24,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, prepare, segments, table, vocabulary
+from .common import by_bytes, lean, prepare, segments, table, vocabulary
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -56,7 +56,7 @@ def with_quality(docs: DataFrame, model_path: str, text: str = "text", lang: str
         name += "_"
     figures = _figures(vocabulary(model_path), text, lang if lang in docs.columns else None, name)
     schema = docs.select("*", F.lit(None).cast(f"struct<{STATS.replace(' ', ':').replace(',:', ',')}>").alias(name)).schema
-    return docs.mapInArrow(figures, schema), name
+    return docs.mapInArrow(lean(figures), schema), name
 
 
 def quality(docs: DataFrame, model_path: str) -> DataFrame:

@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, prepare, segments, table, vocabulary
+from .common import by_bytes, lean, prepare, segments, table, vocabulary
 
 BATCH_CHARS = 4_000_000
 SEGMENT_CHARS = 1_000_000
@@ -32,7 +32,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, token_limit: int = TOKEN_
     tokenizer must drop white space (so that spaces are safe boundaries)."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    counted = rows.mapInArrow(_counter(vocabulary(tokenizer_path)), "doc_id long, n_bytes long, n_tokens long")
+    counted = rows.mapInArrow(lean(_counter(vocabulary(tokenizer_path))), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > token_limit)
 
 

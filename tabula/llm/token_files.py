@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tabula.session import scratch_path
 
-from .common import coded_pieces, prepare, segments, stretches, table, text_groups, vocabulary
+from .common import coded_pieces, lean, prepare, segments, stretches, table, text_groups, vocabulary
 
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 20
@@ -52,7 +52,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     # the text's hash is part of the range, so that rows of one doc_id can be spread
     ordered = (rows.withColumn("salt", F.xxhash64("text")).repartitionByRange("doc_id", "salt")
                .sortWithinPartitions("doc_id", "salt", "text").select("doc_id", "text"))
-    chunks = ordered.mapInArrow(_packer(vocabulary(tokenizer_path), end_id), CHUNK_SCHEMA)
+    chunks = ordered.mapInArrow(lean(_packer(vocabulary(tokenizer_path), end_id)), CHUNK_SCHEMA)
     chunks.write.option("compression", "none").parquet(path)
 
 
@@ -66,7 +66,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
     bases = (chunks.groupBy("part").agg(F.sum("n_ids").alias("n"))
              .select("part", F.coalesce(before, F.lit(0)).alias("base")))
     schema = "part int, doc_id long, at long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
-    read = chunks.mapInArrow(_unpacker(with_ids), schema)
+    read = chunks.mapInArrow(lean(_unpacker(with_ids)), schema)
     cols = ["doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"]
     return read.join(bases, "part").select(*cols, *(["ids"] if with_ids else []))
 
