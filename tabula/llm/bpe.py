@@ -35,11 +35,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces, prepare, segments, table, vocabulary
+from .common import coded_pieces, lean, prepare, release_memory, segments, stretches, table, text_groups, vocabulary
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 10_000_000
 SEGMENT_CHARS = 1_000_000
-MEMORY_WORDS = 1_000_000
+MEMORY_WORDS = 600_000
 MAX_BUCKETS = 4096
 BLOCK_SCHEMA = "block string, bucket int, body binary, doc_ids array<long>, doc_n array<int>"
 
@@ -48,16 +48,18 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(tok): int(rank) for tok, rank in map(bytes.split, data.splitlines())}
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizers.PATTERN, then=None,
+           schema: str = "doc_id long, ids binary") -> DataFrame:
     """``doc_id, ids`` (ids as little-endian unsigned 32-bit integers in a
-    binary) for each row of ``docs``."""
+    binary) for each row of ``docs``; or what ``then`` makes of an Arrow table of
+    these, in the task that reassembled them, with the columns of ``schema``."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = max(16, min(MAX_BUCKETS, 2 * rows.rdd.getNumPartitions()))
-    words = rows.mapInArrow(_blocks(buckets, words=True), BLOCK_SCHEMA)
-    known = words.repartition("bucket").mapInArrow(_encode_words(vocabulary(ranks_path), pattern), BLOCK_SCHEMA)
-    positions = rows.mapInArrow(_blocks(buckets, words=False), BLOCK_SCHEMA)
-    return positions.unionAll(known).groupBy("block").applyInArrow(_reassemble, "doc_id long, ids binary")
+    words = rows.mapInArrow(lean(_blocks(buckets, words=True)), BLOCK_SCHEMA)
+    known = words.repartition("bucket").mapInArrow(lean(_encode_words(vocabulary(ranks_path), pattern)), BLOCK_SCHEMA)
+    positions = rows.mapInArrow(lean(_blocks(buckets, words=False)), BLOCK_SCHEMA)
+    return positions.unionAll(known).groupBy("block").applyInArrow(_finish(then), schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -65,97 +67,78 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     them) and ``decoded``, the bytes that the ids stand for."""
     prepare(encoded.sparkSession)
     schema = encoded.select("*", F.lit(b"").alias("decoded")).schema
-    return encoded.mapInArrow(_decode(vocabulary(ranks_path)), schema)
+    return encoded.mapInArrow(lean(_decode(vocabulary(ranks_path))), schema)
 
 
-def _pack_strings(words: list[str]) -> bytes:
+def _pack(lens, body: bytes) -> bytes:
+    """Lengths as byte planes, then the bytes, in one compressed frame."""
     import numpy as np
     import zstandard
 
-    raw = [w.encode() for w in words]
-    lens = np.fromiter(map(len, raw), "<u4", len(raw))
-    return _pack(lens, b"".join(raw), zstandard)
-
-
-def _pack(lens, body: bytes, zstandard) -> bytes:
-    """Lengths as byte planes, then the bytes, in one compressed frame."""
-    planes = lens.view("u1").reshape(-1, 4).T.tobytes()
-    head = len(lens).to_bytes(8, "little")
-    return zstandard.ZstdCompressor(level=3).compress(head + planes + body)
+    planes = np.ascontiguousarray(lens, "<u4").view("u1").reshape(-1, 4).T.tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(len(lens).to_bytes(8, "little") + planes + body)
 
 
 def _unpack(blob: bytes):
+    """Lengths and the bytes in a row."""
     import numpy as np
     import zstandard
 
     raw = zstandard.ZstdDecompressor().decompress(blob)
     n = int.from_bytes(raw[:8], "little")
     lens = np.ascontiguousarray(np.frombuffer(raw, "u1", 4 * n, 8).reshape(4, n).T).view("<u4").reshape(-1)
-    body = memoryview(raw)[8 + 4 * n:]
-    ends = np.cumsum(lens, dtype=np.int64)
-    return [bytes(body[a:b]) for a, b in zip((ends - lens).tolist(), ends.tolist())]
+    return lens.astype(np.int64), raw[8 + 4 * n:]
 
 
 def _blocks(buckets: int, words: bool):
     def run(batches):
         import hashlib
-        from array import array
         from zlib import crc32
 
         import numpy as np
         import pyarrow as pa
-        import zstandard
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        local: dict[str, int] = {}
-        keys, counts, codes, size, digest = [], [], array("I"), 0, hashlib.blake2b(digest_size=12)
 
-        def rows():
+        def rows(keys, texts):
+            digest = hashlib.blake2b(digest_size=12)
+            for key, text in zip(keys, texts):
+                digest.update(f"{key}:{len(text)}:".encode())
+                digest.update(text.encode())
             name = f"{part}:{number}:{digest.hexdigest()}"
-            spelled = list(local)
-            bucket = np.fromiter((crc32(w.encode()) % buckets for w in spelled), np.uint16, len(spelled))
+            parts = [list(segments(t, SEGMENT_CHARS)) for t in texts]
+            spelled, codes = coded_pieces([s for p in parts for s in p])
+            spelled = spelled.cast(pa.large_binary())
+            bucket = np.fromiter((crc32(w) % buckets for w in spelled.to_pylist()), np.uint16, len(spelled))
             if not words:
-                by = bucket.view("u1").reshape(-1, 2).T.tobytes()
-                at = np.frombuffer(codes, "<u4").view("u1").reshape(-1, 4).T.tobytes()
-                head = len(spelled).to_bytes(8, "little")
-                body = zstandard.ZstdCompressor(level=3).compress(head + by + at)
-                yield name, None, body, list(keys), list(counts)
+                size = np.fromiter(map(len, codes), np.int64, len(codes))
+                firsts = np.cumsum([0, *map(len, parts)])[:-1]
+                counts = np.add.reduceat(size, firsts) if len(firsts) else size
+                body = np.concatenate(codes).astype("<u4").view("u1").reshape(-1, 4).T.tobytes()
+                yield name, None, _pack(bucket, body), list(keys), counts.tolist()
                 return
             order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            for part_of in np.split(order, cuts) if len(order) else []:
-                yield name, int(bucket[part_of[0]]), _pack_strings([spelled[i] for i in part_of]), None, None
-
-        def batch_of(out):
-            cols = list(zip(*out))
+            ordered, of = spelled.take(pa.array(order)), bucket[order]
+            lens = pc.binary_length(ordered).to_numpy()
+            ends = np.cumsum(lens)
+            body = b"".join(ordered.to_pylist())
+            cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for a, b in zip(cuts, cuts[1:]):
+                if b > a:
+                    yield name, int(of[a]), _pack(lens[a:b], body[ends[a] - lens[a]:ends[b - 1]]), None, None
+
+        def batch_of(keys, texts):
+            cols = zip(*rows(keys, texts))
             kinds = [pa.string(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                               ["block", "bucket", "body", "doc_ids", "doc_n"])
 
-        for batch in batches:
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                text = text or ""
-                digest.update(f"{key}:{len(text)}:".encode())
-                digest.update(text.encode())
-                n = len(codes)
-                for segment in segments(text, SEGMENT_CHARS):
-                    cut = pieces(segment)
-                    for w in cut:
-                        if w not in local:
-                            local[w] = len(local)
-                    codes.extend(map(local.__getitem__, cut))
-                keys.append(key)
-                counts.append(len(codes) - n)
-                size += len(text)
-                if size >= BLOCK_CHARS:
-                    if out := list(rows()):
-                        yield batch_of(out)
-                    number += 1
-                    local.clear()
-                    keys, counts, codes, size, digest = [], [], array("I"), 0, hashlib.blake2b(digest_size=12)
-        if keys and (out := list(rows())):
-            yield batch_of(out)
+        for keys, texts in text_groups(batches, BLOCK_CHARS):
+            if not words or any(texts):
+                yield batch_of(keys, texts)
+            number += 1
 
     return run
 
@@ -167,7 +150,6 @@ def _encode_words(ranks: bytes, pattern: str):
         import numpy as np
         import pyarrow as pa
         import tiktoken
-        import zstandard
 
         enc = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(ranks), special_tokens={})
         known: dict[bytes, bytes] = {}
@@ -183,8 +165,10 @@ def _encode_words(ranks: bytes, pattern: str):
         for batch in batches:
             bodies = []
             for blob in batch.column("body"):
-                ids = list(map(ids_of, _unpack(blob.as_py())))
-                bodies.append(_pack(np.fromiter(map(len, ids), "<u4", len(ids)), b"".join(ids), zstandard))
+                lens, body = _unpack(blob.as_py())
+                ends = np.cumsum(lens)
+                ids = [ids_of(body[a:b]) for a, b in zip((ends - lens).tolist(), ends.tolist())]
+                bodies.append(_pack(np.fromiter(map(len, ids), "<u4", len(ids)), b"".join(ids)))
             i = batch.schema.get_field_index("body")
             yield batch.set_column(i, pa.field("body", pa.binary()), pa.array(bodies, pa.binary()))
 
@@ -194,52 +178,96 @@ def _encode_words(ranks: bytes, pattern: str):
 def _reassemble(block):
     import numpy as np
     import pyarrow as pa
-    import zstandard
 
     bucket = block.column("bucket").to_pylist()
     bodies = block.column("body")
     if None not in bucket:
         raise RuntimeError("words of a block that the second reading did not give: the input's rows changed order")
     at = bucket.index(None)
-    raw = zstandard.ZstdDecompressor().decompress(bodies[at].as_py())
-    n = int.from_bytes(raw[:8], "little")
-    of = np.ascontiguousarray(np.frombuffer(raw, "u1", 2 * n, 8).reshape(2, n).T).view("<u2").reshape(-1)
-    codes = np.frombuffer(raw, "u1", offset=8 + 2 * n)
-    codes = np.ascontiguousarray(codes.reshape(4, len(codes) // 4).T).view("<u4").reshape(-1)
-    spelled: list = [None] * n
+    of, codes = _unpack(bodies[at].as_py())
+    codes = np.ascontiguousarray(np.frombuffer(codes, "u1").reshape(4, len(codes) // 4).T).view("<u4").reshape(-1)
+    start, size = np.zeros(len(of), np.int64), np.full(len(of), -1)
+    flat, total = [], 0
     for k, b in enumerate(bucket):
         if b is not None:
-            for code, ids in zip(np.flatnonzero(of == b).tolist(), _unpack(bodies[k].as_py())):
-                spelled[code] = ids
-    if None in spelled:
+            lens, ids = _unpack(bodies[k].as_py())
+            mine = np.flatnonzero(of == b)
+            if len(mine) != len(lens):
+                size[:] = -1
+                break
+            size[mine] = lens // 4
+            start[mine] = total + np.cumsum(lens // 4) - lens // 4
+            flat.append(ids)
+            total += len(ids) // 4
+    if (size < 0).any() and len(codes):
         raise RuntimeError("a block whose words are missing: the input's rows changed order between two readings")
-    out, i = [], 0
-    for c in block.column("doc_n")[at].as_py():
-        out.append(b"".join(map(spelled.__getitem__, codes[i:i + c].tolist())))
-        i += c
+    flat = np.frombuffer(b"".join(flat), "<u4")
+    ends = np.cumsum(block.column("doc_n")[at].as_py(), dtype=np.int64)
+    out = [stretches(flat, start, size, codes[a:b]).tobytes() for a, b in zip([0, *ends.tolist()], ends.tolist())]
     return pa.table({"doc_id": pa.array(block.column("doc_ids")[at].as_py(), pa.int64()), "ids": pa.array(out, pa.binary())})
 
 
+def _finish(then):
+    def run(block):
+        table = _reassemble(block)
+        try:
+            return table if then is None else then(table)
+        finally:
+            release_memory()
+
+    return run
+
+
+class Decoder:
+    """Bytes of ids by the token-byte table, which is built once per task."""
+
+    def __init__(self, ranks: bytes):
+        self.ranks, self.table = ranks, None
+
+    def __call__(self, ids: bytes | None) -> bytes | None:
+        import numpy as np
+
+        if self.table is None:
+            spelled = sorted((rank, tok) for tok, rank in read_ranks(self.ranks).items())
+            size = np.zeros(spelled[-1][0] + 1, np.int64)
+            size[[rank for rank, _ in spelled]] = [len(tok) for _, tok in spelled]
+            self.table = np.frombuffer(b"".join(tok for _, tok in spelled), "u1"), np.cumsum(size) - size, size
+        return None if ids is None else stretches(*self.table, np.frombuffer(ids, "<u4")).tobytes()
+
+
 def _decode(ranks: bytes):
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        spelled = {rank: tok for tok, rank in read_ranks(ranks).items()}
+        decode_one = Decoder(ranks)
         for batch in batches:
-            out = [None if x is None else b"".join(map(spelled.__getitem__, np.frombuffer(x, "<u4").tolist()))
-                   for x in (v.as_py() for v in batch.column("ids"))]
+            out = [decode_one(v.as_py()) for v in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "decoded"])
 
     return run
 
 
+def _digested(ranks: bytes):
+    decode_one = Decoder(ranks)
+
+    def run(encoded):
+        from hashlib import sha256
+
+        import pyarrow as pa
+
+        rows = [(len(ids) // 4, sha256(ids).hexdigest(), sha256(decode_one(ids)).hexdigest())
+                for ids in (v.as_py() for v in encoded.column("ids"))]
+        n, first, second = zip(*rows)
+        return pa.table({"doc_id": encoded.column("doc_id"), "n_tokens": pa.array(n, pa.int64()),
+                         "ids_sha256": pa.array(first), "decoded_sha256": pa.array(second)})
+
+    return run
+
+
 def digests(docs: DataFrame, ranks_path: str) -> DataFrame:
     """Encode, decode, and return ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
-    encoded = encode(docs, ranks_path)
-    return decode(encoded, ranks_path).select(
-        "doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode(docs, ranks_path, then=_digested(vocabulary(ranks_path)),
+                  schema="doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
