@@ -20,7 +20,7 @@ give no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
@@ -32,22 +32,26 @@ FANOUT = 16
 
 def warc_records(pages: DataFrame, records_per_file: int = RECORDS_PER_FILE) -> DataFrame:
     """Pages as WARC records in files of ``records_per_file`` page ids: page_id,
-    file_no, offset, length and the record's bytes."""
+    file_no and the record's bytes."""
     body = F.coalesce("html", F.lit(""))
     record = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")),
         F.lit("\r\nWARC-Record-ID: <urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
         F.lit(">\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
-    rows = pages.select("page_id", F.floor(F.col("page_id") / records_per_file).alias("file_no"), record.alias("record"))
-    rows = rows.select("page_id", "file_no", F.octet_length("record").cast("long").alias("length"),
-                       F.sha2("record", 256).alias("digest"), F.encode("record", "utf-8").alias("record"))
-    before = Window.partitionBy("file_no").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.select("page_id", "file_no", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length", "record")
+    return pages.select("page_id", F.floor(F.col("page_id") / records_per_file).alias("file_no"),
+                        F.encode(record, "utf-8").alias("record"))
 
 
-def replica(records: DataFrame) -> DataFrame:
-    """What an audit reads of records: page_id, file_no, offset, length, digest."""
-    return records.select("page_id", "file_no", "offset", "length", F.sha2("record", 256).alias("digest"))
+def replicas(records: DataFrame, *stored: Column) -> list[DataFrame]:
+    """What an audit reads of each copy of some records: page_id, file_no,
+    offset, length, digest. ``stored`` are the records' bytes as each copy holds
+    them, of equal lengths. Digests are made where the records are read, so
+    only they go through the shuffle that lays out the files."""
+    digests = [F.sha2(c, 256).alias(f"digest_{k}") for k, c in enumerate(stored)]
+    slim = records.select("page_id", "file_no", F.octet_length("record").cast("long").alias("length"), *digests)
+    before = Window.partitionBy("file_no").orderBy("page_id", "digest_0").rowsBetween(Window.unboundedPreceding, -1)
+    laid = slim.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    return [laid.select("page_id", "file_no", "offset", "length", F.col(f"digest_{k}").alias("digest")) for k in range(len(stored))]
 
 
 def merkle_tree(spark: SparkSession, replica: DataFrame, height: int, name: str) -> DataFrame:
@@ -108,19 +112,19 @@ def audit(spark: SparkSession, first: DataFrame, second: DataFrame) -> DataFrame
     return both.filter(~same).select(value("page_id"), value("file_no"), value("offset"), value("length"), status.alias("status"))
 
 
-def damaged(records: DataFrame) -> DataFrame:
-    """The records with bit rot: the last byte before the closing line breaks
-    of every 97th page's record is another one. Lengths and offsets stay."""
-    at = F.col("length") - 4
-    byte = F.expr("substring(record, cast(length - 4 as int), 1)")
-    rot = F.overlay("record", F.when(byte == F.lit(b"~"), F.lit(b"!")).otherwise(F.lit(b"~")), at.cast("int"), F.lit(1))
-    return records.withColumn("record", F.when(F.col("page_id") % 97 == 5, rot).otherwise(F.col("record")))
+def rotten(record: str = "record") -> Column:
+    """The record with bit rot: the last byte before the closing line breaks of
+    every 97th page's record is another one."""
+    at = F.octet_length(record) - 4
+    byte = F.expr(f"substring({record}, octet_length({record}) - 4, 1)")
+    rot = F.overlay(record, F.when(byte == F.lit(b"~"), F.lit(b"!")).otherwise(F.lit(b"~")), at, F.lit(1))
+    return F.when(F.col("page_id") % 97 == 5, rot).otherwise(F.col(record))
 
 
 def op6_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages' archive audited against the damaged replica."""
-    records = warc_records(table(spark, sf_dir, "pages"))
-    return audit(spark, replica(records), replica(damaged(records)))
+    whole, damaged = replicas(warc_records(table(spark, sf_dir, "pages")), F.col("record"), rotten())
+    return audit(spark, whole, damaged)
 
 
 OP6_SQL = f"""

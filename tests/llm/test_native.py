@@ -104,15 +104,15 @@ def test_audit_finds_changed_missing_and_extra(spark, monkeypatch):
 def test_warc_records_cases(spark):
     df = spark.createDataFrame([(1, None, None, "x"), (2, "u", "é", "x"), (2, "u", "é", "x"), (None, "u", "t", "x")],
                                "page_id long, url string, html string, length string")
-    got = warc.warc_records(df).collect()
-    assert len(got) == 4 and sum(r.offset == 0 for r in got) == 2
-    assert {r.length for r in got if r.page_id == 2} == {len("WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: u\r\nWARC-Record-ID: "
-                                                             "<urn:page:2>\r\nContent-Length: 2\r\n\r\né\r\n\r\n".encode())}
-    whole, rotten = (warc.replica(r).collect() for r in (warc.warc_records(df), warc.damaged(warc.warc_records(df))))
+    records = warc.warc_records(df)
+    whole, rotten = (r.collect() for r in warc.replicas(records, F.col("record"), warc.rotten()))
+    assert len(whole) == 4 and sum(r.offset == 0 for r in whole) == 2
+    assert {r.length for r in whole if r.page_id == 2} == {len("WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: u\r\nWARC-Record-ID: "
+                                                               "<urn:page:2>\r\nContent-Length: 2\r\n\r\né\r\n\r\n".encode())}
     assert sorted(map(str, whole)) == sorted(map(str, rotten))  # no id of the rotten kind here
     one = warc.warc_records(spark.createDataFrame([(102, "u", "ends in ~", "x"), (5, "u", "é", "x"), (199, "u", None, "x")],
                                                   "page_id long, url string, html string, length string"))
-    a, b = ({r.page_id: r for r in warc.replica(d).collect()} for d in (one, warc.damaged(one)))
+    a, b = ({r.page_id: r for r in d.collect()} for d in warc.replicas(one, F.col("record"), warc.rotten()))
     assert all(a[k].length == b[k].length and a[k].offset == b[k].offset and a[k].digest != b[k].digest for k in (102, 5, 199))
 
 
