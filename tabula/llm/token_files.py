@@ -37,10 +37,10 @@ from .common import coded_pieces, lean, prepare, segments, stretches, table, tex
 
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 20
-GROUP_CHARS = 10_000_000
+GROUP_CHARS = 12_000_000
 ROW_PIECES = 500
 SEGMENT_CHARS = 1_000_000
-MEMORY_PIECES = 1_000_000
+MEMORY_PIECES = 1_200_000
 ZSTD_LEVEL = 3
 CHUNK_SCHEMA = ("part int, chunk int, first long, n_ids long, doc_ids array<long>, doc_n array<long>, "
                 "frames array<int>, body binary")
