@@ -38,7 +38,8 @@ CHARS_PER_TOKEN = {"en": (1.8, 6.0), "de": (1.7, 5.5), "fr": (1.7, 5.5), "es": (
                    "latin": (1.4, 6.5), "cjk": (0.3, 3.0), "other": (0.4, 5.0)}
 #: Most byte-fallback tokens among all tokens.
 BYTE_SHARE = {"en": 0.15, "de": 0.15, "fr": 0.15, "es": 0.15, "latin": 0.25, "cjk": 0.6, "other": 0.8}
-#: Least entropy of the tokens, in bits, and as a share of the most that so many tokens can have.
+#: Least entropy of the tokens, in bits, and as a share of the most that so many tokens can have; as that is never
+#: more than the vocabulary allows, a text isn't rejected for its length.
 MIN_ENTROPY, MIN_ENTROPY_SHARE = 4.2, 0.42
 
 STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
@@ -146,7 +147,7 @@ def _figures(model: bytes, text_col: str, lang_col: str | None, name: str):
             if n:
                 low, high = CHARS_PER_TOKEN[band]
                 row["kept"] = bool(not failed and low <= chars <= high and bytes_ <= BYTE_SHARE[band]
-                                   and entropy >= max(MIN_ENTROPY, MIN_ENTROPY_SHARE * math.log2(n[0])))
+                                   and entropy >= max(MIN_ENTROPY, MIN_ENTROPY_SHARE * math.log2(min(n[0], len(fallback)))))
             return row | {"band": band, "chars_per_token": chars, "byte_share": bytes_, "token_entropy": entropy}
 
         kinds = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 
 import public_tokenizers as P
 from helpers import (SF, awkward_docs, awkward_texts, brute_base, brute_hits, by_row, empty_docs, grams, roots, rows, similar)
@@ -38,6 +39,17 @@ def test_fertility_verdicts(spark):
     assert quality.band_of("xx", "слова") == "other"
 
 
+def test_clean_texts_of_any_length_are_kept(spark):
+    """Words drawn as often as a language has them: 1 to 10 million characters."""
+    rng, texts = random.Random(9), []
+    for lang, n in (("en", 10_000_000), ("de", 1_000_000), ("fr", 1_000_000), ("es", 1_000_000), ("fr", 10_000_000)):
+        words = [w for r in rows("documents") if r["lang"] == lang for w in r["text"].split()]
+        texts.append((len(texts), " ".join(rng.choices(words, k=n // 4))[:n], lang))
+    texts.append((len(texts), " ".join(rng.choices([f"w{i}" for i in range(12)], k=300_000)), "en"))
+    df = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(3)
+    assert {r.doc_id: r.kept for r in quality.quality(df, MODEL).collect()} == {k: k < 5 for k, _, _ in texts}
+
+
 @given(st.lists(st.sampled_from("abc"), max_size=60))
 @settings(max_examples=200, deadline=None)
 def test_repeated_words(words):
