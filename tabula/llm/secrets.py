@@ -2,8 +2,9 @@
 
 Everything runs as DataFrame expressions and MLlib. A text's words are cut at
 white space; a word gives candidates (long runs of token characters with a
-digit, or values assigned to a password-like name) together with its
-neighbouring words. Features: candidate length, character classes and the
+digit or a key word beside them, or values of six characters or more assigned to
+a password-like name, also with quotes and blanks between) together with its
+neighbouring words. A value ends at white space. Features: candidate length, character classes and the
 transitions between them, coverage by dictionary words, path marks around it,
 and key words beside it. The forest is fitted on labelled findings, at most
 ``MAX_LABELLED`` distinct ones by hash order, and scores every candidate.
@@ -33,7 +34,7 @@ from .common import table, written
 MAX_LABELLED = 20_000
 TREES, DEPTH, SEED = 40, 8, 17
 REDACTED = "[SECRET]"
-KEY_WORDS = "password|passwd|pwd|passphrase|secret|token|api_?key|access_?key|auth|bearer|credential"
+KEY_WORDS = "password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential"
 ID_WORDS = "sha1|sha256|md5|commit|checksum|hash|uuid|guid|isbn|order|invoice|card|phone|tracking|build|version"
 #: Words that placeholders, names and paths are made of.
 DICTIONARY = (
@@ -42,10 +43,24 @@ DICTIONARY = (
     "var tmp home data index main page image video html http https www com org net version release build debug prod "
     "stage the and for with from this that not are was have has").split()
 LONG = "[A-Za-z0-9+/_-]{16,}={0,2}"
-VALUE = "(?<=(?:password|passwd|pwd|secret|token|apikey|api_key)[:=])[^\\s\"',;]{6,}"
+#: A key word with what names put behind it ("author" and "secretary" are none), a sign of assignment, an
+#: authorization scheme, quotes. A value beside them may hold anything up to white space or its quote.
+NAME = f"(?:{KEY_WORDS})(?:orization|entication|s|key|value|[0-9]{{1,3}})?(?:[_-][A-Za-z0-9_-]{{0,20}})?(?![A-Za-z])"
+QUOTES = "[\\\\\"'`\\]]{0,3}"
+SIGN = "(?::=|=>|={1,2}|:)"
+SCHEME = "(?:(?:bearer|basic)(?:\\s|$))?"
+OPEN = "[\\\\\"'`(]{0,2}"
+VALUE_CHARS, WORTH_CHARS = "[^\\s\"'`,;]", "[^\\s\"'`]"
+VALUE = (f"(?<={NAME}{QUOTES}{SIGN}{OPEN})(?!(?:bearer|basic)$)"
+         f"(?:(?<=[\"'`])[^\\s\"'`]{{6,}}|(?<![\"'`]){VALUE_CHARS}{{6,}})")
 CANDIDATE = f"(?i)(?:{VALUE}|{LONG})"
-#: Cheap test that a text can hold a candidate at all.
-WORTH = f"(?i)[A-Za-z0-9+/_-]{{16}}|(?:password|passwd|pwd|secret|token|apikey|api_key)[:=][^\\s\"',;]{{6}}"
+#: The words before a value: up to its sign, or up to the name if the sign begins the value's word.
+ASSIGNS = f"(?i){NAME}{QUOTES}\\s?{SIGN}\\s?{SCHEME}{OPEN}$"
+NAMES = f"(?i){NAME}{QUOTES}$"
+#: Cheap tests that a word, a word after an assignment, or a text can hold a candidate at all.
+WORTH_WORD = f"(?i)[A-Za-z0-9+/_-]{{16}}|{NAME}{QUOTES}{SIGN}{OPEN}{WORTH_CHARS}{{6}}"
+WORTH_VALUE = f"{WORTH_CHARS}{{6}}"
+WORTH = f"(?i)[A-Za-z0-9+/_-]{{16}}|{NAME}{QUOTES}\\s*{SIGN}\\s*(?:(?:bearer|basic)\\s+)?{OPEN}\\s*{WORTH_CHARS}{{6}}"
 #: Published formats of issued tokens.
 ISSUED = ("^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
           "|^sk_live_[A-Za-z0-9]{16,}$|^AIza[A-Za-z0-9_-]{35}$|^glpat-[A-Za-z0-9_-]{20,}$")
@@ -56,13 +71,21 @@ FEATURES = ["length", "digit_share", "upper_share", "lower_share", "transitions"
 def candidates(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, then word_no, finding_no, finding and its context."""
     worth = docs.filter(F.col("text").rlike(WORTH)).select(*keep, F.split("text", "\\s+").alias("words"))
+    # what stands before a word counts as a name or an assignment in front of it
+    lead = "concat_ws(' ', right(get(words, i - 4), 40), right(get(words, i - 3), 40), right(get(words, i - 2), 80), right(get(words, i - 1), 80))"
+    head = (f"case when {lead} rlike '[:=]' and {lead} rlike {_literal(ASSIGNS)} then 'password=' "
+            f"when words[i] rlike '^[:=]' and {lead} rlike {_literal(NAMES)} then 'password' else '' end")
     at = worth.select("*", F.explode(F.expr(
-        "transform(filter(sequence(0, size(words) - 1), i -> words[i] rlike worth), i -> named_struct("
+        f"transform(filter(sequence(0, size(words) - 1), i -> words[i] rlike {_literal(WORTH_WORD)} "
+        f"or (words[i] rlike {_literal(WORTH_VALUE)} and {head} != '')), i -> named_struct("
         "'word_no', i, 'word', words[i], 'before', lower(concat_ws(' ', get(words, i - 2), get(words, i - 1))), "
-        "'after', lower(get(words, i + 1))))".replace("worth", _literal(WORTH)))).alias("at")).select(*keep, "at.*")
-    each = at.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0))).alias("finding_no", "finding"))
-    value = F.col("finding").rlike("[0-9]") | F.col("word").rlike(f"(?i)(?:{KEY_WORDS})[:=]")
-    return each.filter(value)
+        f"'after', lower(get(words, i + 1)), 'head', {head}))")).alias("at")).select(*keep, "at.*")
+    each = at.select("*", F.posexplode(F.regexp_extract_all(F.concat("head", "word"), F.lit(CANDIDATE), F.lit(0)))
+                     .alias("finding_no", "finding"))
+    rest = F.concat_ws(" ", "before", F.replace("word", "finding", F.lit(" ")))
+    value = (F.col("finding").rlike("[0-9]") | (F.col("head") != "") | rest.rlike(f"(?i){NAME}")
+             | F.col("word").rlike(f"(?i)(?:{KEY_WORDS})[:=]"))
+    return each.filter(value).drop("head")
 
 
 def _literal(s: str) -> str:
@@ -88,7 +111,7 @@ def featured(found: DataFrame) -> DataFrame:
         "hex": F.col("finding").rlike("^[0-9a-f]+$"), "digits_only": F.col("finding").rlike("^[0-9 -]+$"),
         "dictionary": covered / F.length("finding"), "slashes": F.regexp_count("finding", F.lit("/")),
         "dots": F.regexp_count("word", F.lit("[.]")), "url": F.col("word").rlike("://|www[.]"),
-        "assigned": F.col("word").rlike("[A-Za-z][:=]") | F.col("before").rlike("[:=]$"),
+        "assigned": F.col("word").rlike("[A-Za-z0-9_][\"'`\\]]{0,2}[:=]|^[:=]") | F.col("before").rlike("[:=]>?[\"'`]?$"),
         "quoted": F.col("word").rlike("[\"'`]"), "key_beside": beside.rlike(KEY_WORDS),
         "id_beside": F.concat_ws(" ", beside, "after").rlike(ID_WORDS)}
     return found.select("*", *[number(made[c]).alias(c) for c in FEATURES])

@@ -164,6 +164,25 @@ def test_redact(spark, tmp_path):
     assert not re.search("Python|Pandas|ArrowEval|CartesianProduct|NestedLoop", plan)
 
 
+ASSIGNED = {
+    'password="Tr0ub4dor&3xyz"': "Tr0ub4dor&3xyz", "password: Tr0ub4dor&3": "Tr0ub4dor&3", 'DB_PASSWORD = "hunter2#2024"': "hunter2#2024",
+    "'secret': 'p4ss!w0rd'": "p4ss!w0rd", "passphrase=Tr0ub4dor&3": "Tr0ub4dor&3", "access_key := q7#x9!z2": "q7#x9!z2",
+    'api-key ="k4,w8;m1!"': "k4,w8;m1!", '{"credentials":"c9$r4!t7"}': "c9$r4!t7", "Authorization: Bearer b7.k2~m9": "b7.k2~m9",
+    'token = "abcdefghijklmnopqrstuvwx"': "abcdefghijklmnopqrstuvwx", "the bearer zyxwvutsrqponmlkj": "zyxwvutsrqponmlkj"}
+
+
+def test_assigned_values_reach_the_forest_and_go(spark, tmp_path):
+    texts = [f"some words {t} and more" for t in ASSIGNED] + ["Author: Margaret is the secretary: Jonathan", "words of extraordinarinesses"]
+    data = [(1000 + k, t) for k, t in enumerate(texts)] + [r[:2] for r in findings()]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    got = {(r.doc_id - 1000, r.finding) for r in secrets.scan(docs).collect() if r.doc_id >= 1000}
+    assert got == set(enumerate(ASSIGNED.values()))
+    left = {r.doc_id - 1000: r.text for r in secrets.redact(docs).collect()}
+    assert [v for k, v in enumerate(ASSIGNED.values()) if re.search("[0-9]", v) and v in left[k]] == []
+
+
 def test_one_class_and_empty(spark):
     docs = spark.createDataFrame([(1, "password=0a1b2c3d4e5f6a7b"), (None, None), (2, "")], "doc_id long, text string")
     assert [(r.doc_id, r.secret) for r in secrets.scan(docs).collect()] == [(1, True)]
