@@ -33,6 +33,15 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered_rows(spark: SparkSession, df: DataFrame, row: str, name: str) -> DataFrame:
+    """``df`` with a running number ``row``, written once: every later step reads
+    the same numbers, however Spark plans a scan of ``df`` again."""
+    path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+    out = df.withColumn(row, F.monotonically_increasing_id())
+    out.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
 def remove_intermediate(spark: SparkSession) -> None:
     """Delete what ``written`` left in the shared folder, once no result that
     reads it is needed any more."""

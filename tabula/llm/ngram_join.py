@@ -10,8 +10,8 @@ of links and its class, the component of the links.
 Copies (equal shingle sets) are one set with a count, so they are never
 expanded into pairs; no pair that shares a band is left out.
 
-Rows are named by a running number of the scan for the second reading, so
-``docs`` should be a plain table read (write other input first).
+Rows are written once with a running number, which names them in every later
+reading.
 
 Cases: a null text, or one without words, has no shingles: a class of its own
 and no links; a text of one to four words is one shingle; a null doc_id is an
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, lean, prepare, table, written
+from .common import checked_broadcast, lean, numbered_rows, prepare, table, written
 from .similar_sets import similar_sets
 
 BANDS, ROWS = 25, 5
@@ -34,7 +34,7 @@ NUMERATOR, DENOMINATOR = 4, 5
 
 def ngram_join(docs: DataFrame) -> DataFrame:
     """``doc_id, class_id, n_links, copies, class_docs`` for each row of ``docs``."""
-    rows, classes = _classes(docs)
+    rows, classes = _classes(numbered_rows(docs.sparkSession, docs.select("doc_id", "text"), "row", "ngram-texts"), "row")
     out = rows.join(classes, "set_id", "left")
     return out.select(
         "doc_id", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("pick.doc_id")).alias("class_id"),
@@ -46,11 +46,11 @@ def ngram_join(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each class, with all columns: the least doc_id, then the
     first in the table; rows without shingles all stay."""
-    rows, classes = _classes(docs)
+    name = _free(docs, "kept_row")
+    numbered = numbered_rows(docs.sparkSession, docs, name, "ngram-texts")
+    rows, classes = _classes(numbered, name)
     picks = classes.select(F.col("pick.row").alias("kept_row")).distinct()
     alone = rows.filter("set_id is null").select(F.col("row").alias("kept_row"))
-    name = _free(docs, "kept_row")
-    numbered = docs.withColumn(name, F.monotonically_increasing_id())
     kept = picks.unionAll(alone).withColumnRenamed("kept_row", name)
     return numbered.join(kept, name, "left_semi").drop(name)
 
@@ -61,17 +61,18 @@ def _free(docs: DataFrame, name: str) -> str:
     return name
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+def _rows(numbered: DataFrame, name: str) -> DataFrame:
+    return numbered.select(F.col(name).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
 
 
-def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (row, doc_id, set_id) and, for each set, copies, links and its
-    class's pick and size."""
-    spark = docs.sparkSession
+def _classes(numbered: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (row, doc_id, set_id) of a table with row numbers ``name`` and, for each
+    set, copies, links and its class's pick and size."""
+    spark = numbered.sparkSession
     prepare(spark)
-    rows = written(spark, _rows(docs).mapInArrow(lean(_sketch), "row long, doc_id long, set_id binary, bands array<long>"),
+    texts = _rows(numbered, name)
+    rows = written(spark, texts.mapInArrow(lean(_sketch), "row long, doc_id long, set_id binary, bands array<long>"),
                    "ngram-rows")
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("pick")
     sets = rows.filter("set_id is not null").groupBy("set_id").agg(
@@ -80,7 +81,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def shingles_of(members: DataFrame) -> DataFrame:
         named = members.select("set_id", F.col("pick.row").alias("row"))
-        return (_rows(docs).select("row", "text").join(checked_broadcast(named, 60), "row").select("set_id", "text")
+        return (texts.select("row", "text").join(checked_broadcast(named, 60), "row").select("set_id", "text")
                 .mapInArrow(lean(_shingles), "set_id binary, shingles array<long>"))
 
     linked = similar_sets(spark, sets, shingles_of, NUMERATOR, DENOMINATOR, "ngram")

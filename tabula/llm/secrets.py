@@ -29,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import numbered_rows, table, written
 
 MAX_LABELLED = 20_000
 TREES, DEPTH, SEED = 40, 8, 17
@@ -171,13 +171,13 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, keep: tuple[str, ...]
 
 
 def redact(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """All rows and columns of ``docs`` (a plain table read, since rows are named
-    by a running number of the scan), with every secret in a text replaced by
-    ``REDACTED`` (and n_chars, if there is one, counted again)."""
+    """All rows and columns of ``docs`` (written once with a running number), with
+    every secret in a text replaced by ``REDACTED`` (and n_chars, if there is one,
+    counted again)."""
     row, found = "scanned_row", "scanned_secrets"
     while {row, found} & {c.lower() for c in docs.columns}:
         row, found = row + "_", found + "_"
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = numbered_rows(docs.sparkSession, docs, row, "secret-texts")
     secrets = (scan(numbered.select(row, "text"), labels, keep=(row,)).filter("secret").groupBy(row)
                .agg(F.collect_set("finding").alias(found)))
     longest = F.array_sort(found, lambda a, b: F.length(b) - F.length(a))

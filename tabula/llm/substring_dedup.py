@@ -15,8 +15,7 @@ paragraph are clustered by components.
 The first occurrence (least doc_id, then first in the table) stays, the others
 are removals. Copies are counted per distinct paragraph before anything is
 compared, so a line that a third of all documents share is one set. Rows are
-named by a running number of the scan for the later readings, so ``docs`` should
-be a plain table read (write other input first).
+written once with a running number, which names them in every later reading.
 
 Cases: null and empty texts have no paragraphs; a null doc_id is an ordinary
 row, first only among rows that have none; repeated rows are repeats; a
@@ -29,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, lean, prepare, table, written
+from .common import checked_broadcast, lean, numbered_rows, prepare, table, written
 from .components import components
 from .similar_sets import similar_sets
 
@@ -44,8 +43,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, kind ("line" or "passage"), begin and end (word places), class_id,
     first_doc_id and removed, for every paragraph or passage with a repeat."""
     prepare(docs.sparkSession)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = numbered_rows(docs.sparkSession, rows, "row", "dedup-texts").select("row", "doc_id", "text")
     return _similar_lines(rows).unionAll(_passages(rows))
 
 

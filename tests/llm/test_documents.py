@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tabula.llm import decontaminate, minhash, ngram_join, quality, similar_sets, substring_dedup
+from tabula.llm import common, decontaminate, minhash, ngram_join, quality, secrets, similar_sets, substring_dedup
 from tabula.llm.registry import QUERIES
 
 MODEL = P.path("piece_bpe_32k.model")
@@ -152,6 +152,36 @@ def test_one_large_group_in_blocks(spark, tmp_path, monkeypatch):
     assert len(got) >= 130 and all(r.class_id == 0 and r.n_links == want[r.doc_id] for r in got if r.doc_id not in (3, 5, 129))
 
 
+def test_scans_planned_anew_name_the_same_rows(spark, tmp_path, monkeypatch):
+    """The table's files are dealt to other splits after the first step that is written."""
+    base = [r["text"] for r in rows("documents")[:60] if r["n_chars"] > 900]
+    texts = [t + f" tail{i}" for i, t in enumerate(base[:12] * 2)] + [f'mail password="{i}x8k2!{i}pq" next' for i in range(9)]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(12, "doc_id").write.parquet(path)
+    split = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(split)
+
+    def result(f):
+        spark.conf.set(split, "1")
+        out = f(spark.read.parquet(path))
+        return by_row(out, *out.columns)
+
+    def replanned(*a, own=common.written):
+        out = own(*a)
+        spark.conf.set(split, str(1 << 30))
+        return out
+
+    runs = ngram_join.ngram_join, ngram_join.keep_one, secrets.redact, substring_dedup.repeated_spans
+    try:
+        want = [result(f) for f in runs]
+        for module in (ngram_join, secrets, substring_dedup, similar_sets):
+            monkeypatch.setattr(module, "written", replanned)
+        for f, w in zip(runs, want):
+            assert result(f) == w
+    finally:
+        spark.conf.set(split, before)
+
+
 @given(st.lists(st.lists(st.integers(0, 30), max_size=25).map(lambda x: sorted(set(x))), min_size=2, max_size=30))
 @settings(max_examples=100, deadline=None)
 def test_intersections(sets):
