@@ -10,9 +10,10 @@ occurrence, and overlapping occurrences merge into removal spans.
 
 A phrase is a window of ``window`` consecutive item words, or the whole item if
 it has fewer words. Documents are never shuffled. The phrases are sent to the
-tasks; items are cut into slices of at most ``SLICE_BYTES`` of text, measured
-beforehand, and with several slices the documents are read once for each and
-their spans merged by document, so a broadcast never exceeds the bound.
+tasks. Items of more than ``SLICE_BYTES``, measured beforehand, are first brought
+to one owner for equal texts and dealt into slices of about that many bytes; the
+documents are read once for each slice, one after the other, and their spans
+merged by document. The owners found then get the ids of all their item rows.
 
 Cases: a null or empty text has no words and no hits; an item without words
 matches nothing; repeated items each count (by item_id), null item_ids are
@@ -295,30 +296,40 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", name: s
     schema = docs.select("*", F.lit(None).cast(
         "struct<n_words:bigint,n_hit:bigint,items:array<string>,spans:array<struct<begin:bigint,end:bigint>>>").alias(name)).schema
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    slices = -(-size // slice_bytes) or 1
+    bytes_ = F.sum(F.octet_length("text") + 16)
 
-    def phrases_of(k: int):
-        part = items if slices == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
+    def phrases_of(part: DataFrame):
         return spark.sparkContext.broadcast(Phrases([tuple(r) for r in part.collect()], window))
 
-    if slices == 1:
-        return docs.mapInArrow(lean(_hits(phrases_of(0), text, name)), schema), name
+    if (items.agg(bytes_).first()[0] or 0) <= slice_bytes:
+        return docs.mapInArrow(lean(_hits(phrases_of(items), text, name)), schema), name
+    # equal texts are one owner, named by its digest, so copies fill no slice
+    items = items.filter("text is not null").withColumn("owner", F.sha2("text", 256))
+    owners = written(spark, items.groupBy("owner").agg(F.first("text").alias("text")), "decontaminate-owners")
+    slices = -(-(owners.agg(bytes_).first()[0] or 0) // slice_bytes) or 1
     row = "row_" + name
     numbered = written(spark, docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate-rows")
     texts = numbered.select(row, text)
     one = texts.select("*", F.lit(None).cast(schema[name].dataType).alias(name)).schema
-    parts = [texts.mapInArrow(lean(_hits(phrases_of(k), text, name)), one).select(row, name) for k in range(slices)]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionAll(p)
+    every = None
+    for k in range(slices):
+        phrases = phrases_of(owners.filter(F.pmod(F.xxhash64("owner"), F.lit(slices)) == k))
+        part = texts.mapInArrow(lean(_hits(phrases, text, name)), one).select(row, name)
+        # the first slice has every row, the others those with hits; one slice at a time is held
+        part = written(spark, part if k == 0 else part.filter(f"{name}.n_hit > 0"), "decontaminate-part")
+        phrases.destroy()
+        every = part if every is None else every.unionAll(part)
     merged = every.groupBy(row).agg(
-        F.max(f"{name}.n_words").alias("n_words"),
-        F.array_distinct(F.flatten(F.collect_list(f"{name}.items"))).alias("items"),
+        F.max(f"{name}.n_words").alias("n_words"), F.flatten(F.collect_list(f"{name}.items")).alias("owners"),
         F.array_sort(F.flatten(F.collect_list(f"{name}.spans"))).alias("spans"))
-    merged = merged.withColumn("spans", F.expr(_MERGE_SPANS))
+    merged = written(spark, merged.withColumn("spans", F.expr(_MERGE_SPANS)), "decontaminate-merged")
+    # an owner lies in one slice, so each item row is met once; lists of structs keep null ids
+    ids = merged.select(row, F.explode("owners").alias("owner")).join(items.select("owner", "item_id"), "owner")
+    ids = ids.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("item_id"))).alias("ids"))
+    found = F.coalesce(F.transform("ids", lambda x: x["item_id"]), F.array().cast("array<string>"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["begin"])
-    merged = merged.select(row, F.struct("n_words", n_hit.alias("n_hit"), "items", "spans").alias(name))
+    merged = merged.join(ids, row, "left").select(
+        row, F.struct("n_words", n_hit.alias("n_hit"), found.alias("items"), "spans").alias(name))
     return numbered.join(merged, row).drop(row), name
 
 

@@ -117,6 +117,22 @@ def test_decontaminate(spark, tmp_path):
     assert decontaminate.decontaminate(empty_docs(spark), benchmark).count() == 0
 
 
+def test_sliced_items_count_as_whole_ones(spark, tmp_path):
+    """Repeated and null item_ids, and a third of all items equal."""
+    bench = [b["text"] for b in rows("benchmark")[:24]]
+    items = [(k % 5 if k % 3 else None, t) for k, t in enumerate(bench)] + [(k, bench[0]) for k in range(20)] + [(7, bench[0]), (None, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [f"Before {a} and {b} after." for a, b in zip(bench, bench[1:])] + ["no hit at all", None]
+    docs = awkward_docs(spark, tmp_path, texts)
+
+    def found(**k):
+        out, hits = decontaminate.with_hits(docs, benchmark, **k)
+        return by_row(out.select("doc_id", f"{hits}.n_words", f"{hits}.n_hit", F.size(f"{hits}.items").alias("n"), F.array_sort(
+            f"{hits}.items").cast("string").alias("ids"), F.col(f"{hits}.spans").cast("string").alias("s")), "doc_id", "n_words", "n_hit", "n", "ids", "s")
+
+    assert found(slice_bytes=1500) == found() and max(k[3] for k in found()) > 20
+
+
 def _brute_join(docs):
     """doc place -> (place of its class's least row, links)."""
     sets = [grams((d["text"] or "").split()) for d in docs]
