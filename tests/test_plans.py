@@ -8,7 +8,7 @@ import pytest
 
 from tabula import registry
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 from plan_audit import summarise  # noqa: E402

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tabula.plans import models as mdl
 from tabula.plans.prepare import DEFAULT_CONFIGS, PrepConfig, build_pipeline, run_configuration
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 @pytest.fixture(scope="module")

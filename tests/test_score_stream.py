@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tabula.plans.score import ScorerConfigurationError, get_scorer, memo_key, pending, score_logits
 from tabula.streaming.score_stream import run_scoring_stream
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_softmax_digits_from_fixed_logits(spark):

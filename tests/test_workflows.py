@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tabula.plans import workflows as wf
 from tabula.plans.prepare import PrepConfig
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_runs_end_to_end(spark, tmp_path):
