@@ -1,5 +1,3 @@
 import os
-import sys
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
