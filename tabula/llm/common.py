@@ -6,7 +6,7 @@ import re
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabula.session import scratch_path, ship_package
@@ -20,6 +20,8 @@ MAX_VOCABULARY_BYTES = 64 << 20
 BATCH_ROWS = 2048
 #: Most that a join broadcasts, by counted rows.
 BROADCAST_BYTES = 32 << 20
+#: Vector components are compared as integers of this many to one.
+SCALE = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -57,6 +59,14 @@ def checked_broadcast(small: DataFrame, row_bytes: int, limit: int = BROADCAST_B
     return F.broadcast(small) if rows * row_bytes <= limit else small
 
 
+def scaled(vector: Column, limit: Column) -> Column:
+    """floor(SCALE * x) of every component as long, no further than ``limit`` from 0;
+    null for a null vector and one with a null or non-finite component."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf")))
+    whole = F.transform(vector, lambda x: F.greatest(-limit, F.least(limit, F.floor(x.cast("double") * SCALE))).cast("long"))
+    return F.when(finite, whole)
+
+
 def vocabulary(path: str) -> bytes:
     """A tokenizer file's bytes, read on the driver and of a checked size, to
     ship with the task closure so that executors need no such file."""

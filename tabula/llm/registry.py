@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from .ball_tree import OP11_SQL, op11_ball_tree
 from .bpe import op1_bpe
 from .chat import OP3_SQL, op3_chat
 from .decontaminate import op5_decontaminate
+from .importance import OP13_SQL, op13_importance
 from .ngram_join import op7_ngram_join
+from .ptolemaic import OP12_SQL, op12_ptolemaic
 from .quality import op4_quality
 from .secrets import op10_secrets
 from .substring_dedup import op2_substring_dedup
@@ -24,8 +27,14 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_secrets": op10_secrets,
+    "op11_ball_tree": op11_ball_tree,
+    "op12_ptolemaic": op12_ptolemaic,
+    "op13_importance": op13_importance,
 }
 ORACLE: dict[str, str] = {
     "op3_chat": OP3_SQL,
     "op6_warc_audit": OP6_SQL,
+    "op11_ball_tree": OP11_SQL,
+    "op12_ptolemaic": OP12_SQL,
+    "op13_importance": OP13_SQL,
 }
