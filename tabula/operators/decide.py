@@ -15,6 +15,8 @@ aggregated map-side like any other and never collected into one task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,13 +27,17 @@ def _sql_int(column: str) -> str:
     return f"CAST(`{column}` AS INT)"
 
 
-def group_analysis(scored: DataFrame, key: str, position: str = "position", digit: str = "digit",
-                   confidence: str = "confidence", n: int = 5,
-                   threshold: float = dec.DEFAULT_THRESHOLD, n_classes: int = 10) -> DataFrame:
+def check_limits(n: int, threshold: float) -> None:
     if not 0.0 <= threshold <= 1.0:
         raise ValueError("threshold must be between 0 and 1")
     if not 1 <= n <= 62:
         raise ValueError("n must be between 1 and 62")
+
+
+def group_analysis(scored: DataFrame, key: str, position: str = "position", digit: str = "digit",
+                   confidence: str = "confidence", n: int = 5,
+                   threshold: float = dec.DEFAULT_THRESHOLD, n_classes: int = 10) -> DataFrame:
+    check_limits(n, threshold)
     pos, dig, conf = F.col(position).cast("int"), F.col(digit).cast("int"), F.col(confidence).cast("double")
     per_pos = [F.max(F.when(pos == k, dig)).alias(f"_d{k}") for k in range(1, n + 1)]
     bit = F.when(pos.between(1, n), F.expr(f"shiftleft(1L, {_sql_int(position)} - 1)"))
@@ -44,6 +50,12 @@ def group_analysis(scored: DataFrame, key: str, position: str = "position", digi
         # First (lowest) position among the lowest confidence
         F.min(F.when(conf.isNotNull(), F.struct(conf.alias("c"), pos.alias("p")))).alias("_weakest"),
         *per_pos)
+    return judged(g, [key], n, threshold, n_classes)
+
+
+def judged(g: DataFrame, keep: Sequence[str], n: int, threshold: float, n_classes: int = 10) -> DataFrame:
+    """The decision of each row of group aggregates (named as in ``group_analysis``),
+    with the ``keep`` columns."""
     valid = F.coalesce(
         (F.col("n_predictions") == n) & (F.col("_digits") == n) & (F.col("_confs") == n) &
         (F.col("_mask") == F.lit((1 << n) - 1)) & (F.col("_pmin") >= 1) & (F.col("_pmax") <= n) &
@@ -54,7 +66,7 @@ def group_analysis(scored: DataFrame, key: str, position: str = "position", digi
     only_valid = lambda c: F.when(valid, c)
     weakest_pos = F.col("_weakest")["p"]
     return g.select(
-        key,
+        *keep,
         F.col("n_predictions"),
         valid.alias("valid"),
         F.when(valid, code).alias("postal_code"),

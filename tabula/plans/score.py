@@ -24,14 +24,15 @@ class ScorerConfigurationError(RuntimeError):
     """Unknown scorer mode or missing model artifacts."""
 
 
-def score_logits(df: DataFrame, logits_col: str, id_col: str, first: int = 0, n_classes: int = 10) -> DataFrame:
-    """``(id, digit, confidence, probability, valid)`` from a logits array
-    (elements ``first .. first+n_classes-1``)."""
+def score_logits(df: DataFrame, logits_col: str, id_col: str, first: int = 0, n_classes: int = 10,
+                 carry: Sequence[str] = ()) -> DataFrame:
+    """``(id, digit, confidence, probability, valid)`` and the ``carry`` columns
+    from a logits array (elements ``first .. first+n_classes-1``)."""
     logits = F.slice(as_double_array(F.col(logits_col)), first + 1, n_classes)
     probs = softmax(logits)
     digit = argmax(logits)  # same index as argmax(probs); exp is monotonic
     conf = F.array_max(probs)
-    return df.select(id_col, digit.alias("digit"), conf.alias("confidence"), probs.alias("probability"),
+    return df.select(id_col, *carry, digit.alias("digit"), conf.alias("confidence"), probs.alias("probability"),
                      valid_prediction(digit, conf, n_classes))
 
 

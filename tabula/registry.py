@@ -759,6 +759,45 @@ def q_stream_score_equals_batch(spark, sf_dir):
     return out.select("vec_id", "digit", r6("confidence").alias("confidence"))
 
 
+@register("stream_group_decision", _SOFTMAX_SQL + """,
+     base AS (SELECT vec_id // 5 AS group_no, CAST(vec_id % 5 + 1 AS INTEGER) AS position, digit, confidence FROM sc),
+     g AS (SELECT 'whole:' || group_no AS group_id, position, digit, confidence FROM base
+           UNION ALL SELECT 'short:' || group_no, position, digit, confidence FROM base WHERE position < 5
+           UNION ALL SELECT 'twice:' || group_no, position, digit, confidence FROM base
+           UNION ALL SELECT 'twice:' || group_no, position, digit, confidence FROM base WHERE position = 2),
+     m AS (SELECT *, min(confidence) OVER (PARTITION BY group_id) AS gmin FROM g),
+     a AS (SELECT group_id, COUNT(*) AS n_predictions, min(confidence) AS gc,
+                  min(position) FILTER (WHERE confidence = gmin) AS wp,
+                  string_agg(CAST(digit AS VARCHAR), '' ORDER BY position) AS code,
+                  count(*) = 5 AND count(DISTINCT position) = 5 AND max(position) = 5 AS valid
+           FROM m GROUP BY group_id)
+SELECT group_id, n_predictions, valid, CASE WHEN valid THEN code END AS postal_code, round(gc, 6) AS global_confidence,
+       CASE WHEN valid AND gc >= 0.12 THEN 'auto' ELSE 'review' END AS decision,
+       CASE WHEN valid AND gc >= 0.12 THEN 'Tri automatique' ELSE 'Vérification humaine' END AS decision_label,
+       wp AS weakest_position,
+       CASE WHEN valid AND gc < 0.12 THEN 'Le chiffre en position ' || CAST(wp AS VARCHAR) || ' n''atteint que '
+            || CAST(CAST(round_even(gc * 100, 0) AS BIGINT) AS VARCHAR) || '% de confiance.' END AS review_reason
+FROM a""")
+def q_stream_group_decision(spark, sf_dir):
+    """Digits arrive one file after another, so every group is split over
+    several micro-batches; a keyed state decides it when it is whole. Groups
+    cut short and groups with a digit twice are for review."""
+    from tabula.streaming.decide_stream import RESULTS, run_decision_stream
+
+    group_no = F.floor(F.col("vec_id") / 5).cast("bigint")
+    place = (F.pmod(F.col("vec_id"), F.lit(5)) + 1).cast("int")
+    names = F.array(F.lit("whole"), F.when(place < 5, F.lit("short")), F.lit("twice"), F.when(place == 2, F.lit("twice")))
+    rows = emb(spark, sf_dir).select("vec_id", "embedding", place.alias("position"), group_no.alias("group_no"),
+                                     F.explode(F.filter(names, lambda c: c.isNotNull())).alias("name"))
+    rows = rows.select("vec_id", "embedding", "position", F.concat_ws(":", "name", "group_no").alias("group_id"),
+                       F.timestamp_seconds(F.col("group_no") * 60 + F.col("position")).alias("scanned_at"))
+    arrived = _run_path(spark, "arrived")
+    rows.repartitionByRange(4, "position").write.parquet(f"{arrived}/digits.parquet")
+    out = run_decision_stream(spark, arrived, "digits", "group_id", "position", "scanned_at", "vec_id", threshold=0.12,
+                              max_files_per_trigger=1, lateness="1000 days")
+    return out.select("group_id", *RESULTS).withColumn("global_confidence", r6("global_confidence"))
+
+
 # ---------------------------------------------------------------- CSV sources
 
 @register("csv_round_trip", """

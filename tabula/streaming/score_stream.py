@@ -15,7 +15,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabula.operators.decide import group_analysis
 from tabula.plans.score import score_logits, score_model
 from tabula.session import scratch_path
 from tabula.sources.tables import is_directory
@@ -38,15 +37,7 @@ def scoring_stream(spark: SparkSession, source_dir: str, table: str, logits_col:
         src = reader.option("pathGlobFilter", f"{table}.parquet").parquet(source_dir)
     if model is not None:
         return score_model(model, src, id_col, n_classes, carry)
-    return score_logits(src, logits_col, id_col, 0, n_classes).drop("probability")
-
-
-def run_decision_stream(spark: SparkSession, source_dir: str, table: str, model, group_col: str, position_col: str,
-                        id_col: str, n: int = 5, threshold: float = 0.8, **kw) -> DataFrame:
-    """The published model over a stream, then one decision per group (H13) from
-    the sink's rows; groups may arrive in any number of files."""
-    scored = run_scoring_stream(spark, source_dir, table, model=model, id_col=id_col, carry=(group_col, position_col), **kw)
-    return group_analysis(scored, group_col, position=position_col, n=n, threshold=threshold)
+    return score_logits(src, logits_col, id_col, 0, n_classes, carry).drop("probability")
 
 
 def run_scoring_stream(spark: SparkSession, source_dir: str, table: str = "embeddings",

@@ -33,11 +33,12 @@ def test_runs_end_to_end(spark, tmp_path):
     decisions = wf.scoring_run(spark, root, keyed, "vec_id", group_col="g", position_col="pos")
     assert decisions.count() == 100 and decisions.filter("valid").count() == 100
     from tabula.plans.models import load_best
-    from tabula.streaming.score_stream import run_decision_stream
+    from tabula.streaming.decide_stream import run_decision_stream
 
-    keyed.repartition(3).write.parquet(f"{root}/in/digits.parquet")
-    streamed = run_decision_stream(spark, f"{root}/in", "digits", load_best(spark, f"{root}/models")[1], "g", "pos", "vec_id")
-    assert streamed.count() == 100 and streamed.exceptAll(decisions).count() == 0
+    keyed.withColumn("at", F.timestamp_seconds("vec_id")).repartition(3).write.parquet(f"{root}/in/digits.parquet")
+    streamed = run_decision_stream(spark, f"{root}/in", "digits", "g", "pos", "at", "vec_id", max_files_per_trigger=1,
+                                   model=load_best(spark, f"{root}/models")[1])
+    assert streamed.count() == 100 and streamed.select(decisions.columns).exceptAll(decisions).count() == 0
 
 
 def test_photo_to_decision(spark, tmp_path):
