@@ -159,13 +159,18 @@ def best_row(results: DataFrame, by: Sequence[str] = (), order_col: str = "ordin
     return ok.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk")
 
 
+class NoModelError(RuntimeError):
+    """A comparison without a usable model."""
+
+
 def pick_best(results: DataFrame, order_col: str = "ordinal") -> dict:
-    """E5 driver-side form: the winning row as a dict; error when none succeeded."""
-    rows = best_row(results, order_col=order_col).collect()
-    if not rows:
-        failures = "; ".join(r["status"] for r in results.select("status").collect())
-        raise RuntimeError(f"no model completed successfully. {failures}")
-    return rows[0].asDict()
+    """E5 driver-side form: the winning row as a dict; ``NoModelError`` with each
+    model's status when there is none."""
+    winner = best_row(results, order_col=order_col).first()
+    if winner is None:
+        states = {r["model"]: r["status"] for r in results.select("model", "status").collect()}
+        raise NoModelError(f"nothing to choose from: {states}")
+    return winner.asDict()
 
 
 def early_stopping(history: DataFrame, by: Sequence[str], metric: str = "accuracy", epoch: str = "epoch",

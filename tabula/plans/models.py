@@ -1,10 +1,9 @@
 """Classifier comparison.
 
 Each fit is an MLlib job that runs on the executors; the driver only loops
-over the handful of estimators. Evaluation of a model is one
-``groupBy(label, prediction)`` count (D10) from which the confusion matrix,
-per-class and overall metrics are all derived (instead of four evaluator
-passes plus two identical group-counts).
+over the handful of estimators. All models are evaluated in one pass that
+counts (model, label, prediction); the confusion matrices, per-class and
+overall metrics are all derived from these counts.
 """
 
 from __future__ import annotations
@@ -59,18 +58,64 @@ class Comparison:
     counts: dict = field(default_factory=dict)
 
 
+class _Timed:
+    """What a step gave, or how it failed, and its seconds."""
+
+    def __init__(self, step, *args):
+        began = time.perf_counter()
+        self.value, self.error = None, None
+        try:
+            self.value = step(*args)
+        except Exception as exc:  # kept: the other models go on
+            self.error = f"{FAILED}: {exc}"
+        self.seconds = round(time.perf_counter() - began, 3)
+
+
+#: Status word of a model that did not get through (fixed value).
+FAILED = "failed"
+
+
+def count_predictions(val: DataFrame, models: dict[str, object]) -> list:
+    """D10 for many models in one pass over ``val``: rows (model, label, prediction,
+    count), classes^2 a model. Only predictions are computed; a model's other
+    outputs are switched off."""
+    names, rows = list(models), val
+    for i, name in enumerate(names):
+        model = models[name]
+        own = {model.predictionCol: f"_p{i}"}
+        own |= {getattr(model, c): "" for c in ("probabilityCol", "rawPredictionCol") if model.hasParam(c)}
+        rows = model.copy(own).transform(rows)
+    stacked = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"_p{i}").alias("prediction"))
+                                  for i, n in enumerate(names)]))
+    return ev.label_prediction_counts(rows.select("label", stacked.alias("p")).select("label", "p.*"), by=["model"]).collect()
+
+
+def _evaluated(val: DataFrame, models: dict[str, object]) -> dict[str, _Timed]:
+    """Each model's counts. All share one pass, whose seconds are split evenly;
+    where that fails, each is tried alone, so that only the broken ones fail."""
+    if not models:
+        return {}
+    whole = _Timed(count_predictions, val, models)
+    if whole.error and len(models) > 1:
+        return {n: _Timed(count_predictions, val, {n: m}) for n, m in models.items()}
+    share, found = round(whole.seconds / len(models), 3), {}
+    for n in models:
+        found[n] = _Timed(lambda name=n: [r for r in whole.value if r["model"] == name])
+        found[n].error, found[n].seconds = whole.error, share
+    return found
+
+
 def compare_models(spark: SparkSession, train: DataFrame, val: DataFrame,
                    classifiers: Sequence[tuple[str, object]], persist_input: bool = True,
                    parallelism: int = 1) -> Comparison:
-    """H8: fit each estimator, evaluate on ``val``; a failing model becomes a
-    ``failed: ...`` row and does not stop the others. Both sides are persisted
-    (and released afterwards): every fit and every evaluation re-reads them.
-    The counts of an evaluation are classes^2 rows and come back as a table of
-    their own, so nothing stays cached.
+    """H8: fit each estimator on ``train``, then count the predictions of all
+    fitted ones on ``val`` in one pass; the metrics of the table come from these
+    counts. A model that fails in either step has a ``failed: ...`` row of zeros.
 
+    Both sides are persisted meanwhile: every fit reads one, the pass the other.
     ``parallelism > 1`` submits the fits from that many driver threads (as
-    MLlib's CrossValidator does), so independent jobs share the cluster;
-    per-model seconds then overlap and are not comparable to sequential runs.
+    MLlib's CrossValidator does); their seconds then overlap and can't be set
+    against those of sequential runs. ``eval_s`` is an even share of the one pass.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -79,41 +124,30 @@ def compare_models(spark: SparkSession, train: DataFrame, val: DataFrame,
     if persist_input:
         train, val = (d.persist(StorageLevel.MEMORY_AND_DISK) for d in (train, val))
         val.count()
-
-    def run(item):
-        ordinal, (name, est) = item
-        t0 = time.perf_counter()
-        try:
-            model = est.fit(train)
-            train_s = time.perf_counter() - t0
-            t1 = time.perf_counter()
-            pred = model.transform(val).select("label", "prediction")
-            found = ev.label_prediction_counts(pred)
-            c = spark.createDataFrame(found.collect(), found.schema)
-            eval_s = time.perf_counter() - t1
-            m = ev.overall_metrics(c).first()
-            return ((name, ordinal, round(m["accuracy"], 6), round(m["f1"], 6),
-                     round(m["weighted_precision"], 6), round(m["weighted_recall"], 6),
-                     round(train_s, 3), round(eval_s, 3), "ok"), model, c)
-        except Exception as exc:  # one model failing must not stop the comparison
-            return ((name, ordinal, 0.0, 0.0, 0.0, 0.0, round(time.perf_counter() - t0, 3), 0.0,
-                     f"failed: {exc}"), None, None)
-
     try:
-        items = list(enumerate(classifiers))
-        if parallelism > 1:
-            with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                outs = list(pool.map(run, items))
-        else:
-            outs = [run(it) for it in items]
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            fits = dict(zip([n for n, _ in classifiers], pool.map(lambda c: _Timed(c[1].fit, train), classifiers)))
+        judged = _evaluated(val, {n: f.value for n, f in fits.items() if not f.error})
     finally:
         if persist_input:
             train.unpersist()
             val.unpersist()
-    rows = [o[0] for o in outs]
-    models = {o[0][0]: o[1] for o in outs if o[1] is not None}
-    counts = {o[0][0]: o[2] for o in outs if o[2] is not None}
-    return Comparison(spark.createDataFrame(rows, RESULT_SCHEMA), models, counts)
+    models = {n: fits[n].value for n, j in judged.items() if not j.error}
+    schema = "model string, label int, prediction int, count long"
+    found = spark.createDataFrame([tuple(r) for n in models for r in judged[n].value], schema)
+    facts = []
+    for ordinal, (n, fit) in enumerate(fits.items()):
+        evaluation = judged.get(n)
+        status = fit.error or (evaluation and evaluation.error) or "ok"
+        facts.append((n, ordinal, fit.seconds, evaluation.seconds if evaluation else 0.0, status))
+    facts = spark.createDataFrame(facts, "model string, ordinal int, train_s double, eval_s double, status string")
+    metrics = ("accuracy", "f1", "weighted_precision", "weighted_recall")
+    table = facts.join(ev.overall_metrics(found, by=["model"]), "model", "left").select(
+        "model", "ordinal", *[F.round(F.coalesce(c, F.lit(0.0)), 6).alias(c) for c in metrics], "train_s", "eval_s", "status")
+    # a row a model
+    results = spark.createDataFrame(sorted(table.collect(), key=lambda r: r["ordinal"]), RESULT_SCHEMA)
+    counts = {n: spark.createDataFrame([tuple(r)[1:] for r in judged[n].value], schema.partition(", ")[2]) for n in models}
+    return Comparison(results, models, counts)
 
 
 def write_reports(spark: SparkSession, comp: Comparison, root: str, classes: Sequence[int]) -> None:
@@ -179,29 +213,6 @@ def load_best(spark: SparkSession, root: str | None = None, path: str | None = N
     return name, PipelineModel.load(where)
 
 
-#: Accuracy that a neural run must reach to be published (the reference's default).
-NEURAL_GATE = 0.98
-
-
-def neural_run(spark: SparkSession, train: DataFrame, val: DataFrame, n_features: int, n_classes: int, root: str,
-               prep_model: PipelineModel | None = None, min_accuracy: float = NEURAL_GATE, patience: int = 3) -> dict:
-    """H7 with its history: fit the perceptron, follow its objective per
-    iteration through the early-stopping rule (E6), write the metrics document
-    with that history (A20), and publish the model behind the gate (H9)."""
-    from tabula.sources.tables import write_metrics_json
-
-    name, estimator = build_classifiers(n_features, n_classes)[-1]
-    comp = compare_models(spark, train, val, [(name, estimator)])
-    best = ev.pick_best(comp.results)
-    losses = [(name, k, -float(v)) for k, v in enumerate(comp.models[name].summary().objectiveHistory)]
-    history = ev.early_stopping(spark.createDataFrame(losses, "run string, epoch int, objective double"), ["run"],
-                                metric="objective", patience=patience)
-    write_metrics_json(spark, f"{root.rstrip('/')}/{name}_metrics", {k: best[k] for k in ("model", "accuracy", "f1")},
-                       history=history.select("epoch", "objective", "improved", "best_epoch", "stopped_here"),
-                       class_metrics=ev.class_metrics(comp.counts[name]))
-    return publish_best(spark, comp, prep_model, f"{root.rstrip('/')}/models", min_accuracy)
-
-
 def timed(fn, *args, **kwargs):
     """Wall time of an action on the driver."""
     t0 = time.perf_counter()

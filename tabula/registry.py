@@ -931,6 +931,40 @@ def q_model_comparison_checks(spark, sf_dir):
         (share("accuracy") & share("f1") & share("weighted_precision")).alias("in_range"))
 
 
+@register("neural_epochs", _SIDES_SQL + """
+SELECT n.train_rows, n.validation_rows, true AS best_is_published, true AS stopped_by_rule, true AS loss_falls,
+       true AS found_again FROM n""")
+def q_neural_epochs(spark, sf_dir):
+    """Epochs that go on from the weights before, stopped three epochs after
+    the best one, whose model is the one published; loaded again, it has the
+    accuracy and the loss that the history says."""
+    from pyspark.ml.functions import vector_to_array
+
+    from tabula.operators import evaluate as ev
+    from tabula.plans import neural
+    from tabula.plans.models import load_best
+    from tabula.plans.prepare import DEFAULT_CONFIGS
+
+    prep = _prepared(spark, sf_dir, DEFAULT_CONFIGS[1])
+    train, val = (prep["prepared"].filter(f"split = '{s}'") for s in ("train", "validation"))
+    root = _run_path(spark, "neural")
+    run = neural.neural_run(spark, train, val, N_DIMS, len(CLASSES), root, prep["model"], min_accuracy=0.0, passes=5)
+    pred = load_best(spark, f"{root}/models")[1].stages[-1].transform(val).withColumn("probability", vector_to_array("probability"))
+    again = ev.log_loss(pred).select(F.col("loss").alias("loss_again"), F.col("accuracy").alias("accuracy_again"), "n")
+    # a row an epoch, all in one: the best one is the first of the highest accuracy
+    h = run.history.agg(F.max("validation_accuracy").alias("top"), F.max("epoch").alias("last"),
+                        F.min_by("epoch", F.struct(-F.col("validation_accuracy"), "epoch")).alias("best"),
+                        F.max_by("train_loss", "epoch").alias("final_loss"), F.min_by("train_loss", "epoch").alias("first_loss"),
+                        F.max_by("validation_loss", F.struct("validation_accuracy", -F.col("epoch"))).alias("its_loss"))
+    one = h.select("*", F.lit(1).alias("_one")).join(again.select("*", F.lit(1).alias("_one")), "_one")
+    return one.select(
+        F.lit(run.train_rows).cast("long").alias("train_rows"), F.col("n").alias("validation_rows"),
+        (F.col("best") == run.best_epoch).alias("best_is_published"),
+        ((F.col("last") == F.col("best") + neural.PATIENCE) | (F.col("last") == 20)).alias("stopped_by_rule"),
+        (F.col("final_loss") < F.col("first_loss")).alias("loss_falls"),
+        ((F.abs(F.col("top") - F.col("accuracy_again")) < 1e-9) & (F.abs(F.col("its_loss") - F.col("loss_again")) < 1e-9)).alias("found_again"))
+
+
 @register("batch_score_keys", """
 SELECT vec_id, true AS valid FROM embeddings""")
 def q_batch_score_keys(spark, sf_dir):

@@ -64,18 +64,59 @@ def test_a_stored_preparation_is_used_again(spark, emb, tmp_path):
     assert other["summary"]["data_path"] != first["summary"]["data_path"]
 
 
-def test_neural_run_has_a_history_and_a_gate(spark, emb, tmp_path):
+def test_neural_run_stops_early_and_publishes_the_best_epoch(spark, emb, tmp_path):
     import json
 
+    from pyspark.ml.functions import vector_to_array
+
+    from tabula.operators import evaluate as ev
+    from tabula.plans import neural
+
     res = run_configuration(spark, emb, DEFAULT_CONFIGS[1], key_col="vec_id", vector_col="embedding", n_features=64, save=False)
     train, val = (res["prepared"].filter(f"split = '{s}'") for s in ("train", "validation"))
     with pytest.raises(mdl.QualityGateError):
-        mdl.neural_run(spark, train, val, 64, 10, str(tmp_path))
+        neural.neural_run(spark, train, val, 64, 10, str(tmp_path), epochs=2, passes=2)
+    with pytest.raises(FileNotFoundError):
+        mdl.load_best(spark, str(tmp_path / "models"))
+    run = neural.neural_run(spark, train, val, 64, 10, str(tmp_path), prep_model=res["model"], min_accuracy=0.0, epochs=30, passes=5)
     doc = json.loads(spark.read.text(str(tmp_path / "multilayer_perceptron_metrics")).first()[0])
-    assert doc["history"][0]["improved"] and len(doc["history"]) > 1 and doc["class_metrics"]
-    mdl.neural_run(spark, train, val, 64, 10, str(tmp_path), prep_model=res["model"], min_accuracy=0.0)
+    history = doc["history"]
+    accuracies = [h["validation_accuracy"] for h in history]
+    # stopped by the rule, long before the last epoch allowed
+    assert doc["epochs_completed"] == len(history) == run.best_epoch + neural.PATIENCE < 30
+    assert run.best_epoch == doc["best_epoch"] == 1 + accuracies.index(max(accuracies))
+    assert history[-1]["train_loss"] < history[0]["train_loss"]
+    assert doc["train_samples"] + doc["validation_samples"] == emb.count() and len(doc["class_metrics"]) == 10
+    # the published model is that epoch's: its loss and accuracy are found again
     name, model = mdl.load_best(spark, str(tmp_path / "models"))
-    assert name == "multilayer_perceptron" and model.transform(emb).count() == 500
+    assert name == neural.NAME and model.transform(emb).count() == 500
+    pred = model.stages[-1].transform(val).withColumn("probability", vector_to_array("probability"))
+    again = ev.log_loss(pred).first()
+    assert abs(again["accuracy"] - max(accuracies)) < 1e-12
+    assert abs(again["loss"] - history[run.best_epoch - 1]["validation_loss"]) < 1e-9
+
+
+def test_epochs_go_on_from_the_last_weights(spark, emb):
+    from tabula.plans import neural
+
+    res = run_configuration(spark, emb, DEFAULT_CONFIGS[1], key_col="vec_id", vector_col="embedding", n_features=64, save=False)
+    train, val = (res["prepared"].filter(f"split = '{s}'") for s in ("train", "validation"))
+    run = neural.train_epochs(spark, train, val, [64, 16, 10], epochs=4, passes=3, patience=9)
+    losses = [r["train_loss"] for r in run.history.orderBy("epoch").collect()]
+    assert len(losses) == 4 and losses == sorted(losses, reverse=True)
+    with pytest.raises(ValueError):
+        neural.train_epochs(spark, train, val, [64, 10], epochs=0)
+
+
+def test_one_pass_counts_every_model(spark, emb):
+    from tabula.operators import evaluate as ev
+
+    res = run_configuration(spark, emb, DEFAULT_CONFIGS[1], key_col="vec_id", vector_col="embedding", n_features=64, save=False)
+    train, val = (res["prepared"].filter(f"split = '{s}'") for s in ("train", "validation"))
+    models = {n: e.fit(train) for n, e in mdl.build_classifiers(64)}
+    together = {tuple(r) for r in mdl.count_predictions(val, models)}
+    alone = {(n, *r) for n, m in models.items() for r in ev.label_prediction_counts(m.transform(val)).collect()}
+    assert together == alone
 
 
 def test_prune_all_columns_is_clear_error():
