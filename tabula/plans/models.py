@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import time
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -21,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabula.operators import evaluate as ev
+from tabula.sources import versions
 from tabula.sources.tables import path_exists
 
 RESULT_SCHEMA = ("model string, ordinal int, accuracy double, f1 double, weighted_precision double, "
@@ -170,41 +170,35 @@ def publish_best(spark: SparkSession, comp: Comparison, prep_model: PipelineMode
                  min_accuracy: float = 0.0) -> dict:
     """E5 + H9 + A21: pick the best row, check it against ``min_accuracy``
     *before* publishing, save one PipelineModel (preparation + classifier),
-    then add the manifest row that names it. Every save has a path of its own
-    and the row is added last, so a rejected or half-written model is never the
-    one readers resolve."""
+    then announce it (``tabula.sources.versions``): a rejected or half-written
+    model is never the one readers resolve."""
     best = ev.pick_best(comp.results)
     if best["accuracy"] < min_accuracy:
         raise QualityGateError(f"accuracy {best['accuracy']:.4f} is below the required {min_accuracy:.4f}")
     stages = (list(prep_model.stages) if prep_model is not None else []) + [comp.models[best["model"]]]
-    target = f"{root.rstrip('/')}/best_{best['model']}-{uuid.uuid4().hex[:12]}"
-    PipelineModel(stages=stages).write().save(target)
-    spark.createDataFrame([(best["model"], target, time.time())], MANIFEST_SCHEMA) \
-         .coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/manifest")
+    versions.publish(spark, root, lambda path: PipelineModel(stages=stages).write().save(path), model=best["model"])
     return best
 
 
-MANIFEST_SCHEMA = "model string, path string, published double"
 #: Environment variable that names a model's path.
 MODEL_PATH_VARIABLE = "TABULA_MODEL_PATH"
 
 
 def resolve_model(spark: SparkSession, root: str | None = None, path: str | None = None) -> tuple[str, str]:
     """Name and path of a model: an explicit ``path``, else the path in the
-    environment, else the one the manifest under ``root`` named last (whatever
-    kind). A path that is named but missing is an error."""
+    environment, else the newest one published under ``root`` (whatever kind). A path that is named but missing is an error."""
     for where in (path, os.environ.get(MODEL_PATH_VARIABLE)):
         if where:
             if not path_exists(spark, where):
                 raise FileNotFoundError(f"no model at {where}")
             return where.rstrip("/").rsplit("/", 1)[-1], where
-    man = f"{(root or '').rstrip('/')}/manifest"
-    if not root or not path_exists(spark, man):
-        raise FileNotFoundError(f"no model manifest under {root}")
-    row = spark.read.schema(MANIFEST_SCHEMA).json(man).orderBy(F.desc("published")).first()
-    if row is None or not path_exists(spark, row["path"]):
-        raise FileNotFoundError(f"model named by the manifest is missing: {row}")
-    return row["model"], row["path"]
+    version = versions.newest(spark, root) if root else None
+    if version is None:
+        raise FileNotFoundError(f"no model published under {root}")
+    where = versions.version_path(root, version)
+    if not path_exists(spark, where):
+        raise FileNotFoundError(f"the newest published model is gone: {where}")
+    return versions.facts(spark, root, version)["model"], where
 
 
 def load_best(spark: SparkSession, root: str | None = None, path: str | None = None) -> tuple[str, PipelineModel]:

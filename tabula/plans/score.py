@@ -6,14 +6,15 @@
   any number of keyed rows; the key is carried through the transform, so
   results never need re-matching by order (C4, H10).
 * ``get_scorer``    - registry of scorers by mode name (H12).
-* ``memo_key`` / ``pending`` - content-keyed memo of results (I9).
+* ``memo_key`` / ``pending`` - content-keyed memo of results (I9; the store
+  itself is ``tabula.plans.result_store``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabula.functions.hashing import content_key
@@ -71,15 +72,6 @@ def memo_key(content: Column, model_name: str, option: bool) -> Column:
     return content_key(F.concat(content_key(content), F.lit(f":{model_name}:{str(bool(option)).lower()}")))
 
 
-def stored_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The memo store, one result per key (empty before the first run)."""
-    from tabula.sources.tables import path_exists
-
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).dropDuplicates(["memo_key"])
-
-
 def pending(keyed: DataFrame, scored: DataFrame, key: str = "memo_key") -> DataFrame:
     """Rows of ``keyed`` whose key has no stored result (left anti join;
     Spark plans it as a shuffle or broadcast join by the measured size)."""

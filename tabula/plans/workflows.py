@@ -125,21 +125,18 @@ def photo_run(spark: SparkSession, image_path: str, root: str, *, glob: str | No
     content, the model, the threshold and the option (I9): a photo whose content
     has a result, or shares its content with another of this run, is not worked
     on again."""
-    import uuid
-
     from tabula.operators import images
-    from tabula.plans.score import memo_key, pending, stored_results
-    from tabula.session import scratch_path
+    from tabula.plans.result_store import ResultStore
+    from tabula.plans.score import memo_key
 
     _, model_path = mdl.resolve_model(spark, f"{root}/models")
-    store = f"{root.rstrip('/')}/photo_results"
-    schema = f"memo_key string, reject_reason string, {RESULT_COLUMNS}"
+    store = ResultStore(spark, f"{root.rstrip('/')}/photo_results", f"memo_key string, reject_reason string, {RESULT_COLUMNS}")
     names = [c.split()[0] for c in RESULT_COLUMNS.split(", ")]
     # one small row per file, read by the pixel stage and the status: written
     # once so the files' contents are hashed once
     tag = memo_key(F.col("content_key"), f"{model_path}@{threshold}", thicken)
     meta = images.written_metadata(spark, images.ingest(spark, image_path, glob).withColumn("memo_key", tag))
-    todo = pending(meta, stored_results(spark, store, schema)).groupBy("memo_key").agg(F.min("path").alias("path"))
+    todo = store.pending(meta).groupBy("memo_key").agg(F.min("path").alias("path"))
     todo = images.written_metadata(spark, todo.select("path", F.lit(True).alias("todo")))
     marked = meta.join(todo, "path", "left").withColumn(
         "reject_reason", F.when(F.col("todo").isNull(), "known").otherwise(F.col("reject_reason"))).drop("todo")
@@ -149,8 +146,7 @@ def photo_run(spark: SparkSession, image_path: str, root: str, *, glob: str | No
                             position_col="position", n=images.EXPECTED_DIGITS, threshold=threshold)
     fresh = (status.filter("reject_reason is null or reject_reason <> 'known'").join(decisions, "path", "left")
              .join(meta.select("path", "memo_key"), "path"))
-    new = scratch_path(spark, "photo", uuid.uuid4().hex)
-    fresh.select("memo_key", "reject_reason", *names).write.parquet(new)
-    spark.read.schema(schema).parquet(new).write.mode("append").parquet(store)
-    known = meta.select("path", "memo_key").join(stored_results(spark, store, schema), "memo_key")
+    store.append(fresh.select("memo_key", "reject_reason", *names))
+    asked = meta.select("path", "memo_key")
+    known = asked.join(store.results(store.touched(asked)), "memo_key")
     return known.filter("n_predictions is not null").select("path", *names), known.select("path", "reject_reason")

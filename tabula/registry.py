@@ -747,6 +747,45 @@ def q_score_incremental(spark, sf_dir):
     return pending(keyed, scored, "memo_key")
 
 
+_STORED_SQL = ORACLE["score_incremental"]
+
+
+@register("result_store_pending", _STORED_SQL)
+def q_result_store_pending(spark, sf_dir):
+    """The same question to a result store that was filled in three appends,
+    compacted after the second: only touched prefixes are read, the Bloom
+    filters rule out most new keys, the keys themselves decide."""
+    from tabula.plans.result_store import ResultStore
+    from tabula.plans.score import memo_key
+
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    keyed = docs.select("doc_id", memo_key(F.col("text"), MODEL_TAG, False).alias("memo_key"))
+    labelled = docs.join(read_table(spark, sf_dir, "labels", ["doc_id"]), "doc_id", "left_semi")
+    done = labelled.select(memo_key(F.col("text"), MODEL_TAG, False).alias("memo_key"), "doc_id")
+    store = ResultStore(spark, _run_path(spark, "results"), "memo_key string, doc_id long")
+    for i in range(3):
+        store.append(done.filter(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == i))
+        if i == 1:
+            store.compact()
+    return store.pending(keyed)
+
+
+@register("file_listing", """
+SELECT coalesce(lang, '__HIVE_DEFAULT_PARTITION__') AS lang, count(DISTINCT lang IS NULL) AS n_files,
+       CAST(sum(octet_length(encode(coalesce(text, ''))) + 1) AS BIGINT) AS n_bytes
+FROM documents GROUP BY lang""")
+def q_file_listing(spark, sf_dir):
+    """Files written from the documents, one a language, listed again by the
+    tasks of the listing source, a directory each."""
+    from tabula.sources.listing import list_files
+
+    path = _run_path(spark, "files")
+    read_table(spark, sf_dir, "documents", ["lang", "text"]).repartition("lang").write.partitionBy("lang").text(path)
+    lang = F.regexp_extract("path", "/lang=([^/]*)/", 1)
+    return list_files(spark, path, glob="*.txt").groupBy(lang.alias("lang")).agg(
+        F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
+
+
 @register("stream_score_equals_batch", _SOFTMAX_SQL + """
 SELECT vec_id, digit, round(confidence, 6) AS confidence FROM sc""")
 def q_stream_score_equals_batch(spark, sf_dir):
@@ -1208,22 +1247,19 @@ def q_train_test_read(spark, sf_dir):
     return summary("train", train).unionAll(summary("test", unlabelled))
 
 
-def _stored_statistics(spark, sf_dir) -> str:
-    """The four statistics tables of the embeddings, written anew."""
-    from tabula.plans.statistics import compute_statistics
+def _stored(spark, table: DataFrame, kind: str) -> DataFrame:
+    """A statistics table, published and read back by the typed reader."""
+    from tabula.sources.tables import materialize, read_stat_table
 
-    path = _run_path(spark, "statistics")
-    e = emb(spark, sf_dir)
-    compute_statistics(spark, feat.vector_to_long(e), e.select("label"), path)
-    return path
+    path = f"{_run_path(spark, 'statistics')}/{kind}"
+    materialize(spark, table, path)
+    return read_stat_table(spark, path, kind)
 
 
 @register("stored_frequencies", "SELECT label, COUNT(*) AS count FROM embeddings GROUP BY label")
 def q_stored_frequencies(spark, sf_dir):
     """The frequency table, written and read back by the typed reader."""
-    from tabula.sources.tables import read_stat_table
-
-    return read_stat_table(spark, f"{_stored_statistics(spark, sf_dir)}/frequencies", "frequencies")
+    return _stored(spark, stats.label_counts(emb(spark, sf_dir).select("label")), "frequencies")
 
 
 @register("stored_column_stats", f"""
@@ -1232,17 +1268,13 @@ SELECT dim, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, round(min
 FROM {EMB_LONG} GROUP BY dim""")
 def q_stored_column_stats(spark, sf_dir):
     """The column statistics, written and read back."""
-    from tabula.sources.tables import read_stat_table
-
-    return _stats_out(read_stat_table(spark, f"{_stored_statistics(spark, sf_dir)}/column_stats", "column_stats"), ["dim"])
+    return _stats_out(_stored(spark, stats.column_stats(emb_long(spark, sf_dir)), "column_stats"), ["dim"])
 
 
 @register("stored_std_map", f"SELECT dim, round(stddev_samp(x), 6) AS std FROM {EMB_LONG} GROUP BY dim")
 def q_stored_std_map(spark, sf_dir):
     """The std map, written and read back."""
-    from tabula.sources.tables import read_stat_table
-
-    return read_stat_table(spark, f"{_stored_statistics(spark, sf_dir)}/std_map", "std_map").select("dim", r6("std").alias("std"))
+    return _stored(spark, stats.std_map(emb_long(spark, sf_dir)), "std_map").select("dim", r6("std").alias("std"))
 
 
 @register("shape_check", f"""

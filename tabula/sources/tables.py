@@ -88,13 +88,18 @@ def write_counted(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
 
 def materialize(spark: SparkSession, df: DataFrame, path: str, force: bool = False,
                 fmt: str = "parquet") -> DataFrame:
-    """Compute-or-reuse. Reuses ``path`` when its ``_SUCCESS`` marker
-    exists and ``force`` is false; otherwise writes it. Either way returns a
-    DataFrame read back from storage, which also cuts the lineage (a lost
-    executor recomputes from the file, not from the whole plan)."""
-    if force or not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
-        df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    """Compute-or-reuse. The newest complete version under ``path`` is
+    read unless there is none or ``force`` is set; then ``df`` is published as
+    one. Writers of one path don't touch each other's files and readers never see
+    half a table (``tabula.sources.versions``). What comes back is read from
+    storage, which also cuts the lineage."""
+    from tabula.sources import versions
+
+    kept = None if force else versions.read_newest(spark, path, fmt)
+    if kept is not None:
+        return kept
+    version = versions.publish_table(spark, df, path, fmt)
+    return spark.read.format(fmt).load(versions.version_path(path, version))
 
 
 # Typed schemas of the statistics sinks (A15); the reader never infers.
@@ -109,8 +114,12 @@ STAT_SCHEMAS = {
 
 
 def read_stat_table(spark: SparkSession, path: str, kind: str, fmt: str = "parquet") -> DataFrame:
-    """Typed reader for the statistics tables written by this package."""
-    schema = STAT_SCHEMAS[kind]
+    """Typed reader for the statistics tables written by this package: the
+    newest version of a published table, or else the files at ``path``."""
+    from tabula.sources import versions
+
+    schema, version = STAT_SCHEMAS[kind], versions.newest(spark, path)
+    path = path if version is None else versions.version_path(path, version)
     reader = spark.read.schema(schema)
     if fmt == "csv":
         return reader.option("header", "true").csv(path)

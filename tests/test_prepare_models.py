@@ -160,8 +160,8 @@ def test_compare_publish_load_and_gate(spark, emb, tmp_path, monkeypatch):
     name, model = mdl.load_best(spark, root)
     assert name == best["model"]
     mdl.publish_best(spark, comp, res["model"], root, min_accuracy=0.0)
-    path = spark.read.schema(mdl.MANIFEST_SCHEMA).json(f"{root}/manifest").orderBy(F.desc("published")).first()["path"]
-    assert mdl.load_best(spark, path=path)[0] in path
+    name, path = mdl.resolve_model(spark, root)
+    assert name == best["model"] and mdl.load_best(spark, path=path)[0] in path
     monkeypatch.setenv(mdl.MODEL_PATH_VARIABLE, path + "-gone")
     with pytest.raises(FileNotFoundError):
         mdl.load_best(spark, root)

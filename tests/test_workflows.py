@@ -89,11 +89,11 @@ def test_photo_to_decision(spark, tmp_path):
     assert st["n0.png"] is None and st["blank.png"] is not None
     (new_dir / "again.png").write_bytes((new_dir / "n0.png").read_bytes())
     (new_dir / "n1.png").write_bytes(photo([1, 1, 0, 0, 0]))
-    before = spark.read.parquet(f"{root}/photo_results").count()
+    before = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/photo_results/data").count()
     second, status = wf.photo_run(spark, str(new_dir), root)
     codes = {r["path"].rsplit("/", 1)[-1]: r["postal_code"] for r in second.collect()}
     assert codes == {"n0.png": "01011", "again.png": "01011", "n1.png": "11000"}
-    assert spark.read.parquet(f"{root}/photo_results").count() == before + 1  # the new content only
+    assert spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/photo_results/data").count() == before + 1  # the new content only
     assert {r["path"].rsplit("/", 1)[-1]: r["reject_reason"] for r in status.collect()}["blank.png"] is not None
     d = decisions.collect()
     assert len(d) == 1 and d[0]["valid"] and d[0]["postal_code"] == "01011"
