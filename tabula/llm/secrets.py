@@ -2,9 +2,12 @@
 
 Everything runs as DataFrame expressions and MLlib. A text's words are cut at
 white space; a word gives candidates (long runs of token characters with a
-digit or a key word beside them, or values of six characters or more assigned to
-a password-like name, also with quotes and blanks between) together with its
-neighbouring words. A value ends at white space. Features: candidate length, character classes and the
+digit or a key word beside them; values of six characters or more assigned to
+a password-like name, also with quotes and blanks between, held by a tag of that
+name, following an argument of that name or "is"; passwords of connection
+strings and of ``-u name:password``) together with its neighbouring words. A
+value ends at white space; a private key is one candidate from its first to its
+last line. Features: candidate length, character classes and the
 transitions between them, coverage by dictionary words, path marks around it,
 and key words beside it. The forest is fitted on labelled findings, at most
 ``MAX_LABELLED`` distinct ones by hash order, and scores every candidate.
@@ -23,12 +26,16 @@ table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+import uuid
+
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabula.session import scratch_path
+
 from .common import numbered_rows, table, written
 
 MAX_LABELLED = 20_000
@@ -45,7 +52,9 @@ DICTIONARY = (
 LONG = "[A-Za-z0-9+/_-]{16,}={0,2}"
 #: A key word with what names put behind it ("author" and "secretary" are none), a sign of assignment, an
 #: authorization scheme, quotes. A value beside them may hold anything up to white space or its quote.
-NAME = f"(?:{KEY_WORDS})(?:orization|entication|s|key|value|[0-9]{{1,3}})?(?:[_-][A-Za-z0-9_-]{{0,20}})?(?![A-Za-z])"
+#: What may follow a key word in a name has at most this many characters, since a pattern that looks behind must be bounded.
+TAIL_CHARS = 64
+NAME = f"(?:{KEY_WORDS})(?:orization|entication|s|key|value|[0-9]{{1,3}})?(?:[_-][A-Za-z0-9_-]{{0,{TAIL_CHARS}}})?(?![A-Za-z])"
 QUOTES = "[\\\\\"'`\\]]{0,3}"
 SIGN = "(?::=|=>|={1,2}|:)"
 SCHEME = "(?:(?:bearer|basic)(?:\\s|$))?"
@@ -53,29 +62,46 @@ OPEN = "[\\\\\"'`(]{0,2}"
 VALUE_CHARS, WORTH_CHARS = "[^\\s\"'`,;]", "[^\\s\"'`]"
 VALUE = (f"(?<={NAME}{QUOTES}{SIGN}{OPEN})(?!(?:bearer|basic)$)"
          f"(?:(?<=[\"'`])[^\\s\"'`]{{6,}}|(?<![\"'`]){VALUE_CHARS}{{6,}})")
-CANDIDATE = f"(?i)(?:{VALUE}|{LONG})"
+#: The password of a connection string, and what a tag with a key word's name holds.
+USER_INFO = "(?<=://[^\\s/@:]{0,128}:)[^\\s/@]{3,}(?=@)"
+TAGGED = f"(?<=<{NAME}>)[^\\s<]{{6,}}"
+CANDIDATE = f"(?i)(?:{USER_INFO}|{TAGGED}|{VALUE}|{LONG})"
+#: A private key from its first to its last line, however its line breaks are spelled.
+PEM = "-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=:,\\s\\\\-]*?-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----"
 #: The words before a value: up to its sign, or up to the name if the sign begins the value's word.
 ASSIGNS = f"(?i){NAME}{QUOTES}\\s?{SIGN}\\s?{SCHEME}{OPEN}$"
 NAMES = f"(?i){NAME}{QUOTES}$"
+#: The words before a value that an argument, or a sentence, gives: --password, -u (with a name and a colon), "password is".
+ARGUMENT = f"(?i)(?:^|\\s)--?(?:[a-z0-9]+[_-])*{NAME}$"
+USER_ARGUMENT = "(?:^|\\s)(?:-u|--user|--proxy-user)$"
+TOLD = f"(?i){NAME}\\s(?:is|was|equals)$"
+IN_WORD = f"://[^\\s/@:]{{0,128}}:[^\\s/@]{{3,}}@|<{NAME}>[^\\s<]{{6}}"
 #: Cheap tests that a word, a word after an assignment, or a text can hold a candidate at all.
-WORTH_WORD = f"(?i)[A-Za-z0-9+/_-]{{16}}|{NAME}{QUOTES}{SIGN}{OPEN}{WORTH_CHARS}{{6}}"
+WORTH_WORD = f"(?i)[A-Za-z0-9+/_-]{{16}}|{IN_WORD}|{NAME}{QUOTES}{SIGN}{OPEN}{WORTH_CHARS}{{6}}"
 WORTH_VALUE = f"{WORTH_CHARS}{{6}}"
-WORTH = f"(?i)[A-Za-z0-9+/_-]{{16}}|{NAME}{QUOTES}\\s*{SIGN}\\s*(?:(?:bearer|basic)\\s+)?{OPEN}\\s*{WORTH_CHARS}{{6}}"
+WORTH = (f"(?i)[A-Za-z0-9+/_-]{{16}}|PRIVATE KEY-----|{IN_WORD}|(?:^|\\s)(?:-u|--user|--proxy-user)\\s+[^\\s:]+:|"
+         f"(?:^|\\s)--?(?:[a-z0-9]+[_-])*{NAME}\\s+{WORTH_CHARS}{{6}}|{NAME}\\s+(?:is|was|equals)\\s+{WORTH_CHARS}{{6}}|{NAME}{QUOTES}\\s*{SIGN}\\s*(?:(?:bearer|basic)\\s+)?{OPEN}\\s*{WORTH_CHARS}{{6}}")
 #: Published formats of issued tokens.
 ISSUED = ("^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
           "|^sk_live_[A-Za-z0-9]{16,}$|^AIza[A-Za-z0-9_-]{35}$|^glpat-[A-Za-z0-9_-]{20,}$")
+#: Private keys are numbered from here, beside the other findings of their first word.
+PEM_NO = 1 << 20
 FEATURES = ["length", "digit_share", "upper_share", "lower_share", "transitions", "distinct_share", "hex", "digits_only",
-            "dictionary", "slashes", "dots", "url", "assigned", "quoted", "key_beside", "id_beside"]
+            "dictionary", "slashes", "dots", "url", "assigned", "given_name", "quoted", "key_beside", "id_beside"]
 
 
 def candidates(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, then word_no, finding_no, finding and its context."""
-    worth = docs.filter(F.col("text").rlike(WORTH)).select(*keep, F.split("text", "\\s+").alias("words"))
+    """``keep`` columns, then word_no, finding_no, finding and its context. A
+    private key is one finding more, numbered from its first word."""
+    worth = docs.filter(F.col("text").rlike(WORTH)).select(*keep, "text", F.split("text", "\\s+").alias("words"))
     # what stands before a word counts as a name or an assignment in front of it
-    lead = "concat_ws(' ', right(get(words, i - 4), 40), right(get(words, i - 3), 40), right(get(words, i - 2), 80), right(get(words, i - 1), 80))"
+    lead = "concat_ws(' ', get(words, i - 4), get(words, i - 3), get(words, i - 2), get(words, i - 1))"
     head = (f"case when {lead} rlike '[:=]' and {lead} rlike {_literal(ASSIGNS)} then 'password=' "
-            f"when words[i] rlike '^[:=]' and {lead} rlike {_literal(NAMES)} then 'password' else '' end")
-    at = worth.select("*", F.explode(F.expr(
+            f"when words[i] rlike '^[:=]' and {lead} rlike {_literal(NAMES)} then 'password' "
+            f"when get(words, i - 1) rlike '^-' and not words[i] rlike '^-' and (concat(' ', get(words, i - 1)) rlike {_literal(ARGUMENT)} "
+            f"or (concat(' ', get(words, i - 1)) rlike {_literal(USER_ARGUMENT)} and words[i] rlike '^[^:]+:.')) then 'password=' "
+            f"when lower(get(words, i - 1)) in ('is', 'was', 'equals') and {lead} rlike {_literal(TOLD)} then 'password=' else '' end")
+    at = worth.select(*keep, F.explode(F.expr(
         f"transform(filter(sequence(0, size(words) - 1), i -> words[i] rlike {_literal(WORTH_WORD)} "
         f"or (words[i] rlike {_literal(WORTH_VALUE)} and {head} != '')), i -> named_struct("
         "'word_no', i, 'word', words[i], 'before', lower(concat_ws(' ', get(words, i - 2), get(words, i - 1))), "
@@ -84,8 +110,14 @@ def candidates(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFram
                      .alias("finding_no", "finding"))
     rest = F.concat_ws(" ", "before", F.replace("word", "finding", F.lit(" ")))
     value = (F.col("finding").rlike("[0-9]") | (F.col("head") != "") | rest.rlike(f"(?i){NAME}")
-             | F.col("word").rlike(f"(?i)(?:{KEY_WORDS})[:=]"))
-    return each.filter(value).drop("head")
+             | F.col("word").rlike(f"(?i)(?:{KEY_WORDS})[:=]") | F.col("word").rlike(IN_WORD))
+    blocks = worth.filter(F.col("text").contains("PRIVATE KEY-----")).select(
+        *keep, "text", F.posexplode(F.regexp_extract_all("text", F.lit(PEM), F.lit(0))).alias("finding_no", "finding"))
+    before = F.expr("substring_index(text, finding, 1)")
+    keys = blocks.select(*keep, (F.size(F.split(before, "\\s+")) - 1).alias("word_no"), F.col("finding").alias("word"),
+                         F.lit("private key").alias("before"), F.lit(None).cast("string").alias("after"), F.lit("").alias("head"),
+                         (F.col("finding_no") + PEM_NO).alias("finding_no"), "finding")
+    return each.filter(value).unionAll(keys).withColumn("given", F.col("head") != "").drop("head")
 
 
 def _literal(s: str) -> str:
@@ -112,7 +144,7 @@ def featured(found: DataFrame) -> DataFrame:
         "dictionary": covered / F.length("finding"), "slashes": F.regexp_count("finding", F.lit("/")),
         "dots": F.regexp_count("word", F.lit("[.]")), "url": F.col("word").rlike("://|www[.]"),
         "assigned": F.col("word").rlike("[A-Za-z0-9_][\"'`\\]]{0,2}[:=]|^[:=]") | F.col("before").rlike("[:=]>?[\"'`]?$"),
-        "quoted": F.col("word").rlike("[\"'`]"), "key_beside": beside.rlike(KEY_WORDS),
+        "given_name": F.col("given"), "quoted": F.col("word").rlike("[\"'`]"), "key_beside": beside.rlike(KEY_WORDS),
         "id_beside": F.concat_ws(" ", beside, "after").rlike(ID_WORDS)}
     return found.select("*", *[number(made[c]).alias(c) for c in FEATURES])
 
@@ -121,10 +153,11 @@ def format_labels(rows: DataFrame) -> Column:
     """1 for issued token formats and assigned credentials, 0 for known
     non-secrets, null for the rest, from a featured row."""
     placeholder = (F.col("dictionary") > 0.4) | (F.col("distinct_share") < 0.2)
-    issued = F.col("finding").rlike(ISSUED)
-    credential = (F.col("key_beside") == 1) & (F.col("assigned") == 1) & (F.col("digit_share") > 0)
+    issued = F.col("finding").rlike(ISSUED) | F.col("finding").rlike("^-----BEGIN")
+    credential = ((F.col("key_beside") == 1) & ((F.col("assigned") == 1) | F.col("given")) & (F.col("digit_share") > 0)) | F.col("word").rlike(
+        "://[^\\s/@:]{0,128}:[^\\s/@]{3,}@")
     other = (F.col("digits_only") == 1) | (F.col("id_beside") == 1) | (F.col("url") == 1) | (F.col("slashes") > 2)
-    return (F.when(placeholder, 0).when(issued, 1).when(credential & (F.col("digits_only") == 0), 1)
+    return (F.when(issued, 1).when(placeholder, 0).when(credential & (F.col("digits_only") == 0), 1)
             .when(other & (F.col("key_beside") == 0), 0))
 
 
@@ -147,7 +180,10 @@ def fit(spark: SparkSession, rows: DataFrame, labels: DataFrame | None = None):
     if {r[0] for r in sample.select("label").distinct().collect()} != {0.0, 1.0}:
         return None
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="vector", labelCol="label")
-    return forest.fit(_assembled(sample))
+    # saved and loaded: the model that scores holds nothing of the tables it was fitted on
+    path = scratch_path(spark, "llm", f"secret-forest-{uuid.uuid4().hex}")
+    forest.fit(_assembled(sample)).write().save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def _assembled(rows: DataFrame) -> DataFrame:
