@@ -72,11 +72,11 @@ def many_shingles(hashes, begins, sizes, size: int = SHINGLE_WORDS):
 
 
 def set_names(grams, ends):
-    """64-bit names of shingle sets, and 32 bits more to tell apart what shares one."""
+    """128-bit names of shingle sets, as rows of bytes."""
     starts = np.concatenate([[0], ends[:-1]])
-    name = mix(np.add.reduceat(mix(grams ^ _MIX), starts) + (ends - starts).astype(np.uint64))
-    second = mix(np.bitwise_xor.reduceat(mix(grams + _MIX), starts)) >> np.uint64(32)
-    return name.view(np.int64), second.astype(np.uint32).view(np.int32)
+    one = mix(np.add.reduceat(mix(grams ^ _MIX), starts) + (ends - starts).astype(np.uint64))
+    other = mix(np.bitwise_xor.reduceat(mix(grams + _MIX), starts) + one)
+    return np.ascontiguousarray(np.stack([one, other], 1)).view(np.uint8)
 
 
 def set_id(grams) -> bytes:

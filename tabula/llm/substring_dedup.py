@@ -1,15 +1,17 @@
 """Substring dedup by paragraph MinHash banding.
 
-Paragraphs come in two sizes. A line of ``LINE_WORDS`` words or more is a
-paragraph; its five-word shingles get ``BANDS`` bands of ``ROWS`` minima, which
+Paragraphs come in two sizes. A line of ``LEAST_WORDS`` words or more is a
+paragraph, and so is a block of shorter lines in a row, without a blank or a
+long line between them, of as many words together. Its five-word shingles get ``BANDS`` bands of ``ROWS`` minima, which
 find a pair of similarity 0.8 with probability 0.998. Colliding lines are
 compared on their full shingle sets (``similar_sets``), and the components of
 the verified links are the classes. So that a passage pasted into the middle of
 lines has paragraphs of its own, lines are also cut at places that depend on
-the words around them only (the least pair hash within ``REACH`` words); a
-repeated passage has the same cuts wherever it stands. Such a short paragraph
+the words around them in their line only (the least pair hash within ``REACH``
+words); a repeated passage has the same cuts wherever it stands, and equal
+lines are cut alike whatever lines they stand between. Such a short paragraph
 has one band, all its words, and repeats of it are exact. Adjacent repeated ones
-join into passages of ``PASSAGE_WORDS`` words or more, and passages that share a
+join into passages of ``LEAST_WORDS`` words or more, and passages that share a
 paragraph are clustered by components.
 
 The first occurrence (least doc_id, then first in the table) stays, the others
@@ -32,11 +34,11 @@ from .common import checked_broadcast, lean, numbered_rows, prepare, table, writ
 from .components import components
 from .similar_sets import similar_sets
 
-LINE_WORDS = 20
+#: Repeats of fewer words are no removals: short lines and phrases recur in any language.
+LEAST_WORDS = 15
 BANDS, ROWS = 9, 3
 NUMERATOR, DENOMINATOR = 4, 5
 REACH = 4
-PASSAGE_WORDS = 15
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -55,8 +57,8 @@ def _first(*place: str):
 def _similar_lines(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     lines = written(spark, rows.mapInArrow(
-        lean(_lines), "row long, doc_id long, begin int, words int, set_id long, second int, bands array<long>"), "dedup-lines")
-    sets = lines.groupBy("set_id").agg(F.count("*").alias("copies"), _first("row", "begin", "words", "second"),
+        lean(_lines), "row long, doc_id long, begin int, words int, set_id binary, bands array<long>"), "dedup-lines")
+    sets = lines.groupBy("set_id").agg(F.count("*").alias("copies"), _first("row", "begin", "words"),
                                        F.first("bands").alias("bands"))
     sets = written(spark, sets, "dedup-sets")
 
@@ -66,18 +68,18 @@ def _similar_lines(rows: DataFrame) -> DataFrame:
         lists = named.groupBy("row").agg(*[F.collect_list(c).alias(c) for c in ("set_id", "begin", "words")])
         texts = rows.select("row", "text").join(checked_broadcast(lists, 40, rows=named.count()), "row")
         return texts.select("text", "set_id", "begin", "words").mapInArrow(
-            lean(_line_shingles), "set_id long, shingles array<long>")
+            lean(_line_shingles), "set_id binary, shingles array<long>")
 
     linked = similar_sets(spark, sets, shingles_of, NUMERATOR, DENOMINATOR, "dedup")
     every = sets.select("set_id", "copies", "pick").join(linked, "set_id", "left").filter("links is not null or copies > 1")
-    every = every.select("set_id", F.col("pick.second").alias("second"), "pick", F.coalesce("root", "set_id").alias("root"))
+    every = every.select("set_id", "pick", F.coalesce("root", "set_id").alias("root"))
     least = every.groupBy("root").agg(F.min("pick").alias("first"))
     classes = every.drop("pick").join(least, "root")
-    found = lines.drop("bands").join(classes, ["set_id", "second"])
+    found = lines.drop("bands").join(classes, "set_id")
     kept = (F.col("row") == F.col("first.row")) & (F.col("begin") == F.col("first.begin"))
     return found.select(
         "doc_id", F.lit("line").alias("kind"), F.col("begin").cast("long").alias("begin"),
-        (F.col("begin") + F.col("words")).cast("long").alias("end"), F.concat(F.lit("line:"), F.col("root")).alias("class_id"),
+        (F.col("begin") + F.col("words")).cast("long").alias("end"), F.concat(F.lit("line:"), F.lower(F.hex("root"))).alias("class_id"),
         F.col("first.doc_id").alias("first_doc_id"), (~kept).alias("removed"))
 
 
@@ -102,7 +104,7 @@ def _passages(rows: DataFrame) -> DataFrame:
     spans = runs.groupBy("row", "run").agg(
         F.first("doc_id").alias("doc_id"), F.min("begin").alias("begin"), F.max(F.col("begin") + F.col("words")).alias("end"),
         F.min(F.struct("begin", "h", F.col("pick.doc_id").alias("first_doc_id"))).alias("head"), F.first("removed").alias("removed"))
-    spans = spans.filter(F.col("end") - F.col("begin") >= PASSAGE_WORDS)
+    spans = spans.filter(F.col("end") - F.col("begin") >= LEAST_WORDS)
     links = runs.filter("adjacent").select(F.col("h").alias("a"), F.col("beside").alias("b")).distinct()
     clusters = components(spark, links, "dedup-clusters").withColumnsRenamed({"node": "of", "root": "cluster"})
     spans = spans.withColumn("h", F.col("head.h")).join(clusters, F.col("h") == F.col("of"), "left")
@@ -123,6 +125,24 @@ def _groups(batches):
             yield part.column("row"), part.column("doc_id"), texts[lo:hi]
 
 
+def paragraphs(lines, text_ends, least: int = LEAST_WORDS):
+    """First words and sizes of the lines of ``least`` words or more, and of the
+    blocks of shorter ones in a row that have as many; ``lines`` gives each word's
+    line, counted through all texts, which end at the words ``text_ends``."""
+    import numpy as np
+
+    first = np.flatnonzero(np.diff(lines, prepend=-1))
+    if not len(first):
+        return first, first
+    sizes = np.diff(np.append(first, len(lines)))
+    owner = np.searchsorted(text_ends, first, side="right")
+    short = sizes < least
+    goes_on = short[1:] & short[:-1] & (np.diff(lines[first]) == 1) & (np.diff(owner) == 0)
+    begin = np.flatnonzero(np.concatenate([[True], ~goes_on]))
+    sizes, first = np.add.reduceat(sizes, begin), first[begin]
+    return first[sizes >= least], sizes[sizes >= least]
+
+
 def _lines(batches):
     import numpy as np
     import pyarrow as pa
@@ -132,22 +152,20 @@ def _lines(batches):
     bands = minhash.Bands(BANDS, ROWS)
     for rows, docs, texts in _groups(batches):
         hashes, counts, lines = minhash.hashed_words(texts)
-        first = np.flatnonzero(np.diff(lines, prepend=-1))
-        sizes = np.diff(np.append(first, len(hashes)))
-        first, sizes = first[sizes >= LINE_WORDS], sizes[sizes >= LINE_WORDS]
+        text_ends = np.cumsum(counts)
+        first, sizes = paragraphs(lines, text_ends)
         if not len(first):
             continue
-        text_ends = np.cumsum(counts)
         owner = np.searchsorted(text_ends, first, side="right")
         grams, ends = minhash.many_shingles(hashes, first, sizes)
-        name, second = minhash.set_names(grams, ends)
+        name = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(first), [None, pa.py_buffer(minhash.set_names(grams, ends))])
         flat = bands.of_many(grams, ends).reshape(-1)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * BANDS), pa.array(flat))
         place = (first - (text_ends - counts)[owner]).astype(np.int32)
         owner = pa.array(owner)
         yield pa.RecordBatch.from_arrays(
-            [rows.take(owner), docs.take(owner), pa.array(place), pa.array(sizes.astype(np.int32)), pa.array(name),
-             pa.array(second), lists], ["row", "doc_id", "begin", "words", "set_id", "second", "bands"])
+            [rows.take(owner), docs.take(owner), pa.array(place), pa.array(sizes.astype(np.int32)),
+             name.cast(pa.binary()), lists], ["row", "doc_id", "begin", "words", "set_id", "bands"])
 
 
 def _line_shingles(batches):
@@ -165,25 +183,31 @@ def _line_shingles(batches):
             for start, ids, begins, sizes in zip(starts, *(part.column(c).to_pylist() for c in ("set_id", "begin", "words"))):
                 names += ids
                 grams += [minhash.shingles(hashes[start + b:start + b + n]).view(np.int64) for b, n in zip(begins, sizes)]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(grams, pa.list_(pa.int64()))],
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(grams, pa.list_(pa.int64()))],
                                              ["set_id", "shingles"])
 
 
 def cut_places(hashes, line_begins, reach: int = REACH):
     """Places where a text's words are cut: line begins, and the words whose pair
-    hash is the least within ``reach`` words to both sides (the first of equals)."""
+    hash is the least within ``reach`` words to both sides of their line (the first of equals)."""
     import numpy as np
 
     from tabula.llm import minhash
 
-    n = len(hashes)
-    pair = np.full(n + 2 * reach, np.iinfo(np.uint64).max, np.uint64)
+    n, most = len(hashes), np.iinfo(np.uint64).max
+    line = np.zeros(n + 2 * reach, np.int64)
+    line[reach + np.asarray(line_begins, np.int64)] = 1
+    line = np.cumsum(line)
+    line[:reach], line[reach + n:] = -1, -1
+    pair = np.full(n + 2 * reach, most, np.uint64)
     if n > 1:
         pair[reach:reach + n - 1] = minhash.mix(hashes[:-1] * np.uint64(31) + hashes[1:])
-    own = pair[reach:reach + n]
-    cut = own < np.iinfo(np.uint64).max
+        pair[:-1][line[1:] != line[:-1]] = most  # a line's last word has no pair
+    own, at = pair[reach:reach + n], line[reach:reach + n]
+    cut = own < most
     for d in range(1, reach + 1):
-        cut &= (own < pair[reach - d:reach - d + n]) & (own <= pair[reach + d:reach + d + n])
+        before, after = slice(reach - d, reach - d + n), slice(reach + d, reach + d + n)
+        cut &= ((own < pair[before]) | (line[before] != at)) & ((own <= pair[after]) | (line[after] != at))
     cut[line_begins] = True
     return np.flatnonzero(cut)
 
@@ -198,7 +222,6 @@ def _cut_paragraphs(batches):
         hashes, counts, lines = minhash.hashed_words(texts)
         if not len(hashes):
             continue
-        # documents meet at line begins, so that only a reach beside them looks across
         cuts = cut_places(hashes, np.flatnonzero(np.diff(lines, prepend=-1)))
         size = np.diff(np.append(cuts, len(hashes)))
         place = np.arange(len(hashes)) - np.repeat(cuts, size)

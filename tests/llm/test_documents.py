@@ -253,23 +253,88 @@ def test_substring_dedup(spark, tmp_path):
     assert substring_dedup.repeated_spans(empty_docs(spark)).count() == 0
 
 
+def brute_paragraphs(text, least=15):
+    """(begin, words) of long lines and of blocks of short ones, word by word."""
+    out, at, block = [], 0, []
+
+    def close():
+        if len(block) >= least:
+            out.append((at - len(block), list(block)))
+        block.clear()
+
+    for line in (text or "").split("\n"):
+        w = line.split()
+        if 0 < len(w) < least:
+            block.extend(w)
+        else:
+            close()
+            if w:
+                out.append((at, w))
+        at += len(w)
+    close()
+    return out
+
+
+def _brute_classes(docs):
+    place = [(d, at, at + len(w)) for d, text in docs for at, w in brute_paragraphs(text)]
+    sets = [grams(w) for _, text in docs for _, w in brute_paragraphs(text)]
+    groups = collections.defaultdict(list)
+    for k, r in enumerate(roots(len(place), similar(sets))):
+        groups[r].append(place[k])
+    return {tuple(sorted(g)) for g in groups.values() if len(g) > 1}
+
+
+def _classes(got):
+    found = collections.defaultdict(list)
+    for r in got.filter("kind = 'line'").collect():
+        found[r.class_id].append((r.doc_id, r.begin, r.end))
+    return {tuple(sorted(g)) for g in found.values()}
+
+
 def test_line_classes_equal_brute_force(spark):
-    place, line_rows = [], []
-    for d in rows("documents"):
-        at = 0
-        for line in d["text"].split("\n"):
-            w = line.split()
-            if len(w) >= substring_dedup.LINE_WORDS:
-                place.append((d["doc_id"], at, at + len(w)))
-                line_rows.append(grams(w))
-            at += len(w)
-    groups = collections.defaultdict(set)
-    for k, r in enumerate(roots(len(place), similar(line_rows))):
-        groups[r].add(place[k])
-    got = collections.defaultdict(set)
-    for r in QUERIES["op2_substring_dedup"](spark, SF).filter("kind = 'line'").collect():
-        got[r.class_id].add((r.doc_id, r.begin, r.end))
-    assert set(map(frozenset, got.values())) == {frozenset(g) for g in groups.values() if len(g) > 1}
+    docs = [(d["doc_id"], d["text"]) for d in rows("documents")]
+    assert _classes(QUERIES["op2_substring_dedup"](spark, SF)) == _brute_classes(docs)
+
+
+def test_wrapped_paragraphs_and_short_lines(spark, tmp_path):
+    """Paragraphs wrapped at ten words, near copies of them, and lines of 15 to 19 words."""
+    rng = random.Random(6)
+    pool = sorted({w for d in rows("documents") for w in (d["text"] or "").split()})
+    wrap = lambda w, n=10: "\n".join(" ".join(w[i:i + n]) for i in range(0, len(w), n))
+    docs = []
+    for k in range(60):
+        w = rng.choices(pool, k=rng.randint(60, 120))
+        near = list(w)
+        near[rng.randrange(len(near))] = "changed"
+        short = " ".join(rng.choices(pool, k=rng.randint(15, 19)))
+        own = lambda n: " ".join(rng.choices(pool, k=n))
+        docs += [(3 * k, f"{own(30)}\n{wrap(w)}\n\n{own(9)}\n{own(4)}\n{short}"),
+                 (3 * k + 1, f"{own(25)}\n{own(40)}\n{wrap(near)}\n{own(20)}"), (3 * k + 2, f"{own(21)}\n{short}\n{own(22)}")]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(path)
+    got = substring_dedup.repeated_spans(spark.read.parquet(path))
+    want = _brute_classes(docs)
+    assert len(want) >= 110
+    found = _classes(got)
+    assert found <= want and len(found) >= 0.98 * len(want)
+    exact = {g for g in want if len(g) == 2 and g[0][2] - g[0][1] < 20}
+    assert exact <= found
+
+
+def test_equal_lines_are_cut_alike(spark):
+    """The pieces of a line don't depend on its neighbours."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        line = rng.integers(0, 1 << 60, rng.integers(1, 40)).astype(np.uint64)
+        cuts = []
+        for _ in range(2):
+            before, after = (rng.integers(0, 1 << 60, rng.integers(1, 30)).astype(np.uint64) for _ in range(2))
+            begins = [0, len(before), len(before) + len(line)]
+            at = substring_dedup.cut_places(np.concatenate([before, line, after]), begins)
+            cuts.append([c - len(before) for c in at if len(before) <= c < len(before) + len(line)])
+        assert cuts[0] == cuts[1] and cuts[0][0] == 0
 
 
 def test_no_repeats_no_rows(spark):
