@@ -79,8 +79,9 @@ IN_WORD = f"://[^\\s/@:]{{0,128}}:[^\\s/@]{{3,}}@|<{NAME}>[^\\s<]{{6}}"
 #: Cheap tests that a word, a word after an assignment, or a text can hold a candidate at all.
 WORTH_WORD = f"(?i)[A-Za-z0-9+/_-]{{16}}|{IN_WORD}|{NAME}{QUOTES}{SIGN}{OPEN}{WORTH_CHARS}{{6}}"
 WORTH_VALUE = f"{WORTH_CHARS}{{6}}"
-WORTH = (f"(?i)[A-Za-z0-9+/_-]{{16}}|PRIVATE KEY-----|{IN_WORD}|(?:^|\\s)(?:-u|--user|--proxy-user)\\s+[^\\s:]+:|"
-         f"(?:^|\\s)--?(?:[a-z0-9]+[_-])*{NAME}\\s+{WORTH_CHARS}{{6}}|{NAME}\\s+(?:is|was|equals)\\s+{WORTH_CHARS}{{6}}|{NAME}{QUOTES}\\s*{SIGN}\\s*(?:(?:bearer|basic)\\s+)?{OPEN}\\s*{WORTH_CHARS}{{6}}")
+WORTH = (f"(?i)[A-Za-z0-9+/_-]{{16}}|PRIVATE KEY-----|{IN_WORD}|-(?:u|user)\\s+[^\\s:]+:|(?<=-){NAME}\\s+{WORTH_CHARS}{{6}}|"
+         f"{NAME}(?:\\s+(?:is|was|equals)\\s+{WORTH_CHARS}{{6}}|"
+         f"{QUOTES}\\s*{SIGN}\\s*(?:(?:bearer|basic)\\s+)?{OPEN}\\s*{WORTH_CHARS}{{6}})")
 #: Published formats of issued tokens.
 ISSUED = ("^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
           "|^sk_live_[A-Za-z0-9]{16,}$|^AIza[A-Za-z0-9_-]{35}$|^glpat-[A-Za-z0-9_-]{20,}$")
@@ -96,11 +97,14 @@ def candidates(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFram
     worth = docs.filter(F.col("text").rlike(WORTH)).select(*keep, "text", F.split("text", "\\s+").alias("words"))
     # what stands before a word counts as a name or an assignment in front of it
     lead = "concat_ws(' ', get(words, i - 4), get(words, i - 3), get(words, i - 2), get(words, i - 1))"
-    head = (f"case when {lead} rlike '[:=]' and {lead} rlike {_literal(ASSIGNS)} then 'password=' "
+    last = "get(words, i - 1)"
+    # cheap tests first: nearly all words fail them, and their context is never put together
+    signed = " or ".join(f"contains(get(words, i - {k}), '{c}')" for k in (1, 2, 3) for c in ":=")
+    head = (f"case when ({signed}) and {lead} rlike {_literal(ASSIGNS)} then 'password=' "
             f"when words[i] rlike '^[:=]' and {lead} rlike {_literal(NAMES)} then 'password' "
-            f"when get(words, i - 1) rlike '^-' and not words[i] rlike '^-' and (concat(' ', get(words, i - 1)) rlike {_literal(ARGUMENT)} "
-            f"or (concat(' ', get(words, i - 1)) rlike {_literal(USER_ARGUMENT)} and words[i] rlike '^[^:]+:.')) then 'password=' "
-            f"when lower(get(words, i - 1)) in ('is', 'was', 'equals') and {lead} rlike {_literal(TOLD)} then 'password=' else '' end")
+            f"when startswith({last}, '-') and not startswith(words[i], '-') and ({last} rlike {_literal(ARGUMENT)} "
+            f"or ({last} rlike {_literal(USER_ARGUMENT)} and words[i] rlike '^[^:]+:.')) then 'password=' "
+            f"when lower({last}) in ('is', 'was', 'equals') and {lead} rlike {_literal(TOLD)} then 'password=' else '' end")
     at = worth.select(*keep, F.explode(F.expr(
         f"transform(filter(sequence(0, size(words) - 1), i -> words[i] rlike {_literal(WORTH_WORD)} "
         f"or (words[i] rlike {_literal(WORTH_VALUE)} and {head} != '')), i -> named_struct("
