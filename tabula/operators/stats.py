@@ -79,22 +79,37 @@ def on_grid(df: DataFrame, width: int, dim: str = "dim") -> DataFrame:
     return df.select("*", row, col)
 
 
+#: Numbers that a block of classes has at most in a task (a block pair holds two).
+BLOCK_NUMBERS = 1 << 20
+BLOCK_CLASSES = 512
+
+
 def class_correlation(means: DataFrame, classes: Sequence[int] | None = None, label: str = "label") -> DataFrame:
-    """C1 + C3/K5: Pearson r between the mean vectors of every pair of classes.
+    """C1 + C3/K5: Pearson r between the mean vectors of every pair of classes,
+    over the dims that both have.
 
     Dense over the classes that occur, or over ``classes`` and those that occur
     besides; a pair with a missing or constant vector is 0.
 
-    Plan: the class-means table (one row per class and dim) joins itself on
-    ``dim`` for pairs of classes in order, and one aggregate per pair gives r;
-    the other order is the same number.
+    Plan: a blocked matrix product. Each class is one row (its dims and means),
+    classes are dealt into blocks, and each pair of blocks is one group whose
+    sums of products come from matrix products; what is shuffled is a class's row
+    once a block, never a row per pair and dim.
     """
-    a = means.select(F.col(label).alias("label_a"), "dim", F.col("mean").alias("mean_a"))
-    b = means.select(F.col(label).alias("label_b"), "dim", F.col("mean").alias("mean_b"))
-    half = (a.join(b, "dim").filter("label_a <= label_b").groupBy("label_a", "label_b")
-            .agg(F.try_divide(F.covar_pop("mean_a", "mean_b"), F.stddev_pop("mean_a") * F.stddev_pop("mean_b")).alias("r"))
-            .withColumn("r", F.coalesce("r", F.lit(0.0))))
-    both = half.unionAll(half.filter("label_a < label_b").select("label_b", "label_a", "r"))
+    from tabula.session import ship_package
+
+    ship_package(means.sparkSession)
+    kind = means.schema[label].dataType.simpleString()
+    per_class = means.filter(F.col("mean").isNotNull() & F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(
+        F.collect_list(F.struct("dim", F.col("mean").cast("double").alias("mean"))).alias("cells"))
+    size = per_class.agg(F.count("*").alias("n"), F.max(F.size("cells")).alias("dims")).first()
+    rows_a_block = max(1, min(BLOCK_CLASSES, BLOCK_NUMBERS // max(1, size["dims"] or 1)))
+    blocks = max(1, -(-size["n"] // rows_a_block))
+    dealt = (per_class.select("label", F.col("cells.dim").cast("array<long>").alias("dims"), F.col("cells.mean").alias("means"),
+                              F.pmod(F.xxhash64("label"), F.lit(blocks)).cast("int").alias("block"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+             .select(F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "label", "dims", "means"))
+    both = dealt.groupBy("i", "j").applyInArrow(_correlated, f"label_a {kind}, label_b {kind}, r double")
     if classes is None:
         return both
     listed = F.array(*[F.lit(c) for c in classes])
@@ -104,6 +119,34 @@ def class_correlation(means: DataFrame, classes: Sequence[int] | None = None, la
             .select("label_a", "label_b", F.coalesce("r", F.lit(0.0)).alias("r")))
 
 
+def _correlated(group):
+    """All pairs of classes of one block, or those across two, in both orders."""
+    import numpy as np
+    import pyarrow as pa
+
+    group = group.combine_chunks()
+    labels, block = group.column("label"), np.asarray(group.column("block"))
+    dims = group.column("dims").combine_chunks()
+    sizes = np.asarray(dims.value_lengths())
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, place = np.unique(np.asarray(dims.flatten()), return_inverse=True)
+    values = np.asarray(group.column("means").combine_chunks().flatten())
+    x, has = np.zeros((len(sizes), place.max(initial=-1) + 1)), np.zeros((len(sizes), place.max(initial=-1) + 1))
+    x[owner, place], has[owner, place] = values, 1.0
+    x = np.where(has > 0, x - (x.sum(1) / np.maximum(sizes, 1))[:, None], 0.0)
+    x[[len(set(v)) <= 1 for v in np.split(values, np.cumsum(sizes)[:-1])]] = 0.0  # constant: no variance, whatever rounding says
+    n = has @ has.T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        sums = x @ has.T  # of the row's class over the dims that the column's class has too
+        spread = (x * x) @ has.T - sums * sums / n
+        r = (x @ x.T - sums * sums.T / n) / np.sqrt(spread * spread.T)
+    # too little spread to tell from rounding
+    r[~np.isfinite(r) | (spread <= 1e-13 * ((x * x) @ has.T)) | (spread.T <= 1e-13 * ((x * x) @ has.T).T)] = 0.0
+    inside = group.column("i")[0].as_py() == group.column("j")[0].as_py()
+    one, two = np.nonzero((block[:, None] != block[None, :]) | inside)
+    return pa.table({"label_a": labels.take(pa.array(one)), "label_b": labels.take(pa.array(two)), "r": pa.array(r[one, two])})
+
+
 def class_pair_difference(spark: SparkSession, means: DataFrame,
                           pairs: Sequence[tuple[int, int]] = ((1, 7), (3, 8), (4, 9)),
                           label: str = "label") -> DataFrame:

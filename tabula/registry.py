@@ -1004,6 +1004,35 @@ def q_neural_epochs(spark, sf_dir):
         ((F.abs(F.col("top") - F.col("accuracy_again")) < 1e-9) & (F.abs(F.col("its_loss") - F.col("loss_again")) < 1e-9)).alias("found_again"))
 
 
+@register("pca_variance", f"""
+SELECT count(*) AS n_rows, round(sum(v), 6) AS total_variance, round(sum(v), 6) AS captured_by_all,
+       round(sum(v), 6) AS captured_and_left, true AS as_mllib, count(*) = {N_DIMS} AS full_width
+FROM (SELECT dim, var_samp(x) AS v FROM {EMB_LONG} GROUP BY dim)""".replace("SELECT count(*) AS n_rows", "SELECT (SELECT count(*) FROM embeddings) AS n_rows"))
+def q_pca_variance(spark, sf_dir):
+    """Principal components without a width^2 matrix. All components hold
+    the whole variance, eight hold what the distance to their reconstruction
+    doesn't, and their variances are MLlib's."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector
+
+    from tabula.operators import pca
+
+    e = emb(spark, sf_dir).select(F.col("embedding").cast("array<double>").alias("v"))
+    every, some = pca.fit(e, "v", N_DIMS), pca.fit(e, "v", 8)
+    theirs = PCA(k=8, inputCol="x", outputCol="y").fit(e.select(array_to_vector("v").alias("x"))).explainedVariance.toArray()
+    as_mllib = bool(abs(every.ratio[:8] - theirs).max() < 1e-9 and abs(some.ratio - theirs).max() < 2e-3)
+    left = pca.project(e, "v", some).agg(F.sum("projected_error").alias("s"), F.count("projected").alias("n_rows"))
+    # variances along orthonormal components, and what is left beside them
+    along = pca.project(e, "v", some).select(F.posexplode("projected").alias("k", "y")).agg(
+        F.sum(F.col("y") * F.col("y")).alias("along"))
+    one = F.lit(1).alias("_one")
+    return left.select("*", one).join(along.select("*", one), "_one").select(
+        "n_rows", F.round(F.lit(every.total_variance), 6).alias("total_variance"),
+        F.round(F.lit(float(every.variance.sum())), 6).alias("captured_by_all"),
+        F.round((F.col("along") + F.col("s")) / (F.col("n_rows") - 1), 6).alias("captured_and_left"),
+        F.lit(as_mllib).alias("as_mllib"), F.lit(len(every.mean) == N_DIMS).alias("full_width"))
+
+
 @register("batch_score_keys", """
 SELECT vec_id, true AS valid FROM embeddings""")
 def q_batch_score_keys(spark, sf_dir):

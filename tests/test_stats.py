@@ -123,3 +123,23 @@ def test_constant_class_vector_and_empty_arrays(spark):
     e = spark.createDataFrame([(0, []), (0, [1.0, -1.0])], "label int, embedding array<double>")
     r = stats.ink_density(e).first()
     assert r["n"] == 2 and r["avg_ink_ratio"] == 0.5  # the empty row has no ratio and is skipped
+
+
+def test_many_classes_in_blocks(spark, monkeypatch):
+    """Several blocks, missing dims, a constant class: numpy's coefficients over the dims that two classes share."""
+    import numpy as np
+
+    monkeypatch.setattr(stats, "BLOCK_CLASSES", 7)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(40, 12)) + 100
+    x[3] = 0.1
+    has = rng.random((40, 12)) < 0.9
+    rows = [(c, d, float(x[c, d])) for c in range(40) for d in range(12) if has[c, d]]
+    got = {(r["label_a"], r["label_b"]): r["r"] for r in stats.class_correlation(
+        spark.createDataFrame(rows, "label int, dim int, mean double")).collect()}
+    assert len(got) == 1600
+    for a in range(40):
+        for b in range(40):
+            both = has[a] & has[b]
+            want = 0.0 if 3 in (a, b) or both.sum() < 2 else np.corrcoef(x[a, both], x[b, both])[0, 1]
+            assert abs(got[a, b] - want) < 1e-9, (a, b)
