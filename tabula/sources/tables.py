@@ -52,21 +52,34 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.option("inferSchema", str(bool(infer)).lower()).csv(path)
 
 
+#: Column of lines that don't fit the header or hold a cell that is no number.
+MALFORMED = "_malformed"
+
+
 def read_labelled_csv(spark: SparkSession, path: str, has_label: bool = True, label: str = "label",
-                      schema: T.StructType | str | None = None, pattern: str = r"\d+") -> DataFrame:
+                      schema: T.StructType | str | None = None, pattern: str = r"\d+", keep_malformed: bool = False) -> DataFrame:
     """Typed feature reader.
 
-    Requires ``label`` when asked, orders features by the number in their
-    name and casts everything to double with ``try_cast`` (a malformed cell
-    becomes NULL instead of failing the job under ANSI mode).
+    Requires ``label`` when asked and orders features by the number in their
+    name. The header gives the columns; the lines are then parsed once, straight
+    to doubles (no string columns, no casts). A cell that is no number becomes
+    null instead of failing the job, a missing one too; with ``keep_malformed`` the
+    column ``_malformed`` holds the text of such lines. Blanks around numbers don't
+    count, quoted cells do. A file whose header differs is an error.
     """
     require_path(spark, path)
-    raw = load_csv(spark, path, schema=schema)
-    if has_label and label not in raw.columns:
+    names = load_csv(spark, path, schema=schema).columns
+    if has_label and label not in names:
         raise ValueError(f"missing label column {label!r} in {path}")
-    feats = feature_columns(raw.columns, label=label, pattern=pattern)
-    cols = ([label] if has_label else []) + feats
-    return raw.select(*[F.expr(f"try_cast(`{c}` AS double)").alias(c) for c in cols])
+    wanted = ([label] if has_label else []) + feature_columns(names, label=label, pattern=pattern)
+    typed = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+    reader = spark.read.option("header", "true").option("enforceSchema", "false").option("mode", "PERMISSIVE")
+    reader = reader.option("ignoreLeadingWhiteSpace", "true").option("ignoreTrailingWhiteSpace", "true")
+    if keep_malformed:
+        # a cell is only looked at where it is asked for, so all of them are
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
+        typed, wanted = typed.add(MALFORMED, T.StringType()), [*wanted, MALFORMED]
+    return reader.schema(typed).csv(path).select(*[F.col(f"`{c}`") for c in wanted])
 
 
 def write_counted(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",

@@ -83,3 +83,18 @@ def test_sampling_forms(spark):
         split.native_sample(df, 0.0)
     assert training_sample(df, 1.0, "id").count() == 10000
     assert training_sample(df, 0.2, "id").count() == split.hash_sample(df, F.col("id"), 0.2).count()
+
+
+def test_one_pass_csv(spark, tmp_path):
+    from tabula.sources.tables import read_labelled_csv
+
+    path = tmp_path / "digits.csv"
+    path.write_text('pixel10,label,pixel2\n1,3, 4.5 \n"2","7","-1e3"\nx,1,5\n,2,\n6,0\n1,2,3,4\n\n"8,1",9,0\n')
+    rows = [tuple(r) for r in read_labelled_csv(spark, str(path), keep_malformed=True).collect()]
+    assert rows == [(3.0, 4.5, 1.0, None), (7.0, -1000.0, 2.0, None), (1.0, 5.0, None, "x,1,5"), (2.0, None, None, None),
+                    (0.0, None, 6.0, "6,0"), (2.0, 3.0, 1.0, "1,2,3,4"), (9.0, 0.0, None, '"8,1",9,0')]
+    plain = read_labelled_csv(spark, str(path))
+    assert plain.columns == ["label", "pixel2", "pixel10"] and [tuple(r) for r in plain.collect()] == [r[:3] for r in rows]
+    assert "try_cast" not in plain._jdf.queryExecution().toString().lower()
+    with pytest.raises(ValueError):
+        read_labelled_csv(spark, str(path), label="nope")
