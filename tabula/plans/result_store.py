@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from tabula.sources import versions as vs
 
-PREFIX_CHARS = 2
 HASHES = 4
 BITMAP_BITS = 32_768
 BITS_A_KEY = 10
@@ -34,10 +33,15 @@ BROADCAST_BYTES = 32 << 20
 
 class ResultStore:
     """Results under ``root``: a hexadecimal ``key`` column of 40 digits or more
-    (as ``memo_key`` gives) and the columns of ``schema``."""
+    (as ``memo_key`` gives) and the columns of ``schema``. Keys have 16 to the
+    power ``prefix_chars`` prefixes, each written by ``files`` tasks; a store keeps
+    the prefixes it was made with."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: str, key: str = "memo_key"):
+    def __init__(self, spark: SparkSession, root: str, schema: str, key: str = "memo_key", prefix_chars: int = 2, files: int = 1):
+        if not 1 <= prefix_chars <= 4 or files < 1:
+            raise ValueError("prefix_chars from 1 to 4, files at least 1")
         self.spark, self.root, self.key = spark, root.rstrip("/"), key
+        self.prefix_chars, self.files = prefix_chars, files
         self.schema = spark.createDataFrame([], schema).schema
         if key not in self.schema.names:
             raise ValueError(f"no key column {key!r} in the schema")
@@ -75,8 +79,8 @@ class ResultStore:
         version = vs.new_version()
         data, bits = (f"{self.root}/{kind}/part={version}" for kind in ("data", "filter"))
         keyed = rows.filter(F.col(self.key).isNotNull()).withColumn("prefix", self._prefix())
-        # rows of a prefix may be many: they are dealt by the whole key and written by prefix
-        keyed.repartition(self.key).sortWithinPartitions("prefix").write.partitionBy("prefix").parquet(data)
+        dealt = keyed.repartition("prefix", F.pmod(F.xxhash64(self.key), F.lit(self.files)))
+        dealt.sortWithinPartitions("prefix").write.partitionBy("prefix").parquet(data)
         keys = self._rows_at(data).select(self.key, "prefix").distinct()
         places = keys.select("prefix", F.explode(F.array(*[self._place(i, buckets) for i in range(HASHES)])).alias("place"))
         maps = places.groupBy("prefix", F.floor(F.col("place") / BITMAP_BITS).cast("int").alias("bucket")).agg(
@@ -98,7 +102,7 @@ class ResultStore:
         one = self._rows(parts).groupBy(self.key).agg(F.min_by(F.struct(*rest), "part").alias("r"))
         one = one.select(self.key, "r.*") if rest else one.select(self.key)
         n = one.count()
-        buckets = max(1, -(-BITS_A_KEY * n // (16 ** PREFIX_CHARS * BITMAP_BITS)))
+        buckets = max(1, -(-BITS_A_KEY * n // (16 ** self.prefix_chars * BITMAP_BITS)))
         return self._write(one.select(*[F.col(f"`{c}`") for c in self.schema.names]), buckets, parts)
 
     def vacuum(self, grace_s: float = 86_400) -> list[str]:
@@ -116,11 +120,11 @@ class ResultStore:
     # ------------------------------------------------------------ reading
 
     def _prefix(self) -> Column:
-        return F.substring(self.key, 1, PREFIX_CHARS)
+        return F.substring(self.key, 1, self.prefix_chars)
 
     def _place(self, i: int, buckets: int | Column) -> Column:
         """Bit of the key's hash ``i`` among the prefix's bits: 32 bits of the key itself."""
-        digits = F.conv(F.substring(self.key, 1 + PREFIX_CHARS + 8 * i, 8), 16, 10).cast("long")
+        digits = F.conv(F.substring(self.key, 1 + self.prefix_chars + 8 * i, 8), 16, 10).cast("long")
         return F.pmod(digits, F.lit(buckets) * F.lit(BITMAP_BITS) if isinstance(buckets, int) else buckets * BITMAP_BITS)
 
     def results(self, prefixes: list[str] | None = None) -> DataFrame:
@@ -133,7 +137,7 @@ class ResultStore:
         return one.select(self.key, "r.*").select(*[F.col(f"`{c}`") for c in self.schema.names])
 
     def touched(self, keys: DataFrame) -> list[str]:
-        """The prefixes of ``keys``: 256 at most."""
+        """The prefixes of ``keys``: 256 at most with two characters."""
         return sorted(r[0] for r in keys.select(self._prefix()).distinct().collect() if r[0] is not None)
 
     def maybe(self, keys: DataFrame, parts: list[str] | None = None, prefixes: list[str] | None = None) -> DataFrame:

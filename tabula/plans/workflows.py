@@ -130,7 +130,8 @@ def photo_run(spark: SparkSession, image_path: str, root: str, *, glob: str | No
     from tabula.plans.score import memo_key
 
     _, model_path = mdl.resolve_model(spark, f"{root}/models")
-    store = ResultStore(spark, f"{root.rstrip('/')}/photo_results", f"memo_key string, reject_reason string, {RESULT_COLUMNS}")
+    store = ResultStore(spark, f"{root.rstrip('/')}/photo_results", f"memo_key string, reject_reason string, {RESULT_COLUMNS}",
+                        prefix_chars=1)
     names = [c.split()[0] for c in RESULT_COLUMNS.split(", ")]
     # one small row per file, read by the pixel stage and the status: written
     # once so the files' contents are hashed once

@@ -762,7 +762,7 @@ def q_result_store_pending(spark, sf_dir):
     keyed = docs.select("doc_id", memo_key(F.col("text"), MODEL_TAG, False).alias("memo_key"))
     labelled = docs.join(read_table(spark, sf_dir, "labels", ["doc_id"]), "doc_id", "left_semi")
     done = labelled.select(memo_key(F.col("text"), MODEL_TAG, False).alias("memo_key"), "doc_id")
-    store = ResultStore(spark, _run_path(spark, "results"), "memo_key string, doc_id long")
+    store = ResultStore(spark, _run_path(spark, "results"), "memo_key string, doc_id long", prefix_chars=1)
     for i in range(3):
         store.append(done.filter(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == i))
         if i == 1:

@@ -58,7 +58,7 @@ def test_query_equals_oracle(spark, con, name):
     assert s == o
 
 
-FIT_QUERIES = {"prepare_configs", "model_comparison", "model_comparison_checks", "batch_score", "batch_score_keys"}
+FIT_QUERIES = {"neural_epochs", "pca_variance", "prepare_configs", "model_comparison", "model_comparison_checks", "batch_score", "batch_score_keys"}
 
 
 def test_every_query_on_empty_tables(spark, tmp_path):
