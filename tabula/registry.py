@@ -989,19 +989,18 @@ def q_neural_epochs(spark, sf_dir):
     root = _run_path(spark, "neural")
     run = neural.neural_run(spark, train, val, N_DIMS, len(CLASSES), root, prep["model"], min_accuracy=0.0, passes=5)
     pred = load_best(spark, f"{root}/models")[1].stages[-1].transform(val).withColumn("probability", vector_to_array("probability"))
-    again = ev.log_loss(pred).select(F.col("loss").alias("loss_again"), F.col("accuracy").alias("accuracy_again"), "n")
+    again = ev.log_loss(pred).first()  # one row
     # a row an epoch, all in one: the best one is the first of the highest accuracy
     h = run.history.agg(F.max("validation_accuracy").alias("top"), F.max("epoch").alias("last"),
                         F.min_by("epoch", F.struct(-F.col("validation_accuracy"), "epoch")).alias("best"),
                         F.max_by("train_loss", "epoch").alias("final_loss"), F.min_by("train_loss", "epoch").alias("first_loss"),
                         F.max_by("validation_loss", F.struct("validation_accuracy", -F.col("epoch"))).alias("its_loss"))
-    one = h.select("*", F.lit(1).alias("_one")).join(again.select("*", F.lit(1).alias("_one")), "_one")
-    return one.select(
-        F.lit(run.train_rows).cast("long").alias("train_rows"), F.col("n").alias("validation_rows"),
+    return h.select(
+        F.lit(run.train_rows).cast("long").alias("train_rows"), F.lit(again["n"]).cast("long").alias("validation_rows"),
         (F.col("best") == run.best_epoch).alias("best_is_published"),
         ((F.col("last") == F.col("best") + neural.PATIENCE) | (F.col("last") == 20)).alias("stopped_by_rule"),
         (F.col("final_loss") < F.col("first_loss")).alias("loss_falls"),
-        ((F.abs(F.col("top") - F.col("accuracy_again")) < 1e-9) & (F.abs(F.col("its_loss") - F.col("loss_again")) < 1e-9)).alias("found_again"))
+        ((F.abs(F.col("top") - again["accuracy"]) < 1e-9) & (F.abs(F.col("its_loss") - again["loss"]) < 1e-9)).alias("found_again"))
 
 
 @register("pca_variance", f"""
@@ -1021,12 +1020,10 @@ def q_pca_variance(spark, sf_dir):
     every, some = pca.fit(e, "v", N_DIMS), pca.fit(e, "v", 8)
     theirs = PCA(k=8, inputCol="x", outputCol="y").fit(e.select(array_to_vector("v").alias("x"))).explainedVariance.toArray()
     as_mllib = bool(abs(every.ratio[:8] - theirs).max() < 1e-9 and abs(some.ratio - theirs).max() < 2e-3)
-    left = pca.project(e, "v", some).agg(F.sum("projected_error").alias("s"), F.count("projected").alias("n_rows"))
     # variances along orthonormal components, and what is left beside them
-    along = pca.project(e, "v", some).select(F.posexplode("projected").alias("k", "y")).agg(
-        F.sum(F.col("y") * F.col("y")).alias("along"))
-    one = F.lit(1).alias("_one")
-    return left.select("*", one).join(along.select("*", one), "_one").select(
+    along = F.sum(F.aggregate("projected", F.lit(0.0), lambda t, y: t + y * y)).alias("along")
+    sums = pca.project(e, "v", some).agg(F.sum("projected_error").alias("s"), F.count("projected").alias("n_rows"), along)
+    return sums.select(
         "n_rows", F.round(F.lit(every.total_variance), 6).alias("total_variance"),
         F.round(F.lit(float(every.variance.sum())), 6).alias("captured_by_all"),
         F.round((F.col("along") + F.col("s")) / (F.col("n_rows") - 1), 6).alias("captured_and_left"),

@@ -17,7 +17,7 @@ from plan_audit import summarise  # noqa: E402
 BUILD_HEAVY = {"prepare_configs", "model_comparison", "batch_score", "stream_score_equals_batch",
                "csv_round_trip", "csv_typed_read", "image_segments", "statistics_reuse", "image_augment", "model_comparison_checks",
                "batch_score_keys", "train_test_read", "stored_frequencies", "stored_column_stats", "stored_std_map", "feature_dimension",
-               "minmax_scale"}
+               "minmax_scale", "neural_epochs", "pca_variance"}
 
 
 def plan_of(spark, name):
@@ -31,6 +31,11 @@ def test_no_cartesian_and_no_python_in_relational_queries(spark, name):
     assert p["python"] == 0, name
 
 
+@pytest.mark.parametrize("name", ["neural_epochs", "pca_variance"])
+def test_no_nested_loop_after_a_fit(spark, name):
+    assert plan_of(spark, name)["nested_loop"] == 0
+
+
 @pytest.mark.parametrize("name,shuffles", [
     ("class_mean", 1), ("column_stats_long", 1), ("std_map", 1), ("group_decision", 1),
     ("lineitem_class_stats", 1), ("log_loss", 1),
