@@ -7,11 +7,16 @@ two replicas, then only the children of nodes that differ, level by level, and
 at last the records of the ranges that differ.
 
 Every level is one aggregate whose groups are bounded (a range holds at most
-``RANGE_BYTES`` / 1 records by offset, a node ``FANOUT`` children); the trees are
-written out, so a descent reads node rows and not the records again.
+``RANGE_BYTES`` / 1 records by offset, a node ``FANOUT`` children); each level is
+written out, so the next one and a descent read node rows and not the records again.
+
+Offsets are running sums in three steps, so that a file of any size (all null
+page_ids, or one page_id over and over) is laid out by many tasks: equal records
+are counted per task that read them, the counts are summed up within one leading
+part of the digest, and these sums within the file.
 
 Cases: null urls and texts count as empty; a null page_id belongs to a file of
-null number; rows of one page_id are ordered by digest; a file that one replica
+null number; rows of one page_id are ordered by digest, equal ones one after the other; a file that one replica
 lacks differs at its root, and all its records are reported; a record is
 "changed" if both replicas have one at its offset, "missing" if only the first
 has, "extra" if only the second has; extra columns are ignored; empty tables
@@ -28,6 +33,8 @@ from .common import table, written
 RECORDS_PER_FILE = 1000
 RANGE_BYTES = 1 << 16
 FANOUT = 16
+#: Leading digits of a digest that records of one page_id are summed up by.
+HEAD_DIGITS = 3
 
 
 def warc_records(pages: DataFrame, records_per_file: int = RECORDS_PER_FILE) -> DataFrame:
@@ -47,29 +54,43 @@ def replicas(records: DataFrame, *stored: Column) -> list[DataFrame]:
     offset, length, digest. ``stored`` are the records' bytes as each copy holds
     them, of equal lengths. Digests are made where the records are read, so
     only they go through the shuffle that lays out the files."""
-    digests = [F.sha2(c, 256).alias(f"digest_{k}") for k, c in enumerate(stored)]
-    slim = records.select("page_id", "file_no", F.octet_length("record").cast("long").alias("length"), *digests)
-    before = Window.partitionBy("file_no").orderBy("page_id", "digest_0").rowsBetween(Window.unboundedPreceding, -1)
-    laid = slim.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
-    return [laid.select("page_id", "file_no", "offset", "length", F.col(f"digest_{k}").alias("digest")) for k in range(len(stored))]
-
-
-def merkle_tree(spark: SparkSession, replica: DataFrame, height: int, name: str) -> DataFrame:
-    """Nodes (level, file_no, idx, hash): level 1 are the offset ranges, level
-    ``height`` the roots."""
+    names = [f"digest_{k}" for k in range(len(stored))]
+    slim = records.select("page_id", "file_no", F.octet_length("record").cast("long").alias("length"),
+                          *[F.sha2(c, 256).alias(n) for n, c in zip(names, stored)], F.spark_partition_id().alias("source"))
+    # written, so that the source is the row's own whatever is planned later
+    runs = written(records.sparkSession, slim.groupBy(*slim.columns).agg(F.count("*").alias("n")), "record-runs")
+    runs = runs.withColumn("head", F.substring("digest_0", 1, HEAD_DIGITS)).withColumn("bytes", F.col("n") * F.col("length"))
+
+    def before(window):
+        return F.coalesce(F.sum("bytes").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    heads = runs.groupBy("file_no", "page_id", "head").agg(F.sum("bytes").alias("bytes"))
+    heads = heads.select("file_no", "page_id", "head", before(Window.partitionBy("file_no").orderBy("page_id", "head")).alias("base"))
+    inner = Window.partitionBy("file_no", "page_id", "head").orderBy(*names, "length", "source")
+    placed = runs.withColumn("at", before(inner)).alias("r").join(
+        heads.alias("h"), [F.col(f"r.{c}").eqNullSafe(F.col(f"h.{c}")) for c in ("file_no", "page_id", "head")])
+    # spread again by source, so that no task writes all copies of one record
+    laid = (placed.select("r.*", "base").repartition("file_no", "page_id", "digest_0", "source")
+            .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+            .withColumn("offset", F.col("base") + F.col("at") + F.col("copy") * F.col("length")))
+    return [laid.select("page_id", "file_no", "offset", "length", F.col(n).alias("digest")) for n in names]
+
+
+def merkle_levels(spark: SparkSession, replica: DataFrame, height: int, name: str) -> list[DataFrame]:
+    """Nodes (file_no, idx, hash) of each level, the offset ranges first and the
+    roots last."""
     def node(order: str):
         parts = F.array_sort(F.collect_list(F.struct(order, "hash")))
         return F.sha2(F.array_join(F.transform(parts, lambda p: F.concat_ws(":", p[order], p["hash"])), ","), 256).alias("hash")
 
     leaves = replica.select("file_no", F.floor(F.col("offset") / RANGE_BYTES).alias("idx"), "offset",
                             F.concat_ws(":", "length", "digest").alias("hash"))
-    level = leaves.groupBy("file_no", "idx").agg(node("offset"))
-    tree = level.select(F.lit(1).alias("level"), "file_no", "idx", "hash")
+    levels = [written(spark, leaves.groupBy("file_no", "idx").agg(node("offset")), f"merkle-{name}-1")]
     for k in range(2, height + 1):
-        up = level.select("file_no", F.floor(F.col("idx") / FANOUT).alias("up"), F.col("idx"), "hash")
-        level = up.groupBy("file_no", "up").agg(node("idx")).withColumnRenamed("up", "idx")
-        tree = tree.unionAll(level.select(F.lit(k).alias("level"), "file_no", "idx", "hash"))
-    return written(spark, tree, f"merkle-{name}")
+        up = levels[-1].select("file_no", F.floor(F.col("idx") / FANOUT).alias("up"), F.col("idx"), "hash")
+        level = up.groupBy("file_no", "up").agg(node("idx")).select("file_no", F.col("up").alias("idx"), "hash")
+        levels.append(written(spark, level, f"merkle-{name}-{k}"))
+    return levels
 
 
 def audit(spark: SparkSession, first: DataFrame, second: DataFrame) -> DataFrame:
@@ -80,12 +101,12 @@ def audit(spark: SparkSession, first: DataFrame, second: DataFrame) -> DataFrame
     height, top = 1, last // RANGE_BYTES
     while top:
         height, top = height + 1, top // FANOUT
-    a, b = (merkle_tree(spark, r, height, n) for r, n in ((first, "1"), (second, "2")))
+    a, b = (merkle_levels(spark, r, height, n) for r, n in ((first, "1"), (second, "2")))
 
     def differing(level: int, parents: DataFrame | None) -> DataFrame:
         sides = []
         for tree, h in ((a, "ha"), (b, "hb")):
-            nodes = tree.filter(F.col("level") == level).select("file_no", "idx", F.col("hash").alias(h))
+            nodes = tree[level - 1].withColumnRenamed("hash", h)
             if parents is not None:
                 up = nodes.withColumn("up", F.floor(F.col("idx") / FANOUT))
                 nodes = up.join(parents, up["file_no"].eqNullSafe(parents["pf"]) & (up["up"] == parents["pi"]), "left_semi").drop("up")
@@ -97,8 +118,7 @@ def audit(spark: SparkSession, first: DataFrame, second: DataFrame) -> DataFrame
 
     nodes = None
     for level in range(height, 0, -1):
-        nodes = differing(level, nodes)
-    nodes = written(spark, nodes, "merkle-differing")
+        nodes = written(spark, differing(level, nodes), f"merkle-differing-{level}")
 
     def inside(replica: DataFrame) -> DataFrame:
         at = replica.withColumn("rng", F.floor(F.col("offset") / RANGE_BYTES))

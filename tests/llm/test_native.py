@@ -116,6 +116,23 @@ def test_warc_records_cases(spark):
     assert all(a[k].length == b[k].length and a[k].offset == b[k].offset and a[k].digest != b[k].digest for k in (102, 5, 199))
 
 
+def test_hot_files_are_laid_out_in_order(spark):
+    pages = ([(None, "u", "same")] * 300 + [(None, "u", f"other {k % 90}") for k in range(200)]
+             + [(7, "u", f"copy {k % 3}") for k in range(200)] + [(k, None, "") for k in range(20)])
+    records = warc.warc_records(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5))
+    laid = warc.replicas(records, F.col("record"))[0].collect()
+    assert len(laid) == len(pages)
+    for file_no in (None, 0):
+        at, order = 0, []
+        for r in sorted((r for r in laid if r.file_no == file_no), key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+            order.append((r.page_id or 0, r.digest))
+        assert order == sorted(order) and order
+    digests = collections.Counter(r.digest for r in laid)
+    assert digests == collections.Counter(r.d for r in records.select(F.sha2("record", 256).alias("d")).collect())
+
+
 HEX = "0123456789abcdef"
 
 
