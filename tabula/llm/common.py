@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -213,11 +213,17 @@ def text_groups(batches, limit: int) -> Iterator[tuple[list, list[str]]]:
 
 def by_bytes(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have about ``limit`` characters together."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
+    return by_size(map(len, texts), limit)
+
+
+def by_size(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes add up to about ``limit``; a larger row is alone."""
+    start = size = end = 0
+    for i, one in enumerate(sizes):
+        if size and size + one > limit:
             yield start, i
             start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+        size += one
+        end = i + 1
+    if start < end:
+        yield start, end

@@ -1,10 +1,12 @@
 """Token counts: batch encoding in an Arrow function that returns lengths only.
 
-Rows are regrouped into batches of about ``BATCH_CHARS`` characters, so one
-batch of long texts costs what one batch of short texts does. A text is split
-at spaces, which this tokenizer drops, so the parts' counts add up to the
-text's; very long texts are split into bounded segments first. Words are
-encoded in batches once per task, with a bounded memory of the words met.
+Rows are regrouped into batches of about ``BATCH_BYTES`` bytes, so one batch
+of long texts costs what one batch of short texts does. Where a tokenizer drops
+blanks, a text is split at them, so the parts' counts add up to the text's;
+very long texts are split into bounded segments first. Words are encoded in
+batches once per task, with a bounded memory of the words met. Each task first
+tries the tokenizer on strings with blanks between them (``drops_blanks``);
+where it doesn't drop them, whole texts are encoded.
 
 Cases: a null text counts as empty (0 bytes, 0 tokens); rows with a null or
 repeated doc_id are counted on their own; extra columns are ignored; an empty
@@ -13,35 +15,60 @@ table gives no rows.
 
 from __future__ import annotations
 
+from itertools import product
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, lean, prepare, segments, table, vocabulary
+from .common import by_size, lean, prepare, segments, table, vocabulary
 
-BATCH_CHARS = 4_000_000
+BATCH_BYTES = 4_000_000
 SEGMENT_CHARS = 1_000_000
 MEMORY_WORDS = 500_000
 WORDS_A_CALL = 20_000
 TOKEN_LIMIT = 2048
+#: Strings of many kinds that ``drops_blanks`` puts together.
+PROBES = ("", "a", "Zed", "don't", "'s", "7", "42", "1,000.50", ".", "...", "(x)", "#$%", "-", "_", "<", "\u2581", "http://a.b/c?d=e",
+          "\u00e9t\u00e9", "e\u0301", "\u0301", "\u00df", "\u0434\u043e\u043c", "\u0645\u0631\u062d", "\u0915\u094d\u0937", "\u4f60\u597d",
+          "\uff46\uff55", "\u1100\u1161", "\U0001f642", "\u200d", "\u00a0", "\t", "\r", "\u0000")
+#: The blanks that texts are split at, alone and in runs.
+GAPS = (" ", "\n", "  ", " \n ")
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, token_limit: int = TOKEN_LIMIT,
                  key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, n_bytes, n_tokens, over_limit`` for each row of ``docs``. The
-    tokenizer must drop white space (so that spaces are safe boundaries)."""
+    """``key, n_bytes, n_tokens, over_limit`` for each row of ``docs``, by any
+    tokenizer file of the library."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     counted = rows.mapInArrow(lean(_counter(vocabulary(tokenizer_path))), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > token_limit)
 
 
+def drops_blanks(tok) -> bool:
+    """Whether the tokenizer's ids of strings with blanks between, before or after
+    them are the strings' own ids in a row, for every pair of ``PROBES`` and each
+    added token beside some, and no added token holds white space."""
+    def ids(texts):
+        return [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    added = [t.content for t in tok.get_added_tokens_decoder().values()]
+    if any(c.isspace() for t in added for c in t):
+        return False
+    pairs = [*product(PROBES, PROBES), *product(added, PROBES[:3]), *product(PROBES[:3], added)]
+    alone = {s: i for s, i in zip((*PROBES, *added), ids([*PROBES, *added]))}
+    joined = [x + gap + y for x, y in pairs for gap in GAPS]
+    return ids(joined) == [alone[x] + alone[y] for x, y in pairs for _ in GAPS]
+
+
 def _counter(model: bytes):
     def count(batches):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import pyarrow as pa
+        import pyarrow.compute as pc
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_str(model.decode())
@@ -56,14 +83,18 @@ def _counter(model: bytes):
                 out.update(zip(part, map(len, tok.encode_batch_fast(part, add_special_tokens=False))))
             return out
 
+        def whole(texts: list[str]) -> list[int]:
+            return list(map(len, tok.encode_batch_fast(texts, add_special_tokens=False)))
+
+        cut = drops_blanks(tok)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            column = pc.fill_null(batch.column("text"), "")
+            texts, n_bytes = column.to_pylist(), pc.binary_length(column).cast(pa.int64())
             n_tokens = []
-            for lo, hi in by_bytes(texts, BATCH_CHARS):
-                n_tokens += _count_group(texts[lo:hi], known, lengths)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(t.encode()) for t in texts], pa.int64()),
-                 pa.array(n_tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+            for lo, hi in by_size(n_bytes.to_pylist(), BATCH_BYTES):
+                n_tokens += _count_group(texts[lo:hi], known, lengths) if cut else whole(texts[lo:hi])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n_bytes, pa.array(n_tokens, pa.int64())],
+                                             ["doc_id", "n_bytes", "n_tokens"])
 
     return count
 
@@ -88,4 +119,5 @@ def _count_group(texts, known, lengths):
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document by the word-level BPE tokenizer."""
     return token_counts(table(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))

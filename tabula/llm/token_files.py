@@ -17,7 +17,8 @@ so any chunk can be read alone and a reader needs only the index columns to
 find a document. Spark's writer commits them, on any store Spark can write.
 
 Cases: a null text is an empty document (its end id alone); null doc_ids come
-first; rows of one doc_id are ordered by a hash of their texts; extra columns are ignored; an
+first; rows of one doc_id are ordered by a hash of their texts, equal ones by the task
+that read them; extra columns are ignored; an
 empty table gives empty files.
 """
 
@@ -49,9 +50,11 @@ CHUNK_SCHEMA = ("part int, chunk int, first long, n_ids long, doc_ids array<long
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2) -> None:
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # the text's hash is part of the range, so that rows of one doc_id can be spread
-    ordered = (rows.withColumn("salt", F.xxhash64("text")).repartitionByRange("doc_id", "salt")
-               .sortWithinPartitions("doc_id", "salt", "text").select("doc_id", "text"))
+    # the text's hash and the task that read the row are part of the range, so that rows of one
+    # doc_id can be spread, equal ones too; a repeated task deals its rows as the lost one did
+    ordered = (rows.withColumn("salt", F.xxhash64("text")).withColumn("source", F.spark_partition_id())
+               .repartitionByRange("doc_id", "salt", "source")
+               .sortWithinPartitions("doc_id", "salt", "source", "text").select("doc_id", "text"))
     chunks = ordered.mapInArrow(lean(_packer(vocabulary(tokenizer_path), end_id)), CHUNK_SCHEMA)
     chunks.write.option("compression", "none").parquet(path)
 

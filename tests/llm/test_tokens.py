@@ -78,9 +78,24 @@ def test_token_counts(docs):
     assert by_row(got, "doc_id", "n_bytes", "n_tokens", "over_limit") == want
 
 
+def test_token_counts_of_a_tokenizer_that_keeps_blanks(spark, docs):
+    path = P.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    assert token_counts.drops_blanks(Tokenizer.from_file(P.path("word_bpe_49k.json"))) and not token_counts.drops_blanks(tok)
+    given = docs.unionByName(spark.createDataFrame([(-1, "two  blanks\n\nand lines", 0)], "doc_id long, text string, n_tokens int"),
+                             allowMissingColumns=True)
+    want = collections.Counter((r.doc_id, len(tok.encode(r.text or "", add_special_tokens=False).ids)) for r in given.collect())
+    assert by_row(token_counts.token_counts(given, path), "doc_id", "n_tokens") == want
+
+
+def test_batches_are_balanced_by_size():
+    assert list(common.by_size([5, 5, 5, 30, 1, 0, 0], 10)) == [(0, 2), (2, 3), (3, 4), (4, 7)]
+    assert list(common.by_size([], 10)) == [] and list(common.by_size([0, 0], 10)) == [(0, 2)]
+
+
 def test_long_texts_split_at_spaces(spark, monkeypatch):
     monkeypatch.setattr(token_counts, "SEGMENT_CHARS", 100)
-    monkeypatch.setattr(token_counts, "BATCH_CHARS", 1000)
+    monkeypatch.setattr(token_counts, "BATCH_BYTES", 1000)
     monkeypatch.setattr(token_counts, "MEMORY_WORDS", 50)
     tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
     texts = [r["text"] for r in rows("documents")[:30]]
@@ -105,6 +120,20 @@ def test_token_files(spark, docs, tmp_path, monkeypatch):
     assert order == sorted(order, key=lambda d: (d is not None, d or 0))
 
 
+def test_equal_rows_are_spread_over_parts(spark, tmp_path):
+    path = str(tmp_path / "equal")
+    spark.createDataFrame([(None, None)] * 4000 + [(k, "a b") for k in range(50)], "doc_id long, text string").repartition(16).write.parquet(path)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small parts stay apart
+    try:
+        token_files.write_token_files(spark.read.parquet(path), str(tmp_path / "files"), P.path("byte_bpe_50k.json"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    chunks = spark.read.parquet(str(tmp_path / "files"))
+    assert chunks.filter("doc_ids[0] is null").select("part").distinct().count() > 1
+    got = [(r.start, r.doc_id) for r in token_files.read_token_files(spark, str(tmp_path / "files")).orderBy("start").collect()]
+    assert got[:4000] == [(k, None) for k in range(4000)] and [d for _, d in got[4000:]] == list(range(50))
+
+
 def test_byte_planes_round_trip():
     import numpy as np
 
