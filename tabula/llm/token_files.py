@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import uuid
 from array import array
+from functools import lru_cache
 from itertools import chain
 
 import public_tokenizers
@@ -170,10 +171,12 @@ class _Encoder:
         start[~new], size[~new] = self.start[at[~new]], self.size[at[~new]]
         every = np.concatenate([self.flat, flat])
         if (room := min(len(fresh), MEMORY_PIECES - len(self.known))) > 0:
-            self.known = pa.concat_arrays([self.known, fresh.slice(0, room)])
-            self.start = np.concatenate([self.start, fresh_start[:room]])
-            self.size = np.concatenate([self.size, fresh_size[:room]])
-            self.flat = every[:fresh_start[room - 1] + fresh_size[room - 1]].copy()
+            # made first and set together: the memory outlives the task
+            self.known, self.start, self.size, self.flat = (
+                pa.concat_arrays([self.known, fresh.slice(0, room)]),
+                np.concatenate([self.start, fresh_start[:room]]),
+                np.concatenate([self.size, fresh_size[:room]]),
+                every[:fresh_start[room - 1] + fresh_size[room - 1]].copy())
         return every, start, size
 
     def _ids(self, spelled):
@@ -197,14 +200,25 @@ class _Encoder:
         return stretches(flat, start, size, turns), np.cumsum(size_of) - size_of, size_of
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        import numpy as np
+
         parts = [list(segments(t, SEGMENT_CHARS)) for t in texts]
         spelled, codes = coded_pieces([s for p in parts for s in p])
         flat, start, size = self._ids(spelled)
-        out, k = [], 0
-        for p in parts:
-            out.append(b"".join(stretches(flat, start, size, code).tobytes() for code in codes[k:k + len(p)]))
-            k += len(p)
-        return out
+        code = np.concatenate(codes)
+        # ids of all texts at once, cut where the texts end
+        n_pieces = np.zeros(len(texts) + 1, np.int64)
+        n_pieces[1:] = np.cumsum(np.add.reduceat(list(map(len, codes)), np.cumsum([0, *map(len, parts[:-1])])))
+        ends = np.concatenate([[0], np.cumsum(size[code])])[n_pieces] * 4
+        raw = memoryview(stretches(flat, start, size, code).tobytes())
+        return [bytes(raw[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+
+
+@lru_cache(maxsize=1)
+def _encoder(model: bytes) -> _Encoder:
+    """One encoder a Python worker, so that the tasks it runs after one another
+    share its memory of pieces; which ones it holds changes no result."""
+    return _Encoder(model)
 
 
 def _packer(model: bytes, end_id: int):
@@ -216,7 +230,7 @@ def _packer(model: bytes, end_id: int):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, enc, end = TaskContext.get().partitionId(), _Encoder(model), array("I", [end_id]).tobytes()
+        part, enc, end = TaskContext.get().partitionId(), _encoder(model), array("I", [end_id]).tobytes()
         chunk = first = 0
         docs, held, n = [], [], 0
 
