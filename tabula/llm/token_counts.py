@@ -4,9 +4,9 @@ Rows are regrouped into batches of about ``BATCH_BYTES`` bytes, so one batch
 of long texts costs what one batch of short texts does. Where a tokenizer drops
 blanks, a text is split at them, so the parts' counts add up to the text's;
 very long texts are split into bounded segments first. Words are encoded in
-batches once per task, with a bounded memory of the words met. Each task first
-tries the tokenizer on strings with blanks between them (``drops_blanks``);
-where it doesn't drop them, whole texts are encoded.
+batches, with a bounded memory of the words met that a Python worker keeps from
+task to task. Each worker first tries the tokenizer on strings with blanks between
+them (``drops_blanks``); where it doesn't drop them, whole texts are encoded.
 
 Cases: a null text counts as empty (0 bytes, 0 tokens); rows with a null or
 repeated doc_id are counted on their own; extra columns are ignored; an empty
@@ -15,6 +15,7 @@ table gives no rows.
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import product
 
 import public_tokenizers
@@ -62,6 +63,40 @@ def drops_blanks(tok) -> bool:
     return ids(joined) == [alone[x] + alone[y] for x, y in pairs for _ in GAPS]
 
 
+class _Lengths:
+    """A tokenizer, whether it drops blanks, and a bounded memory of the token
+    counts of words met."""
+
+    def __init__(self, model: bytes):
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_str(model.decode())
+        self.tok.no_truncation()
+        self.tok.no_padding()
+        self.cut = drops_blanks(self.tok)
+        self.known: dict[str, int] = {"": 0}
+
+    def whole(self, texts: list[str]) -> list[int]:
+        return list(map(len, self.tok.encode_batch_fast(texts, add_special_tokens=False)))
+
+    def words(self, words: list[str]) -> dict[str, int]:
+        out = {}
+        for i in range(0, len(words), WORDS_A_CALL):
+            part = words[i:i + WORDS_A_CALL]
+            out.update(zip(part, self.whole(part)))
+        return out
+
+    def of(self, texts: list[str]) -> list[int]:
+        return _count_group(texts, self.known, self.words) if self.cut else self.whole(texts)
+
+
+@lru_cache(maxsize=1)
+def _lengths(model: bytes) -> _Lengths:
+    """One tokenizer a Python worker, so that the tasks it runs after one another
+    share its memory of words; which ones it holds changes no count."""
+    return _Lengths(model)
+
+
 def _counter(model: bytes):
     def count(batches):
         import os
@@ -69,30 +104,14 @@ def _counter(model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import pyarrow as pa
         import pyarrow.compute as pc
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_str(model.decode())
-        tok.no_truncation()
-        tok.no_padding()
-        known: dict[str, int] = {"": 0}
-
-        def lengths(words: list[str]) -> dict[str, int]:
-            out = {}
-            for i in range(0, len(words), WORDS_A_CALL):
-                part = words[i:i + WORDS_A_CALL]
-                out.update(zip(part, map(len, tok.encode_batch_fast(part, add_special_tokens=False))))
-            return out
-
-        def whole(texts: list[str]) -> list[int]:
-            return list(map(len, tok.encode_batch_fast(texts, add_special_tokens=False)))
 
-        cut = drops_blanks(tok)
+        lengths = _lengths(model)
         for batch in batches:
             column = pc.fill_null(batch.column("text"), "")
             texts, n_bytes = column.to_pylist(), pc.binary_length(column).cast(pa.int64())
             n_tokens = []
             for lo, hi in by_size(n_bytes.to_pylist(), BATCH_BYTES):
-                n_tokens += _count_group(texts[lo:hi], known, lengths) if cut else whole(texts[lo:hi])
+                n_tokens += lengths.of(texts[lo:hi])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n_bytes, pa.array(n_tokens, pa.int64())],
                                              ["doc_id", "n_bytes", "n_tokens"])
 

@@ -104,6 +104,16 @@ def test_long_texts_split_at_spaces(spark, monkeypatch):
     assert len(known) <= 50
 
 
+def test_counts_and_ids_stay_the_same_from_task_to_task():
+    counted, coded = P.path("word_bpe_49k.json"), P.path("byte_bpe_50k.json")
+    texts = [t or "" for t in awkward_texts()]
+    lengths, enc = (make(open(p, "rb").read()) for make, p in ((token_counts._Lengths, counted), (token_files._Encoder, coded)))
+    a, b = Tokenizer.from_file(counted), Tokenizer.from_file(coded)
+    for part in (texts[::2], texts, texts[1::2], texts, [""]):  # one worker's tasks
+        assert lengths.of(part) == [len(a.encode(t, add_special_tokens=False).ids) for t in part]
+        assert enc.encode(part) == [array("I", b.encode(t, add_special_tokens=False).ids).tobytes() for t in part]
+
+
 def test_token_files(spark, docs, tmp_path, monkeypatch):
     tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     path = str(tmp_path / "files")
