@@ -1246,11 +1246,12 @@ def _run_path(spark, name: str) -> str:
 
 
 @register("train_test_read", f"""
-SELECT 'train' AS side, COUNT(*) AS n_rows, {N_DIMS} AS n_features, round(sum(embedding[1]::DOUBLE), 4) AS first_sum,
-       round(sum(embedding[{N_DIMS}]::DOUBLE), 4) AS last_sum FROM embeddings WHERE vec_id % 5 <> 0
-UNION ALL
-SELECT 'test', COUNT(*), {N_DIMS}, round(sum(embedding[1]::DOUBLE), 4), round(sum(embedding[{N_DIMS}]::DOUBLE), 4)
-FROM embeddings WHERE vec_id % 5 = 0""")
+WITH cells AS (SELECT vec_id, generate_subscripts(embedding, 1) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings),
+     every AS (SELECT vec_id % 5 = 0 AS test, round(sum(dim * x), 4) AS weighted_sum FROM cells GROUP BY vec_id % 5 = 0)
+SELECT CASE WHEN test THEN 'test' ELSE 'train' END AS side, COUNT(*) AS n_rows, {N_DIMS} AS n_features,
+       round(sum(embedding[1]::DOUBLE), 4) AS first_sum, round(sum(embedding[{N_DIMS}]::DOUBLE), 4) AS last_sum,
+       any_value(weighted_sum) AS weighted_sum
+FROM embeddings JOIN every ON (vec_id % 5 = 0) = test GROUP BY test""")
 def q_train_test_read(spark, sf_dir):
     """A5: a labelled train file and an unlabelled test file of the whole table,
     written as CSV (columns out of order) and read back typed."""
@@ -1266,8 +1267,10 @@ def q_train_test_read(spark, sf_dir):
     def summary(side, df):
         cells = [c for c in df.columns if c != "label"]
         return df.agg(F.count("*").alias("n_rows"), F.round(F.sum(cells[0]), 4).alias("first_sum"),
-                      F.round(F.sum(cells[-1]), 4).alias("last_sum")).select(
-            F.lit(side).alias("side"), "n_rows", F.lit(len(cells)).alias("n_features"), "first_sum", "last_sum")
+                      F.round(F.sum(cells[-1]), 4).alias("last_sum"),
+                      # every column by its place, so that none can stand for another
+                      F.round(sum(F.sum(F.col(c)) * k for k, c in enumerate(cells, 1)), 4).alias("weighted_sum")).select(
+            F.lit(side).alias("side"), "n_rows", F.lit(len(cells)).alias("n_features"), "first_sum", "last_sum", "weighted_sum")
 
     train, unlabelled = read_train_test(spark, path)
     return summary("train", train).unionAll(summary("test", unlabelled))
