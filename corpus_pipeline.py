@@ -4,6 +4,13 @@ Each stage takes the rows its predecessor wrote and returns a DataFrame; its
 decisions take effect there. ``run`` writes every stage's rows as Parquet in the
 shared folder and reads them again, so a lost executor repeats at most one
 stage and no plan grows over the stages.
+
+Cases, for every stage: null and empty texts have no words, so quality rules
+reject them, and later stages meet one only if they are given it (it joins no
+group, isn't contaminated, has no secret, and encodes to no ids); texts of any
+length are worked on whole; rows of one doc_id are separate rows; an empty table
+gives an empty table; extra columns, also with names that a stage uses inside,
+are handed on by all stages but the last, which returns its own columns.
 """
 
 from __future__ import annotations
@@ -16,17 +23,19 @@ from tabula.llm.common import table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
+    """Documents that the rules reject go, with fewer than 20 words among them;
+    of repeated rows all stay or all go."""
     return quality.keep_good(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones stays."""
+    """One document of each group of similar ones stays: the least doc_id, named ones
+    before null; of equal rows the first in the table."""
     return ngram_join.keep_one(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go."""
+    """Contaminated documents go; a benchmark without a word in it takes none."""
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -36,7 +45,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document, decoded again, as counts and digests."""
+    """Ids of each document, decoded again, as counts and digests; one row per row."""
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
