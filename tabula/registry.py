@@ -1106,8 +1106,7 @@ def render_code_images(spark, sf_dir) -> DataFrame:
     x > 0.05, 14 px per cell, glyph i at x = 55 + 175 i), in the decoded
     image-row shape the segmentation consumes (BGR bytes). Derived by Spark
     from the table, so the work grows with it."""
-    import numpy as np
-    import pandas as pd
+    from tabula.operators.images import draw_strips
 
     groups = (emb(spark, sf_dir)
               .select(F.floor(F.col("vec_id") / 5).cast("bigint").alias("group_id"),
@@ -1115,25 +1114,12 @@ def render_code_images(spark, sf_dir) -> DataFrame:
               # five rows per group: a bounded list
               .groupBy("group_id").agg(F.array_sort(F.collect_list(F.struct("pos", "embedding"))).alias("g")))
 
-    def draw(batches):
-        for pdf in batches:
-            out = []
-            for gid, g in zip(pdf["group_id"], pdf["g"]):
-                img = np.full((260, 920, 3), 255, np.uint8)
-                for item in g:
-                    cells = np.asarray(item["embedding"], dtype=np.float64).reshape(8, 8) > 0.05
-                    glyph = np.kron(cells, np.ones((14, 14), bool))
-                    x0 = 55 + 175 * int(item["pos"])
-                    img[74:74 + 112, x0:x0 + 112][glyph] = 25
-                out.append((f"group-{int(gid)}", 260, 920, 3, img.tobytes(), None))
-            yield pd.DataFrame(out, columns=["path", "height", "width", "n_channels", "data", "reject_reason"])
-
     # the groups are a few bytes each, so AQE would coalesce them into one
     # task, but every row costs tens of milliseconds of pixel work downstream:
     # spread them over the cluster explicitly (a fixed-count repartition is
     # not coalesced)
     n = max(8, 2 * spark.sparkContext.defaultParallelism)
-    return groups.repartition(n).mapInPandas(draw, "path string, height int, width int, n_channels int, "
+    return groups.repartition(n).mapInPandas(draw_strips, "path string, height int, width int, n_channels int, "
                                                    "data binary, reject_reason string")
 
 
