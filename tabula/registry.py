@@ -778,9 +778,10 @@ def q_file_listing(spark, sf_dir):
     """Files written from the documents, one a language, listed again by the
     tasks of the listing source, a directory each."""
     from tabula.sources.listing import list_files
+    from tabula.sources.whole_files import write_whole_files
 
     path = _run_path(spark, "files")
-    read_table(spark, sf_dir, "documents", ["lang", "text"]).repartition("lang").write.partitionBy("lang").text(path)
+    write_whole_files(spark, read_table(spark, sf_dir, "documents", ["lang", "text"]), "lang", path)
     lang = F.regexp_extract("path", "/lang=([^/]*)/", 1)
     return list_files(spark, path, glob="*.txt").groupBy(lang.alias("lang")).agg(
         F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))

@@ -5,6 +5,7 @@ import os
 import pytest
 
 from tabula.sources.listing import list_files
+from tabula.sources.whole_files import write_whole_files
 
 
 def tree(root):
@@ -49,3 +50,24 @@ def test_empty_and_missing(spark, tmp_path):
     assert list_files(spark, str(tmp_path)).count() == 0
     with pytest.raises(Exception, match="nowhere"):
         list_files(spark, str(tmp_path / "nowhere")).count()
+
+
+def test_a_value_that_has_most_lines_is_one_file_of_many_tasks(spark, tmp_path):
+    rows = [("en" if i % 7 else "a b/ü" if i % 2 else None, None if i % 50 == 0 else f"line {i} é") for i in range(3000)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(9)
+    path = str(tmp_path / "out")
+    write_whole_files(spark, df, "lang", path)
+    folders = {"en": "lang=en", None: "lang=__HIVE_DEFAULT_PARTITION__"}
+    got = {r["path"].split("/")[-2]: r for r in list_files(spark, path, glob="*.txt").collect()}
+    assert len(got) == 3 and set(folders.values()) < set(got)
+    for r in got.values():
+        value = next((v for v, f in folders.items() if f == r["path"].split("/")[-2]), "a b/ü")
+        with open(r["path"].removeprefix("file:"), encoding="utf-8") as f:
+            lines = f.read().split("\n")
+        assert lines.pop() == "" and sorted(lines) == sorted(t or "" for v, t in rows if v == value)
+    assert not os.path.exists(f"{path}-parts")
+
+
+def test_no_rows_are_an_empty_directory(spark, tmp_path):
+    write_whole_files(spark, spark.createDataFrame([], "lang string, text string"), "lang", str(tmp_path / "out"))
+    assert list_files(spark, str(tmp_path / "out")).count() == 0
