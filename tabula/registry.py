@@ -832,7 +832,8 @@ def q_stream_group_decision(spark, sf_dir):
     rows = rows.select("vec_id", "embedding", "position", F.concat_ws(":", "name", "group_no").alias("group_id"),
                        F.timestamp_seconds(F.col("group_no") * 60 + F.col("position")).alias("scanned_at"))
     arrived = _run_path(spark, "arrived")
-    rows.repartitionByRange(4, "position").write.parquet(f"{arrived}/digits.parquet")
+    # a micro-batch is one file: small row groups spread it over tasks
+    rows.repartitionByRange(4, "position").write.option("parquet.block.size", 4 << 20).parquet(f"{arrived}/digits.parquet")
     out = run_decision_stream(spark, arrived, "digits", "group_id", "position", "scanned_at", "vec_id", threshold=0.12,
                               max_files_per_trigger=1, lateness="1000 days")
     return out.select("group_id", *RESULTS).withColumn("global_confidence", r6("global_confidence"))

@@ -25,6 +25,7 @@ late and not counted; an empty source gives no rows.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -42,6 +43,10 @@ from tabula.streaming.score_stream import scoring_stream
 SUMMARY = ("n_predictions long, _digits long, _confs long, _mask long, _pmin int, _pmax int, _dmin int, _dmax int, "
            "global_confidence double, _cmax double, _weakest_c double, _weakest_p int, digits array<int>, at_ms long")
 STATE = SUMMARY + ", opened_ms long, version int"
+#: A state function's call costs some hundred microseconds a column in and out, so a
+#: summary passes through it as one JSON text.
+TOLD = STATE + ", timed_out boolean"
+TOLD_NAMES = [c.split()[0] for c in TOLD.split(", ")]
 NAMES = [c.split()[0] for c in SUMMARY.split(", ")]
 RESULTS = ("n_predictions", "valid", "postal_code", "global_confidence", "decision", "decision_label", "weakest_position",
            "review_reason")
@@ -73,54 +78,56 @@ def summary(position: int | None, digit: int | None, confidence: float | None, a
             [digit if inside and k == position else None for k in range(1, n + 1)], at_ms)
 
 
+def packed(values: tuple) -> str:
+    """A summary as JSON; a confidence that is no number is null."""
+    return json.dumps([None if x != x else x for x in values])
+
+
+def unpacked(text: str) -> tuple:
+    return tuple(json.loads(text))
+
+
 def _summed(n: int):
     """Rows (grp, position, digit, confidence, at_ms) as one summary per group and batch."""
     def run(batches):
         import pyarrow as pa
 
-        from tabula.streaming.decide_stream import NAMES, merge, summary
+        from tabula.streaming.decide_stream import merge, packed, summary
 
-        kinds = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.float64()] * 3 + [pa.int32(), pa.list_(pa.int32()), pa.int64()]
         for batch in batches:
             found: dict = {}
             columns = [batch.column(c).to_pylist() for c in ("grp", "position", "digit", "confidence", "at_ms")]
             for key, *row in zip(*columns):
                 found[key] = merge(found.get(key), summary(*row, n))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), batch.schema.field("grp").type),
-                 *[pa.array([s[i] for s in found.values()], kind) for i, kind in enumerate(kinds)]], ["grp", *NAMES])
+                [pa.array(list(found), batch.schema.field("grp").type), pa.array(map(packed, found.values()), pa.string()),
+                 pa.array([s[13] for s in found.values()], pa.int64())], ["grp", "part", "at_ms"])
 
     return run
 
 
 def _decider(n: int, timeout_ms: int):
     def run(key: tuple, parts: Iterator, state: GroupState):
-        import pandas as pd
+        import json
 
-        from tabula.streaming.decide_stream import NAMES, merge
+        import pandas as pd
 
-        def plain(x):
-            return None if x is None or x != x else x
+        from tabula.streaming.decide_stream import TOLD_NAMES, merge, unpacked
 
         def told(known: tuple, opened: int, version: int, timed_out: bool):
-            row = dict(zip(NAMES, known))
-            row["digits"] = list(known[12])
-            return pd.DataFrame([{"grp": key[0], **row, "opened_ms": opened, "version": version, "timed_out": timed_out}]).astype(
-                {c: "object" for c in ("_pmin", "_pmax", "_dmin", "_dmax", "global_confidence", "_cmax", "_weakest_c", "_weakest_p")})
+            row = dict(zip(TOLD_NAMES, (*known, opened, version, timed_out)))
+            return pd.DataFrame({"grp": [key[0]], "told": [json.dumps(row)]}, dtype=object)
 
         old = state.getOption
-        known, opened, version = (None, None, 0) if old is None else (
-            (*map(plain, old[:12]), [plain(d) for d in old[12]], old[13]), old[14], old[15])
+        known, opened, version = (None, None, 0) if old is None else ((*old[:12], list(old[12]), old[13]), old[14], old[15])
         if state.hasTimedOut:
             state.remove()
             if version == 0:
                 yield told(known, opened, 1, True)
             return
         for pdf in parts:
-            for row in pdf[NAMES].astype("object").itertuples(index=False, name=None):
-                part = (*[None if x is None else int(x) if i < 8 or i == 11 else float(x) for i, x in enumerate(map(plain, row[:12]))],
-                        [None if plain(d) is None else int(d) for d in row[12]], int(row[13]))
-                known = merge(known, part)
+            for part in pdf["part"]:
+                known = merge(known, unpacked(part))
         opened = known[13] if opened is None else opened
         if known[0] >= n:
             version += 1
@@ -141,10 +148,11 @@ def decided(scored: DataFrame, key: str, at: str, position: str = "position", di
     ms = F.coalesce(F.unix_millis(F.col(at).cast("timestamp")), F.lit(0)).alias("at_ms")
     rows = scored.select(F.col(key).alias("grp"), F.col(position).cast("int").alias("position"), F.col(digit).cast("int").alias("digit"),
                          F.col(confidence).cast("double").alias("confidence"), ms)
-    parts = rows.mapInArrow(_summed(n), f"grp {kind}, {SUMMARY}")
-    parts = parts.withColumn("_at", F.timestamp_millis("at_ms")).withWatermark("_at", lateness)
+    parts = rows.mapInArrow(_summed(n), f"grp {kind}, part string, at_ms long")
+    parts = parts.select("grp", "part", F.timestamp_millis("at_ms").alias("_at")).withWatermark("_at", lateness)
     out = parts.groupBy("grp").applyInPandasWithState(
-        _decider(n, timeout_ms), f"grp {kind}, {STATE}, timed_out boolean", STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        _decider(n, timeout_ms), f"grp {kind}, told string", STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    out = out.select("grp", F.from_json("told", TOLD).alias("told")).select("grp", "told.*")
     return _judged(out, key, n, threshold, n_classes)
 
 

@@ -96,3 +96,15 @@ def test_empty_source(spark, tmp_path):
     path = str(tmp_path / "in")
     spark.createDataFrame([], SCHEMA).write.parquet(f"{path}/digits.parquet")
     assert ds.run_decision_stream(spark, path, "digits", "grp", "position", "at", "id").count() == 0
+
+
+def test_a_summary_passes_through_the_state_as_one_text(spark):
+    stream = spark.readStream.format("rate").load().select(
+        F.col("value").alias("grp"), F.lit(1).alias("position"), F.lit(2).alias("digit"), F.lit(0.5).alias("confidence"),
+        F.col("timestamp").alias("at"))
+    plan = ds.decided(stream, "grp", "at")._jdf.queryExecution().analyzed().toString()
+    state = next(line for line in plan.splitlines() if "FlatMapGroupsInPandasWithState" in line)
+    assert "told#" in state and "n_predictions#" not in state.split("[grp#")[1]
+    one = (*ds.summary(2, 7, float("inf"), 10, 5)[:9], float("nan"), *ds.summary(2, 7, 0.1 + 0.2, 10, 5)[10:])
+    back = ds.unpacked(ds.packed(one))
+    assert back == (*one[:9], None, *one[10:]) and back[8] == float("inf") and back[10] == 0.1 + 0.2
