@@ -30,9 +30,21 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back."""
+    return written_at(spark, df, name)[0]
+
+
+def written_at(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``written``, and the path for ``remove_written``."""
     path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove_written(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that only tables written since were made from."""
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered_rows(spark: SparkSession, df: DataFrame, row: str, name: str) -> DataFrame:

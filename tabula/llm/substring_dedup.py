@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, lean, numbered_rows, prepare, table, written
+from .common import checked_broadcast, lean, numbered_rows, prepare, remove_written, table, written, written_at
 from .components import components
 from .similar_sets import similar_sets
 
@@ -85,13 +85,14 @@ def _similar_lines(rows: DataFrame) -> DataFrame:
 
 def _passages(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
-    cut = written(spark, rows.mapInArrow(
+    cut, cut_path = written_at(spark, rows.mapInArrow(
         lean(_cut_paragraphs), "h long, second int, row long, doc_id long, begin int, words int"), "dedup-paragraphs")
-    # which ones repeat is found on plain counts; their places follow for these alone
-    again = cut.groupBy("h", "second").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    again = written(spark, again, "dedup-repeated")
-    repeated = written(spark, cut.join(checked_broadcast(again, 40), ["h", "second"]), "dedup-cut")
-    firsts = repeated.groupBy("h", "second").agg(_first("row", "begin"))
+    # which ones repeat is found on counts of their first hash alone, the least to
+    # shuffle; their places follow for these, and both hashes decide
+    again, again_path = written_at(spark, cut.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "dedup-repeated")
+    repeated = written(spark, cut.join(checked_broadcast(again, 32), "h"), "dedup-cut")
+    remove_written(spark, cut_path, again_path)
+    firsts = repeated.groupBy("h", "second").agg(F.count("*").alias("n"), _first("row", "begin")).filter("n > 1").drop("n")
     repeated = repeated.join(firsts, ["h", "second"])
     by_place = Window.partitionBy("row").orderBy("begin")
     kept = (F.col("row") == F.col("pick.row")) & (F.col("begin") == F.col("pick.begin"))

@@ -350,3 +350,20 @@ def test_registered_contracts(spark):
     root, links = _brute_join(docs)
     want = collections.Counter((d["doc_id"], docs[root[k]]["doc_id"], links[k]) for k, d in enumerate(docs))
     assert by_row(QUERIES["op7_ngram_join"](spark, SF), "doc_id", "class_id", "n_links") == want
+
+
+def test_dedup_leaves_no_table_of_all_short_paragraphs(spark):
+    import os
+
+    from tabula.llm.substring_dedup import repeated_spans
+    from tabula.session import scratch_path
+
+    words = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, f"a b {words} c"), (2, f"d {words} e f"), (3, "g h i")], "doc_id long, text string")
+    folder = scratch_path(spark, "llm")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    found = repeated_spans(docs)
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert "dedup-cut" in left and not left & {"dedup-paragraphs", "dedup-repeated"}
+    passages = found.filter("kind = 'passage'").select("doc_id", "removed").collect()
+    assert sorted(map(tuple, passages)) == [(1, False), (2, True)]
